@@ -76,6 +76,7 @@ SCORING_USER = (
     "Ideas:\n{ideas}"
 )
 DEFAULT_PERIOD = "last 14 days"
+DEFAULT_SUBREDDITS = ("startups",)
 DEFAULT_IDEAS = 5
 
 # Characters Python's str.strip() removes (the Unicode White_Space set plus the

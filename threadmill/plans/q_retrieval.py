@@ -1 +1,331 @@
-"""Registered queries."""
+"""Registered queries: chunks, vectors, search, rerank, prompts, dedupe (I, C8, C9, D12, A17)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..functions import text as tx
+from ..operators import chunks as CH
+from ..operators import dedupe as DD
+from ..operators import prompts as PR
+from ..operators import rerank as RR
+from ..operators import vectors as VE
+from ..sources import files as io
+from . import sqlkit as S
+from . import views as V
+from .registry import query
+
+W = V.with_views
+SPEC = C.ChunkSpec()
+K_DOCS = 10          # top-k of the document search query (embed_hashed)
+K_CHUNKS = C.TOPK_RETRIEVE
+N_RERANK = C.TOPN_RERANK
+K1, B = C.BM25_K1, C.BM25_B
+RECENT_FROM = V.AS_OF_EPOCH - C.INGEST_DAYS * 86400
+
+
+# ---------------------------------------------------------------------------
+# Spark building blocks
+# ---------------------------------------------------------------------------
+
+def posts_for_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.posts_v(spark, sf_dir).withColumn("permalink", tx.permalink("permalink_path"))
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CH.post_chunks(posts_for_index(spark, sf_dir), SPEC)
+
+
+def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return VE.embed_hashed(V.queries_v(spark, sf_dir), "query_text", "qvec")
+
+
+def chunk_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k chunks per benchmark query by hashed-vector cosine."""
+    ch = VE.embed_hashed(chunks(spark, sf_dir), "chunk_text")
+    return VE.topk_exact(ch, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id")
+
+
+def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates -> BM25 over the whole chunk corpus -> top-n."""
+    cand = chunk_candidates(spark, sf_dir)
+    ch = chunks(spark, sf_dir)
+    scored = RR.bm25_pairs(cand.select("query_id", "chunk_id"), ch, V.queries_v(spark, sf_dir), "chunk_id", "chunk_text")
+    scored = scored.join(cand.select("query_id", "chunk_id", "rank", "score"), ["query_id", "chunk_id"])
+    top = RR.rerank_topn(scored, N_RERANK)
+    # Payload for the survivors only: a bounded (queries x n) side joined by id.
+    return top.join(ch.select("chunk_id", "chunk_text", "permalink"), "chunk_id")
+
+
+def snippet_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = PR.snippet_block(reranked(spark, sf_dir))
+    return V.queries_v(spark, sf_dir).join(blocks, "query_id", "left").select(
+        "query_id", "query_text", F.coalesce("snippets", F.lit("")).alias("snippets"),
+        F.coalesce("n_snippets", F.lit(0)).alias("n_snippets"))
+
+
+# ---------------------------------------------------------------------------
+# Oracle SQL building blocks
+# ---------------------------------------------------------------------------
+
+CHUNKS_SQL = f"""
+chunks AS (
+  SELECT sha256(concat_ws(chr(1), doc_id, CAST(chunk_ix AS VARCHAR), chunk_text)) AS chunk_id, doc_id, chunk_ix,
+         chunk_text, permalink, subreddit, score, created_utc
+  FROM (SELECT id AS doc_id, CAST(i / {SPEC.step} AS INTEGER) AS chunk_ix, substr(body, i + 1, {SPEC.size}) AS chunk_text,
+               {S.lit(C.PERMALINK_BASE)} || coalesce(permalink_path, '') AS permalink, coalesce(subreddit, '') AS subreddit,
+               CAST(coalesce(score, 0) AS BIGINT) AS score, CAST(coalesce(created_utc, 0) AS DOUBLE) AS created_utc
+        FROM (SELECT *, {S.strip("coalesce(title, '') || chr(10) || coalesce(selftext, '')")} AS body FROM posts_v) p,
+             unnest(range(0, length(body), {SPEC.step})) AS u(i))
+)"""
+
+
+def hashed_sim_sql(doc_table: str, doc_id: str, doc_text: str, prefix: str) -> str:
+    """CTEs ``{prefix}sim(query_id, id, score)`` = rounded cosine of hashed
+    term vectors for every (query, doc) pair (0 when nothing is shared)."""
+    p = prefix
+    return f"""
+{p}dv AS (SELECT id, b, count(*) AS c FROM (
+    SELECT {doc_id} AS id, {S.bucket('tok')} AS b FROM {doc_table}, unnest({S.tokens_unnest(doc_text)}) AS u(tok) WHERE tok <> '')
+  GROUP BY 1, 2),
+{p}dn AS (SELECT id, sqrt(sum(c * c)) AS n FROM {p}dv GROUP BY 1),
+{p}qv AS (SELECT query_id, b, count(*) AS c FROM (
+    SELECT query_id, {S.bucket('tok')} AS b FROM queries_v, unnest({S.tokens_unnest('query_text')}) AS u(tok) WHERE tok <> '')
+  GROUP BY 1, 2),
+{p}qn AS (SELECT query_id, sqrt(sum(c * c)) AS n FROM {p}qv GROUP BY 1),
+{p}dot AS (SELECT q.query_id, d.id, sum(q.c * d.c) AS dp FROM {p}qv q JOIN {p}dv d ON q.b = d.b GROUP BY 1, 2),
+{p}sim AS (
+  SELECT q.query_id, d.id, round(coalesce(dot.dp / (qn.n * dn.n), 0.0), 6) AS score
+  FROM queries_v q CROSS JOIN (SELECT {doc_id} AS id FROM {doc_table}) d
+  LEFT JOIN {p}dot dot ON dot.query_id = q.query_id AND dot.id = d.id
+  LEFT JOIN {p}qn qn ON qn.query_id = q.query_id
+  LEFT JOIN {p}dn dn ON dn.id = d.id)"""
+
+
+def topk_sql(sim: str, k: int) -> str:
+    return f"""(SELECT query_id, id, score, CAST(rank AS BIGINT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM {sim}) WHERE rank <= {k})"""
+
+
+def bm25_sql(prefix: str, corpus: str, cid: str, ctext: str, pairs: str | None) -> str:
+    """CTE ``{prefix}bm(query_id, id, score)``: BM25 with whole-corpus stats,
+    for all docs sharing a term (pairs None) or only for candidate pairs."""
+    p = prefix
+    toks = S.tokens_unnest(ctext)
+    sql = f"""
+{p}qt AS (SELECT DISTINCT query_id, tok FROM queries_v, unnest({S.tokens_unnest('query_text')}) AS u(tok) WHERE tok <> ''),
+{p}dl AS (SELECT {cid} AS id, len(list_filter({toks}, lambda x: x <> '')) AS dl FROM {corpus}),
+{p}st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM {p}dl),
+{p}tf AS (SELECT id, tok, count(*) AS tf FROM (SELECT {cid} AS id, tok FROM {corpus}, unnest({toks}) AS u(tok)
+          WHERE tok IN (SELECT tok FROM {p}qt)) GROUP BY 1, 2),
+{p}idf AS (SELECT tok, ln(1 + ((SELECT n FROM {p}st) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM {p}tf GROUP BY 1),
+{p}raw AS (SELECT qt.query_id, tf.id,
+    round(sum(idf.idf * tf.tf * {K1 + 1.0} / (tf.tf + {K1} * ({1.0 - B} + {B} * dl.dl / (SELECT avgdl FROM {p}st)))), 6) AS score
+  FROM {p}qt qt JOIN {p}tf tf ON qt.tok = tf.tok JOIN {p}idf idf ON idf.tok = tf.tok JOIN {p}dl dl ON dl.id = tf.id
+  {'' if pairs is None else f'JOIN {pairs} pr ON pr.query_id = qt.query_id AND pr.id = tf.id'}
+  GROUP BY 1, 2)"""
+    return sql
+
+
+RETRIEVAL_BASE = (V.POSTS_V_SQL.strip() + ",\n" + V.QUERIES_V_SQL.strip() + ",\n" + CHUNKS_SQL.strip() + ","
+                  + hashed_sim_sql("chunks", "chunk_id", "chunk_text", "c_") + ",\n"
+                  + f"cand AS {topk_sql('c_sim', K_CHUNKS)},"
+                  + bm25_sql("r_", "chunks", "chunk_id", "chunk_text", "cand") + ",\n"
+                  + f"""rr AS (SELECT cand.query_id, cand.id AS chunk_id, cand.rank, cand.score, coalesce(r.score, 0.0) AS rerank_score
+  FROM cand LEFT JOIN r_raw r ON r.query_id = cand.query_id AND r.id = cand.id),
+top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, rank) AS BIGINT) AS rerank_rank FROM rr)
+        WHERE rerank_rank <= {N_RERANK}),
+topx AS (SELECT top.*, c.chunk_text, c.permalink FROM top JOIN chunks c USING (chunk_id)),
+blocks AS (SELECT q.query_id, q.query_text,
+    coalesce(string_agg('- ' || replace(t.chunk_text, chr(10), ' ') || ' (link: ' || t.permalink || ')', chr(10) ORDER BY t.rerank_rank), '') AS snippets,
+    count(t.chunk_id) AS n_snippets
+  FROM queries_v q LEFT JOIN topx t USING (query_id) GROUP BY 1, 2)
+""")
+
+
+def _w(*parts: str) -> str:
+    return "WITH " + ",\n".join(p.strip().rstrip(",") for p in parts) + "\n"
+
+
+# ---------------------------------------------------------------------------
+# Queries
+# ---------------------------------------------------------------------------
+
+@query("post_chunks", _w(V.POSTS_V_SQL, CHUNKS_SQL) + "SELECT * FROM chunks")
+def q_post_chunks(spark, sf_dir):
+    """Posts -> overlapping chunks with payload and deterministic ids."""
+    return chunks(spark, sf_dir)
+
+
+@query("chunk_id", _w(V.POSTS_V_SQL, CHUNKS_SQL) + "SELECT doc_id, chunk_ix, chunk_id FROM chunks")
+def q_chunk_id(spark, sf_dir):
+    """Deterministic chunk ids: sha256(doc_id, chunk_ix, text)."""
+    return chunks(spark, sf_dir).select("doc_id", "chunk_ix", "chunk_id")
+
+
+@query("embed_hashed", _w(V.QUERIES_V_SQL, hashed_sim_sql("documents", "doc_id", "text", "d_"))
+       + f"SELECT query_id, id AS doc_id, score, rank FROM {topk_sql('d_sim', K_DOCS)}")
+def q_embed_hashed(spark, sf_dir):
+    """Hashed-term embeddings of documents and queries; top-10 documents per
+    query by cosine (I2, I3, I4, I5)."""
+    docs = VE.embed_hashed(V.read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    top = VE.topk_exact(docs, query_vectors(spark, sf_dir), K_DOCS, id_col="doc_id")
+    return top.select("query_id", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+def _centroid_sql(filter_sql: str = "") -> str:
+    return f"""WITH ev AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+cent AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS m FROM ev GROUP BY 1, 2),
+cn AS (SELECT label, sqrt(sum(m * m)) AS n FROM cent GROUP BY 1),
+qv AS (SELECT CAST(c.label AS BIGINT) AS query_id, list(c.m / cn.n ORDER BY c.i) AS qvec FROM cent c JOIN cn USING (label) GROUP BY 1),
+s AS (SELECT qv.query_id, v.vec_id AS id, round(list_dot_product(qv.qvec, CAST(v.embedding AS DOUBLE[])), 6) AS score
+      FROM qv, (SELECT *, vec_id % 100 AS score FROM embeddings) v {filter_sql})
+SELECT query_id, id AS vec_id, score, rank FROM {topk_sql('s', K_CHUNKS)}"""
+
+
+def _centroid_queries(spark, sf_dir):
+    vec = V.vectors_v(spark, sf_dir)
+    return VE.centroids(vec, "label").select(F.col("label").cast("bigint").alias("query_id"), "qvec")
+
+
+@query("vector_topk", _centroid_sql())
+def q_vector_topk(spark, sf_dir):
+    """Exact cosine top-200 over the whole vector table for a batch of queries
+    (per-label centroids) (I5, C8, E2, F1, I4)."""
+    top = VE.topk_exact(V.vectors_v(spark, sf_dir), _centroid_queries(spark, sf_dir), K_CHUNKS)
+    return top.select("query_id", "vec_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("vector_topk_filtered", _centroid_sql("WHERE v.score >= 50"))
+def q_vector_topk_filtered(spark, sf_dir):
+    """Top-k restricted by a payload filter applied before scoring."""
+    from ..operators.posts import payload_filter
+    top = VE.topk_exact(V.vectors_v(spark, sf_dir), _centroid_queries(spark, sf_dir), K_CHUNKS,
+                        where=payload_filter({"min_score": 50}))
+    return top.select("query_id", "vec_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("vector_topk_ivf")
+def q_vector_topk_ivf(spark, sf_dir):
+    """Approximate top-k: k-means cells, vectors laid out by cell, each query
+    probes its nearest cells (I6). Rows-only check; recall is measured in bench."""
+    from ..session import scratch_path
+    vec = V.vectors_v(spark, sf_dir)
+    model = VE.ivf_train(vec, n_cells=16)
+    path = scratch_path(spark, "ivf_index")
+    VE.ivf_assign(vec, model).write.partitionBy("cell").parquet(path)
+    index = spark.read.parquet(path)
+    top = VE.topk_ivf(index, model, _centroid_queries(spark, sf_dir), k=10, n_probe=4)
+    return top.select("query_id", "vec_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("l2_normalize", """SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS norm_in,
+  round(CAST(embedding[1] AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS first_out
+FROM embeddings""")
+def q_l2_normalize(spark, sf_dir):
+    """Native L2 normalisation in double (I4)."""
+    v = V.read(spark, sf_dir, "embeddings")
+    d = F.transform("embedding", lambda x: x.cast("double"))
+    norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda a, x: a + x * x))
+    return v.select("vec_id", F.round(norm, 6).alias("norm_in"),
+                    F.round(F.element_at(VE.l2_normalize(F.col("embedding")), 1), 6).alias("first_out"))
+
+
+@query("bm25_scores", _w(V.QUERIES_V_SQL, bm25_sql("b_", "documents", "doc_id", "text", None))
+       + f"""SELECT query_id, id AS doc_id, score, CAST(rank AS BIGINT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM b_raw) WHERE rank <= {N_RERANK}""")
+def q_bm25_scores(spark, sf_dir):
+    """BM25 search of every benchmark query over all documents; best 25 per
+    query (I7 scorer, whole-corpus statistics)."""
+    docs = V.read(spark, sf_dir, "documents").select("doc_id", "text")
+    sc = RR.bm25_search(docs, V.queries_v(spark, sf_dir), "doc_id", "text")
+    top = VE.rank_topk(sc, N_RERANK, "query_id", "doc_id")
+    return top.select("query_id", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("rerank_pairs", _w(RETRIEVAL_BASE) + """SELECT cand.query_id, cand.id AS chunk_id, cand.rank, cand.score, c.permalink
+FROM cand JOIN chunks c ON c.chunk_id = cand.id""")
+def q_rerank_pairs(spark, sf_dir):
+    """(query, candidate) pairs joined back to the chunk payload."""
+    cand = chunk_candidates(spark, sf_dir)
+    ch = chunks(spark, sf_dir).select("chunk_id", "permalink")
+    return cand.join(ch, "chunk_id").select("query_id", "chunk_id", F.col("rank").cast("bigint").alias("rank"), "score", "permalink")
+
+
+@query("rerank_topn", _w(RETRIEVAL_BASE) + "SELECT query_id, chunk_id, rank, rerank_score, rerank_rank FROM top")
+def q_rerank_topn(spark, sf_dir):
+    """BM25 rerank of the top-200 candidates, best 25 kept; ties keep the
+    vector rank (I7, F2, S17)."""
+    r = reranked(spark, sf_dir)
+    return r.select("query_id", "chunk_id", F.col("rank").cast("bigint").alias("rank"), "rerank_score",
+                    F.col("rerank_rank").cast("bigint").alias("rerank_rank"))
+
+
+@query("snippet_block", _w(RETRIEVAL_BASE) + "SELECT query_id, snippets, n_snippets FROM blocks")
+def q_snippet_block(spark, sf_dir):
+    """Ordered snippet block per query."""
+    return snippet_blocks(spark, sf_dir).select("query_id", "snippets", F.col("n_snippets").cast("bigint").alias("n_snippets"))
+
+
+@query("prompt_ideas", _w(RETRIEVAL_BASE) + f"""SELECT query_id, {S.lit(C.SYSTEM_IDEAS)} AS system_prompt,
+  format({S.fmt_template(C.IDEA_GEN_USER, ['n', 'snippets'])}, '{C.DEFAULT_IDEAS}', snippets) AS user_prompt FROM blocks""")
+def q_prompt_ideas(spark, sf_dir):
+    """Idea prompt rows per query: retrieve, rerank, snippet block, template."""
+    return PR.prompt_ideas(snippet_blocks(spark, sf_dir), C.DEFAULT_IDEAS).select("query_id", "system_prompt", "user_prompt")
+
+
+@query("prompt_pains", _w(RETRIEVAL_BASE) + f"""SELECT query_id, {S.lit(C.PAIN_MINING_SYSTEM)} AS system_prompt,
+  format({S.fmt_template(C.PAIN_MINING_USER, ['topic', 'subs', 'period', 'snippets'])}, query_text,
+         {S.lit(','.join(C.DEFAULT_SUBREDDITS))}, {S.lit(C.DEFAULT_PERIOD)}, snippets) AS user_prompt FROM blocks""")
+def q_prompt_pains(spark, sf_dir):
+    """Pain-mining prompt rows per query."""
+    b = snippet_blocks(spark, sf_dir)
+    out = PR.prompt_pains(b, F.col("query_text"), F.array_join(F.array(*[F.lit(s) for s in C.DEFAULT_SUBREDDITS]), ","),
+                          F.lit(C.DEFAULT_PERIOD))
+    return out.select("query_id", "system_prompt", "user_prompt")
+
+
+@query("prompt_scoring", f"""SELECT conv_id, turn, format({S.fmt_template(C.SCORING_USER, ['ideas'])}, text) AS user_prompt
+FROM conversations WHERE role = 'assistant'""")
+def q_prompt_scoring(spark, sf_dir):
+    """Scoring prompt per idea text (assistant turns stand in for ideas)."""
+    c = V.read(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+    return PR.prompt_scoring(c, "text").select("conv_id", "turn", "user_prompt")
+
+
+@query("exact_dup_groups", f"""SELECT sha256(lower({S.strip('text')})) AS text_hash, count(*) AS n_docs, min(doc_id) AS first_id
+FROM documents GROUP BY 1 HAVING count(*) >= 2""")
+def q_exact_dup_groups(spark, sf_dir):
+    """Exact duplicate groups by normalised-text hash."""
+    return DD.exact_dup_groups(V.read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("near_dup_clusters")
+def q_near_dup_clusters(spark, sf_dir):
+    """MinHash-LSH near-duplicate clusters via connected components over band
+    buckets, no pair lists (I12). Rows-only check."""
+    return DD.near_dup_clusters(V.read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("upsert_chunks", _w(V.POSTS_V_SQL, CHUNKS_SQL) + f"""SELECT c.chunk_id, c.doc_id,
+  CASE WHEN p.created_utc >= {RECENT_FROM} THEN 2 ELSE 1 END AS version FROM chunks c JOIN posts_v p ON p.id = c.doc_id""")
+def q_upsert_chunks(spark, sf_dir):
+    """Re-index of recent posts upserted into the chunk table by id (A17):
+    re-chunked rows replace their earlier versions, nothing duplicates."""
+    ch = chunks(spark, sf_dir)
+    recent_ids = posts_for_index(spark, sf_dir).where(F.col("created_utc") >= RECENT_FROM).select(F.col("id").alias("doc_id"))
+    v1 = ch.withColumn("version", F.lit(1))
+    v2 = ch.join(recent_ids, "doc_id", "left_semi").withColumn("version", F.lit(2))
+    return io.upsert_by_id(v1, v2, "chunk_id").select("chunk_id", "doc_id", "version")
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    """Output-file inventory of a written post table (A16, D13). Rows-only check."""
+    from ..session import scratch_path
+    df = V.posts_v(spark, sf_dir).withColumn("ingest_date", F.date_format(tx.epoch_to_ts("created_utc"), "yyyy-MM-dd"))
+    path = scratch_path(spark, "inventory")
+    io.write_posts(df, path, fmt="parquet")
+    return io.file_inventory(spark, path)

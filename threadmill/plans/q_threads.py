@@ -1 +1,123 @@
-"""Registered queries."""
+"""Registered queries: comment trees and the joins around them (H, E1, D2, C1-C4, G-U3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..operators import posts as P
+from ..operators import threads as TH
+from . import views as V
+from .registry import query
+
+W = V.with_views
+CAP = 3  # max_comments_per_post used by the capped query (parameter of E1)
+
+
+def _tree(spark, sf_dir, pruned: bool):
+    c = V.comments_v(spark, sf_dir)
+    keep = None
+    if pruned:
+        b = F.col("body")
+        keep = b.isNotNull() & (b != "") & ~b.isin(*C.DELETED_BODIES)
+    return TH.flatten_adjacency(c, F.col("turn"), keep_node=keep)
+
+
+def _tree_sql(pruned: bool) -> str:
+    cond = "WHERE body IS NOT NULL AND body <> '' AND body NOT IN ('[deleted]', '[removed]')" if pruned else ""
+    return (
+        "WITH RECURSIVE " + V.COMMENTS_V_SQL.strip() + ",\n"
+        f"nodes AS (SELECT * FROM comments_v {cond}),\n"
+        """tree(post_id, id, parent_id, author, depth, path) AS (
+  SELECT post_id, id, parent_id, author, 0, lpad(CAST(turn AS VARCHAR), 6, '0') FROM nodes WHERE parent_id IS NULL
+  UNION ALL
+  SELECT c.post_id, c.id, c.parent_id, c.author, t.depth + 1, t.path || '.' || lpad(CAST(c.turn AS VARCHAR), 6, '0')
+  FROM nodes c JOIN tree t ON c.post_id = t.post_id AND c.parent_id = t.id
+)
+""")
+
+
+@query("thread_tree", _tree_sql(False) + "SELECT post_id, id, parent_id, CAST(depth AS BIGINT) AS depth, path FROM tree")
+def q_thread_tree(spark, sf_dir):
+    """Full flatten of reply trees: depth from 0 and pre-order path."""
+    t = _tree(spark, sf_dir, False)
+    return t.select("post_id", "id", "parent_id", F.col("depth").cast("bigint").alias("depth"), TH.path_text(F.col("path")).alias("path"))
+
+
+@query("thread_tree_pruned", _tree_sql(True) + """SELECT post_id, id, coalesce(parent_id, post_id) AS parent_id,
+  CAST(depth AS BIGINT) AS depth, path FROM tree""")
+def q_thread_tree_pruned(spark, sf_dir):
+    """Slim flatten: deleted/removed/empty comments dropped with their subtree;
+    root parent = post id (H2, S11, S12)."""
+    t = _tree(spark, sf_dir, True)
+    return t.select("post_id", "id", F.coalesce("parent_id", "post_id").alias("parent_id"),
+                    F.col("depth").cast("bigint").alias("depth"), TH.path_text(F.col("path")).alias("path"))
+
+
+@query("comments_capped", _tree_sql(True) + f"""SELECT post_id, id, CAST(depth AS BIGINT) AS depth FROM (
+  SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY path, id) AS rn FROM tree) WHERE rn <= {CAP}""")
+def q_comments_capped(spark, sf_dir):
+    """First n slim comments per post in pre-order."""
+    t = TH.cap_per_post(_tree(spark, sf_dir, True), CAP)
+    return t.select("post_id", "id", F.col("depth").cast("bigint").alias("depth"))
+
+
+@query("replies_per_parent", _tree_sql(False) + """SELECT post_id, parent_id, count(*) AS n_replies,
+  string_agg(id, ',' ORDER BY path) AS reply_ids FROM tree WHERE parent_id IS NOT NULL GROUP BY 1, 2""")
+def q_replies_per_parent(spark, sf_dir):
+    """Nest one level: ordered direct replies per parent (H3)."""
+    return TH.replies_per_parent(_tree(spark, sf_dir, False))
+
+
+@query("comments_by_depth", _tree_sql(False) + "SELECT CAST(depth AS BIGINT) AS depth, count(*) AS n_comments FROM tree GROUP BY 1")
+def q_comments_by_depth(spark, sf_dir):
+    """Comments per depth, sorted."""
+    t = _tree(spark, sf_dir, False).withColumn("depth", F.col("depth").cast("bigint"))
+    return TH.comments_by_depth(t)
+
+
+@query("comments_with_posts", W(V.POSTS_V_SQL, V.COMMENTS_V_SQL) + """SELECT c.id, c.post_id, p.subreddit AS post_subreddit
+FROM comments_v c JOIN posts_v p ON c.post_id = p.id""")
+def q_comments_with_posts(spark, sf_dir):
+    """Comment -> post by post_id (C1, B17): the planner picks broadcast or
+    sort-merge from runtime sizes (AQE)."""
+    c = V.comments_v(spark, sf_dir)
+    p = V.posts_v(spark, sf_dir).select(F.col("id").alias("post_id"), F.col("subreddit").alias("post_subreddit"))
+    return c.join(p, "post_id").select("id", "post_id", "post_subreddit")
+
+
+@query("posts_missing_comments", W(V.POSTS_V_SQL, V.COMMENTS_V_SQL) + """SELECT id FROM posts_v p
+WHERE coalesce(num_comments, 0) > 0 AND NOT EXISTS (SELECT 1 FROM comments_v c WHERE c.post_id = p.id)""")
+def q_posts_missing_comments(spark, sf_dir):
+    """Posts with comments upstream but none fetched yet (C2, left anti)."""
+    p = P.with_comments(V.posts_v(spark, sf_dir))
+    c = V.comments_v(spark, sf_dir).select(F.col("post_id").alias("id"))
+    return p.join(c, "id", "left_anti").select("id")
+
+
+@query("posts_having_comments", W(V.POSTS_V_SQL, V.COMMENTS_V_SQL) + """SELECT id FROM posts_v p
+WHERE EXISTS (SELECT 1 FROM comments_v c WHERE c.post_id = p.id)""")
+def q_posts_having_comments(spark, sf_dir):
+    """Posts with at least one comment row (C3, left semi)."""
+    c = V.comments_v(spark, sf_dir).select(F.col("post_id").alias("id"))
+    return V.posts_v(spark, sf_dir).join(c, "id", "left_semi").select("id")
+
+
+@query("reply_parent_pairs", W(V.COMMENTS_V_SQL) + """SELECT c.id, c.parent_id, p.author AS parent_author
+FROM comments_v c LEFT JOIN comments_v p ON c.post_id = p.post_id AND c.parent_id = p.id""")
+def q_reply_parent_pairs(spark, sf_dir):
+    """Comment -> parent comment (C4, self equi-join, left outer)."""
+    c = V.comments_v(spark, sf_dir)
+    p = c.select(F.col("post_id").alias("_pp"), F.col("id").alias("_pid"), F.col("author").alias("parent_author"))
+    return c.join(p, (c["post_id"] == p["_pp"]) & (c["parent_id"] == p["_pid"]), "left").select("id", "parent_id", "parent_author")
+
+
+@query("union_mixed", _tree_sql(True).replace("WITH RECURSIVE ", "WITH RECURSIVE " + V.POSTS_V_SQL.strip() + ",\n") + """
+SELECT 'post' AS record_type, id, title, CAST(NULL AS VARCHAR) AS parent_id FROM posts_v
+UNION ALL SELECT 'comment', id, NULL, coalesce(parent_id, post_id) FROM tree""")
+def q_union_mixed(spark, sf_dir):
+    """Posts and slim comments in one batch, columns aligned by name (G-U3)."""
+    posts = V.posts_v(spark, sf_dir).select(F.lit("post").alias("record_type"), "id", "title")
+    slim = _tree(spark, sf_dir, True).select(F.lit("comment").alias("record_type"), "id",
+                                              F.coalesce("parent_id", "post_id").alias("parent_id"))
+    return posts.unionByName(slim, allowMissingColumns=True)
