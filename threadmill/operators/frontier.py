@@ -41,9 +41,12 @@ def crawl_plan(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDIT, sort_t
                        F.explode(F.sequence(F.lit(0), F.lit(pages - 1))).alias("page_ix"))
     after = F.lit(None).cast("string")
     if tokens is not None:
-        prev = tokens.select("subreddit", "sort_type", (F.col("page") + 1).alias("page_ix"), F.col("after").alias("_after"))
+        # The token landed with page p (1-based) opens page p + 1 (page_ix p).
+        prev = tokens.select("subreddit", "sort_type", F.col("page").cast("int").alias("page_ix"), F.col("after").alias("_after"))
         plan = plan.join(prev, ["subreddit", "sort_type", "page_ix"], "left")
         after = F.col("_after")
+    # A chain stops at the first page without a token (no further pages known).
+    plan = plan.where((F.col("page_ix") == 0) | after.isNotNull())
     return plan.select(
         F.lit("subreddit_page").alias("job_type"),
         tx.listing_url(F.col("subreddit"), F.col("sort_type"), after).alias("url"),

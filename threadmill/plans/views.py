@@ -225,3 +225,25 @@ queries_v AS (SELECT item_id AS query_id, text AS query_text FROM benchmark)"""
 
 def with_views(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
+
+
+# ---------------------------------------------------------------------------
+# results_v: one result row per completed job (FK job_id -> jobs_v.id)
+# ---------------------------------------------------------------------------
+
+def results_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return e.select(
+        F.col("event_id").alias("id"), F.col("event_id").alias("job_id"),
+        F.concat(F.lit("out/w"), (F.col("user_id") % 8).cast("string"), F.lit(".parquet")).alias("data_path"),
+        F.floor(F.col("value")).cast("bigint").alias("record_count"),
+        F.col("ts").cast("timestamp").alias("created_at"),
+    )
+
+
+RESULTS_V_SQL = """
+results_v AS (
+  SELECT event_id AS id, event_id AS job_id, 'out/w' || CAST(user_id % 8 AS VARCHAR) || '.parquet' AS data_path,
+         CAST(floor(value) AS BIGINT) AS record_count, ts AS created_at
+  FROM events WHERE event_type = 'purchase'
+)"""
