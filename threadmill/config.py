@@ -80,8 +80,12 @@ DEFAULT_SUBREDDITS = ("startups",)
 DEFAULT_IDEAS = 5
 
 # Characters Python's str.strip() removes (the Unicode White_Space set plus the
-# ASCII separators 0x1c-0x1f), as a regex character class.
-STRIP_CLASS = "[\\t-\\r \\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+# ASCII separators 0x1c-0x1f): code points, and the same set as a string.
+STRIP_CODEPOINTS = (
+    list(range(0x09, 0x0E)) + list(range(0x1C, 0x21)) + [0x85, 0xA0, 0x1680]
+    + list(range(0x2000, 0x200B)) + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
+STRIP_CHARS = "".join(chr(c) for c in STRIP_CODEPOINTS)
 
 # Hashed-term embedding: token = maximal run of letters/digits of lower(text);
 # bucket = first 7 hex digits of md5(token) mod dims.

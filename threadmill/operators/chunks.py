@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import ChunkSpec
 from ..functions import text as tx
+from .layout import spread
 
 
 def chunk_rows(
@@ -24,11 +25,15 @@ def chunk_rows(
     yields the same ids and upserts stay idempotent.
     """
     payload = payload or {}
+    df = spread(df)
+    # The text is materialised as a column before the windowing lambda (an
+    # expression inside a lambda would be re-evaluated for every window).
     base = df.select(
         doc_id.cast("string").alias("doc_id"),
-        tx.chunk_array(text, spec.size, spec.step).alias("_chunks"),
+        text.alias("_text"),
         *[c.alias(n) for n, c in payload.items()],
     )
+    base = base.select("doc_id", tx.chunk_array(F.col("_text"), spec.size, spec.step).alias("_chunks"), *payload.keys())
     out = base.select("doc_id", F.posexplode("_chunks").alias("chunk_ix", "chunk_text"), *payload.keys())
     return out.select(
         tx.stable_id("doc_id", "chunk_ix", "chunk_text").alias("chunk_id"),

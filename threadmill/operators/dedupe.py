@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..session import ensure_checkpoint_dir
+from .layout import spread
 
 _PRIME = (1 << 61) - 1
 
@@ -63,13 +64,16 @@ def minhash_signatures(df: DataFrame, id_col: str, text_col: str, shingle: int =
                        num_perm: int = 64, seed: int = 11) -> DataFrame:
     """``id, sig ARRAY<BIGINT>``. Shingles and their 64-bit hashes are built
     in the JVM; the pandas UDF only applies the permutations (vectorised)."""
-    toks = tx.tokens(F.col(text_col))
+    # Tokens are materialised as a column first: an expression used inside a
+    # lambda would be re-evaluated for every element.
+    base = spread(df).select(F.col(id_col).alias("id"), tx.tokens(F.col(text_col)).alias("_toks"))
+    toks = F.col("_toks")
     n = F.size(toks)
     shingles = F.when(n < shingle, F.array(F.array_join(toks, " "))).otherwise(
         F.transform(F.sequence(F.lit(1), F.greatest(n - shingle + 1, F.lit(1))),
                     lambda i: F.array_join(F.slice(toks, i, shingle), " ")))
     hashes = F.transform(F.array_distinct(shingles), lambda s: F.xxhash64(s))
-    return df.select(F.col(id_col).alias("id"), _minhash_fn(num_perm, seed)(hashes).alias("sig"))
+    return base.select("id", _minhash_fn(num_perm, seed)(hashes).alias("sig"))
 
 
 def band_buckets(sigs: DataFrame, bands: int = 16) -> DataFrame:

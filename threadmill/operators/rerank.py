@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import text as tx
+from .layout import spread
 
 MAX_BROADCAST_ROWS = 2_000_000
 SCORE_DP = 6
@@ -31,7 +32,7 @@ def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
 
 def corpus_stats(corpus: DataFrame, text_col: str) -> tuple[int, float]:
     """(N, average token length) — one aggregate row."""
-    r = corpus.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tx.tokens(F.col(text_col)))).alias("avgdl")).first()
+    r = spread(corpus).agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tx.tokens(F.col(text_col)))).alias("avgdl")).first()
     return int(r["n"] or 0), float(r["avgdl"] or 0.0)
 
 
@@ -42,7 +43,7 @@ def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "query_t
 
 def _postings(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
     """(doc, dl, term, tf) for terms in ``terms`` only."""
-    toks = corpus.select(F.col(id_col).alias("doc"), tx.tokens(F.col(text_col)).alias("_t"))
+    toks = spread(corpus).select(F.col(id_col).alias("doc"), tx.tokens(F.col(text_col)).alias("_t"))
     toks = toks.select("doc", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
     toks = toks.join(terms, "term", "left_semi")
     return toks.groupBy("doc", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))

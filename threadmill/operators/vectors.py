@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import text as tx
+from .layout import spread
 
 MAX_SIDE_BYTES = 64 * 1024 * 1024
 SCORE_DP = 6
@@ -64,7 +65,7 @@ def embed_hashed(df: DataFrame, text_col: str, out_col: str = "embedding", dims:
     turns the bucket list into the dense normalised vector (np.add.at over the
     whole batch). Any model can replace it through :func:`embed_with`.
     """
-    return df.withColumn(out_col, _densify_fn(dims)(token_buckets(F.col(text_col), dims)))
+    return spread(df).withColumn(out_col, _densify_fn(dims)(token_buckets(F.col(text_col), dims)))
 
 
 def embed_with(df: DataFrame, text_col: str, embedder, dims: int, out_col: str = "embedding") -> DataFrame:
@@ -183,7 +184,7 @@ def topk_exact(
     k = k or C.TOPK_RETRIEVE
     vec = vectors if where is None else vectors.where(where)
     cols = [id_col, vec_col] + ([cell_col] if cell_col else [])
-    vec = vec.select(*cols)
+    vec = spread(vec.select(*cols))
     id_type = vectors.schema[id_col].dataType
     schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, id_type),
                            T.StructField("raw_score", T.DoubleType())])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +50,15 @@ def chunk_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates -> BM25 over the whole chunk corpus -> top-n."""
-    cand = chunk_candidates(spark, sf_dir)
-    ch = chunks(spark, sf_dir)
+    """Candidates -> BM25 over the whole chunk corpus -> top-n.
+
+    The chunk table and the candidate set are each read by several jobs
+    (corpus statistics, size checks, scoring, payload join), so both are
+    persisted (memory, spilling to disk; lineage kept for recovery).
+    """
+    ch = chunks(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    vec = VE.embed_hashed(ch, "chunk_text")
+    cand = VE.topk_exact(vec, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id").persist(StorageLevel.MEMORY_AND_DISK)
     scored = RR.bm25_pairs(cand.select("query_id", "chunk_id"), ch, V.queries_v(spark, sf_dir), "chunk_id", "chunk_text")
     scored = scored.join(cand.select("query_id", "chunk_id", "rank", "score"), ["query_id", "chunk_id"])
     top = RR.rerank_topn(scored, N_RERANK)

@@ -1 +1,106 @@
-"""Registered queries."""
+"""Registered queries: Structured Streaming jobs run one-shot over landed
+files (availableNow, several micro-batches), read back from their sinks (K).
+
+Each result must equal the batch twin, which is what the oracle SQL states.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as tx
+from ..session import scratch_path
+from ..streaming import jobs as SJ
+from . import sqlkit as S
+from . import views as V
+from .q_frontier import JV
+from .q_retrieval import CHUNKS_SQL, _w, posts_for_index
+from .registry import query
+
+FILES_PER_TRIGGER = 8
+# Landed files are ordered by day but a micro-batch may mix days, so the
+# watermark delay must exceed the disorder of the landing (about a month here).
+DISORDER = "31 days"
+
+
+def _land(df: DataFrame, name: str, day_of: str) -> tuple[str, DataFrame]:
+    """Write ``df`` as day-partitioned files (one folder per day)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"landing_{name}")
+    df.withColumn("land_day", F.date_format(F.col(day_of), "yyyy-MM-dd")).write.partitionBy("land_day").parquet(path)
+    return path, spark.read.parquet(path)
+
+
+def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:
+    return scratch_path(spark, f"sink_{name}"), scratch_path(spark, f"ckpt_{name}")
+
+
+@query("stream_index", _w(V.POSTS_V_SQL, CHUNKS_SQL) + "SELECT * FROM chunks")
+def q_stream_index(spark, sf_dir):
+    """Directory watch -> chunk + embed each new file once; one-shot run
+    equals the batch chunk table (K1, K2, K5, K8)."""
+    posts = posts_for_index(spark, sf_dir).withColumn("created_ts", tx.epoch_to_ts("created_utc"))
+    landing, landed = _land(posts, "posts", "created_ts")
+    out, ckpt = _dirs(spark, "index")
+    SJ.index_stream(spark, landing, landed.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER)
+    return spark.read.parquet(out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
+
+
+def _polls_stream(spark, sf_dir):
+    landing, landed = _land(V.polls_v(spark, sf_dir), "polls", "scraped_at")
+    return SJ.source(spark, landing, landed.schema, max_files_per_trigger=FILES_PER_TRIGGER)
+
+
+@query("stream_polls", V.with_views(V.POLLS_V_SQL) + f"""SELECT id, title, score, num_comments, created_utc, subreddit,
+  {S.ts('scraped_at')} AS scraped_at FROM polls_v""")
+def q_stream_polls(spark, sf_dir):
+    """Polls appended batch by batch (K3)."""
+    out, ckpt = _dirs(spark, "polls")
+    SJ.run(_polls_stream(spark, sf_dir), out, ckpt)
+    p = spark.read.parquet(out)
+    return p.select("id", "title", "score", "num_comments", "created_utc", "subreddit", tx.ts_text("scraped_at").alias("scraped_at"))
+
+
+@query("stream_dedupe", V.with_views(V.POLLS_V_SQL) + "SELECT DISTINCT id FROM polls_v")
+def q_stream_dedupe(spark, sf_dir):
+    """Cross-poll de-duplication with a watermark."""
+    out, ckpt = _dirs(spark, "dedupe")
+    SJ.run(SJ.dedupe_stream(_polls_stream(spark, sf_dir), delay=DISORDER), out, ckpt)
+    return spark.read.parquet(out).select("id")
+
+
+@query("stream_running_totals", V.with_views(V.POLLS_V_SQL) + "SELECT subreddit, count(*) AS n FROM polls_v GROUP BY 1")
+def q_stream_running_totals(spark, sf_dir):
+    """Running totals per subreddit, complete mode (K7)."""
+    out, ckpt = _dirs(spark, "totals")
+    SJ.run_complete(SJ.running_totals(_polls_stream(spark, sf_dir)), out, ckpt)
+    return spark.read.parquet(out).select("subreddit", "n")
+
+
+def _jobs_stream(spark, sf_dir):
+    landing, landed = _land(V.jobs_v(spark, sf_dir), "jobs", "created_at")
+    return SJ.source(spark, landing, landed.schema, max_files_per_trigger=FILES_PER_TRIGGER)
+
+
+@query("stream_completion_rate", V.with_views(JV) + f"""SELECT {S.ts('make_timestamp(ws)')} AS window_start,
+  {S.ts('make_timestamp(ws + 60000000)')} AS window_end, count(*) AS n
+FROM (SELECT CAST(floor(epoch_us(completed_at) / 30000000) AS BIGINT) * 30000000 - k * 30000000 AS ws
+      FROM jobs_v, (SELECT unnest([0, 1]) AS k) WHERE status = 'completed')
+GROUP BY ws""")
+def q_stream_completion_rate(spark, sf_dir):
+    """Completions per 1-minute window sliding by 30 s, with a watermark (K6)."""
+    out, ckpt = _dirs(spark, "rate")
+    SJ.run(SJ.completion_rate(_jobs_stream(spark, sf_dir), delay=DISORDER), out, ckpt, output_mode="update")
+    final = SJ.latest_per_key(spark.read.parquet(out), ["window_start", "window_end"])
+    return final.select(tx.ts_text("window_start").alias("window_start"), tx.ts_text("window_end").alias("window_end"), "n")
+
+
+@query("stream_job_state", V.with_views(JV) + """SELECT url, arg_max(id, (created_at, id)) AS id, arg_max(status, (created_at, id)) AS status,
+  count(*) AS attempts FROM jobs_v GROUP BY 1""")
+def q_stream_job_state(spark, sf_dir):
+    """Job state from the attempt log with per-key state (K9, applyInPandasWithState)."""
+    out, ckpt = _dirs(spark, "jobstate")
+    SJ.run(SJ.job_state_stream(_jobs_stream(spark, sf_dir)), out, ckpt, output_mode="update")
+    final = SJ.latest_per_key(spark.read.parquet(out), ["url"])
+    return final.select("url", "id", "status", "attempts")
