@@ -34,7 +34,10 @@ def chunk_rows(
         *[c.alias(n) for n, c in payload.items()],
     )
     base = base.select("doc_id", tx.chunk_array(F.col("_text"), spec.size, spec.step).alias("_chunks"), *payload.keys())
-    out = base.select("doc_id", F.posexplode("_chunks").alias("chunk_ix", "chunk_text"), *payload.keys())
+    # posexplode_outer + null filter: a plain posexplode lets Catalyst infer
+    # size(_chunks) > 0 and push it below the repartition into the scan task.
+    out = base.select("doc_id", F.posexplode_outer("_chunks").alias("chunk_ix", "chunk_text"), *payload.keys())
+    out = out.where(F.col("chunk_text").isNotNull())
     return out.select(
         tx.stable_id("doc_id", "chunk_ix", "chunk_text").alias("chunk_id"),
         "doc_id", F.col("chunk_ix").cast("int").alias("chunk_ix"), "chunk_text", *payload.keys(),

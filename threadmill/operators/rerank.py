@@ -11,7 +11,8 @@ the query vocabulary.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,10 +31,22 @@ def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
     return F.broadcast(df) if n <= max_rows else df
 
 
-def corpus_stats(corpus: DataFrame, text_col: str) -> tuple[int, float]:
-    """(N, average token length) — one aggregate row."""
-    r = spread(corpus).agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tx.tokens(F.col(text_col)))).alias("avgdl")).first()
-    return int(r["n"] or 0), float(r["avgdl"] or 0.0)
+def indexed_postings(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> tuple[DataFrame, int, float]:
+    """One pass over the corpus: postings (doc, dl, term, tf) restricted to
+    ``terms`` (persisted; proportional to the query vocabulary, not the
+    corpus) plus the whole-corpus statistics N and average length, which are
+    collected as observed metrics of that same pass (no second scan, no cache
+    of the tokenised corpus)."""
+    obs = Observation("bm25_corpus")
+    tok = (spread(corpus).select(F.col(id_col).alias("doc"), tx.tokens(F.col(text_col)).alias("_t"))
+           .select("doc", F.size("_t").alias("dl"), "_t")
+           .observe(obs, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl")))
+    post = _postings(tok, terms).persist(StorageLevel.MEMORY_AND_DISK)
+    post.count()
+    m = obs.get
+    n = int(m.get("n") or 0)
+    avgdl = float(m.get("sum_dl") or 0) / n if n else 0.0
+    return post, n, avgdl
 
 
 def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "query_text") -> DataFrame:
@@ -41,12 +54,13 @@ def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "query_t
     return queries.select(F.col(qid).alias("query_id"), F.explode(F.array_distinct(tx.tokens(F.col(qtext)))).alias("term"))
 
 
-def _postings(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
-    """(doc, dl, term, tf) for terms in ``terms`` only."""
-    toks = spread(corpus).select(F.col(id_col).alias("doc"), tx.tokens(F.col(text_col)).alias("_t"))
-    toks = toks.select("doc", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
-    toks = toks.join(terms, "term", "left_semi")
-    return toks.groupBy("doc", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+def _postings(tok: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc, dl, term, tf) for terms in ``terms`` only. ``explode_outer`` +
+    null filter keeps Catalyst from pushing an inferred size filter (i.e. the
+    tokenising) below the repartition into the scan task."""
+    t = tok.select("doc", "dl", F.explode_outer("_t").alias("term")).where(F.col("term").isNotNull())
+    t = t.join(terms, "term", "left_semi")
+    return t.groupBy("doc", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _idf(corpus_postings: DataFrame, n_docs: int) -> DataFrame:
@@ -55,6 +69,7 @@ def _idf(corpus_postings: DataFrame, n_docs: int) -> DataFrame:
 
 
 def _score(pairs_tf: DataFrame, idf: DataFrame, avgdl: float, k1: float, b: float) -> DataFrame:
+    # idf has one row per query term: bounded by the checked query-term table.
     j = pairs_tf.join(F.broadcast(idf), "term")
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
     part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
@@ -73,13 +88,12 @@ def bm25_search(
 ) -> DataFrame:
     """BM25 score of every (query, document) sharing at least one term.
 
-    Output ``query_id, <id_col>, score``. The query-term table is broadcast
-    (after a size check): postings are never shuffled for the join, and a hot
-    term only adds map-side work.
+    Output ``query_id, <id_col>, score``. The corpus is tokenised once; the
+    query-term table is broadcast (after a size check), so postings are never
+    shuffled for the join, and a hot term only adds map-side work.
     """
-    n_docs, avgdl = corpus_stats(corpus, text_col)
     qt = maybe_broadcast(query_terms(queries, qid, qtext))
-    post = _postings(corpus, id_col, text_col, qt.select("term").distinct())
+    post, n_docs, avgdl = indexed_postings(corpus, id_col, text_col, qt.select("term").distinct())
     idf = _idf(post, n_docs)
     pairs_tf = post.join(qt, "term")
     return _score(pairs_tf, idf, avgdl, k1, b).withColumnRenamed("doc", id_col)
@@ -98,13 +112,11 @@ def bm25_pairs(
 ) -> DataFrame:
     """BM25 score for given (query_id, id) candidate pairs; corpus statistics
     over the whole corpus. Pairs without a shared term score 0."""
-    n_docs, avgdl = corpus_stats(corpus, text_col)
     qt = maybe_broadcast(query_terms(queries, qid, qtext))
-    idf = _idf(_postings(corpus, id_col, text_col, qt.select("term").distinct()), n_docs)
+    post, n_docs, avgdl = indexed_postings(corpus, id_col, text_col, qt.select("term").distinct())
+    idf = _idf(post, n_docs)
     cand = maybe_broadcast(pairs.select(F.col(qid).alias("query_id"), F.col(id_col).alias("doc")))
-    docs = corpus.select(F.col(id_col).alias("doc"), F.col(text_col)).join(cand.select("doc").distinct(), "doc", "left_semi")
-    cand_post = _postings(docs.withColumnRenamed("doc", id_col), id_col, text_col, qt.select("term").distinct())
-    pairs_tf = cand_post.join(cand, "doc").join(qt, ["query_id", "term"])
+    pairs_tf = post.join(cand, "doc").join(qt, ["query_id", "term"])
     scored = _score(pairs_tf, idf, avgdl, k1, b)
     return (cand.join(scored, ["query_id", "doc"], "left")
             .select(F.col("query_id").alias(qid), F.col("doc").alias(id_col),

@@ -20,6 +20,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,18 +45,19 @@ def token_buckets(text: Column, dims: int = C.HASH_DIMS) -> Column:
 
 
 def _densify_fn(dims: int):
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def densify(buckets: pd.Series) -> pd.Series:
-        lens = buckets.map(len).to_numpy()
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def densify(buckets: pa.Array) -> pa.Array:
+        # Whole Arrow batch at once: flattened bucket ids + row lengths ->
+        # one bincount over (row * dims + bucket) -> row-normalised matrix.
         n = len(buckets)
-        out = np.zeros((n, dims), dtype=np.float64)
-        if lens.sum():
-            flat = np.concatenate([np.asarray(b, dtype=np.int64) for b in buckets if len(b)])
-            rows = np.repeat(np.arange(n), lens)
-            np.add.at(out, (rows, flat), 1.0)
+        lens = pc.fill_null(pc.list_value_length(buckets), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = pc.list_flatten(buckets).to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.repeat(np.arange(n, dtype=np.int64), lens)
+        out = np.bincount(rows * dims + flat, minlength=n * dims).astype(np.float64).reshape(n, dims)
         norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
         np.divide(out, norm, out=out, where=norm > 0)
-        return pd.Series(list(out))
+        offsets = pa.array(np.arange(0, (n + 1) * dims, dims, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
     return densify
 
 
@@ -102,20 +105,37 @@ def centroids(vectors: DataFrame, key: str, vec_col: str = "embedding", out_col:
 # Exact top-k
 # ---------------------------------------------------------------------------
 
+def _matrix(col: pa.Array) -> np.ndarray:
+    """List column of equal-length vectors -> (rows, dims) float64 matrix,
+    straight from the Arrow buffers."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    n = len(col)
+    flat = pc.list_flatten(col).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if n == 0:
+        return flat.reshape(0, 0)
+    if len(flat) % n:
+        raise ValueError("vectors of unequal length")
+    return flat.reshape(n, len(flat) // n)
+
+
 def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, vec_col: str,
                    probe: np.ndarray | None = None, cell_col: str | None = None):
-    """Per-partition scorer: running top-k (with a tie margin) per query."""
+    """Per-partition scorer (mapInArrow): running top-k, with a tie margin,
+    per query; emits at most about k rows per query per partition."""
 
     def fn(batches):
         best_ids = [None for _ in q_ids]
         best_sc = [np.empty(0, dtype=np.float64) for _ in q_ids]
-        for pdf in batches:
-            if pdf.empty:
+        id_type = None
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            ids = pdf[id_col].to_numpy()
-            mat = np.stack(pdf[vec_col].to_numpy()).astype(np.float64, copy=False)
-            scores = mat @ q_mat.T                       # (rows, queries)
-            cells = pdf[cell_col].to_numpy() if cell_col else None
+            id_arr = rb.column(id_col)
+            id_type = id_arr.type
+            ids = id_arr.to_numpy(zero_copy_only=False)
+            scores = _matrix(rb.column(vec_col)) @ q_mat.T          # (rows, queries)
+            cells = rb.column(cell_col).to_numpy(zero_copy_only=False) if cell_col else None
             for j in range(len(q_ids)):
                 s = scores[:, j]
                 sel_ids = ids
@@ -137,8 +157,9 @@ def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, ve
             rows_i.append(best_ids[j])
             rows_s.append(best_sc[j])
         if rows_q:
-            yield pd.DataFrame({"query_id": np.concatenate(rows_q), id_col: np.concatenate(rows_i),
-                                "raw_score": np.concatenate(rows_s)})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(rows_q)), pa.array(np.concatenate(rows_i), type=id_type),
+                 pa.array(np.concatenate(rows_s))], names=["query_id", id_col, "raw_score"])
 
     return fn
 
@@ -196,7 +217,7 @@ def topk_exact(
             # Only the probed cells are read: partition pruning when the index
             # is laid out by cell.
             src = vec.where(F.col(cell_col).isin([int(c) for c in np.unique(probe)]))
-        parts.append(src.mapInPandas(_local_topk_fn(q_ids, q_mat, k, id_col, vec_col, probe, cell_col), schema))
+        parts.append(src.mapInArrow(_local_topk_fn(q_ids, q_mat, k, id_col, vec_col, probe, cell_col), schema))
     if not parts:
         spark = vectors.sparkSession
         return spark.createDataFrame([], "query_id bigint, %s bigint, score double, rank int" % id_col)
