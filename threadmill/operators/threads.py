@@ -101,10 +101,20 @@ def cap_per_post(tree: DataFrame, n: int = C.MAX_COMMENTS_PER_POST, order: Colum
     return tree.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def replies_per_parent(tree: DataFrame) -> DataFrame:
-    """Nest one level: per (post, parent) the ordered list of direct reply ids (H3)."""
-    return tree.where(F.col("parent_id").isNotNull()).groupBy("post_id", "parent_id").agg(
-        F.count(F.lit(1)).alias("n_replies"),
+def replies_per_parent(tree: DataFrame, max_per_row: int = 1000) -> DataFrame:
+    """Nest one level: per (post, parent) the ordered direct reply ids (H3).
+
+    A parent with more than ``max_per_row`` replies is split into
+    ``ceil(n / max_per_row)`` parts by a hash of the reply id, so no single
+    row (or task) ever gathers an unbounded list; within a part the ids are in
+    pre-order. Reply counts come from a partial aggregation first.
+    """
+    replies = tree.where(F.col("parent_id").isNotNull())
+    counts = replies.groupBy("post_id", "parent_id").agg(F.count(F.lit(1)).alias("n_replies"))
+    parts = F.greatest(F.ceil(F.col("n_replies") / F.lit(max_per_row)), F.lit(1))
+    keyed = replies.join(counts, ["post_id", "parent_id"]).withColumn(
+        "part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    return keyed.groupBy("post_id", "parent_id", "part", "n_replies").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("path"), F.col("id")))),
                                  lambda s: s["id"]), ",").alias("reply_ids"),
     )

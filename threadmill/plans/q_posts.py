@@ -140,14 +140,17 @@ def q_partition_pruned(spark, sf_dir):
 
 @query("recent_partitions", W(PV) + f"""SELECT ingest_date, count(*) AS n_posts
 FROM (SELECT *, {INGEST_DATE_SQL} AS ingest_date FROM posts_v)
-WHERE ingest_date >= '2024-01-25' AND ingest_date <= '2024-01-31' GROUP BY 1""")
+WHERE ingest_date >= '2024-01-25' AND ingest_date <= '2024-01-31'
+  AND ingest_date IN (SELECT DISTINCT {INGEST_DATE_SQL} AS d FROM posts_v
+                      WHERE {INGEST_DATE_SQL} BETWEEN '2024-01-25' AND '2024-01-31' ORDER BY d DESC LIMIT 10)
+GROUP BY 1""")
 def q_recent_partitions(spark, sf_dir):
     """Last 7 days of date partitions relative to ``as_of``, newest first."""
     df = _with_ingest_date(V.posts_v(spark, sf_dir))
     path = scratch_path(spark, "posts_recent")
     io.write_posts(df, path, fmt="parquet")
     back = io.read_posts(spark, path, df.schema, fmt="parquet")
-    return io.recent_partitions(back, "2024-01-31", days=7).groupBy("ingest_date").agg(
+    return io.recent_partitions(back, "2024-01-31", days=7, newest=10).groupBy("ingest_date").agg(
         F.count(F.lit(1)).alias("n_posts")).orderBy(F.col("ingest_date").desc())
 
 

@@ -62,7 +62,7 @@ def q_comments_capped(spark, sf_dir):
     return t.select("post_id", "id", F.col("depth").cast("bigint").alias("depth"))
 
 
-@query("replies_per_parent", _tree_sql(False) + """SELECT post_id, parent_id, count(*) AS n_replies,
+@query("replies_per_parent", _tree_sql(False) + """SELECT post_id, parent_id, 0 AS part, count(*) AS n_replies,
   string_agg(id, ',' ORDER BY path) AS reply_ids FROM tree WHERE parent_id IS NOT NULL GROUP BY 1, 2""")
 def q_replies_per_parent(spark, sf_dir):
     """Nest one level: ordered direct replies per parent (H3)."""

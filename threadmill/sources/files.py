@@ -56,11 +56,19 @@ def read_posts(spark: SparkSession, path: str, schema: T.StructType, fmt: str |
     return r.parquet(path)
 
 
-def recent_partitions(df: DataFrame, as_of_date: str, days: int = 7, col: str = "ingest_date") -> DataFrame:
+def recent_partitions(df: DataFrame, as_of_date: str, days: int = 7, col: str = "ingest_date",
+                      newest: int | None = None) -> DataFrame:
     """Partitions of the last ``days`` days up to ``as_of_date`` (A8); the
-    predicate is on the partition column, so directories are pruned."""
+    predicate is on the partition column, so directories are pruned. With
+    ``newest`` only that many most recent partitions are kept (F5): the
+    distinct partition values are few, so ``orderBy().limit()`` is cheap and
+    the semi join against them is broadcast by the planner."""
     lo = F.date_format(F.date_sub(F.lit(as_of_date).cast("date"), days - 1), "yyyy-MM-dd")
-    return df.where((F.col(col) >= lo) & (F.col(col) <= F.lit(as_of_date)))
+    out = df.where((F.col(col) >= lo) & (F.col(col) <= F.lit(as_of_date)))
+    if newest:
+        top = out.select(col).distinct().orderBy(F.col(col).desc()).limit(newest)
+        out = out.join(top, col, "left_semi")
+    return out
 
 
 def latest_batch(df: DataFrame, col: str = "batch_id") -> DataFrame:
