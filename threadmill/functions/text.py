@@ -121,3 +121,19 @@ def coerce_long(col, default: int = 0) -> Column:
 
 def coerce_double(col, default: float = 0.0) -> Column:
     return F.coalesce(_c(col).try_cast("double"), F.lit(default))
+
+
+def with_term_counts(df, tokens_col: str, out_col: str = "term_counts"):
+    """Add ``out_col`` = array<struct<term, tf>>: the distinct tokens of
+    ``tokens_col`` with their counts, computed inside the row (sort + run
+    lengths) so term frequencies need no (doc, term) shuffle. Intermediate
+    arrays are materialised as columns before the lambdas read them."""
+    s = df.withColumn("_tc_sorted", F.array_sort(F.col(tokens_col)))
+    n = F.size("_tc_sorted")
+    starts = F.filter(F.sequence(F.lit(0), n - 1),
+                      lambda i: (i == 0) | (F.get(F.col("_tc_sorted"), i) != F.get(F.col("_tc_sorted"), i - 1)))
+    s = s.withColumn("_tc_starts", F.when(n > 0, starts).otherwise(F.array().cast("array<int>")))
+    counts = F.transform(F.col("_tc_starts"), lambda st, k: F.struct(
+        F.get(F.col("_tc_sorted"), st).alias("term"),
+        (F.coalesce(F.get(F.col("_tc_starts"), k + 1), F.size("_tc_sorted")) - st).cast("long").alias("tf")))
+    return s.withColumn(out_col, counts).drop("_tc_sorted", "_tc_starts")

@@ -55,15 +55,21 @@ def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "query_t
 
 
 def _postings(tok: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc, dl, term, tf) for terms in ``terms`` only. ``explode_outer`` +
-    null filter keeps Catalyst from pushing an inferred size filter (i.e. the
-    tokenising) below the repartition into the scan task."""
-    t = tok.select("doc", "dl", F.explode_outer("_t").alias("term")).where(F.col("term").isNotNull())
-    t = t.join(terms, "term", "left_semi")
-    return t.groupBy("doc", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(doc, dl, term, tf) for terms in ``terms`` only.
+
+    Term frequencies are counted inside each row (all tokens of a document
+    are in that row), so the postings need no shuffle; the semi join against
+    the broadcast query-term set runs map-side. ``explode_outer`` + null filter
+    keeps Catalyst from pushing an inferred size filter (i.e. the tokenising)
+    below the repartition into the scan task."""
+    t = tx.with_term_counts(tok, "_t", "_tc")
+    t = t.select("doc", "dl", F.explode_outer("_tc").alias("_p")).where(F.col("_p").isNotNull())
+    t = t.select("doc", "dl", F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf"))
+    return t.join(terms, "term", "left_semi")
 
 
 def _idf(corpus_postings: DataFrame, n_docs: int) -> DataFrame:
+    # One row per (doc, term) already: df is a plain partial-aggregated count.
     df_t = corpus_postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return df_t.select("term", F.ln(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
 

@@ -44,23 +44,36 @@ def token_buckets(text: Column, dims: int = C.HASH_DIMS) -> Column:
     return F.transform(tx.tokens(text), lambda t: tx.hash_bucket(t, dims))
 
 
+def _dense_from_buckets(buckets: pa.Array, dims: int) -> np.ndarray:
+    """Arrow list<int> of token buckets -> L2-normalised (rows, dims) counts:
+    one bincount over (row * dims + bucket) for the whole batch."""
+    if isinstance(buckets, pa.ChunkedArray):
+        buckets = buckets.combine_chunks()
+    n = len(buckets)
+    lens = pc.fill_null(pc.list_value_length(buckets), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.list_flatten(buckets).to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(n, dtype=np.int64), lens)
+    out = np.bincount(rows * dims + flat, minlength=n * dims).astype(np.float64).reshape(n, dims)
+    norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    np.divide(out, norm, out=out, where=norm > 0)
+    return out
+
+
 def _densify_fn(dims: int):
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def densify(buckets: pa.Array) -> pa.Array:
-        # Whole Arrow batch at once: flattened bucket ids + row lengths ->
-        # one bincount over (row * dims + bucket) -> row-normalised matrix.
-        n = len(buckets)
-        lens = pc.fill_null(pc.list_value_length(buckets), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = pc.list_flatten(buckets).to_numpy(zero_copy_only=False).astype(np.int64)
-        rows = np.repeat(np.arange(n, dtype=np.int64), lens)
-        out = np.bincount(rows * dims + flat, minlength=n * dims).astype(np.float64).reshape(n, dims)
-        norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
-        np.divide(out, norm, out=out, where=norm > 0)
-        offsets = pa.array(np.arange(0, (n + 1) * dims, dims, dtype=np.int32))
+        out = _dense_from_buckets(buckets, dims)
+        offsets = pa.array(np.arange(0, (len(out) + 1) * dims, dims, dtype=np.int32))
         return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
     return densify
 
 
+def hashed_buckets(df: DataFrame, text_col: str, out_col: str = "buckets", dims: int = C.HASH_DIMS) -> DataFrame:
+    """Sparse form of the hashed embedding: the bucket of every token
+    (JVM-side); :func:`topk_exact` densifies it inside its scoring task."""
+    return spread(df).withColumn(out_col, token_buckets(F.col(text_col), dims))
+
+
 def embed_hashed(df: DataFrame, text_col: str, out_col: str = "embedding", dims: int = C.HASH_DIMS) -> DataFrame:
     """Default embedder: L2-normalised hashed term counts.
 
@@ -120,7 +133,7 @@ def _matrix(col: pa.Array) -> np.ndarray:
 
 
 def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, vec_col: str,
-                   probe: np.ndarray | None = None, cell_col: str | None = None):
+                   probe: np.ndarray | None = None, cell_col: str | None = None, bucket_dims: int | None = None):
     """Per-partition scorer (mapInArrow): running top-k, with a tie margin,
     per query; emits at most about k rows per query per partition."""
 
@@ -134,7 +147,9 @@ def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, ve
             id_arr = rb.column(id_col)
             id_type = id_arr.type
             ids = id_arr.to_numpy(zero_copy_only=False)
-            scores = _matrix(rb.column(vec_col)) @ q_mat.T          # (rows, queries)
+            col = rb.column(vec_col)
+            mat = _dense_from_buckets(col, bucket_dims) if bucket_dims else _matrix(col)
+            scores = mat @ q_mat.T                                    # (rows, queries)
             cells = rb.column(cell_col).to_numpy(zero_copy_only=False) if cell_col else None
             for j in range(len(q_ids)):
                 s = scores[:, j]
@@ -195,9 +210,14 @@ def topk_exact(
     max_side_bytes: int = MAX_SIDE_BYTES,
     _probe_fn=None,
     cell_col: str | None = None,
+    bucket_dims: int | None = None,
 ) -> DataFrame:
     """Top-k vectors per query by dot product (= cosine on unit vectors).
 
+    With ``bucket_dims`` the vector column holds hashed-token buckets
+    (:func:`token_buckets`) and is densified inside the scoring task, so the
+    dense matrix never travels between the JVM and Python.
+
     Output: ``query_id, <id_col>, score (rounded), rank``. ``where`` is applied
     to the vector table *before* scoring (payload filter, B15/S15) so it is
     pushed into the Parquet scan.
@@ -217,7 +237,7 @@ def topk_exact(
             # Only the probed cells are read: partition pruning when the index
             # is laid out by cell.
             src = vec.where(F.col(cell_col).isin([int(c) for c in np.unique(probe)]))
-        parts.append(src.mapInArrow(_local_topk_fn(q_ids, q_mat, k, id_col, vec_col, probe, cell_col), schema))
+        parts.append(src.mapInArrow(_local_topk_fn(q_ids, q_mat, k, id_col, vec_col, probe, cell_col, bucket_dims), schema))
     if not parts:
         spark = vectors.sparkSession
         return spark.createDataFrame([], "query_id bigint, %s bigint, score double, rank int" % id_col)

@@ -45,8 +45,9 @@ def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunk_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-k chunks per benchmark query by hashed-vector cosine."""
-    ch = VE.embed_hashed(chunks(spark, sf_dir), "chunk_text")
-    return VE.topk_exact(ch, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id")
+    ch = VE.hashed_buckets(chunks(spark, sf_dir), "chunk_text")
+    return VE.topk_exact(ch, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id", vec_col="buckets",
+                         bucket_dims=C.HASH_DIMS)
 
 
 def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +58,9 @@ def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     persisted (memory, spilling to disk; lineage kept for recovery).
     """
     ch = chunks(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    vec = VE.embed_hashed(ch, "chunk_text")
-    cand = VE.topk_exact(vec, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id").persist(StorageLevel.MEMORY_AND_DISK)
+    vec = VE.hashed_buckets(ch, "chunk_text")
+    cand = VE.topk_exact(vec, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id", vec_col="buckets",
+                         bucket_dims=C.HASH_DIMS).persist(StorageLevel.MEMORY_AND_DISK)
     scored = RR.bm25_pairs(cand.select("query_id", "chunk_id"), ch, V.queries_v(spark, sf_dir), "chunk_id", "chunk_text")
     scored = scored.join(cand.select("query_id", "chunk_id", "rank", "score"), ["query_id", "chunk_id"])
     top = RR.rerank_topn(scored, N_RERANK)
@@ -177,8 +179,9 @@ def q_chunk_id(spark, sf_dir):
 def q_embed_hashed(spark, sf_dir):
     """Hashed-term embeddings of documents and queries; top-10 documents per
     query by cosine (I2, I3, I4, I5)."""
-    docs = VE.embed_hashed(V.read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
-    top = VE.topk_exact(docs, query_vectors(spark, sf_dir), K_DOCS, id_col="doc_id")
+    docs = VE.hashed_buckets(V.read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    top = VE.topk_exact(docs, query_vectors(spark, sf_dir), K_DOCS, id_col="doc_id", vec_col="buckets",
+                        bucket_dims=C.HASH_DIMS)
     return top.select("query_id", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
