@@ -54,3 +54,14 @@ def test_model_hooks(spark):
     prompts = spark.createDataFrame([(1, "hi")], "query_id long, user_prompt string")
     out = PR.complete_with(prompts, lambda pdf: pd.DataFrame({"query_id": pdf["query_id"], "completion": pdf["user_prompt"] + "!"}))
     assert out.first()["completion"] == "hi!"
+
+
+def test_summary_json(spark):
+    import json
+    import glob
+    path = scratch_path(spark, "t_summary")
+    df = spark.createDataFrame([(10, 7, None)], "total long, completed long, speedup_estimate double")
+    io.write_summary_json(df, path)
+    files = glob.glob(path.replace("file:", "") + "/part-*.json")
+    assert len(files) == 1
+    assert json.loads(open(files[0]).read()) == {"total": 10, "completed": 7, "speedup_estimate": None}

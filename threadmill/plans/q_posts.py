@@ -413,3 +413,25 @@ def q_coerce_numeric(spark, sf_dir):
     kstr = F.get_json_object("props", "$.k")
     return e.select("event_id", tx.coerce_long(kstr).alias("k_int"),
                     tx.coerce_double(kstr).alias("k_float"), tx.coerce_long("event_type").alias("type_int"))
+
+
+@query("latest_per_post", W(V.POLLS_V_SQL) + f"""SELECT id, arg_max(event_id, (scraped_at, event_id)) AS event_id,
+  arg_max(score, (scraped_at, event_id)) AS score, {S.ts('max(scraped_at)')} AS scraped_at FROM polls_v GROUP BY 1""")
+def q_latest_per_post(spark, sf_dir):
+    """Latest poll row per post across polls (E3): max_by over a struct,
+    partially aggregated per map task (a hot post never gathers its history)."""
+    p = V.polls_v(spark, sf_dir).select("id", "event_id", "score", "scraped_at")
+    latest = P.latest_per_key(p, "id", "scraped_at", tie="event_id")
+    return latest.select("id", "event_id", "score", tx.ts_text("scraped_at").alias("scraped_at"))
+
+
+@query("sink_by_subreddit", W(PV) + "SELECT id, subreddit FROM posts_v WHERE subreddit IN ('src3', 'src7')")
+def q_sink_by_subreddit(spark, sf_dir):
+    """Per-subreddit output plus the combined view (A15): one write
+    partitioned by subreddit; a subreddit read prunes to its folder, the
+    unfiltered read is the combined output."""
+    df = V.posts_v(spark, sf_dir)
+    path = scratch_path(spark, "posts_by_subreddit")
+    io.write_posts(df, path, fmt="parquet", partition_by="subreddit")
+    back = io.read_posts(spark, path, df.schema, fmt="parquet")
+    return back.where(F.col("subreddit").isin("src3", "src7")).select("id", "subreddit")

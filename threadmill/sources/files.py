@@ -97,3 +97,9 @@ def upsert_by_id(existing: DataFrame, updates: DataFrame, key: str = "chunk_id",
     if version:
         out = out.groupBy(key).agg(F.max_by(F.struct(*[c for c in out.columns if c != key]), F.col(version)).alias("_r")).select(key, "_r.*")
     return out
+
+
+def write_summary_json(summary: DataFrame, path: str) -> None:
+    """Run summary as a single JSON document (A18): the one-row frame is
+    written as one JSON-lines file."""
+    summary.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
