@@ -99,3 +99,16 @@ def test_ivf_recall_on_driver_vectors(spark):
     assert approx == exact  # probing every cell is exact
     part = {(r["query_id"], r["vec_id"]) for r in VE.topk_ivf(VE.ivf_assign(vec, model), model, qs, 10, n_probe=2).collect()}
     assert len(part & exact) / len(exact) > 0.3
+
+
+def test_bm25_topk_matches_brute_force(spark):
+    docs = {i: t for i, t in enumerate(["the cat sat on the mat", "the dog sat", "cats and dogs", "a mat for the cat cat",
+                                        "dog dog dog", "nothing here", "mat mat cat dog the"])}
+    corpus = spark.createDataFrame(list(docs.items()), "id long, text string").repartition(3)
+    qs = spark.createDataFrame([(10, "cat mat"), (11, "dog"), (12, "zebra")], "query_id long, query_text string")
+    for block_bytes in (RR.MAX_SIDE_BYTES, 8):  # one block, and one block per query
+        got = RR.bm25_topk(corpus, qs, "id", "text", k=3, max_side_bytes=block_bytes).collect()
+        for qid, qt in [(10, "cat mat"), (11, "dog"), (12, "zebra")]:
+            want = sorted(py_bm25(docs, qt).items(), key=lambda kv: (-kv[1], kv[0]))[:3]
+            rows = sorted((r for r in got if r["query_id"] == qid), key=lambda r: r["rank"])
+            assert [(r["id"], r["score"]) for r in rows] == [(d, s) for d, s in want]

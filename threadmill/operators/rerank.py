@@ -10,7 +10,12 @@ the query vocabulary.
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -31,19 +36,33 @@ def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
     return F.broadcast(df) if n <= max_rows else df
 
 
+def _observed(obs: Observation, tok: DataFrame) -> dict:
+    """Metrics observed during the pass; if the optimiser evaluated the plan
+    without running the observing operator (e.g. an in-memory local
+    relation), fall back to one aggregate."""
+    try:
+        m = obs.get
+    except Exception:  # noqa: BLE001 - no metrics were produced
+        m = {}
+    if not m:
+        r = tok.agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl")).first()
+        m = {"n": r["n"], "sum_dl": r["sum_dl"]}
+    return m
+
+
 def indexed_postings(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> tuple[DataFrame, int, float]:
     """One pass over the corpus: postings (doc, dl, term, tf) restricted to
     ``terms`` (persisted; proportional to the query vocabulary, not the
     corpus) plus the whole-corpus statistics N and average length, which are
     collected as observed metrics of that same pass (no second scan, no cache
     of the tokenised corpus)."""
-    obs = Observation("bm25_corpus")
+    obs = Observation(f"bm25_corpus_{uuid.uuid4().hex[:8]}")
     tok = (spread(corpus).select(F.col(id_col).alias("doc"), tx.tokens(F.col(text_col)).alias("_t"))
            .select("doc", F.size("_t").alias("dl"), "_t")
            .observe(obs, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl")))
     post = _postings(tok, terms).persist(StorageLevel.MEMORY_AND_DISK)
     post.count()
-    m = obs.get
+    m = _observed(obs, tok)
     n = int(m.get("n") or 0)
     avgdl = float(m.get("sum_dl") or 0) / n if n else 0.0
     return post, n, avgdl
@@ -147,3 +166,145 @@ def rerank_topn(scored: DataFrame, n: int = C.TOPN_RERANK, qid: str = "query_id"
     n = n or C.TOPN_RERANK
     w = Window.partitionBy(qid).orderBy(F.col(score).desc(), F.col(prior_rank).asc())
     return scored.withColumn("rerank_rank", F.row_number().over(w)).where(F.col("rerank_rank") <= n)
+
+
+# ---------------------------------------------------------------------------
+# BM25 top-k search: global statistics by aggregation, per-partition scoring
+# with a local top-k, merge by window -- the shuffle carries at most
+# partitions x queries x k rows instead of every matched (query, doc) pair.
+# ---------------------------------------------------------------------------
+
+MAX_SIDE_BYTES = 64 * 1024 * 1024
+_MARGIN = 2e-6
+
+
+def _query_term_blocks(queries: DataFrame, qid: str, qtext: str, max_side_bytes: int):
+    """Yield (query ids, vocabulary, incidence matrix) blocks whose dense
+    incidence (terms x queries, float64) fits ``max_side_bytes``; a larger
+    query batch is split by hash of the query id."""
+    qt = query_terms(queries, qid, qtext)
+    st = qt.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("query_id").alias("q"),
+                F.countDistinct("term").alias("v")).first()
+    rows, n_q, n_v = int(st["rows"] or 0), int(st["q"] or 0), int(st["v"] or 0)
+    if rows == 0:
+        return
+    n_blocks = max(1, -(-(n_q * n_v * 8) // max_side_bytes))
+    for blk in range(n_blocks):
+        part = qt if n_blocks == 1 else qt.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == blk)
+        pdf = part.toPandas()
+        if pdf.empty:
+            continue
+        vocab = np.array(sorted(pdf["term"].unique()), dtype=object)
+        q_ids = np.array(sorted(pdf["query_id"].unique()), dtype=np.int64)
+        t_ix = np.searchsorted(vocab, pdf["term"].to_numpy())
+        q_ix = np.searchsorted(q_ids, pdf["query_id"].to_numpy(dtype=np.int64))
+        inc = np.zeros((len(vocab), len(q_ids)), dtype=np.float64)
+        inc[t_ix, q_ix] = 1.0
+        yield q_ids, vocab, inc
+
+
+def _corpus_pass(tok: DataFrame, vocab: np.ndarray) -> tuple[dict, int, float]:
+    """Document frequency of the vocabulary terms plus N and the average
+    length, from one pass (partial aggregation; observed metrics)."""
+    spark = tok.sparkSession
+    vdf = spark.createDataFrame(pd.DataFrame({"term": vocab.astype(str)}))
+    obs = Observation(f"bm25_topk_corpus_{uuid.uuid4().hex[:8]}")
+    counted = tok.observe(obs, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl"))
+    terms = counted.select(F.explode_outer(F.array_distinct("_t")).alias("term")).where(F.col("term").isNotNull())
+    df_rows = terms.join(F.broadcast(vdf), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()
+    m = _observed(obs, tok)
+    n = int(m.get("n") or 0)
+    return {r["term"]: int(r["df"]) for r in df_rows}, n, (float(m.get("sum_dl") or 0) / n if n else 0.0)
+
+
+def _bm25_scorer(q_ids, vocab, inc, idf, avgdl, k, k1, b, id_col):
+    vocab_pa = pa.array(vocab.astype(str))
+    n_v = len(vocab)
+    sub = max(1, (8 * 1024 * 1024) // max(n_v, 1))
+
+    def fn(batches):
+        best_ids = [None] * len(q_ids)
+        best_sc = [np.empty(0) for _ in q_ids]
+        id_type = None
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            id_arr = rb.column(id_col)
+            id_type = id_arr.type
+            ids = id_arr.to_numpy(zero_copy_only=False)
+            toks = rb.column("_t")
+            lens = pc.fill_null(pc.list_value_length(toks), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ti = pc.fill_null(pc.index_in(pc.list_flatten(toks), value_set=vocab_pa), -1).to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(rb.num_rows, dtype=np.int64), lens)
+            keep = ti >= 0
+            key, tf = np.unique(doc[keep] * n_v + ti[keep], return_counts=True)
+            d, t = key // n_v, key % n_v
+            w = idf[t] * tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * lens[d] / (avgdl if avgdl > 0 else 1.0)))
+            for lo in range(0, rb.num_rows, sub):
+                hi = min(rb.num_rows, lo + sub)
+                sel = (d >= lo) & (d < hi)
+                wm = np.zeros((hi - lo, n_v))
+                wm[d[sel] - lo, t[sel]] = w[sel]
+                scores = wm @ inc                                   # (docs, queries)
+                for j in range(len(q_ids)):
+                    s = scores[:, j]
+                    pos = s > 0
+                    cs = np.concatenate([best_sc[j], s[pos]])
+                    ci = ids[lo:hi][pos] if best_ids[j] is None else np.concatenate([best_ids[j], ids[lo:hi][pos]])
+                    if len(cs) > k:
+                        kth = np.partition(cs, len(cs) - k)[len(cs) - k]
+                        m = cs >= kth - _MARGIN
+                        cs, ci = cs[m], ci[m]
+                    best_sc[j], best_ids[j] = cs, ci
+        out_q, out_i, out_s = [], [], []
+        for j, q in enumerate(q_ids):
+            if best_ids[j] is None or len(best_ids[j]) == 0:
+                continue
+            out_q.append(np.full(len(best_ids[j]), q, dtype=np.int64))
+            out_i.append(best_ids[j])
+            out_s.append(best_sc[j])
+        if out_q:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_i), type=id_type),
+                                              pa.array(np.concatenate(out_s))], names=["query_id", id_col, "raw_score"])
+
+    return fn
+
+
+def bm25_topk(
+    corpus: DataFrame,
+    queries: DataFrame,
+    id_col: str,
+    text_col: str,
+    k: int = C.TOPN_RERANK,
+    qid: str = "query_id",
+    qtext: str = "query_text",
+    k1: float = C.BM25_K1,
+    b: float = C.BM25_B,
+    max_side_bytes: int = MAX_SIDE_BYTES,
+) -> DataFrame:
+    """Top-``k`` documents per query by BM25 over the whole corpus.
+
+    Pass 1 aggregates N, the average length and the document frequency of
+    the query terms. Pass 2 scores every partition against the query batch
+    (a size-checked side input: vocabulary, idf and the term x query
+    incidence) with one sparse-to-dense matrix product per slice of rows,
+    keeps a local top-k per query (plus ties), and a ``row_number() <= k``
+    window merges them. Scores are rounded to 6 places in Spark and ranked by
+    (score desc, id asc)."""
+    tok = spread(corpus).select(F.col(id_col), tx.tokens(F.col(text_col)).alias("_t")).select(
+        F.col(id_col), "_t", F.size("_t").alias("dl"))
+    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, corpus.schema[id_col].dataType),
+                           T.StructField("raw_score", T.DoubleType())])
+    parts = []
+    for q_ids, vocab, inc in _query_term_blocks(queries, qid, qtext, max_side_bytes):
+        dfs, n, avgdl = _corpus_pass(tok, vocab)
+        idf = np.array([np.log(1.0 + (n - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
+        parts.append(tok.select(id_col, "_t").mapInArrow(_bm25_scorer(q_ids, vocab, inc, idf, avgdl, k, k1, b, id_col), schema))
+    if not parts:
+        return corpus.sparkSession.createDataFrame([], schema).withColumnRenamed("raw_score", "score").withColumn("rank", F.lit(0))
+    local = parts[0]
+    for p in parts[1:]:
+        local = local.unionByName(p)
+    scored = local.withColumn("score", F.round("raw_score", SCORE_DP)).drop("raw_score")
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -250,8 +250,7 @@ def q_bm25_scores(spark, sf_dir):
     """BM25 search of every benchmark query over all documents; best 25 per
     query (I7 scorer, whole-corpus statistics)."""
     docs = V.read(spark, sf_dir, "documents").select("doc_id", "text")
-    sc = RR.bm25_search(docs, V.queries_v(spark, sf_dir), "doc_id", "text")
-    top = VE.rank_topk(sc, N_RERANK, "query_id", "doc_id")
+    top = RR.bm25_topk(docs, V.queries_v(spark, sf_dir), "doc_id", "text", N_RERANK)
     return top.select("query_id", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
