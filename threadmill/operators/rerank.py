@@ -124,6 +124,23 @@ def bm25_search(
     return _score(pairs_tf, idf, avgdl, k1, b).withColumnRenamed("doc", id_col)
 
 
+def _term_df(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> tuple[DataFrame, int, float]:
+    """Document frequency of ``terms`` (small, broadcast) over the whole
+    corpus plus N and average length, in one pass: per-row distinct tokens,
+    map-side semi join, partial-aggregated count; N and the length sum are
+    observed metrics of the same pass. Returns a persisted (term, df) frame."""
+    obs = Observation(f"bm25_df_{uuid.uuid4().hex[:8]}")
+    tok = (spread(corpus).select(tx.tokens(F.col(text_col)).alias("_t")).select("_t", F.size("_t").alias("dl"))
+           .observe(obs, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl")))
+    uniq = tok.select(F.explode_outer(F.array_distinct("_t")).alias("term")).where(F.col("term").isNotNull())
+    df_t = uniq.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df_t = df_t.persist(StorageLevel.MEMORY_AND_DISK)
+    df_t.count()
+    m = _observed(obs, tok)
+    n = int(m.get("n") or 0)
+    return df_t, n, (float(m.get("sum_dl") or 0) / n if n else 0.0)
+
+
 def bm25_pairs(
     pairs: DataFrame,
     corpus: DataFrame,
@@ -135,13 +152,18 @@ def bm25_pairs(
     k1: float = C.BM25_K1,
     b: float = C.BM25_B,
 ) -> DataFrame:
-    """BM25 score for given (query_id, id) candidate pairs; corpus statistics
-    over the whole corpus. Pairs without a shared term score 0."""
+    """BM25 score for given (query_id, id) candidate pairs (rerank, I7);
+    statistics over the whole corpus, term counts only for the candidate
+    documents. Pairs without a shared term score 0."""
     qt = maybe_broadcast(query_terms(queries, qid, qtext))
-    post, n_docs, avgdl = indexed_postings(corpus, id_col, text_col, qt.select("term").distinct())
-    idf = _idf(post, n_docs)
+    terms = F.broadcast(qt.select("term").distinct())
+    df_t, n_docs, avgdl = _term_df(corpus, id_col, text_col, terms)
+    idf = df_t.select("term", F.ln(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     cand = maybe_broadcast(pairs.select(F.col(qid).alias("query_id"), F.col(id_col).alias("doc")))
-    pairs_tf = post.join(cand, "doc").join(qt, ["query_id", "term"])
+    docs = corpus.select(F.col(id_col).alias("doc"), F.col(text_col)).join(cand.select("doc").distinct(), "doc", "left_semi")
+    tok = docs.select("doc", tx.tokens(F.col(text_col)).alias("_t")).select("doc", F.size("_t").alias("dl"), "_t")
+    cand_post = _postings(tok, terms)
+    pairs_tf = cand_post.join(cand, "doc").join(qt, ["query_id", "term"])
     scored = _score(pairs_tf, idf, avgdl, k1, b)
     return (cand.join(scored, ["query_id", "doc"], "left")
             .select(F.col("query_id").alias(qid), F.col("doc").alias(id_col),
