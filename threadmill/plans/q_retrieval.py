@@ -227,7 +227,7 @@ def q_vector_topk_ivf(spark, sf_dir):
     path = scratch_path(spark, "ivf_index")
     VE.ivf_assign(vec, model).write.partitionBy("cell").parquet(path)
     index = spark.read.parquet(path)
-    top = VE.topk_ivf(index, model, _centroid_queries(spark, sf_dir), k=10, n_probe=4)
+    top = VE.topk_ivf(index, model, _centroid_queries(spark, sf_dir), k=10, n_probe=8)
     return top.select("query_id", "vec_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
