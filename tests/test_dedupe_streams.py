@@ -46,3 +46,23 @@ def test_stream_dedupe_equals_batch(spark):
     SJ.run(SJ.dedupe_stream(SJ.source(spark, landing, schema, max_files_per_trigger=1), delay="30 days"), out, ck)
     got = sorted(r["id"] for r in spark.read.parquet(out).collect())
     assert got == sorted({r[0] for r in rows})
+
+
+def test_stream_index_jsonl_quarantines_bad_lines(spark):
+    import os
+    from pyspark.sql import types as T
+    landing = scratch_path(spark, "t_jl")
+    local = landing.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, "a.json"), "w") as f:
+        f.write('{"id": "p1", "title": "T1", "selftext": "body one", "permalink": "/r/s/1", "subreddit": "s", "score": 4, "created_utc": 1.0}\n')
+        f.write("{not json\n")
+        f.write('{"id": "p2", "title": "T2", "selftext": "", "permalink": "/r/s/2", "subreddit": "s", "score": 5, "created_utc": 2.0}\n')
+    schema = T.StructType([T.StructField(n, t) for n, t in [("id", T.StringType()), ("title", T.StringType()), ("selftext", T.StringType()),
+                                                           ("permalink", T.StringType()), ("subreddit", T.StringType()),
+                                                           ("score", T.LongType()), ("created_utc", T.DoubleType())]])
+    out, ck, bad = scratch_path(spark, "t_jl_out"), scratch_path(spark, "t_jl_ck"), scratch_path(spark, "t_jl_bad")
+    SJ.index_stream(spark, landing, schema, out, ck, fmt="json", quarantine_path=bad)
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r["doc_id"] for r in rows) == ["p1", "p2"] and len(rows[0]["embedding"]) == 256
+    assert [r["_corrupt_record"] for r in spark.read.parquet(bad).collect()] == ["{not json"]

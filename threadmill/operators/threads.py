@@ -69,7 +69,11 @@ def flatten_adjacency(
     base = nodes.withColumn("_key", key)
     if keep_node is not None:
         base = base.where(keep_node)
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    # Hash-partition the nodes once on the join key and keep them: every
+    # level's join then finds this side already clustered, so only the
+    # frontier moves (or is broadcast, when AQE measures it small).
+    n_parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = base.repartition(n_parts, "post_id", "parent_id").persist(StorageLevel.MEMORY_AND_DISK)
     cols = [c for c in base.columns if c != "_key"]
 
     frontier = base.where(F.col("parent_id").isNull()).select(

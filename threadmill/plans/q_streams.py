@@ -47,6 +47,19 @@ def q_stream_index(spark, sf_dir):
     return spark.read.parquet(out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
 
 
+@query("stream_index_jsonl", _w(V.POSTS_V_SQL, CHUNKS_SQL) + "SELECT * FROM chunks")
+def q_stream_index_jsonl(spark, sf_dir):
+    """The indexer over JSON-lines landings (both landed formats are indexed;
+    malformed lines go to a quarantine folder instead of failing) (K1, A2, X5)."""
+    posts = posts_for_index(spark, sf_dir).withColumn("land_day", F.date_format(tx.epoch_to_ts("created_utc"), "yyyy-MM-dd"))
+    landing = scratch_path(spark, "landing_posts_jsonl")
+    posts.write.partitionBy("land_day").option("ignoreNullFields", "false").json(landing)
+    out, ckpt = _dirs(spark, "index_jsonl")
+    SJ.index_stream(spark, landing, posts.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER, fmt="json",
+                    quarantine_path=scratch_path(spark, "quarantine_jsonl"))
+    return spark.read.parquet(out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
+
+
 def _polls_stream(spark, sf_dir):
     landing, landed = _land(V.polls_v(spark, sf_dir), "polls", "scraped_at")
     return SJ.source(spark, landing, landed.schema, max_files_per_trigger=FILES_PER_TRIGGER)

@@ -69,8 +69,36 @@ def index_posts(posts: DataFrame, spec: ChunkSpec = ChunkSpec(), embed: bool = T
 
 
 def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_path: str, checkpoint: str,
-                 trigger: dict = ONE_SHOT, max_files_per_trigger: int | None = 1, spec: ChunkSpec = ChunkSpec()):
-    """Watch ``landing`` and index every new file once (K1; one-shot K2)."""
+                 trigger: dict = ONE_SHOT, max_files_per_trigger: int | None = 1, spec: ChunkSpec = ChunkSpec(),
+                 fmt: str = "parquet", quarantine_path: str | None = None):
+    """Watch ``landing`` and index every new file once (K1; one-shot K2).
+
+    ``fmt`` is ``parquet`` or ``json`` (JSON lines). JSON is read PERMISSIVE:
+    a malformed line does not fail the batch (K5) but is written, with its
+    batch id, under ``quarantine_path`` (B19) while the good rows are indexed.
+    """
+    if fmt == "json":
+        bad_col = "_corrupt_record"
+        full = T.StructType(list(schema.fields) + [T.StructField(bad_col, T.StringType())])
+        r = (spark.readStream.schema(full).format("json").option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", bad_col))
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        s = r.load(landing)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            if quarantine_path:
+                bad = batch.where(F.col(bad_col).isNotNull()).select(bad_col)
+                bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+            good = batch.where(F.col(bad_col).isNull()).drop(bad_col)
+            index_posts(good, spec).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            batch.unpersist()
+
+        q = s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
+        if "availableNow" in trigger or "once" in trigger:
+            q.awaitTermination()
+        return q
     s = source(spark, landing, schema, max_files_per_trigger=max_files_per_trigger)
     return run(s, out_path, checkpoint, trigger, transform=lambda b: index_posts(b, spec))
 
