@@ -435,3 +435,34 @@ def q_sink_by_subreddit(spark, sf_dir):
     io.write_posts(df, path, fmt="parquet", partition_by="subreddit")
     back = io.read_posts(spark, path, df.schema, fmt="parquet")
     return back.where(F.col("subreddit").isin("src3", "src7")).select("id", "subreddit")
+
+
+def detail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed post-detail document per post (a 2-element array: the post
+    listing and an empty comment listing), built row by row."""
+    p = V.posts_v(spark, sf_dir)
+    data = F.to_json(F.struct(
+        F.col("id"), F.col("title"), F.col("selftext"), F.col("score"), F.col("num_comments"),
+        F.col("created_utc"), F.col("subreddit"), F.col("permalink_path").alias("permalink"),
+        F.col("flair").alias("link_flair_text"), F.col("over_18")))
+    body = F.concat(F.lit('[{"kind":"Listing","data":{"children":[{"kind":"t3","data":'), data,
+                    F.lit('}]}},{"kind":"Listing","data":{"children":[]}}]'))
+    return p.select(body.alias("body"))
+
+
+@query("post_detail", W(PV) + f"SELECT id, {S.clean('title')} AS title, score, created_utc, TRUE AS detail_fetch FROM posts_v WHERE title IS NOT NULL")
+def q_post_detail(spark, sf_dir):
+    """Post-detail documents -> validated post rows tagged detail_fetch, with
+    no recency or score filter (A13, A12 element 0)."""
+    docs = jd.parse_bodies(detail_documents(spark, sf_dir))
+    return jd.post_detail(docs).select("id", "title", "score", "created_utc", "detail_fetch")
+
+
+@query("scan_jsonl", W(PV) + "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt FROM posts_v")
+def q_scan_jsonl(spark, sf_dir):
+    """JSON-lines posts read with a fixed schema in PERMISSIVE mode: a bad
+    line becomes a quarantine value instead of aborting the read (A2, B19)."""
+    df = V.posts_v(spark, sf_dir)
+    path = scratch_path(spark, "posts_scan_jsonl")
+    io.write_posts(df, path, fmt="jsonl", partition_by=None)
+    return io.read_posts(spark, path, df.schema, fmt="jsonl", quarantine_col="_corrupt")
