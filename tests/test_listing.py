@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from threadmill import config as C
 from threadmill.operators import posts as P

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -96,8 +96,9 @@ def posts_per_subreddit(df: DataFrame) -> DataFrame:
 def latest_per_key(df: DataFrame, key: str = "id", order_col: str = "scraped_at", tie: str | None = None) -> DataFrame:
     """Latest row per key across polls/re-ingests.
 
-    ``max_by`` over a struct is a hash aggregate with map-side partial
-    aggregation, so a hot key is reduced inside each map task first.
+    ``max_by`` over a struct runs as a partial + final aggregate (a sort
+    aggregate, since struct buffers are not hash-aggregate compatible): a hot
+    key is reduced to one row inside each map task before the shuffle.
     """
     others = [c for c in df.columns if c != key]
     order = F.struct(F.col(order_col), F.col(tie)) if tie else F.col(order_col)

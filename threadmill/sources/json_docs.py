@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import config as C
 from .. import schemas
 from ..functions import text as tx
 
@@ -37,7 +36,7 @@ def field(v: Column, key: str, typ: str, default=None) -> Column:
     lit_default = F.lit(default)
     if typ == "clean":
         val = tx.clean_text(F.try_variant_get(raw, "$", "string"))
-        return F.when(raw.isNull(), F.lit(tx_clean_default(default))).otherwise(val)
+        return F.when(raw.isNull(), F.lit(str(default or ""))).otherwise(val)
     if typ == "json":
         val = F.to_json(raw)
         return F.when(raw.isNull() | F.is_variant_null(raw), F.lit(None).cast("string")).otherwise(val)
@@ -49,10 +48,6 @@ def field(v: Column, key: str, typ: str, default=None) -> Column:
     return F.when(raw.isNull(), lit_default.cast(typ)).when(F.is_variant_null(raw), F.lit(None).cast(typ)).otherwise(val)
 
 
-def tx_clean_default(default) -> str:
-    return "" if not default else str(default)
-
-
 def edited_fields(v: Column) -> list[Column]:
     """``edited`` is false, true or an epoch number upstream: split it."""
     raw = vget(v, "edited")
