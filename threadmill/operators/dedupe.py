@@ -88,24 +88,36 @@ def band_buckets(sigs: DataFrame, bands: int = 16) -> DataFrame:
 
 def connected_components(edges: DataFrame, max_iter: int = 50, checkpoint_every: int = 4) -> DataFrame:
     """Components of the bipartite graph ``edges(id, bucket)``: every id gets
-    the smallest id reachable through shared buckets. Each round is two
-    aggregations (bucket -> min label, id -> min label) with map-side partial
-    aggregation; rounds stop when no label changes."""
-    edges = edges.select("id", "bucket").distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    labels = edges.groupBy("id").agg(F.min("id").alias("label"))
+    the smallest id reachable through shared buckets.
+
+    Each round is two partial aggregations (bucket -> min label, id -> min
+    label). The edge table is kept twice, hash-partitioned by ``id`` and by
+    ``bucket``, so both joins of a round find their big side already
+    clustered and only the (pre-aggregated) label tables move. A self bucket
+    per id carries its current label, so labels never increase; a round that
+    leaves the exact sum of labels unchanged therefore changed nothing."""
+    spark = edges.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = edges.select("id", "bucket").distinct()
+    e = e.unionByName(e.select("id").distinct().select(
+        "id", F.concat(F.lit("self:"), F.col("id").cast("string")).alias("bucket")))
+    by_id = e.repartition(n_parts, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    by_bucket = e.repartition(n_parts, "bucket").persist(StorageLevel.MEMORY_AND_DISK)
+    labels = by_id.groupBy("id").agg(F.min("id").alias("label"))
+    previous = None
     for it in range(max_iter):
-        bucket_min = edges.join(labels, "id").groupBy("bucket").agg(F.min("label").alias("blabel"))
-        new = (edges.join(bucket_min, "bucket").groupBy("id").agg(F.min("blabel").alias("nl"))
-               .join(labels, "id").select("id", F.least("nl", "label").alias("label"), (F.col("nl") < F.col("label")).alias("chg")))
+        bucket_min = by_id.join(labels, "id").groupBy("bucket").agg(F.min("label").alias("label"))
+        new = by_bucket.join(bucket_min, "bucket").groupBy("id").agg(F.min("label").alias("label"))
         if (it + 1) % checkpoint_every == 0:
-            ensure_checkpoint_dir(new.sparkSession)
+            ensure_checkpoint_dir(spark)
             new = new.checkpoint(eager=True)
         else:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        changed = new.where("chg").limit(1).count()
-        labels = new.select("id", "label")
-        if changed == 0:
+        total = new.agg(F.sum(F.col("label").cast("decimal(38,0)")).alias("s")).first()["s"]
+        labels = new
+        if total == previous:
             break
+        previous = total
     return labels
 
 
