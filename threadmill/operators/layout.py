@@ -12,5 +12,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     that are already well split (the normal case at scale) pass unchanged, so
     no shuffle is added there. Spark sorts before a round-robin repartition,
     so a retried task reproduces the same rows."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): keep the layout
+        return df
+    return df.repartition(target) if current < target else df

@@ -46,7 +46,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only a local-mode session without the setting (tests) gets a fresh
     folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the checkpoint folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running threadmill jobs")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
