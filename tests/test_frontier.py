@@ -73,4 +73,6 @@ def test_crawl_plan_chain_stops(spark):
     plan = FR.crawl_plan(subs, pages=5, tokens=toks).collect()
     got = sorted((r["sort_type"], r["page"], r["priority"]) for r in plan)
     assert got == [("hot", 1, 10), ("new", 1, 10), ("new", 2, 9), ("new", 3, 8), ("top", 1, 10)]
-    assert FR.crawl_size_estimate(spark.createDataFrame(plan)).first()["total_urls"] == 5 * 201
+    est = FR.crawl_size_estimate(subs, pages=5).first()
+    assert (est["subreddit_pages"], est["total_urls"]) == (15, 15 * 201)
+    assert est["sequential_hours"] == round(15 * 201 / 3600, 2)

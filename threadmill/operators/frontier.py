@@ -261,16 +261,20 @@ def current_state(attempts: DataFrame, key: str = "url", order: tuple[str, ...]
                                      F.count(F.lit(1)).alias("attempts")).select(key, "_s.*", "attempts")
 
 
-def crawl_size_estimate(plan: DataFrame, fetch_comments: bool = True, delay: float = C.REQUEST_DELAY_SEC) -> DataFrame:
-    """Expected crawl size from a crawl plan (J12): listing pages, posts
-    (100 per page), comment jobs, total URLs, sequential hours."""
-    pages = F.count(F.lit(1))
-    posts = pages * C.POSTS_PER_PAGE
+def crawl_size_estimate(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDIT, sort_types=C.SORT_TYPES,
+                        fetch_comments: bool = True, delay: float = C.REQUEST_DELAY_SEC) -> DataFrame:
+    """Expected crawl size (J12): listing pages = subreddits x sort types x
+    pages, posts = 100 per page, one comment job per post when comments are
+    fetched, total URLs and sequential hours at ``delay`` seconds per request."""
+    n_subs = F.count_distinct(tx.strip(F.col("subreddit")))
+    pages_col = n_subs * F.lit(len(sort_types) * pages)
+    posts = pages_col * C.POSTS_PER_PAGE
     comments = posts if fetch_comments else F.lit(0)
-    total = pages + posts + comments
-    return plan.agg(pages.alias("subreddit_pages"), posts.cast("bigint").alias("estimated_posts"),
-                    comments.cast("bigint").alias("estimated_comments"), total.cast("bigint").alias("total_urls"),
-                    F.round(total * F.lit(delay) / 3600, 2).alias("sequential_hours"))
+    total = pages_col + posts + comments
+    return subreddits.where(tx.nonempty("subreddit")).agg(
+        pages_col.cast("bigint").alias("subreddit_pages"), posts.cast("bigint").alias("estimated_posts"),
+        comments.cast("bigint").alias("estimated_comments"), total.cast("bigint").alias("total_urls"),
+        F.round(total * F.lit(delay) / 3600, 2).alias("sequential_hours"))
 
 
 def run_summary(stats: DataFrame, files: DataFrame, worker_seconds: float, delay: float = C.REQUEST_DELAY_SEC) -> DataFrame:

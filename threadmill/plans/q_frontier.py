@@ -260,12 +260,15 @@ def q_page_priority(spark, sf_dir):
     return _crawl_plan(spark, sf_dir).select("subreddit", "sort_type", F.col("page").cast("bigint").alias("page"), "priority")
 
 
-@query("crawl_size_estimate", CRAWL_PLAN_SQL + f"""SELECT count(*) AS subreddit_pages, count(*) * {C.POSTS_PER_PAGE} AS estimated_posts,
-  count(*) * {C.POSTS_PER_PAGE} AS estimated_comments, count(*) * (1 + 2 * {C.POSTS_PER_PAGE}) AS total_urls,
-  round(count(*) * (1 + 2 * {C.POSTS_PER_PAGE}) * {C.REQUEST_DELAY_SEC} / 3600, 2) AS sequential_hours FROM plan""")
+@query("crawl_size_estimate", W(V.POSTS_V_SQL) + f"""SELECT n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT} AS subreddit_pages,
+  n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * C.POSTS_PER_PAGE} AS estimated_posts,
+  n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * C.POSTS_PER_PAGE} AS estimated_comments,
+  n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * (1 + 2 * C.POSTS_PER_PAGE)} AS total_urls,
+  round(n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * (1 + 2 * C.POSTS_PER_PAGE)} * {C.REQUEST_DELAY_SEC} / 3600, 2) AS sequential_hours
+FROM (SELECT count(DISTINCT subreddit) AS n FROM posts_v WHERE subreddit IS NOT NULL AND subreddit <> '')""")
 def q_crawl_size_estimate(spark, sf_dir):
-    """Expected crawl size and sequential hours from the plan."""
-    return FR.crawl_size_estimate(_crawl_plan(spark, sf_dir))
+    """Expected crawl size and sequential hours for the subreddits seen."""
+    return FR.crawl_size_estimate(V.posts_v(spark, sf_dir).select("subreddit"))
 
 
 @query("post_detail_jobs", W(V.POSTS_V_SQL) + f"""SELECT url, {C.POST_DETAIL_PRIORITY} AS priority, post_id, title FROM (
