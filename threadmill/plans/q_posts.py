@@ -240,13 +240,13 @@ def q_poll_projection(spark, sf_dir):
     return p.select("id", "title", "score", "num_comments", "created_utc", "subreddit", tx.ts_text("scraped_at").alias("scraped_at"))
 
 
-@query("quick_projection", W(PV) + f"""SELECT id, title, selftext, '' AS url, score, num_comments, created_utc,
-  author, subreddit, {S.lit(C.PERMALINK_BASE)} || permalink_path AS permalink FROM posts_v""")
+@query("quick_projection", W(PV) + """SELECT id, title, selftext, CAST(NULL AS VARCHAR) AS url, score, num_comments, created_utc,
+  author, subreddit, permalink_path AS permalink FROM posts_v""")
 def q_quick_projection(spark, sf_dir):
-    """Quick scrape projection: 10 raw fields, no cleaning."""
-    p = V.posts_v(spark, sf_dir)
-    return p.select("id", "title", "selftext", F.lit("").alias("url"), "score", "num_comments", "created_utc",
-                    "author", "subreddit", tx.permalink(F.col("permalink_path")).alias("permalink"))
+    """Quick scrape: 10 raw fields of every listing child, no defaults,
+    cleaning or filters (B5)."""
+    docs = jd.parse_bodies(listing_pages(spark, sf_dir))
+    return jd.listing_children(docs).select(*jd.raw_fields(F.col("data"), jd.QUICK_FIELDS))
 
 
 @query("drop_deleted", W(V.COMMENTS_V_SQL) + "SELECT id, post_id FROM comments_v WHERE body IS NOT NULL AND body <> '' AND body NOT IN ('[deleted]', '[removed]')")

@@ -74,6 +74,17 @@ def extract(v: Column, fields) -> list[Column]:
     return cols
 
 
+def raw_fields(v: Column, spec: list[tuple[str, str]]) -> list[Column]:
+    """Raw projection (B4/B5): ``(name, type)`` pairs read as they are, with
+    no defaults and no cleaning; missing keys and JSON nulls are NULL."""
+    return [F.try_variant_get(v, _path(name), typ).alias(name) for name, typ in spec]
+
+
+QUICK_FIELDS = [("id", "string"), ("title", "string"), ("selftext", "string"), ("url", "string"),
+                ("score", "bigint"), ("num_comments", "bigint"), ("created_utc", "double"),
+                ("author", "string"), ("subreddit", "string"), ("permalink", "string")]
+
+
 def required_present(v: Column, keys=schemas.REQUIRED_POST_KEYS) -> Column:
     """Required keys must be present; their values may be null (S3)."""
     cond = F.lit(True)
