@@ -80,3 +80,12 @@ def test_adjacency_tree_and_pruning(spark):
     pruned = TH.flatten_adjacency(df, F.col("k"), keep_node=F.col("body") != "[removed]")
     assert sorted(r["id"] for r in pruned.collect()) == ["a", "b", "c", "d", "g"]
     assert TH.comments_by_depth(full).collect()[0]["n_comments"] == 3
+
+
+def test_depth_guard_raises_instead_of_truncating(spark):
+    import pytest
+    rows = [("P", "a", None, 1), ("P", "b", "a", 1), ("P", "c", "b", 1)]
+    df = spark.createDataFrame(rows, "post_id string, id string, parent_id string, k int")
+    with pytest.raises(RuntimeError):
+        TH.flatten_adjacency(df, F.col("k"), max_depth=1)
+    assert TH.flatten_adjacency(df, F.col("k"), max_depth=2).count() == 3

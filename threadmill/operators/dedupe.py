@@ -86,7 +86,7 @@ def band_buckets(sigs: DataFrame, bands: int = 16) -> DataFrame:
     ).select("id", F.concat_ws(":", F.col("band").cast("string"), F.col("bucket").cast("string")).alias("bucket"))
 
 
-def connected_components(edges: DataFrame, max_iter: int = 50, checkpoint_every: int = 4) -> DataFrame:
+def connected_components(edges: DataFrame, max_iter: int = 10_000, checkpoint_every: int = 4) -> DataFrame:
     """Components of the bipartite graph ``edges(id, bucket)``: every id gets
     the smallest id reachable through shared buckets.
 
@@ -106,8 +106,11 @@ def connected_components(edges: DataFrame, max_iter: int = 50, checkpoint_every:
     labels = by_id.groupBy("id").agg(F.min("id").alias("label"))
     previous = None
     for it in range(max_iter):
-        bucket_min = by_id.join(labels, "id").groupBy("bucket").agg(F.min("label").alias("label"))
-        new = by_bucket.join(bucket_min, "bucket").groupBy("id").agg(F.min("label").alias("label"))
+        # Merge joins on the pre-clustered edge tables: the label side arrives
+        # clustered by the same key from its aggregation, so neither side moves
+        # (without the hint a small run would broadcast the big edge table).
+        bucket_min = by_id.hint("merge").join(labels, "id").groupBy("bucket").agg(F.min("label").alias("label"))
+        new = by_bucket.hint("merge").join(bucket_min, "bucket").groupBy("id").agg(F.min("label").alias("label"))
         if (it + 1) % checkpoint_every == 0:
             ensure_checkpoint_dir(spark)
             new = new.checkpoint(eager=True)
@@ -116,9 +119,10 @@ def connected_components(edges: DataFrame, max_iter: int = 50, checkpoint_every:
         total = new.agg(F.sum(F.col("label").cast("decimal(38,0)")).alias("s")).first()["s"]
         labels = new
         if total == previous:
-            break
+            return labels
         previous = total
-    return labels
+    # Never hand back partial components.
+    raise RuntimeError(f"connected components did not converge in {max_iter} rounds")
 
 
 def near_dup_clusters(df: DataFrame, id_col: str, text_col: str, bands: int = 16, num_perm: int = 64,

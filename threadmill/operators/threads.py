@@ -89,10 +89,11 @@ def flatten_adjacency(
         children = _keep_level(children, depth)
         if children.isEmpty():
             children.unpersist()
-            break
+            return _union(levels)
         levels.append(children)
         frontier = children
-    return _union(levels)
+    # Never drop deeper comments silently (a cycle in parent ids also ends here).
+    raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")
 
 
 def cap_per_post(tree: DataFrame, n: int = C.MAX_COMMENTS_PER_POST, order: Column | None = None) -> DataFrame:
@@ -195,6 +196,8 @@ def flatten_thread_docs(
             break
         levels.append(nxt)
         level = nxt
+    else:
+        raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")
     nodes = _union(levels)
     d = F.col("data")
     if mode == "slim":
@@ -240,4 +243,6 @@ def flatten_thread_docs_all_kinds(parsed: DataFrame, doc: str = "doc", max_depth
             break
         levels.append(nxt)
         level = nxt
+    else:
+        raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")
     return _union(levels)
