@@ -80,7 +80,7 @@ def flatten_adjacency(
         *cols, F.lit(0).alias("depth"), F.array(F.col("_key")).alias("path"))
     frontier = _keep_level(frontier, 0)
     levels = [frontier]
-    for depth in range(1, max_depth + 1):
+    for depth in range(1, max_depth + 2):
         parents = frontier.select(
             F.col("post_id").alias("_p_post"), F.col("id").alias("_p_id"), F.col("path").alias("_p_path"))
         children = base.join(
@@ -90,6 +90,8 @@ def flatten_adjacency(
         if children.isEmpty():
             children.unpersist()
             return _union(levels)
+        if depth > max_depth:
+            break
         levels.append(children)
         frontier = children
     # Never drop deeper comments silently (a cycle in parent ids also ends here).
@@ -189,15 +191,15 @@ def flatten_thread_docs(
 
     level = _keep_level(admit(level), 0)
     levels = [level]
-    for depth in range(1, max_depth + 1):
+    for depth in range(1, max_depth + 2):
         nxt = _keep_level(admit(_expand(level, keep)), depth)
         if nxt.isEmpty():
             nxt.unpersist()
             break
+        if depth > max_depth:
+            raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")
         levels.append(nxt)
         level = nxt
-    else:
-        raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")
     nodes = _union(levels)
     d = F.col("data")
     if mode == "slim":
@@ -235,14 +237,14 @@ def flatten_thread_docs_all_kinds(parsed: DataFrame, doc: str = "doc", max_depth
                          F.lit(None).cast("string").alias("tree_parent"), "kind", "data")
     level = _keep_level(level.withColumn("id", F.try_variant_get("data", "$.id", "string")), 0)
     levels = [level]
-    for depth in range(1, max_depth + 1):
+    for depth in range(1, max_depth + 2):
         parents = level.where(F.col("kind") == "t1")
         nxt = _expand(parents, ["post_id", "post_subreddit"]).withColumn("id", F.try_variant_get("data", "$.id", "string"))
         nxt = _keep_level(nxt, depth)
         if nxt.isEmpty():
             break
+        if depth > max_depth:
+            raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")
         levels.append(nxt)
         level = nxt
-    else:
-        raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")
     return _union(levels)
