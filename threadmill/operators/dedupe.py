@@ -106,11 +106,11 @@ def connected_components(edges: DataFrame, max_iter: int = 10_000, checkpoint_ev
     labels = by_id.groupBy("id").agg(F.min("id").alias("label"))
     previous = None
     for it in range(max_iter):
-        # Merge joins on the pre-clustered edge tables: the label side arrives
-        # clustered by the same key from its aggregation, so neither side moves
-        # (without the hint a small run would broadcast the big edge table).
-        bucket_min = by_id.hint("merge").join(labels, "id").groupBy("bucket").agg(F.min("label").alias("label"))
-        new = by_bucket.hint("merge").join(bucket_min, "bucket").groupBy("id").agg(F.min("label").alias("label"))
+        # Hash joins that build on the (aggregated, smaller) label side: it
+        # arrives clustered by the same key from its aggregation and the edge
+        # tables are pre-clustered, so neither side moves and nothing is sorted.
+        bucket_min = by_id.join(labels.hint("shuffle_hash"), "id").groupBy("bucket").agg(F.min("label").alias("label"))
+        new = by_bucket.join(bucket_min.hint("shuffle_hash"), "bucket").groupBy("id").agg(F.min("label").alias("label"))
         if (it + 1) % checkpoint_every == 0:
             ensure_checkpoint_dir(spark)
             new = new.checkpoint(eager=True)
