@@ -98,11 +98,16 @@ def connected_components(edges: DataFrame, max_iter: int = 10_000, checkpoint_ev
     leaves the exact sum of labels unchanged therefore changed nothing."""
     spark = edges.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = edges.select("id", "bucket").distinct()
-    e = e.unionByName(e.select("id").distinct().select(
+    # The distinct edges are computed once (they may come from an expensive
+    # signature pass) and then laid out twice.
+    base = edges.select("id", "bucket").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    e = base.unionByName(base.select("id").distinct().select(
         "id", F.concat(F.lit("self:"), F.col("id").cast("string")).alias("bucket")))
     by_id = e.repartition(n_parts, "id").persist(StorageLevel.MEMORY_AND_DISK)
     by_bucket = e.repartition(n_parts, "bucket").persist(StorageLevel.MEMORY_AND_DISK)
+    by_id.count()
+    by_bucket.count()
+    base.unpersist()
     labels = by_id.groupBy("id").agg(F.min("id").alias("label"))
     previous = None
     for it in range(max_iter):
