@@ -179,14 +179,19 @@ def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, ve
     return fn
 
 
-def _side_blocks(queries: DataFrame, qid: str, qvec: str, max_side_bytes: int):
+def _side_blocks(queries: DataFrame, qid: str, qvec: str, max_side_bytes: int, dims: int | None = None):
     """Yield query blocks as numpy arrays, each within ``max_side_bytes``.
 
-    The count and dimension are measured first; if the whole query set is too
-    large it is split by hash of the query id into enough blocks to fit.
+    The count (and, unless ``dims`` is known, the dimension) is measured
+    first; if the whole query set is too large it is split by hash of the
+    query id into enough blocks to fit. A plain count prunes the vector
+    column, so it does not run the embedder.
     """
-    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec)).alias("d")).first()
-    n, d = int(stats["n"] or 0), int(stats["d"] or 0)
+    if dims:
+        n, d = queries.count(), dims
+    else:
+        stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec)).alias("d")).first()
+        n, d = int(stats["n"] or 0), int(stats["d"] or 0)
     if n == 0:
         return
     n_blocks = max(1, math.ceil(n * max(d, 1) * 8 * 2 / max_side_bytes))
@@ -230,7 +235,7 @@ def topk_exact(
     schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, id_type),
                            T.StructField("raw_score", T.DoubleType())])
     parts = []
-    for q_ids, q_mat in _side_blocks(queries, qid, qvec, max_side_bytes):
+    for q_ids, q_mat in _side_blocks(queries, qid, qvec, max_side_bytes, dims=bucket_dims):
         probe = _probe_fn(q_mat) if _probe_fn else None
         src = vec
         if probe is not None:
