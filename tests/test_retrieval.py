@@ -112,3 +112,15 @@ def test_bm25_topk_matches_brute_force(spark):
             want = sorted(py_bm25(docs, qt).items(), key=lambda kv: (-kv[1], kv[0]))[:3]
             rows = sorted((r for r in got if r["query_id"] == qid), key=lambda r: r["rank"])
             assert [(r["id"], r["score"]) for r in rows] == [(d, s) for d, s in want]
+
+
+def test_bm25_rescore_equals_native_pairs(spark):
+    docs = {i: t for i, t in enumerate(["the cat sat on the mat", "the dog sat", "cats and dogs", "a mat for the cat cat",
+                                        "dog dog dog", "nothing here"])}
+    corpus = spark.createDataFrame(list(docs.items()), "id long, text string").repartition(2)
+    qs = spark.createDataFrame([(10, "cat mat"), (11, "dog"), (12, "")], "query_id long, query_text string")
+    pairs = spark.createDataFrame([(10, 0), (10, 2), (10, 5), (11, 1), (11, 4), (12, 3)], "query_id long, id long")
+    native = {(r["query_id"], r["id"]): r["rerank_score"] for r in RR.bm25_pairs(pairs, corpus, qs, "id", "text").collect()}
+    for block in (RR.MAX_SIDE_BYTES, 8):
+        fast = {(r["query_id"], r["id"]): r["rerank_score"] for r in RR.bm25_rescore(pairs, corpus, qs, "id", "text", max_side_bytes=block).collect()}
+        assert fast == native and len(fast) == 6

@@ -330,3 +330,91 @@ def bm25_topk(
     scored = local.withColumn("score", F.round("raw_score", SCORE_DP)).drop("raw_score")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _rescore_fn(q_ids, vocab, inc, idf, avgdl, k1, b, id_col, cand_map):
+    """Per-partition scorer for candidate pairs: every candidate document is
+    scored against the query block in one matrix product; only its candidate
+    (query, document) pairs are emitted (score 0 when no term is shared)."""
+    vocab_pa = pa.array(vocab.astype(str))
+    n_v = len(vocab)
+    q_index = {int(q): j for j, q in enumerate(q_ids)}
+
+    def fn(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            id_arr = rb.column(id_col)
+            ids = id_arr.to_pylist()
+            toks = rb.column("_t")
+            lens = pc.fill_null(pc.list_value_length(toks), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ti = pc.fill_null(pc.index_in(pc.list_flatten(toks), value_set=vocab_pa), -1).to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(rb.num_rows, dtype=np.int64), lens)
+            keep = ti >= 0
+            key, tf = np.unique(doc[keep] * n_v + ti[keep], return_counts=True)
+            d, t = key // n_v, key % n_v
+            w = idf[t] * tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * lens[d] / (avgdl if avgdl > 0 else 1.0)))
+            wm = np.zeros((rb.num_rows, n_v))
+            wm[d, t] = w
+            scores = wm @ inc
+            out_q, out_i, out_s = [], [], []
+            for r, doc_id in enumerate(ids):
+                for q in cand_map.get(doc_id, ()):
+                    out_q.append(q)
+                    out_i.append(doc_id)
+                    out_s.append(float(scores[r, q_index[q]]))
+            if out_q:
+                yield pa.RecordBatch.from_arrays([pa.array(out_q, type=pa.int64()), pa.array(out_i, type=id_arr.type),
+                                                  pa.array(out_s, type=pa.float64())], names=["query_id", id_col, "raw_score"])
+
+    return fn
+
+
+def bm25_rescore(
+    pairs: DataFrame,
+    corpus: DataFrame,
+    queries: DataFrame,
+    id_col: str,
+    text_col: str,
+    qid: str = "query_id",
+    qtext: str = "query_text",
+    k1: float = C.BM25_K1,
+    b: float = C.BM25_B,
+    max_side_bytes: int = MAX_SIDE_BYTES,
+    max_pairs: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """BM25 rerank scores for candidate (query, document) pairs, same values
+    as :func:`bm25_pairs`: whole-corpus statistics from one aggregate pass;
+    the candidate documents are scored per partition against the query block
+    (size-checked side input together with the candidate pairs, which are
+    bounded by queries x k). Output ``query_id, <id_col>, rerank_score``."""
+    n_pairs = pairs.count()
+    if n_pairs > max_pairs:
+        # Candidate set too large for a side input: the native join plan.
+        return bm25_pairs(pairs, corpus, queries, id_col, text_col, qid, qtext, k1, b)
+    tok = spread(corpus).select(F.col(id_col), tx.tokens(F.col(text_col)).alias("_t")).select(
+        F.col(id_col), "_t", F.size("_t").alias("dl"))
+    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, corpus.schema[id_col].dataType),
+                           T.StructField("raw_score", T.DoubleType())])
+    cand = pairs.select(F.col(qid).cast("long").alias("query_id"), F.col(id_col))
+    parts = []
+    for q_ids, vocab, inc in _query_term_blocks(queries, qid, qtext, max_side_bytes):
+        dfs, n, avgdl = _corpus_pass(tok, vocab)
+        idf = np.array([np.log(1.0 + (n - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
+        block = cand.where(F.col("query_id").isin([int(q) for q in q_ids])).toPandas()
+        cand_map: dict = {}
+        for q, doc_id in zip(block["query_id"].tolist(), block[id_col].tolist()):
+            cand_map.setdefault(doc_id, []).append(int(q))
+        # Candidate set is bounded (checked above): broadcast semi join.
+        docs = tok.join(F.broadcast(cand.select(id_col).distinct()), id_col, "left_semi")
+        parts.append(docs.select(id_col, "_t").mapInArrow(
+            _rescore_fn(q_ids, vocab, inc, idf, avgdl, k1, b, id_col, cand_map), schema))
+    scored = None
+    for p in parts:
+        scored = p if scored is None else scored.unionByName(p)
+    if scored is None:
+        return cand.select(F.col("query_id").alias(qid), id_col, F.lit(0.0).alias("rerank_score"))
+    scored = scored.select("query_id", id_col, F.round("raw_score", SCORE_DP).alias("rerank_score"))
+    # Queries without any token have no block: their candidates score 0.
+    return (cand.join(scored, ["query_id", id_col], "left")
+            .select(F.col("query_id").alias(qid), F.col(id_col), F.coalesce("rerank_score", F.lit(0.0)).alias("rerank_score")))

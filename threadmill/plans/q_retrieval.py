@@ -61,7 +61,7 @@ def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec = VE.hashed_buckets(ch, "chunk_text")
     cand = VE.topk_exact(vec, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id", vec_col="buckets",
                          bucket_dims=C.HASH_DIMS).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = RR.bm25_pairs(cand.select("query_id", "chunk_id"), ch, V.queries_v(spark, sf_dir), "chunk_id", "chunk_text")
+    scored = RR.bm25_rescore(cand.select("query_id", "chunk_id"), ch, V.queries_v(spark, sf_dir), "chunk_id", "chunk_text")
     scored = scored.join(cand.select("query_id", "chunk_id", "rank", "score"), ["query_id", "chunk_id"])
     top = RR.rerank_topn(scored, N_RERANK)
     # Payload for the survivors only: a bounded (queries x n) side joined by id.
