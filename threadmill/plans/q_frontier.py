@@ -92,7 +92,7 @@ def q_open_job_count(spark, sf_dir):
 FROM (SELECT count(*) AS total, count(*) FILTER (WHERE status = 'completed') AS completed,
              count(*) FILTER (WHERE status = 'failed') AS failed FROM jobs_v)""")
 def q_job_progress(spark, sf_dir):
-    """Success rate and progress percentages."""
+    """Success rate and progress percentages, rounded to 2 places."""
     j = V.jobs_v(spark, sf_dir)
     return FR.job_progress(FR.job_stats(j, _as_of(j)))
 

@@ -145,7 +145,7 @@ WHERE ingest_date >= '2024-01-25' AND ingest_date <= '2024-01-31'
                       WHERE {INGEST_DATE_SQL} BETWEEN '2024-01-25' AND '2024-01-31' ORDER BY d DESC LIMIT 10)
 GROUP BY 1""")
 def q_recent_partitions(spark, sf_dir):
-    """Last 7 days of date partitions relative to ``as_of``, newest first."""
+    """Last 7 days of date partitions relative to ``as_of``, newest first, at most the 10 newest."""
     df = _with_ingest_date(V.posts_v(spark, sf_dir))
     path = scratch_path(spark, "posts_recent")
     io.write_posts(df, path, fmt="parquet")

@@ -39,7 +39,7 @@ def _tree_sql(pruned: bool) -> str:
 
 @query("thread_tree", _tree_sql(False) + "SELECT post_id, id, parent_id, CAST(depth AS BIGINT) AS depth, path FROM tree")
 def q_thread_tree(spark, sf_dir):
-    """Full flatten of reply trees: depth from 0 and pre-order path."""
+    """Full flatten of reply trees: depth from 0 and pre-order path; all posts' comments in one table (H1, H4, G-U2, S10)."""
     t = _tree(spark, sf_dir, False)
     return t.select("post_id", "id", "parent_id", F.col("depth").cast("bigint").alias("depth"), TH.path_text(F.col("path")).alias("path"))
 
