@@ -36,9 +36,40 @@ def configure(spark: SparkSession) -> SparkSession:
     # JSON objects with repeated keys: keep the last value, like a dict load.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``threadmill`` importable in the Python workers (Arrow/pandas UDFs,
+    mapInArrow, stateful functions) the way ``--py-files`` does: zip the
+    package once per SparkContext and ``addPyFile`` it. Harmless when the
+    package is already installed on the executors."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: ship with the session's artifacts instead
+        return
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg_dir)
+    out_dir = tempfile.mkdtemp(prefix="threadmill-pyfiles-")  # driver-side code artifact only
+    zpath = os.path.join(out_dir, "threadmill.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
