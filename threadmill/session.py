@@ -35,11 +35,25 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # JSON objects with repeated keys: keep the last value, like a dict load.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    _size_local_shuffles(spark)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
 
 
+def _size_local_shuffles(spark: SparkSession) -> None:
+    """A single-machine session left at Spark's default of 200 shuffle
+    partitions gets 2 x its cores instead (explicit repartitions and stream
+    state stores use this number and are not coalesced by AQE). Cluster
+    sessions, and any value the user set, are left alone."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session
+        return
+    if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(2, 2 * sc.defaultParallelism)))
+
+
 _SHIPPED: set[int] = set()
 
 
