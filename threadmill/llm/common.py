@@ -21,8 +21,7 @@ S33 = np.uint64(33)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the Arrow stages: batches bounded by rows and, where
-    the session knows the setting, by bytes."""
+    """Session settings of the operators: Arrow batches bounded by rows and bytes."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))

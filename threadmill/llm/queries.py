@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadmill.llm.bpe import encode_documents
 from threadmill.llm.common import prepare
 from threadmill.llm.line_dedup import dedup_lines
+from threadmill.llm.minhash_dedup import near_duplicates
+from threadmill.llm.quality_rules import judge_quality
 from threadmill.llm.substring_dedup import dedup_substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +32,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer's vocabulary, from the installed data package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over 4-word shingles, similarity 0.80 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after dropping 13-word windows that smaller documents hold."""
@@ -49,6 +65,25 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded text of every document, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d, n, ids, decoded = encode_documents(docs, vocabulary_file())
+    return d.select(
+        "doc_id",
+        F.col(n).alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the forest's verdict on every document."""
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: Words of a text, as a DuckDB expression over the column ``text``.
 SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 SQL_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -95,3 +130,34 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) A
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+ORACLE_SQL["op1_minhash_dedup"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d WHERE len(w) >= 4)
+    UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 3
+  )
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+inter AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+),
+link AS (
+  SELECT a, b FROM inter JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+  WHERE 100 * i >= 80 * (p.n + q.n - i)
+),
+reach AS (
+  SELECT doc_id AS id, doc_id AS r FROM d
+  UNION SELECT link.b, reach.r FROM reach JOIN link ON link.a = reach.id WHERE reach.r < link.b
+)
+SELECT d.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(reach.r) AS component_id,
+       d.doc_id = min(reach.r) AS kept
+FROM d JOIN reach ON reach.id = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id GROUP BY d.doc_id
+"""
