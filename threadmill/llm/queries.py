@@ -11,8 +11,10 @@ from threadmill.llm.bpe import encode_documents
 from threadmill.llm.common import prepare
 from threadmill.llm.line_dedup import dedup_lines
 from threadmill.llm.minhash_dedup import near_duplicates
+from threadmill.llm.mixing import allocate, sized
 from threadmill.llm.quality_rules import judge_quality
 from threadmill.llm.substring_dedup import dedup_substrings
+from threadmill.llm.topk_search import integer_vectors, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -45,6 +47,20 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes from each document."""
+    d = allocate(sized(table(spark, sf_dir, "documents")))
+    return d.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for each vector whose vec_id is divisible by 100."""
+    v = integer_vectors(table(spark, sf_dir, "embeddings"), scale=1024)
+    return top_k(v, v.where("vec_id % 100 = 0"), k=10)
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after dropping 13-word windows that smaller documents hold."""
@@ -161,3 +177,21 @@ SELECT d.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(reach.r) AS c
        d.doc_id = min(reach.r) AS kept
 FROM d JOIN reach ON reach.id = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+ORACLE_SQL["op3_topk_search"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v x ON x.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
