@@ -21,8 +21,10 @@ S33 = np.uint64(33)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the operators: Arrow batches bounded by rows and bytes."""
+    """Session settings of the operators: Arrow batches bounded by rows and bytes,
+    and the shuffle files of a stored step removed once it is written."""
     configure(spark)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark
