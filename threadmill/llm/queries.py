@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from threadmill.llm.bpe import encode_documents
 from threadmill.llm.common import prepare
+from threadmill.llm.language_id import identify
 from threadmill.llm.line_dedup import dedup_lines
 from threadmill.llm.minhash_dedup import near_duplicates
 from threadmill.llm.mixing import allocate, sized
 from threadmill.llm.quality_rules import judge_quality
 from threadmill.llm.substring_dedup import dedup_substrings
 from threadmill.llm.topk_search import integer_vectors, top_k
+from threadmill.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -61,6 +63,21 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(v, v.where("vec_id % 100 = 0"), k=10)
 
 
+def fold(n: int):
+    """crc32 of doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % n
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = identify(docs, docs.where(fold(4) != 2))
+    return d.select(
+        "doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after dropping 13-word windows that smaller documents hold."""
@@ -81,6 +98,19 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from two thirds of the labels."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(3) != 1)
+    d = score_toxicity(table(spark, sf_dir, "documents"), labels)
+    return d.select(
+        "doc_id",
+        F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document, as digests."""
