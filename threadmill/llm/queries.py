@@ -14,6 +14,7 @@ from threadmill.llm.line_dedup import dedup_lines
 from threadmill.llm.minhash_dedup import near_duplicates
 from threadmill.llm.mixing import allocate, sized
 from threadmill.llm.quality_rules import judge_quality
+from threadmill.llm.secret_scan import KINDS, scan, written
 from threadmill.llm.substring_dedup import dedup_substrings
 from threadmill.llm.topk_search import integer_vectors, top_k
 from threadmill.llm.toxicity import score_toxicity
@@ -78,6 +79,20 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    d = scan(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"] < 3)
+    kinds = F.transform(spans, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(KINDS[:3])
+    ]
+    return d.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(spans).alias("spans"))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after dropping 13-word windows that smaller documents hold."""
