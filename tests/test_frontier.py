@@ -24,7 +24,7 @@ def test_insert_or_ignore(spark):
     existing = jobs(spark, [dict(id=1, url="u1")])
     cand = jobs(spark, [dict(id=2, url="u1"), dict(id=3, url="u2", priority=1), dict(id=4, url="u2", priority=5)])
     got = FR.insert_new(existing, cand).collect()
-    assert [(r["url"], r["id"]) for r in got] == [("u2", 4)]
+    assert [(r["url"], r["id"]) for r in got] == [("u2", 3)]  # first insert wins (S20)
 
 
 def test_pick_order_and_eligibility(spark):
@@ -75,4 +75,41 @@ def test_crawl_plan_chain_stops(spark):
     assert got == [("hot", 1, 10), ("new", 1, 10), ("new", 2, 9), ("new", 3, 8), ("top", 1, 10)]
     est = FR.crawl_size_estimate(subs, pages=5).first()
     assert (est["subreddit_pages"], est["total_urls"]) == (15, 15 * 201)
-    assert est["sequential_hours"] == round(15 * 201 / 3600, 2)
+
+
+def test_crawl_plan_without_tokens_and_with_a_gap(spark):
+    subs = spark.createDataFrame([("s1",)], "subreddit string")
+    plan = FR.crawl_plan(subs, pages=5).collect()
+    assert len(plan) == 15 and all("after=" not in r["url"] for r in plan)
+    toks = spark.createDataFrame([("s1", "new", 1, "a"), ("s1", "new", 3, "c")], "subreddit string, sort_type string, page int, after string")
+    got = [r["page"] for r in FR.crawl_plan(subs, pages=5, tokens=toks).where("sort_type = 'new'").orderBy("page").collect()]
+    assert got == [1, 2]  # page 3 needs the token of page 2
+
+
+def test_post_detail_jobs_has_no_default_cap(spark):
+    posts = spark.range(100_500).selectExpr("'s' as subreddit", "cast(id as string) as id", "'t' as title", "1 as score")
+    assert FR.post_detail_jobs(posts).count() == 100_500
+    assert FR.post_detail_jobs(posts, cap=10).count() == 10
+
+
+def test_first_insert_wins(spark):
+    empty = jobs(spark, [dict(id=0, url="z")])
+    cand = jobs(spark, [dict(id=1, url="u", priority=1), dict(id=2, url="u", priority=9)])
+    assert [r["id"] for r in FR.insert_new(empty, cand).collect()] == [1]
+
+
+def test_exhausted_stall_fails(spark):
+    j = jobs(spark, [dict(id=1, url="a", status="in_progress", retry_count=2, started_at=T0 - dt.timedelta(hours=2)),
+                     dict(id=2, url="b", status="in_progress", retry_count=0, started_at=T0 - dt.timedelta(hours=2))])
+    got = {r["id"]: (r["status"], r["retry_count"]) for r in FR.reset_stalled(j, F.lit(T0)).collect()}
+    assert got == {1: ("failed", 3), 2: ("retry", 1)}
+
+
+def test_one_outcome_per_job(spark):
+    j = jobs(spark, [dict(id=1, url="a", status="in_progress", retry_count=0)])
+    late, early = T0, T0 - dt.timedelta(seconds=5)
+    done = spark.createDataFrame([(1, early), (1, late)], "id long, finished_at timestamp")
+    assert [r["completed_at"] for r in FR.apply_completions(j, done).collect()] == [late]
+    bad = spark.createDataFrame([(1, early, "x"), (1, late, "y")], "id long, finished_at timestamp, error string")
+    assert [(r["error_message"], r["retry_count"]) for r in FR.apply_failures(j, bad).collect()] == [("y", 1)]
+    assert FR.claim(j, j.select("id").union(j.select("id")), "w", F.lit(T0)).count() == 1

@@ -100,8 +100,14 @@ def listing_url(subreddit, sort_type, after=None, base: str = C.SITE_BASE) -> Co
     ).otherwise(F.concat(head, F.lit("?limit=100")))
 
 
+#: Largest magnitude that is safely a long.
+_LONG = 9.2e18
+
+
 def epoch_to_ts(col) -> Column:
-    return F.timestamp_micros((_c(col).cast("double") * F.lit(1_000_000)).cast("bigint"))
+    """Epoch seconds as a timestamp; NULL where they are no finite number in range."""
+    micros = _c(col).try_cast("double") * F.lit(1_000_000)
+    return F.when(F.abs(micros) < _LONG, F.timestamp_micros(micros.cast("bigint")))
 
 
 def ts_text(col) -> Column:
@@ -115,8 +121,11 @@ def split_trim(col, sep: str = ",") -> Column:
 
 
 def coerce_long(col, default: int = 0) -> Column:
-    """int(x) with a default: numeric text or numbers, truncated toward zero."""
-    return F.coalesce(_c(col).try_cast("double").cast("bigint"), F.lit(default).cast("bigint"))
+    """int(x) with a default: numeric text or numbers, truncated toward zero.
+    Whole numbers keep all digits; inf, nan and values out of range give the default."""
+    wide = _c(col).try_cast("double")
+    cut = F.when(F.abs(wide) < _LONG, wide.cast("bigint"))
+    return F.coalesce(_c(col).try_cast("bigint"), cut, F.lit(default).cast("bigint"))
 
 
 def coerce_double(col, default: float = 0.0) -> Column:

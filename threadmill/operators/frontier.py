@@ -7,7 +7,7 @@ aggregate. ``as_of`` is always a parameter, all times are UTC.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -33,7 +33,8 @@ def crawl_plan(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDIT, sort_t
     ``subreddits`` has a ``subreddit`` column. Page ``i`` (0-based) gets
     priority ``10 - i`` and JSON metadata. With ``tokens`` (subreddit,
     sort_type, page, after) from landed listings, page ``i > 0`` uses the
-    token of page ``i - 1``; without it, pages carry the offset only.
+    token of page ``i - 1`` and a chain stops at the first page without one;
+    without ``tokens`` all pages are planned and carry the page number only.
     """
     sorts = F.array(*[F.lit(s) for s in sort_types])
     base = subreddits.select(tx.strip(F.col("subreddit")).alias("subreddit")).where(tx.nonempty("subreddit"))
@@ -45,8 +46,10 @@ def crawl_plan(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDIT, sort_t
         prev = tokens.select("subreddit", "sort_type", F.col("page").cast("int").alias("page_ix"), F.col("after").alias("_after"))
         plan = plan.join(prev, ["subreddit", "sort_type", "page_ix"], "left")
         after = F.col("_after")
-    # A chain stops at the first page without a token (no further pages known).
-    plan = plan.where((F.col("page_ix") == 0) | after.isNotNull())
+        # pages of one chain (``pages`` rows at most) up to the first gap
+        chain = Window.partitionBy("subreddit", "sort_type").orderBy("page_ix")
+        gaps = F.count_if((F.col("page_ix") > 0) & after.isNull()).over(chain)
+        plan = plan.withColumn("_gaps", gaps).where(F.col("_gaps") == 0)
     return plan.select(
         F.lit("subreddit_page").alias("job_type"),
         tx.listing_url(F.col("subreddit"), F.col("sort_type"), after).alias("url"),
@@ -57,11 +60,11 @@ def crawl_plan(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDIT, sort_t
     )
 
 
-def post_detail_jobs(posts: DataFrame, cap: int = C.MAX_DISCOVERY_URLS) -> DataFrame:
+def post_detail_jobs(posts: DataFrame, cap: int | None = None) -> DataFrame:
     """Post-detail jobs from posts with a subreddit and id.
 
-    Duplicate URLs collapse to one (highest score, then smallest id wins) and
-    the result is capped at ``cap`` by priority then URL (F4).
+    Duplicate URLs collapse to one (highest score, then smallest id wins). All
+    jobs are returned; an explicit ``cap`` applies ``frontier_cap`` (F4).
     """
     p = posts.where(tx.nonempty("subreddit") & tx.nonempty("id"))
     jobs = p.select(
@@ -78,7 +81,7 @@ def post_detail_jobs(posts: DataFrame, cap: int = C.MAX_DISCOVERY_URLS) -> DataF
                            F.col("j.title").alias("title"), F.col("j.score").alias("score"),
                            F.lit("post_detail").alias("phase"))).alias("metadata"),
     )
-    return frontier_cap(out, cap)
+    return out if cap is None else frontier_cap(out, cap)
 
 
 def frontier_cap(jobs: DataFrame, cap: int = C.MAX_DISCOVERY_URLS) -> DataFrame:
@@ -95,12 +98,11 @@ def distinct_urls(jobs: DataFrame) -> DataFrame:
 
 def insert_new(existing: DataFrame, candidates: DataFrame) -> DataFrame:
     """Insert-or-ignore (C5, J3): candidate URLs already in the frontier are
-    ignored; among candidates with the same URL the highest priority (then
-    smallest candidate id) wins. Returns only the rows really inserted."""
+    ignored; among candidates with the same URL the first insert (smallest id)
+    wins (S20). Returns only the rows really inserted."""
     fresh = candidates.join(existing.select("url"), "url", "left_anti")
-    w = F.struct((-F.col("priority")).alias("p"), F.col("id").alias("i"))
     cols = [c for c in fresh.columns if c != "url"]
-    return fresh.groupBy("url").agg(F.min_by(F.struct(*cols), w).alias("j")).select("url", "j.*")
+    return fresh.groupBy("url").agg(F.min_by(F.struct(*cols), "id").alias("j")).select("url", "j.*")
 
 
 # ---------------------------------------------------------------------------
@@ -119,8 +121,8 @@ def next_jobs(jobs: DataFrame, n: int, max_retries: int = C.MAX_RETRIES) -> Data
 
 
 def claim(jobs: DataFrame, picked: DataFrame, worker_id: Column | str, as_of) -> DataFrame:
-    """Mark picked jobs in progress (J5); ``picked`` has ``id``."""
-    flag = picked.select(F.col("id").alias("_pid"), F.lit(True).alias("_picked"))
+    """Mark picked jobs in progress (J5); ``picked`` has ``id`` (repeats count once)."""
+    flag = picked.select(F.col("id").alias("_pid"), F.lit(True).alias("_picked")).distinct()
     j = jobs.join(flag, jobs["id"] == flag["_pid"], "left")
     hit = F.coalesce(F.col("_picked"), F.lit(False))
     wid = F.lit(worker_id) if isinstance(worker_id, str) else worker_id
@@ -131,9 +133,16 @@ def claim(jobs: DataFrame, picked: DataFrame, worker_id: Column | str, as_of) ->
           else F.col(c) for c in jobs.columns])
 
 
+def _last_outcome(outcomes: DataFrame, *cols: str) -> DataFrame:
+    """One outcome per id, the one that finished last (then the largest values)."""
+    row = F.struct("finished_at", *(c for c in cols if c != "finished_at"))
+    return outcomes.groupBy(F.col("id").alias("_oid")).agg(F.max(row).alias("_o"))
+
+
 def apply_completions(jobs: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Completed outcomes (``id``, ``finished_at``) -> status completed."""
-    o = outcomes.select(F.col("id").alias("_oid"), F.col("finished_at").alias("_at"))
+    """Completed outcomes (``id``, ``finished_at``) -> status completed (J6); of
+    several outcomes for an id the last one counts."""
+    o = _last_outcome(outcomes).select("_oid", F.col("_o.finished_at").alias("_at"))
     j = jobs.join(o, jobs["id"] == o["_oid"], "left")
     hit = F.col("_oid").isNotNull()
     return j.select(*[F.when(hit, F.lit(C.JOB_COMPLETED)).otherwise(F.col(c)).alias(c) if c == "status"
@@ -144,8 +153,9 @@ def apply_completions(jobs: DataFrame, outcomes: DataFrame) -> DataFrame:
 def apply_failures(jobs: DataFrame, outcomes: DataFrame, max_retries: int = C.MAX_RETRIES) -> DataFrame:
     """Failure outcomes (``id``, ``error``, ``finished_at``) -> retry with
     count + 1 while the incremented count stays below ``max_retries``,
-    otherwise failed (J7, S22; exhausted retries end as failed, X2)."""
-    o = outcomes.select(F.col("id").alias("_oid"), F.col("error").alias("_err"), F.col("finished_at").alias("_at"))
+    otherwise failed (J7, S22; exhausted retries end as failed, X2); of several
+    outcomes for an id the last one counts."""
+    o = _last_outcome(outcomes, "error").select("_oid", F.col("_o.error").alias("_err"), F.col("_o.finished_at").alias("_at"))
     j = jobs.join(o, jobs["id"] == o["_oid"], "left")
     hit = F.col("_oid").isNotNull()
     retry = hit & (F.col("retry_count") + 1 < max_retries)
@@ -167,12 +177,16 @@ def apply_failures(jobs: DataFrame, outcomes: DataFrame, max_retries: int = C.MA
     return j.select(*out)
 
 
-def reset_stalled(jobs: DataFrame, as_of, timeout_minutes: int = C.STALL_TIMEOUT_MINUTES) -> DataFrame:
+def reset_stalled(jobs: DataFrame, as_of, timeout_minutes: int = C.STALL_TIMEOUT_MINUTES,
+                  max_retries: int = C.MAX_RETRIES) -> DataFrame:
     """In-progress jobs started before ``as_of - timeout`` go back to retry
-    with one more retry counted and no worker (J8)."""
+    with one more retry counted and no worker (J8); a job whose count thereby
+    reaches ``max_retries`` ends as failed instead of a retry that nothing may
+    pick up (X2)."""
     stalled = (F.col("status") == C.JOB_IN_PROGRESS) & (F.col("started_at") < _minus_seconds(_ts(as_of), timeout_minutes * 60))
     stalled = F.coalesce(stalled, F.lit(False))
-    return jobs.select(*[F.when(stalled, F.lit(C.JOB_RETRY)).otherwise(F.col(c)).alias(c) if c == "status"
+    next_status = F.when(F.col("retry_count") + 1 < max_retries, F.lit(C.JOB_RETRY)).otherwise(F.lit(C.JOB_FAILED))
+    return jobs.select(*[F.when(stalled, next_status).otherwise(F.col(c)).alias(c) if c == "status"
                          else F.when(stalled, F.lit(None).cast("string")).otherwise(F.col(c)).alias(c) if c == "worker_id"
                          else F.when(stalled, F.col(c) + 1).otherwise(F.col(c)).alias(c) if c == "retry_count"
                          else F.col(c) for c in jobs.columns])
@@ -193,13 +207,14 @@ def _count_status(s: str) -> Column:
     return F.sum(F.when(F.col("status") == s, 1).otherwise(0)).cast("bigint")
 
 
-def job_stats(jobs: DataFrame, as_of) -> DataFrame:
+def job_stats(jobs: DataFrame, as_of=None) -> DataFrame:
     """Queue report in one row (J10 = D4 + D5 + D6): counts per status (NULL
     sums on an empty table), mean duration of completed jobs in seconds,
-    completions in the trailing minute (strict ``>``)."""
+    completions in the trailing minute (strict ``>``; 0 without ``as_of``)."""
     dur = (F.unix_micros(F.col("completed_at")) - F.unix_micros(F.col("started_at"))) / F.lit(1e6)
     done = (F.col("status") == C.JOB_COMPLETED) & F.col("completed_at").isNotNull() & F.col("started_at").isNotNull()
-    recent = (F.col("status") == C.JOB_COMPLETED) & (F.col("completed_at") > _minus_seconds(_ts(as_of), 60))
+    recent = F.lit(False) if as_of is None else (
+        (F.col("status") == C.JOB_COMPLETED) & (F.col("completed_at") > _minus_seconds(_ts(as_of), 60)))
     return jobs.agg(
         F.count(F.lit(1)).alias("total"),
         _count_status(C.JOB_PENDING).alias("pending"),
@@ -262,10 +277,10 @@ def current_state(attempts: DataFrame, key: str = "url", order: tuple[str, ...]
 
 
 def crawl_size_estimate(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDIT, sort_types=C.SORT_TYPES,
-                        fetch_comments: bool = True, delay: float = C.REQUEST_DELAY_SEC) -> DataFrame:
-    """Expected crawl size (J12): listing pages = subreddits x sort types x
-    pages, posts = 100 per page, one comment job per post when comments are
-    fetched, total URLs and sequential hours at ``delay`` seconds per request."""
+                        fetch_comments: bool = True) -> DataFrame:
+    """URLs a crawl of the given subreddits asks for (J12): listing pages =
+    subreddits x sort types x pages, posts = 100 per page, one comment job per
+    post when comments are fetched."""
     n_subs = F.count_distinct(tx.strip(F.col("subreddit")))
     pages_col = n_subs * F.lit(len(sort_types) * pages)
     posts = pages_col * C.POSTS_PER_PAGE
@@ -273,16 +288,11 @@ def crawl_size_estimate(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDI
     total = pages_col + posts + comments
     return subreddits.where(tx.nonempty("subreddit")).agg(
         pages_col.cast("bigint").alias("subreddit_pages"), posts.cast("bigint").alias("estimated_posts"),
-        comments.cast("bigint").alias("estimated_comments"), total.cast("bigint").alias("total_urls"),
-        F.round(total * F.lit(delay) / 3600, 2).alias("sequential_hours"))
+        comments.cast("bigint").alias("estimated_comments"), total.cast("bigint").alias("total_urls"))
 
 
-def run_summary(stats: DataFrame, files: DataFrame, worker_seconds: float, delay: float = C.REQUEST_DELAY_SEC) -> DataFrame:
-    """One-row run summary (J13): success rate, output files and MB, and the
-    speed-up ``completed * delay / worker_seconds`` (NULL if either is 0)."""
+def run_summary(stats: DataFrame, files: DataFrame) -> DataFrame:
+    """One-row run summary (J13): success rate, output files and MB."""
     f = files.agg(F.count(F.lit(1)).alias("output_files"), F.round(F.sum("size_mb"), 2).alias("output_mb"))
-    s = job_progress(stats)
-    speed = F.when((F.col("completed") > 0) & F.lit(worker_seconds > 0),
-                   F.round(F.col("completed") * F.lit(delay) / F.lit(max(worker_seconds, 1e-9)), 1))
     one = F.lit(1).alias("_one")
-    return s.select("*", one).join(f.select("*", one), "_one").drop("_one").select("*", speed.alias("speedup_estimate"))
+    return job_progress(stats).select("*", one).join(f.select("*", one), "_one").drop("_one")

@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition before CPU-heavy per-row work (tokenising,
-    chunking, hashing, scoring) when the input has fewer partitions than the
-    cluster runs at once, e.g. a table stored as one large row group. Inputs
-    that are already well split (the normal case at scale) pass unchanged, so
-    no shuffle is added there. Spark sorts before a round-robin repartition,
-    so a retried task reproduces the same rows."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): keep the layout
-        return df
-    return df.repartition(target) if current < target else df
+    chunking, hashing, scoring) when the frame reads fewer files than the
+    cluster runs tasks at once, e.g. a table stored as one large row group.
+    Tables of many files (the normal case at scale) pass unchanged, so no
+    shuffle is added there. Only the plan's file list is looked at: no job
+    runs. Spark sorts before a round-robin repartition, so a retried task
+    reproduces the same rows."""
+    target = min_partitions or int(df.sparkSession.conf.get("spark.default.parallelism", None) or _slots(df))
+    files = len(df.inputFiles())
+    return df.repartition(target) if 0 < files < target else df
+
+
+def _slots(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism

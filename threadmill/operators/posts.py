@@ -87,10 +87,10 @@ def route_by_type(jobs: DataFrame, known=C.JOB_TYPES) -> DataFrame:
 
 
 def posts_per_subreddit(df: DataFrame) -> DataFrame:
-    """Posts per subreddit, missing names as 'unknown', most first."""
+    """Posts per subreddit, missing names as 'unknown', by name."""
     return (df.groupBy(F.coalesce(F.col("subreddit"), F.lit("unknown")).alias("subreddit"))
             .agg(F.count(F.lit(1)).alias("n_posts"))
-            .orderBy(F.col("n_posts").desc(), F.col("subreddit")))
+            .orderBy("subreddit"))
 
 
 def latest_per_key(df: DataFrame, key: str = "id", order_col: str = "scraped_at", tie: str | None = None) -> DataFrame:

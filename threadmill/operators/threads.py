@@ -63,7 +63,8 @@ def flatten_adjacency(
     ``nodes`` needs ``post_id, id, parent_id``; other columns are carried.
     ``keep_node`` (optional predicate) prunes a node *and its whole subtree*
     before it is expanded (S11). Output adds ``depth INT`` and ``path``
-    (array of sibling keys). Nodes not reachable from a root are not emitted.
+    (array of sibling keys). Nodes that no root leads to are not part of the
+    tree; ``unreached`` returns them.
     """
     key = F.col(sort_key) if isinstance(sort_key, str) else sort_key
     base = nodes.withColumn("_key", key)
@@ -108,23 +109,20 @@ def cap_per_post(tree: DataFrame, n: int = C.MAX_COMMENTS_PER_POST, order: Colum
     return tree.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def replies_per_parent(tree: DataFrame, max_per_row: int = 1000) -> DataFrame:
-    """Nest one level: per (post, parent) the ordered direct reply ids (H3).
-
-    A parent with more than ``max_per_row`` replies is split into
-    ``ceil(n / max_per_row)`` parts by a hash of the reply id, so no single
-    row (or task) ever gathers an unbounded list; within a part the ids are in
-    pre-order. Reply counts come from a partial aggregation first.
+def replies_per_parent(tree: DataFrame) -> DataFrame:
+    """Direct replies of each parent in order (H3): one row (post_id,
+    parent_id, position, reply_id) a reply. ``position`` is the sibling key at
+    the end of the path, so there is one row shape at every size, no list to
+    gather and no shuffle.
     """
-    replies = tree.where(F.col("parent_id").isNotNull())
-    counts = replies.groupBy("post_id", "parent_id").agg(F.count(F.lit(1)).alias("n_replies"))
-    parts = F.greatest(F.ceil(F.col("n_replies") / F.lit(max_per_row)), F.lit(1))
-    keyed = replies.join(counts, ["post_id", "parent_id"]).withColumn(
-        "part", F.pmod(F.xxhash64("id"), parts).cast("int"))
-    return keyed.groupBy("post_id", "parent_id", "part", "n_replies").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("path"), F.col("id")))),
-                                 lambda s: s["id"]), ",").alias("reply_ids"),
-    )
+    return tree.where(F.col("parent_id").isNotNull()).select(
+        "post_id", "parent_id", F.element_at("path", -1).alias("position"), F.col("id").alias("reply_id"))
+
+
+def unreached(nodes: DataFrame, tree: DataFrame) -> DataFrame:
+    """Nodes that no root leads to: their parent, or one above it, is absent or
+    was pruned. With the tree they make up all of ``nodes``."""
+    return nodes.join(tree.select("post_id", "id"), ["post_id", "id"], "left_anti")
 
 
 def comments_by_depth(tree: DataFrame) -> DataFrame:

@@ -22,10 +22,9 @@ SPLIT = "2024-01-15 00:00:00"
 
 
 def _as_of(jobs):
-    """``as_of`` = latest completion in the table, as a timestamp literal
-    (a single aggregated scalar; keeps the trailing-minute report non-empty)."""
-    micros = jobs.agg(F.max(F.unix_micros("completed_at")).alias("m")).first()["m"]
-    return F.timestamp_micros(F.lit(int(micros or 0)))
+    """``as_of`` = latest completion in the table: a scalar subquery of the same
+    plan (keeps the trailing-minute report non-empty)."""
+    return jobs.agg(F.max("completed_at")).scalar()
 
 
 def _jobs_out(df):
@@ -45,7 +44,7 @@ JOBS_OUT_SQL = f"id, status, retry_count, worker_id, {S.ts('started_at')} AS sta
 def q_job_status_counts(spark, sf_dir):
     """Status breakdown in one row."""
     j = V.jobs_v(spark, sf_dir)
-    return FR.job_stats(j, _as_of(j)).select("total", "pending", "in_progress", "completed", "failed", "retry")
+    return FR.job_stats(j).select("total", "pending", "in_progress", "completed", "failed", "retry")
 
 
 @query("job_avg_duration", W(JV) + """SELECT round(avg((epoch_us(completed_at) - epoch_us(started_at)) / 1e6), 6) AS avg_duration_seconds
@@ -53,7 +52,7 @@ FROM jobs_v WHERE status = 'completed' AND completed_at IS NOT NULL AND started_
 def q_job_avg_duration(spark, sf_dir):
     """Mean duration of completed jobs in seconds."""
     j = V.jobs_v(spark, sf_dir)
-    return FR.job_stats(j, _as_of(j)).select("avg_duration_seconds")
+    return FR.job_stats(j).select("avg_duration_seconds")
 
 
 @query("jobs_last_minute", W(JV) + f"""SELECT count(*) AS jobs_per_minute FROM jobs_v
@@ -94,7 +93,7 @@ FROM (SELECT count(*) AS total, count(*) FILTER (WHERE status = 'completed') AS
 def q_job_progress(spark, sf_dir):
     """Success rate and progress percentages, rounded to 2 places."""
     j = V.jobs_v(spark, sf_dir)
-    return FR.job_progress(FR.job_stats(j, _as_of(j)))
+    return FR.job_progress(FR.job_stats(j))
 
 
 @query("worker_stats", W(JV, V.RESULTS_V_SQL) + """SELECT worker_id, count(*) FILTER (WHERE status = 'completed') AS jobs_completed,
@@ -169,12 +168,12 @@ def q_apply_failures(spark, sf_dir):
     return _jobs_out(FR.apply_failures(j, _outcomes(j, False)))
 
 
-@query("reset_stalled", W(JV) + f"""SELECT id, CASE WHEN st THEN 'retry' ELSE status END AS status,
+@query("reset_stalled", W(JV) + f"""SELECT id, CASE WHEN st AND retry_count + 1 >= {C.MAX_RETRIES} THEN 'failed' WHEN st THEN 'retry' ELSE status END AS status,
   CASE WHEN st THEN retry_count + 1 ELSE retry_count END AS retry_count, CASE WHEN st THEN NULL ELSE worker_id END AS worker_id,
   {S.ts('started_at')} AS started_at, {S.ts('completed_at')} AS completed_at, error_message
 FROM (SELECT *, coalesce(status = 'in_progress' AND started_at < make_timestamp(epoch_us({AS_OF_SQL}) - {C.STALL_TIMEOUT_MINUTES * 60}000000), FALSE) AS st FROM jobs_v)""")
 def q_reset_stalled(spark, sf_dir):
-    """In progress for more than 30 minutes -> retry, +1."""
+    """In progress for more than 30 minutes -> retry, +1, or failed where retries are exhausted."""
     j = V.jobs_v(spark, sf_dir)
     return _jobs_out(FR.reset_stalled(j, _as_of(j)))
 
@@ -187,7 +186,7 @@ def q_retention(spark, sf_dir):
     return FR.retention(j, _as_of(j)).select("id", "status")
 
 
-@query("frontier_insert_new", W(JV) + f"""SELECT url, arg_min(id, (-priority, id)) AS id, max(priority) AS priority FROM jobs_v c
+@query("frontier_insert_new", W(JV) + f"""SELECT url, min(id) AS id, arg_min(priority, id) AS priority FROM jobs_v c
 WHERE created_at >= TIMESTAMP '{SPLIT}' AND NOT EXISTS (SELECT 1 FROM jobs_v e WHERE e.created_at < TIMESTAMP '{SPLIT}' AND e.url = c.url)
 GROUP BY url""")
 def q_frontier_insert_new(spark, sf_dir):
@@ -236,12 +235,13 @@ def _crawl_plan(spark, sf_dir):
     return FR.crawl_plan(subs, C.PAGES_PER_SUBREDDIT, tokens=tokens)
 
 
-CRAWL_PLAN_SQL = W(V.POSTS_V_SQL, PAGES_SQL) + f""", plan AS (
+CRAWL_PLAN_SQL = W(V.POSTS_V_SQL, PAGES_SQL) + f""", every_page AS (
   SELECT s.subreddit, t.sort_type, p.page_ix, pg.after
   FROM (SELECT DISTINCT subreddit FROM posts_v) s, (SELECT unnest(['new', 'hot', 'top']) AS sort_type) t,
        (SELECT unnest(range(0, {C.PAGES_PER_SUBREDDIT})) AS page_ix) p
-  LEFT JOIN pages_v pg ON pg.subreddit = s.subreddit AND t.sort_type = 'new' AND pg.page = p.page_ix AND pg.after IS NOT NULL
-  WHERE p.page_ix = 0 OR pg.after IS NOT NULL)
+  LEFT JOIN pages_v pg ON pg.subreddit = s.subreddit AND t.sort_type = 'new' AND pg.page = p.page_ix AND pg.after IS NOT NULL),
+plan AS (SELECT * FROM every_page QUALIFY count(*) FILTER (WHERE page_ix > 0 AND after IS NULL)
+  OVER (PARTITION BY subreddit, sort_type ORDER BY page_ix) = 0)
 """
 CRAWL_PLAN_COLS = f"""subreddit, sort_type, page_ix + 1 AS page,
   {S.lit(C.SITE_BASE + '/r/')} || subreddit || '/' || sort_type || '.json' || CASE WHEN after IS NOT NULL THEN '?after=' || after || '&limit=100' ELSE '?limit=100' END AS url,
@@ -263,11 +263,10 @@ def q_page_priority(spark, sf_dir):
 @query("crawl_size_estimate", W(V.POSTS_V_SQL) + f"""SELECT n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT} AS subreddit_pages,
   n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * C.POSTS_PER_PAGE} AS estimated_posts,
   n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * C.POSTS_PER_PAGE} AS estimated_comments,
-  n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * (1 + 2 * C.POSTS_PER_PAGE)} AS total_urls,
-  round(n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * (1 + 2 * C.POSTS_PER_PAGE)} * {C.REQUEST_DELAY_SEC} / 3600, 2) AS sequential_hours
+  n * {len(C.SORT_TYPES) * C.PAGES_PER_SUBREDDIT * (1 + 2 * C.POSTS_PER_PAGE)} AS total_urls
 FROM (SELECT count(DISTINCT subreddit) AS n FROM posts_v WHERE subreddit IS NOT NULL AND subreddit <> '')""")
 def q_crawl_size_estimate(spark, sf_dir):
-    """Expected crawl size and sequential hours for the subreddits seen."""
+    """URLs a crawl of the subreddits seen asks for."""
     return FR.crawl_size_estimate(V.posts_v(spark, sf_dir).select("subreddit"))
 
 
@@ -283,15 +282,20 @@ def q_post_detail_jobs(spark, sf_dir):
                        F.try_variant_get(meta, "$.title", "string").alias("title"))
 
 
-@query("run_summary")
+@query("run_summary", W(JV) + """SELECT total, completed, failed,
+  round(completed / greatest(total, 1) * 100, 2) AS success_rate,
+  round((completed + failed) / greatest(total, 1) * 100, 2) AS progress_pct, 1 AS output_files, TRUE AS has_output
+FROM (SELECT count(*) AS total, count(*) FILTER (WHERE status = 'completed') AS completed,
+             count(*) FILTER (WHERE status = 'failed') AS failed FROM jobs_v)""")
 def q_run_summary(spark, sf_dir):
-    """One-row run summary: success rate, output files/MB, speed-up (J13). Rows-only check."""
+    """One-row run summary: success rate and the output files.
+    The jobs report is written as one file, so its count is known to SQL."""
     from ..session import scratch_path
     from ..sources import files as io
     j = V.jobs_v(spark, sf_dir)
-    stats = FR.job_stats(j, _as_of(j))
+    stats = FR.job_stats(j)
     path = scratch_path(spark, "summary_out")
-    io.write_posts(V.posts_v(spark, sf_dir), path, partition_by=None)
-    files = io.file_inventory(spark, path)
-    worker_seconds = j.agg(F.sum(F.unix_micros("completed_at") - F.unix_micros("started_at")).alias("s")).first()["s"] or 0
-    return FR.run_summary(stats, files, worker_seconds / 1e6)
+    io.write_posts(stats.coalesce(1), path, partition_by=None)
+    out = FR.run_summary(stats, io.file_inventory(spark, path))
+    return out.select("total", "completed", "failed", "success_rate", "progress_pct",
+                      F.col("output_files").cast("int").alias("output_files"), (F.col("output_mb") >= 0).alias("has_output"))

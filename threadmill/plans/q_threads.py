@@ -62,11 +62,22 @@ def q_comments_capped(spark, sf_dir):
     return t.select("post_id", "id", F.col("depth").cast("bigint").alias("depth"))
 
 
-@query("replies_per_parent", _tree_sql(False) + """SELECT post_id, parent_id, 0 AS part, count(*) AS n_replies,
-  string_agg(id, ',' ORDER BY path) AS reply_ids FROM tree WHERE parent_id IS NOT NULL GROUP BY 1, 2""")
+@query("replies_per_parent", _tree_sql(False) + """SELECT post_id, parent_id,
+  CAST(right(path, 6) AS BIGINT) AS position, id AS reply_id FROM tree WHERE parent_id IS NOT NULL""")
 def q_replies_per_parent(spark, sf_dir):
-    """Nest one level: ordered direct replies per parent (H3)."""
-    return TH.replies_per_parent(_tree(spark, sf_dir, False))
+    """Direct replies per parent with their position (H3)."""
+    out = TH.replies_per_parent(_tree(spark, sf_dir, False))
+    return out.withColumn("position", F.col("position").cast("bigint"))
+
+
+@query("thread_unreached", _tree_sql(True) + """SELECT n.post_id, n.id, n.parent_id FROM nodes n
+WHERE NOT EXISTS (SELECT 1 FROM tree t WHERE t.post_id = n.post_id AND t.id = n.id)""")
+def q_thread_unreached(spark, sf_dir):
+    """Comments with a body that stand below a dropped one: what the slim flatten leaves out."""
+    c = V.comments_v(spark, sf_dir)
+    b = F.col("body")
+    kept = c.where(b.isNotNull() & (b != "") & ~b.isin(*C.DELETED_BODIES))
+    return TH.unreached(kept, _tree(spark, sf_dir, True)).select("post_id", "id", "parent_id")
 
 
 @query("comments_by_depth", _tree_sql(False) + "SELECT CAST(depth AS BIGINT) AS depth, count(*) AS n_comments FROM tree GROUP BY 1")

@@ -42,19 +42,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def _size_local_shuffles(spark: SparkSession) -> None:
-    """A single-machine session left at Spark's default of 200 shuffle
-    partitions gets 2 x its cores instead (explicit repartitions and stream
-    state stores use this number and are not coalesced by AQE). Cluster
-    sessions, and any value the user set, are left alone."""
+    """A single-machine session in which nobody has set the number of shuffle
+    partitions gets 2 x its cores (explicit repartitions and stream state
+    stores use this number and are not coalesced by AQE). Cluster sessions,
+    and any value the user set, 200 included, are left alone."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote session
         return
-    if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(2, 2 * sc.defaultParallelism)))
+    key = "spark.sql.shuffle.partitions"
+    if sc.master.startswith("local[") and key not in spark.conf.getAll:
+        spark.conf.set(key, str(max(2, 2 * sc.defaultParallelism)))
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -66,7 +67,7 @@ def ship_package(spark: SparkSession) -> None:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote session: ship with the session's artifacts instead
         return
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     import zipfile
 
@@ -81,7 +82,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, parent))
     sc.addPyFile(zpath)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -21,9 +21,12 @@ def _fmt(fmt: str | None) -> str:
 
 
 def write_posts(df: DataFrame, path: str, fmt: str | None = None, partition_by: str | None = "ingest_date",
-                mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
+                mode: str = "append", max_records_per_file: int | None = None) -> None:
     """One write per batch; an empty batch writes nothing.
 
+    Batches add files by default. ``overwrite`` replaces the dates the batch
+    holds (all files, without ``partition_by``) and leaves other dates alone.
+
     JSON lines keep null fields (``ignoreNullFields=false``) and write UTF-8
     text unescaped.
     """
@@ -31,7 +34,7 @@ def write_posts(df: DataFrame, path: str, fmt: str | None = None, partition_by:
         return
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(partition_by)
+        w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if _fmt(fmt) == "json":
@@ -90,13 +93,16 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> D
 
 def upsert_by_id(existing: DataFrame, updates: DataFrame, key: str = "chunk_id", version: str | None = None) -> DataFrame:
     """Upsert (A17): the update row wins for a key already present; other
-    existing rows are kept. With deterministic ids a re-index replaces rows
-    instead of duplicating them."""
-    kept = existing.join(updates.select(key), key, "left_anti")
-    out = kept.unionByName(updates)
-    if version:
-        out = out.groupBy(key).agg(F.max_by(F.struct(*[c for c in out.columns if c != key]), F.col(version)).alias("_r")).select(key, "_r.*")
-    return out
+    existing rows are kept. Of several updates for a key the one with the
+    largest ``version`` wins (then, or without it, the largest values). With
+    deterministic ids a re-index replaces rows instead of duplicating them."""
+    others = [c for c in updates.columns if c != key]
+    order = F.struct(*([version] if version else []), *(c for c in others if c != version))
+    new = updates.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("_r")).select(key, "_r.*")
+    if version:  # an older update does not replace a newer row
+        both = existing.unionByName(new)
+        return both.groupBy(key).agg(F.max_by(F.struct(*others), F.col(version)).alias("_r")).select(key, "_r.*")
+    return existing.join(new.select(key), key, "left_anti").unionByName(new)
 
 
 def write_summary_json(summary: DataFrame, path: str) -> None:
