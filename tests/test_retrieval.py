@@ -62,7 +62,7 @@ def test_bm25_matches_brute_force(spark):
     docs = {1: "the cat sat on the mat", 2: "the dog sat", 3: "cats and dogs", 4: "a mat for the cat cat"}
     corpus = spark.createDataFrame(list(docs.items()), "id long, text string")
     qs = spark.createDataFrame([(10, "cat mat"), (11, "dog")], "query_id long, query_text string")
-    got = {(r["query_id"], r["id"]): r["score"] for r in RR.bm25_search(corpus, qs, "id", "text").collect()}
+    got = {(r["query_id"], r["id"]): r["score"] for r in RR.bm25_topk(corpus, qs, "id", "text", k=10).collect()}
     for qid, qt in [(10, "cat mat"), (11, "dog")]:
         for d, s in py_bm25(docs, qt).items():
             assert abs(got[(qid, d)] - s) < 1e-6
@@ -114,13 +114,32 @@ def test_bm25_topk_matches_brute_force(spark):
             assert [(r["id"], r["score"]) for r in rows] == [(d, s) for d, s in want]
 
 
-def test_bm25_rescore_equals_native_pairs(spark):
+def test_bm25_pairs_cover_all_candidates(spark):
     docs = {i: t for i, t in enumerate(["the cat sat on the mat", "the dog sat", "cats and dogs", "a mat for the cat cat",
                                         "dog dog dog", "nothing here"])}
     corpus = spark.createDataFrame(list(docs.items()), "id long, text string").repartition(2)
     qs = spark.createDataFrame([(10, "cat mat"), (11, "dog"), (12, "")], "query_id long, query_text string")
     pairs = spark.createDataFrame([(10, 0), (10, 2), (10, 5), (11, 1), (11, 4), (12, 3)], "query_id long, id long")
-    native = {(r["query_id"], r["id"]): r["rerank_score"] for r in RR.bm25_pairs(pairs, corpus, qs, "id", "text").collect()}
-    for block in (RR.MAX_SIDE_BYTES, 8):
-        fast = {(r["query_id"], r["id"]): r["rerank_score"] for r in RR.bm25_rescore(pairs, corpus, qs, "id", "text", max_side_bytes=block).collect()}
-        assert fast == native and len(fast) == 6
+    got = {(r["query_id"], r["id"]): r["rerank_score"] for r in RR.bm25_pairs(pairs, corpus, qs, "id", "text").collect()}
+    assert len(got) == 6
+    for (q, d), v in got.items():
+        assert abs(v - py_bm25(docs, {10: "cat mat", 11: "dog", 12: ""}[q]).get(d, 0.0)) < 1e-6
+
+
+def test_ties_stay_bounded(spark):
+    import numpy as np
+    from threadmill.operators.topk import bounded_topk
+
+    vec = spark.range(20_000).selectExpr("id as vec_id", "array(if(id < 3, 1.0D, 0.0D), 1.0D) as embedding").coalesce(1)
+    qs = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, qvec array<double>")
+    out = VE.topk_exact(vec, qs, 10).collect()
+    assert sorted(r["vec_id"] for r in out) == list(range(10))
+    scores = np.zeros(50_000)
+    scores[:3] = 1
+    ids = np.arange(50_000)[::-1]
+    keep = bounded_topk(scores, ids, 10, 6)
+    assert len(keep) <= 200 and set(range(9)) <= set(ids[keep].tolist())
+    rng = np.random.default_rng(0)
+    s = rng.choice([0.5, 0.5000004, 0.5000006, 0.4999996, 0.7, 0.1], 4000) + rng.choice([0, 1e-12], 4000)
+    want = np.lexsort((ids[:4000], -np.round(s, 6)))[:25]
+    assert set(want) <= set(bounded_topk(s, ids[:4000], 25, 6))

@@ -2,143 +2,58 @@
 
 Default scorer: Okapi BM25 (Robertson & Zaragoza 2009) computed from native
 aggregates. Corpus statistics (N, average length, document frequency) come
-from the *whole* corpus; document frequencies are only aggregated for terms
-that occur in the queries (a broadcast semi-join on the query-term set, whose
-size is checked first), so the expensive aggregation stays proportional to
+from one pass over the *whole* corpus; document frequencies are only counted
+for terms that occur in the queries, so the stored table stays proportional to
 the query vocabulary.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import text as tx
+from ..session import scratch_path
 from .layout import spread
+from .topk import bounded_topk
 
-MAX_BROADCAST_ROWS = 2_000_000
 SCORE_DP = 6
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only when its measured row count is within
-    ``max_rows``; otherwise leave the join strategy to the planner (AQE)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _observed(obs: Observation, tok: DataFrame) -> dict:
-    """Metrics observed during the pass; if the optimiser evaluated the plan
-    without running the observing operator (e.g. an in-memory local
-    relation), fall back to one aggregate."""
-    try:
-        m = obs.get
-    except Exception:  # noqa: BLE001 - no metrics were produced
-        m = {}
-    if not m:
-        r = tok.agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl")).first()
-        m = {"n": r["n"], "sum_dl": r["sum_dl"]}
-    return m
-
-
-def indexed_postings(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> tuple[DataFrame, int, float]:
-    """One pass over the corpus: postings (doc, dl, term, tf) restricted to
-    ``terms`` (persisted; proportional to the query vocabulary, not the
-    corpus) plus the whole-corpus statistics N and average length, which are
-    collected as observed metrics of that same pass (no second scan, no cache
-    of the tokenised corpus)."""
-    obs = Observation(f"bm25_corpus_{uuid.uuid4().hex[:8]}")
-    tok = (spread(corpus).select(F.col(id_col).alias("doc"), tx.tokens(F.col(text_col)).alias("_t"))
-           .select("doc", F.size("_t").alias("dl"), "_t")
-           .observe(obs, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl")))
-    post = _postings(tok, terms).persist(StorageLevel.MEMORY_AND_DISK)
-    post.count()
-    m = _observed(obs, tok)
-    n = int(m.get("n") or 0)
-    avgdl = float(m.get("sum_dl") or 0) / n if n else 0.0
-    return post, n, avgdl
-
-
 def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "query_text") -> DataFrame:
     """Distinct tokens per query."""
     return queries.select(F.col(qid).alias("query_id"), F.explode(F.array_distinct(tx.tokens(F.col(qtext)))).alias("term"))
 
 
-def _postings(tok: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc, dl, term, tf) for terms in ``terms`` only.
-
-    Term frequencies are counted inside each row (all tokens of a document
-    are in that row), so the postings need no shuffle; the semi join against
-    the broadcast query-term set runs map-side. ``explode_outer`` + null filter
-    keeps Catalyst from pushing an inferred size filter (i.e. the tokenising)
-    below the repartition into the scan task."""
-    t = tx.with_term_counts(tok, "_t", "_tc")
-    t = t.select("doc", "dl", F.explode_outer("_tc").alias("_p")).where(F.col("_p").isNotNull())
-    t = t.select("doc", "dl", F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf"))
-    return t.join(terms, "term", "left_semi")
-
+def _counted(corpus: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, dl, _t): tokens of each document."""
+    tok = spread(corpus).select(F.col(id_col).alias("doc"), tx.tokens(F.col(text_col)).alias("_t"))
+    return tok.select("doc", F.size("_t").alias("dl"), "_t")
 
-def _idf(corpus_postings: DataFrame, n_docs: int) -> DataFrame:
-    # One row per (doc, term) already: df is a plain partial-aggregated count.
-    df_t = corpus_postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return df_t.select("term", F.ln(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
 
-
-def _score(pairs_tf: DataFrame, idf: DataFrame, avgdl: float, k1: float, b: float) -> DataFrame:
-    # idf has one row per query term: bounded by the checked query-term table.
-    j = pairs_tf.join(F.broadcast(idf), "term")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
-    part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    return j.groupBy("query_id", "doc").agg(F.round(F.sum(part), SCORE_DP).alias("score"))
-
-
-def bm25_search(
-    corpus: DataFrame,
-    queries: DataFrame,
-    id_col: str,
-    text_col: str,
-    qid: str = "query_id",
-    qtext: str = "query_text",
-    k1: float = C.BM25_K1,
-    b: float = C.BM25_B,
-) -> DataFrame:
-    """BM25 score of every (query, document) sharing at least one term.
-
-    Output ``query_id, <id_col>, score``. The corpus is tokenised once; the
-    query-term table is broadcast (after a size check), so postings are never
-    shuffled for the join, and a hot term only adds map-side work.
-    """
-    qt = maybe_broadcast(query_terms(queries, qid, qtext))
-    post, n_docs, avgdl = indexed_postings(corpus, id_col, text_col, qt.select("term").distinct())
-    idf = _idf(post, n_docs)
-    pairs_tf = post.join(qt, "term")
-    return _score(pairs_tf, idf, avgdl, k1, b).withColumnRenamed("doc", id_col)
-
-
-def _term_df(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> tuple[DataFrame, int, float]:
-    """Document frequency of ``terms`` (small, broadcast) over the whole
-    corpus plus N and average length, in one pass: per-row distinct tokens,
-    map-side semi join, partial-aggregated count; N and the length sum are
-    observed metrics of the same pass. Returns a persisted (term, df) frame."""
-    obs = Observation(f"bm25_df_{uuid.uuid4().hex[:8]}")
-    tok = (spread(corpus).select(tx.tokens(F.col(text_col)).alias("_t")).select("_t", F.size("_t").alias("dl"))
-           .observe(obs, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl")))
-    uniq = tok.select(F.explode_outer(F.array_distinct("_t")).alias("term")).where(F.col("term").isNotNull())
-    df_t = uniq.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    df_t = df_t.persist(StorageLevel.MEMORY_AND_DISK)
-    df_t.count()
-    m = _observed(obs, tok)
-    n = int(m.get("n") or 0)
-    return df_t, n, (float(m.get("sum_dl") or 0) / n if n else 0.0)
+def corpus_statistics(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> tuple[DataFrame, int, float]:
+    """((term, idf) of ``terms``, N, average length) over the whole corpus, in one
+    pass whatever the number of query blocks: distinct tokens of each row, a join
+    with the query terms (strategy left to the planner) and a partially
+    aggregated count. Every document also adds one row under NULL, which carries
+    N and the total length. The result has one row a query term and is stored."""
+    tok = _counted(corpus, id_col, text_col)
+    rows = tok.select("dl", F.explode_outer(F.concat(F.array_distinct("_t"), F.array(F.lit(None).cast("string")))).alias("term"))
+    wanted = terms.select("term").distinct().withColumn("_wanted", F.lit(True))
+    rows = rows.join(wanted, "term", "left").where(F.col("_wanted") | F.col("term").isNull())
+    path = scratch_path(corpus.sparkSession, "term_counts")
+    rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum(F.col("dl").cast("long")).alias("dl")).write.parquet(path)
+    counts = corpus.sparkSession.read.parquet(path)
+    whole = counts.where(F.col("term").isNull()).first()
+    n, length = (int(whole["df"]), int(whole["dl"] or 0)) if whole else (0, 0)
+    idf = F.ln(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    return counts.where(F.col("term").isNotNull()).select("term", idf.alias("idf")), n, (length / n if n else 0.0)
 
 
 def bm25_pairs(
@@ -152,19 +67,23 @@ def bm25_pairs(
     k1: float = C.BM25_K1,
     b: float = C.BM25_B,
 ) -> DataFrame:
-    """BM25 score for given (query_id, id) candidate pairs (rerank, I7);
-    statistics over the whole corpus, term counts only for the candidate
-    documents. Pairs without a shared term score 0."""
-    qt = maybe_broadcast(query_terms(queries, qid, qtext))
-    terms = F.broadcast(qt.select("term").distinct())
-    df_t, n_docs, avgdl = _term_df(corpus, id_col, text_col, terms)
-    idf = df_t.select("term", F.ln(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    cand = maybe_broadcast(pairs.select(F.col(qid).alias("query_id"), F.col(id_col).alias("doc")))
+    """BM25 score for given (query_id, id) candidate pairs (rerank, I7), as one
+    join plan: statistics over the whole corpus; term counts, taken inside the
+    row, for the candidate documents only; a sum for each pair. Join strategies
+    are left to the planner. Pairs without a shared term score 0. Output
+    ``query_id, <id_col>, rerank_score``."""
+    qt = query_terms(queries, qid, qtext)
+    idf, _, avgdl = corpus_statistics(corpus, id_col, text_col, qt)
+    cand = pairs.select(F.col(qid).alias("query_id"), F.col(id_col).alias("doc"))
     docs = corpus.select(F.col(id_col).alias("doc"), F.col(text_col)).join(cand.select("doc").distinct(), "doc", "left_semi")
     tok = docs.select("doc", tx.tokens(F.col(text_col)).alias("_t")).select("doc", F.size("_t").alias("dl"), "_t")
-    cand_post = _postings(tok, terms)
-    pairs_tf = cand_post.join(cand, "doc").join(qt, ["query_id", "term"])
-    scored = _score(pairs_tf, idf, avgdl, k1, b)
+    # explode_outer and a null filter: no inferred filter on the array, which would count the terms twice
+    post = tx.with_term_counts(tok, "_t", "_tc").select("doc", "dl", F.explode_outer("_tc").alias("_p"))
+    post = post.where(F.col("_p").isNotNull()).select("doc", "dl", F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf")).join(idf, "term")
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
+    part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
+    scored = (post.select("doc", "term", part.alias("part")).join(cand, "doc").join(qt, ["query_id", "term"])
+              .groupBy("query_id", "doc").agg(F.round(F.sum("part"), SCORE_DP).alias("score")))
     return (cand.join(scored, ["query_id", "doc"], "left")
             .select(F.col("query_id").alias(qid), F.col("doc").alias(id_col),
                     F.coalesce(F.col("score"), F.lit(0.0)).alias("rerank_score")))
@@ -197,7 +116,6 @@ def rerank_topn(scored: DataFrame, n: int = C.TOPN_RERANK, qid: str = "query_id"
 # ---------------------------------------------------------------------------
 
 MAX_SIDE_BYTES = 64 * 1024 * 1024
-_MARGIN = 2e-6
 
 
 def _query_term_blocks(queries: DataFrame, qid: str, qtext: str, max_side_bytes: int):
@@ -225,20 +143,6 @@ def _query_term_blocks(queries: DataFrame, qid: str, qtext: str, max_side_bytes:
         yield q_ids, vocab, inc
 
 
-def _corpus_pass(tok: DataFrame, vocab: np.ndarray) -> tuple[dict, int, float]:
-    """Document frequency of the vocabulary terms plus N and the average
-    length, from one pass (partial aggregation; observed metrics)."""
-    spark = tok.sparkSession
-    vdf = spark.createDataFrame(pd.DataFrame({"term": vocab.astype(str)}))
-    obs = Observation(f"bm25_topk_corpus_{uuid.uuid4().hex[:8]}")
-    counted = tok.observe(obs, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl"))
-    terms = counted.select(F.explode_outer(F.array_distinct("_t")).alias("term")).where(F.col("term").isNotNull())
-    df_rows = terms.join(F.broadcast(vdf), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()
-    m = _observed(obs, tok)
-    n = int(m.get("n") or 0)
-    return {r["term"]: int(r["df"]) for r in df_rows}, n, (float(m.get("sum_dl") or 0) / n if n else 0.0)
-
-
 def _bm25_scorer(q_ids, vocab, inc, idf, avgdl, k, k1, b, id_col):
     vocab_pa = pa.array(vocab.astype(str))
     n_v = len(vocab)
@@ -273,11 +177,8 @@ def _bm25_scorer(q_ids, vocab, inc, idf, avgdl, k, k1, b, id_col):
                     pos = s > 0
                     cs = np.concatenate([best_sc[j], s[pos]])
                     ci = ids[lo:hi][pos] if best_ids[j] is None else np.concatenate([best_ids[j], ids[lo:hi][pos]])
-                    if len(cs) > k:
-                        kth = np.partition(cs, len(cs) - k)[len(cs) - k]
-                        m = cs >= kth - _MARGIN
-                        cs, ci = cs[m], ci[m]
-                    best_sc[j], best_ids[j] = cs, ci
+                    m = bounded_topk(cs, ci, k, SCORE_DP)
+                    best_sc[j], best_ids[j] = cs[m], ci[m]
         out_q, out_i, out_s = [], [], []
         for j, q in enumerate(q_ids):
             if best_ids[j] is None or len(best_ids[j]) == 0:
@@ -310,7 +211,7 @@ def bm25_topk(
     the query terms. Pass 2 scores every partition against the query batch
     (a size-checked side input: vocabulary, idf and the term x query
     incidence) with one sparse-to-dense matrix product per slice of rows,
-    keeps a local top-k per query (plus ties), and a ``row_number() <= k``
+    keeps a bounded local top-k per query, and a ``row_number() <= k``
     window merges them. Scores are rounded to 6 places in Spark and ranked by
     (score desc, id asc)."""
     tok = spread(corpus).select(F.col(id_col), tx.tokens(F.col(text_col)).alias("_t")).select(
@@ -318,9 +219,12 @@ def bm25_topk(
     schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, corpus.schema[id_col].dataType),
                            T.StructField("raw_score", T.DoubleType())])
     parts = []
+    idf_t, n, avgdl = corpus_statistics(corpus, id_col, text_col, query_terms(queries, qid, qtext))
+    unseen = float(np.log(1.0 + (n + 0.5) / 0.5))
     for q_ids, vocab, inc in _query_term_blocks(queries, qid, qtext, max_side_bytes):
-        dfs, n, avgdl = _corpus_pass(tok, vocab)
-        idf = np.array([np.log(1.0 + (n - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
+        own = idf_t.join(query_terms(queries.where(F.col(qid).isin(q_ids.tolist())), qid, qtext).select("term").distinct(), "term")
+        known = {r["term"]: r["idf"] for r in own.collect()}  # a block's vocabulary: bounded with its incidence
+        idf = np.array([known.get(t, unseen) for t in vocab])
         parts.append(tok.select(id_col, "_t").mapInArrow(_bm25_scorer(q_ids, vocab, inc, idf, avgdl, k, k1, b, id_col), schema))
     if not parts:
         return corpus.sparkSession.createDataFrame([], schema).withColumnRenamed("raw_score", "score").withColumn("rank", F.lit(0))
@@ -330,91 +234,3 @@ def bm25_topk(
     scored = local.withColumn("score", F.round("raw_score", SCORE_DP)).drop("raw_score")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def _rescore_fn(q_ids, vocab, inc, idf, avgdl, k1, b, id_col, cand_map):
-    """Per-partition scorer for candidate pairs: every candidate document is
-    scored against the query block in one matrix product; only its candidate
-    (query, document) pairs are emitted (score 0 when no term is shared)."""
-    vocab_pa = pa.array(vocab.astype(str))
-    n_v = len(vocab)
-    q_index = {int(q): j for j, q in enumerate(q_ids)}
-
-    def fn(batches):
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            id_arr = rb.column(id_col)
-            ids = id_arr.to_pylist()
-            toks = rb.column("_t")
-            lens = pc.fill_null(pc.list_value_length(toks), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            ti = pc.fill_null(pc.index_in(pc.list_flatten(toks), value_set=vocab_pa), -1).to_numpy(zero_copy_only=False)
-            doc = np.repeat(np.arange(rb.num_rows, dtype=np.int64), lens)
-            keep = ti >= 0
-            key, tf = np.unique(doc[keep] * n_v + ti[keep], return_counts=True)
-            d, t = key // n_v, key % n_v
-            w = idf[t] * tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * lens[d] / (avgdl if avgdl > 0 else 1.0)))
-            wm = np.zeros((rb.num_rows, n_v))
-            wm[d, t] = w
-            scores = wm @ inc
-            out_q, out_i, out_s = [], [], []
-            for r, doc_id in enumerate(ids):
-                for q in cand_map.get(doc_id, ()):
-                    out_q.append(q)
-                    out_i.append(doc_id)
-                    out_s.append(float(scores[r, q_index[q]]))
-            if out_q:
-                yield pa.RecordBatch.from_arrays([pa.array(out_q, type=pa.int64()), pa.array(out_i, type=id_arr.type),
-                                                  pa.array(out_s, type=pa.float64())], names=["query_id", id_col, "raw_score"])
-
-    return fn
-
-
-def bm25_rescore(
-    pairs: DataFrame,
-    corpus: DataFrame,
-    queries: DataFrame,
-    id_col: str,
-    text_col: str,
-    qid: str = "query_id",
-    qtext: str = "query_text",
-    k1: float = C.BM25_K1,
-    b: float = C.BM25_B,
-    max_side_bytes: int = MAX_SIDE_BYTES,
-    max_pairs: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """BM25 rerank scores for candidate (query, document) pairs, same values
-    as :func:`bm25_pairs`: whole-corpus statistics from one aggregate pass;
-    the candidate documents are scored per partition against the query block
-    (size-checked side input together with the candidate pairs, which are
-    bounded by queries x k). Output ``query_id, <id_col>, rerank_score``."""
-    n_pairs = pairs.count()
-    if n_pairs > max_pairs:
-        # Candidate set too large for a side input: the native join plan.
-        return bm25_pairs(pairs, corpus, queries, id_col, text_col, qid, qtext, k1, b)
-    tok = spread(corpus).select(F.col(id_col), tx.tokens(F.col(text_col)).alias("_t")).select(
-        F.col(id_col), "_t", F.size("_t").alias("dl"))
-    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, corpus.schema[id_col].dataType),
-                           T.StructField("raw_score", T.DoubleType())])
-    cand = pairs.select(F.col(qid).cast("long").alias("query_id"), F.col(id_col))
-    parts = []
-    for q_ids, vocab, inc in _query_term_blocks(queries, qid, qtext, max_side_bytes):
-        dfs, n, avgdl = _corpus_pass(tok, vocab)
-        idf = np.array([np.log(1.0 + (n - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
-        block = cand.where(F.col("query_id").isin([int(q) for q in q_ids])).toPandas()
-        cand_map: dict = {}
-        for q, doc_id in zip(block["query_id"].tolist(), block[id_col].tolist()):
-            cand_map.setdefault(doc_id, []).append(int(q))
-        # Candidate set is bounded (checked above): broadcast semi join.
-        docs = tok.join(F.broadcast(cand.select(id_col).distinct()), id_col, "left_semi")
-        parts.append(docs.select(id_col, "_t").mapInArrow(
-            _rescore_fn(q_ids, vocab, inc, idf, avgdl, k1, b, id_col, cand_map), schema))
-    scored = None
-    for p in parts:
-        scored = p if scored is None else scored.unionByName(p)
-    if scored is None:
-        return cand.select(F.col("query_id").alias(qid), id_col, F.lit(0.0).alias("rerank_score"))
-    scored = scored.select("query_id", id_col, F.round("raw_score", SCORE_DP).alias("rerank_score"))
-    # Queries without any token have no block: their candidates score 0.
-    return (cand.join(scored, ["query_id", id_col], "left")
-            .select(F.col("query_id").alias(qid), F.col(id_col), F.coalesce("rerank_score", F.lit(0.0)).alias("rerank_score")))

@@ -29,10 +29,10 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..functions import text as tx
 from .layout import spread
+from .topk import bounded_topk
 
 MAX_SIDE_BYTES = 64 * 1024 * 1024
 SCORE_DP = 6
-_MARGIN = 2.0 * 10 ** (-SCORE_DP)
 
 
 # ---------------------------------------------------------------------------
@@ -106,12 +106,12 @@ def l2_normalize(col: Column) -> Column:
 
 
 def centroids(vectors: DataFrame, key: str, vec_col: str = "embedding", out_col: str = "qvec") -> DataFrame:
-    """Normalised mean vector per ``key`` (map-side partial aggregation per
-    (key, dimension), so a hot key costs one row per map task and dimension)."""
-    per_dim = (vectors.select(F.col(key), F.posexplode(vec_col).alias("_d", "_x"))
-               .groupBy(key, "_d").agg(F.avg(F.col("_x").cast("double")).alias("_m")))
-    arr = F.transform(F.array_sort(F.collect_list(F.struct("_d", "_m"))), lambda s: s["_m"])
-    return per_dim.groupBy(key).agg(l2_normalize(arr).alias(out_col))
+    """Normalised mean vector per ``key`` (one running mean per key and map task)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    mean = vector_to_array(Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>"))))
+    return vectors.groupBy(key).agg(mean.alias("_m")).select(key, l2_normalize(F.col("_m")).alias(out_col))
 
 
 # ---------------------------------------------------------------------------
@@ -134,8 +134,8 @@ def _matrix(col: pa.Array) -> np.ndarray:
 
 def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, vec_col: str,
                    probe: np.ndarray | None = None, cell_col: str | None = None, bucket_dims: int | None = None):
-    """Per-partition scorer (mapInArrow): running top-k, with a tie margin,
-    per query; emits at most about k rows per query per partition."""
+    """Per-partition scorer (mapInArrow): running top-k per query; however many
+    rows tie, it holds and emits a small multiple of k rows per query."""
 
     def fn(batches):
         best_ids = [None for _ in q_ids]
@@ -159,11 +159,8 @@ def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, ve
                     s, sel_ids = s[m], ids[m]
                 cand_s = np.concatenate([best_sc[j], s])
                 cand_i = sel_ids if best_ids[j] is None else np.concatenate([best_ids[j], sel_ids])
-                if len(cand_s) > k:
-                    kth = np.partition(cand_s, len(cand_s) - k)[len(cand_s) - k]
-                    keep = cand_s >= kth - _MARGIN
-                    cand_s, cand_i = cand_s[keep], cand_i[keep]
-                best_sc[j], best_ids[j] = cand_s, cand_i
+                keep = bounded_topk(cand_s, cand_i, k, SCORE_DP)
+                best_sc[j], best_ids[j] = cand_s[keep], cand_i[keep]
         rows_q, rows_i, rows_s = [], [], []
         for j, qid in enumerate(q_ids):
             if best_ids[j] is None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from ..operators import prompts as PR
 from ..operators import rerank as RR
 from ..operators import vectors as VE
 from ..sources import files as io
+from ..session import scratch_path
 from . import sqlkit as S
 from . import views as V
 from .registry import query
@@ -50,18 +50,24 @@ def chunk_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
                          bucket_dims=C.HASH_DIMS)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates -> BM25 over the whole chunk corpus -> top-n.
 
     The chunk table and the candidate set are each read by several jobs
-    (corpus statistics, size checks, scoring, payload join), so both are
-    persisted (memory, spilling to disk; lineage kept for recovery).
+    (corpus statistics, scoring, payload join), so both are written once to the
+    shared scratch folder and read from there.
     """
-    ch = chunks(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    ch = _written(chunks(spark, sf_dir), "chunks")
     vec = VE.hashed_buckets(ch, "chunk_text")
-    cand = VE.topk_exact(vec, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id", vec_col="buckets",
-                         bucket_dims=C.HASH_DIMS).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = RR.bm25_rescore(cand.select("query_id", "chunk_id"), ch, V.queries_v(spark, sf_dir), "chunk_id", "chunk_text")
+    cand = _written(VE.topk_exact(vec, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id", vec_col="buckets",
+                                  bucket_dims=C.HASH_DIMS), "candidates")
+    scored = RR.bm25_pairs(cand.select("query_id", "chunk_id"), ch, V.queries_v(spark, sf_dir), "chunk_id", "chunk_text")
     scored = scored.join(cand.select("query_id", "chunk_id", "rank", "score"), ["query_id", "chunk_id"])
     top = RR.rerank_topn(scored, N_RERANK)
     # Payload for the survivors only: a bounded (queries x n) side joined by id.
@@ -221,7 +227,6 @@ def q_vector_topk_filtered(spark, sf_dir):
 def q_vector_topk_ivf(spark, sf_dir):
     """Approximate top-k: k-means cells, vectors laid out by cell, each query
     probes its nearest cells (I6). Rows-only check; recall is measured in bench."""
-    from ..session import scratch_path
     vec = V.vectors_v(spark, sf_dir)
     model = VE.ivf_train(vec, n_cells=16)
     path = scratch_path(spark, "ivf_index")
@@ -333,7 +338,6 @@ def q_upsert_chunks(spark, sf_dir):
 @query("file_inventory")
 def q_file_inventory(spark, sf_dir):
     """Output-file inventory of a written post table (A16, D13). Rows-only check."""
-    from ..session import scratch_path
     df = V.posts_v(spark, sf_dir).withColumn("ingest_date", F.date_format(tx.epoch_to_ts("created_utc"), "yyyy-MM-dd"))
     path = scratch_path(spark, "inventory")
     io.write_posts(df, path, fmt="parquet")
