@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import posts as P
 from ..operators import threads as TH
+from ..sources import json_docs as jd
+from . import sqlkit as S
 from . import views as V
 from .registry import query
 
@@ -132,3 +134,107 @@ def q_union_mixed(spark, sf_dir):
     slim = _tree(spark, sf_dir, True).select(F.lit("comment").alias("record_type"), "id",
                                               F.coalesce("parent_id", "post_id").alias("parent_id"))
     return posts.unionByName(slim, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------------------
+# JSON thread documents, one a conversation: turns 0, 3, 6, ... stand at the top,
+# each with the two turns after it nested below; even conversations end with a
+# placeholder of two ids.
+# ---------------------------------------------------------------------------
+
+MORE_NODE = '{"kind":"more","data":{"children":["x","y"]}}'
+
+
+def thread_documents(spark, sf_dir):
+    """(body): raw thread documents."""
+    c = V.read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    row = F.struct("turn", "role", "text")
+    at = [F.max(F.when(F.col("turn") % 3 == k, row)).alias(f"n{k}") for k in range(3)]
+    g = c.groupBy("conv_id", F.floor(F.col("turn") / 3).alias("g")).agg(*at)
+
+    def node(name, replies):
+        n = F.col(name)
+        data = F.struct(
+            F.concat_ws("_", F.col("conv_id").cast("string"), n["turn"].cast("string")).alias("id"),
+            F.when(n["turn"] % 5 == 3, F.lit(C.DELETED_BODIES[0])).otherwise(n["text"]).alias("body"),
+            n["role"].alias("author"), (F.length(n["text"]) % 20).alias("score"), F.lit(True).alias("stickied"),
+            (F.lit(V.EPOCH0) + F.col("conv_id") * 3600 + n["turn"] * 60).cast("double").alias("created_utc"),
+            replies.alias("replies"))
+        return F.when(n.isNotNull(), F.struct(F.lit("t1").alias("kind"), data.alias("data")))
+
+    def listing(child):
+        return F.when(child.isNotNull(), F.struct(F.lit("Listing").alias("kind"), F.struct(F.array(child).alias("children")).alias("data")))
+
+    g = g.withColumn("n2", node("n2", F.lit("")))
+    g = g.withColumn("n1", node("n1", listing(F.col("n2"))))
+    g = g.withColumn("top", F.to_json(node("n0", listing(F.col("n1")))))
+    doc = g.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("g", "top"))).alias("tops"))
+    tops = F.concat(F.transform("tops", lambda t: t["top"]),
+                    F.when(F.col("conv_id") % 2 == 0, F.array(F.lit(MORE_NODE))).otherwise(F.array().cast("array<string>")))
+    post = F.to_json(F.struct(F.concat(F.lit("p"), F.col("conv_id").cast("string")).alias("id"), F.lit("s").alias("subreddit")))
+    return doc.select(F.concat(F.lit('[{"data":{"children":[{"kind":"t3","data":'), post, F.lit('}]}},{"data":{"children":['),
+                               F.array_join(tops, ","), F.lit("]}}]")).alias("body"))
+
+
+THREADS_SQL = f"""
+node AS (
+  SELECT 'p' || CAST(conv_id AS VARCHAR) AS post_id, CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS id,
+         CASE WHEN turn % 3 > 0 THEN CAST(conv_id AS VARCHAR) || '_' || CAST(turn - 1 AS VARCHAR) END AS tree_parent,
+         CAST(turn % 3 AS BIGINT) AS depth, conv_id, turn,
+         lpad(CAST(turn // 3 AS VARCHAR), 6, '0') || repeat('.000000', CAST(turn % 3 AS INTEGER)) AS path, role AS author,
+         CASE WHEN turn % 5 = 3 THEN '[deleted]' ELSE text END AS raw, CAST(length(text) % 20 AS BIGINT) AS score,
+         CAST({V.EPOCH0} + conv_id * 3600 + turn * 60 AS DOUBLE) AS created_utc
+  FROM conversations
+),
+said AS (SELECT *, raw IS NOT NULL AND raw <> '' AND raw NOT IN ('[deleted]', '[removed]') AS ok FROM node),
+slim AS (
+  SELECT a.* FROM said a
+  LEFT JOIN said b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1
+  LEFT JOIN said c ON c.conv_id = a.conv_id AND c.turn = a.turn - 2
+  WHERE a.ok AND (a.depth = 0 OR b.ok) AND (a.depth < 2 OR c.ok)
+)
+"""
+
+
+def _thread_docs(spark, sf_dir):
+    return jd.parse_bodies(thread_documents(spark, sf_dir))
+
+
+@query("parse_thread", W(THREADS_SQL) + """SELECT post_id, CAST(turn // 3 AS BIGINT) AS pos, 't1' AS kind, id FROM node WHERE depth = 0
+UNION ALL SELECT 'p' || CAST(conv_id AS VARCHAR), CAST(max(turn) // 3 + 1 AS BIGINT), 'more', NULL FROM conversations WHERE conv_id % 2 = 0 GROUP BY conv_id""")
+def q_parse_thread(spark, sf_dir):
+    """Thread documents -> their post and top-level children."""
+    roots = jd.thread_roots(_thread_docs(spark, sf_dir))
+    return roots.select(F.try_variant_get("post", "$.id", "string").alias("post_id"), F.col("pos").cast("bigint").alias("pos"), "kind",
+                        F.try_variant_get("data", "$.id", "string").alias("id"))
+
+
+@query("flatten_thread_full", W(THREADS_SQL) + f"SELECT post_id, id, tree_parent, depth, path, author, {S.clean('raw')} AS body, score FROM node")
+def q_flatten_thread_full(spark, sf_dir):
+    """Full flatten of JSON threads, deleted comments included, in pre-order (H1, H4)."""
+    t = TH.flatten_thread_docs(_thread_docs(spark, sf_dir), mode="full")
+    return t.select("post_id", "id", "tree_parent", "depth", TH.path_text(F.col("path")).alias("path"), "author", "body", "score")
+
+
+@query("flatten_thread_slim", W(THREADS_SQL) + f"""SELECT post_id, id, coalesce(tree_parent, post_id) AS parent_id, depth, author,
+  {S.clean('raw')} AS body, score, created_utc, 'w1' AS discovered_by FROM slim""")
+def q_flatten_thread_slim(spark, sf_dir):
+    """Slim flatten of JSON threads: removed comments go with what is below them."""
+    t = TH.flatten_thread_docs(_thread_docs(spark, sf_dir), mode="slim", discovered_by="w1")
+    return t.select("post_id", "id", "parent_id", F.col("depth").cast("bigint").alias("depth"), "author", "body", "score", "created_utc",
+                    "discovered_by")
+
+
+@query("extract_comments", W(THREADS_SQL) + f"""SELECT id, author, {S.clean('raw')} AS body, score, CAST(0 AS BIGINT) AS ups, created_utc,
+  CAST(NULL AS VARCHAR) AS link_id, TRUE AS stickied, FALSE AS edited, post_id, 's' AS post_subreddit FROM node""")
+def q_extract_comments(spark, sf_dir):
+    """Comment fields with their defaults, from JSON threads."""
+    t = TH.flatten_thread_docs(_thread_docs(spark, sf_dir), mode="full")
+    return t.select("id", "author", "body", "score", "ups", "created_utc", "link_id", "stickied", "edited", "post_id", "post_subreddit")
+
+
+@query("more_placeholder_count", """SELECT CAST(2 * count(DISTINCT conv_id) AS BIGINT) AS more_ids, count(DISTINCT conv_id) AS more_nodes
+FROM conversations WHERE conv_id % 2 = 0""")
+def q_more_placeholder_count(spark, sf_dir):
+    """Ids held back in placeholders, at every level."""
+    return TH.more_placeholder_count(_thread_docs(spark, sf_dir)).select("more_ids", "more_nodes")
