@@ -9,8 +9,8 @@ one task, so a single huge thread spreads over the cluster after level 1.
 Order is carried as ``path``: the array of sibling positions/keys from the root.
 Arrays compare element-wise, so ordering by ``(post_id, path)`` is exactly
 pre-order (a parent sorts before its children, siblings in their order).
-Levels are persisted (lineage is kept, so a lost executor recomputes its
-share) and the lineage is cut with a reliable ``checkpoint()`` every few levels.
+Each level is written to the shared scratch folder, which cuts lineage, and the
+tree is read back from there; nothing stays cached.
 """
 
 from __future__ import annotations
@@ -22,18 +22,18 @@ from pyspark.sql import functions as F
 from .. import config as C
 from .. import schemas
 from ..functions import text as tx
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from ..sources import json_docs as jd
 
-CHECKPOINT_EVERY = 8
 MAX_DEPTH = 1000
 
 
 def _keep_level(df: DataFrame, level: int) -> DataFrame:
-    if level and level % CHECKPOINT_EVERY == 0:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """The level written to the shared scratch folder and read from there: cuts
+    lineage, survives lost executors and leaves nothing cached."""
+    path = scratch_path(df.sparkSession, f"level_{level}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _union(levels: list[DataFrame]) -> DataFrame:
@@ -89,13 +89,14 @@ def flatten_adjacency(
         ).select(*cols, F.lit(depth).alias("depth"), F.concat(F.col("_p_path"), F.array(F.col("_key"))).alias("path"))
         children = _keep_level(children, depth)
         if children.isEmpty():
-            children.unpersist()
+            base.unpersist()  # the tree is read from the written levels
             return _union(levels)
         if depth > max_depth:
             break
         levels.append(children)
         frontier = children
     # Never drop deeper comments silently (a cycle in parent ids also ends here).
+    base.unpersist()
     raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")
 
 
@@ -192,7 +193,6 @@ def flatten_thread_docs(
     for depth in range(1, max_depth + 2):
         nxt = _keep_level(admit(_expand(level, keep)), depth)
         if nxt.isEmpty():
-            nxt.unpersist()
             break
         if depth > max_depth:
             raise RuntimeError(f"reply tree deeper than max_depth={max_depth}")

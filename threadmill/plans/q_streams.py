@@ -38,26 +38,32 @@ def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:
 
 @query("stream_index", _w(V.POSTS_V_SQL, CHUNKS_SQL) + "SELECT * FROM chunks")
 def q_stream_index(spark, sf_dir):
-    """Directory watch -> chunk + embed each new file once; one-shot run
-    equals the batch chunk table (K1, K2, K5, K8)."""
+    """Directory watch -> chunk + embed each new file once, upserted by chunk id:
+    a third of the posts land a second time, and the index equals the batch
+    chunk table (K1, K2, K8)."""
     posts = posts_for_index(spark, sf_dir).withColumn("created_ts", tx.epoch_to_ts("created_utc"))
     landing, landed = _land(posts, "posts", "created_ts")
+    again = posts.where(F.col("doc_id") % 3 == 0).withColumn("land_day", F.lit("9999-12-31"))
+    again.write.mode("append").partitionBy("land_day").parquet(landing)
     out, ckpt = _dirs(spark, "index")
     SJ.index_stream(spark, landing, landed.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER)
-    return spark.read.parquet(out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
+    return SJ.read_index(spark, out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
 
 
 @query("stream_index_jsonl", _w(V.POSTS_V_SQL, CHUNKS_SQL) + "SELECT * FROM chunks")
 def q_stream_index_jsonl(spark, sf_dir):
-    """The indexer over JSON-lines landings (both landed formats are indexed;
-    malformed lines go to a quarantine folder instead of failing) (K1, A2, X5)."""
+    """The indexer over JSON-lines landings that hold malformed lines: these go to
+    a quarantine folder, all others are indexed (K1, K5, A2)."""
     posts = posts_for_index(spark, sf_dir).withColumn("land_day", F.date_format(tx.epoch_to_ts("created_utc"), "yyyy-MM-dd"))
     landing = scratch_path(spark, "landing_posts_jsonl")
     posts.write.partitionBy("land_day").option("ignoreNullFields", "false").json(landing)
+    bad = V.read(spark, sf_dir, "documents").where(F.col("doc_id") % 100 == 0).select(
+        F.concat(F.lit('{"id": "p'), F.col("doc_id").cast("string"), F.lit('", not json')).alias("value"), F.lit("9999-12-31").alias("land_day"))
+    bad.write.mode("append").partitionBy("land_day").text(landing)
     out, ckpt = _dirs(spark, "index_jsonl")
     SJ.index_stream(spark, landing, posts.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER, fmt="json",
                     quarantine_path=scratch_path(spark, "quarantine_jsonl"))
-    return spark.read.parquet(out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
+    return SJ.read_index(spark, out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
 
 
 def _polls_stream(spark, sf_dir):
@@ -88,7 +94,7 @@ def q_stream_running_totals(spark, sf_dir):
     """Running totals per subreddit, complete mode (K7)."""
     out, ckpt = _dirs(spark, "totals")
     SJ.run_complete(SJ.running_totals(_polls_stream(spark, sf_dir)), out, ckpt)
-    return spark.read.parquet(out).select("subreddit", "n")
+    return SJ.latest_result(spark, out).select("subreddit", "n")
 
 
 def _jobs_stream(spark, sf_dir):
@@ -112,7 +118,7 @@ def q_stream_completion_rate(spark, sf_dir):
 @query("stream_job_state", V.with_views(JV) + """SELECT url, arg_max(id, (created_at, id)) AS id, arg_max(status, (created_at, id)) AS status,
   count(*) AS attempts FROM jobs_v GROUP BY 1""")
 def q_stream_job_state(spark, sf_dir):
-    """Job state from the attempt log with per-key state (K9, applyInPandasWithState)."""
+    """Job state from the attempt log, a native aggregate in update mode (K9)."""
     out, ckpt = _dirs(spark, "jobstate")
     SJ.run(SJ.job_state_stream(_jobs_stream(spark, sf_dir)), out, ckpt, output_mode="update")
     final = SJ.latest_per_key(spark.read.parquet(out), ["url"])

@@ -10,17 +10,16 @@ runs or ``{"processingTime": "10 seconds"}`` for a watch loop.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import ChunkSpec
 from ..operators import chunks as CH
 from ..operators import vectors as VE
+from ..sources.files import latest_batch
 
 ONE_SHOT = {"availableNow": True}
 WATCH = {"processingTime": "10 seconds"}
@@ -119,15 +118,21 @@ def running_totals(polls: DataFrame, key: str = "subreddit") -> DataFrame:
 
 
 def run_complete(stream: DataFrame, out_path: str, checkpoint: str, trigger: dict = ONE_SHOT):
-    """Complete-mode aggregate: each batch rewrites the whole (small,
-    per-key) result at one fixed path."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    """Complete-mode aggregate: each batch writes the whole (small, per-key)
+    result into a folder of its own; ``latest_result`` reads the last one, so a
+    reader never sees half a result and a replayed batch replaces itself."""
+    return run(stream, out_path, checkpoint, trigger, output_mode="complete")
+
+
+def latest_result(spark: SparkSession, out_path: str) -> DataFrame:
+    """The result of the newest batch under ``out_path``."""
+    return latest_batch(spark.read.parquet(out_path), "batch_id").drop("batch_id")
 
-    q = (stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-         .foreachBatch(write).trigger(**trigger).start())
-    q.awaitTermination()
-    return q
+
+def read_index(spark: SparkSession, out_path: str, key: str = "chunk_id") -> DataFrame:
+    """The index behind an ``index_stream`` sink: one row a chunk id, that of the
+    newest batch, so a post that lands again replaces its chunks."""
+    return latest_per_key(spark.read.parquet(out_path), [key])
 
 
 # ---------------------------------------------------------------------------
@@ -149,37 +154,16 @@ def latest_per_key(sink: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# K9: job state from an event log (arbitrary stateful processing)
+# K9: job state from an event log
 # ---------------------------------------------------------------------------
 
-JOB_STATE_OUT = T.StructType([
-    T.StructField("url", T.StringType()), T.StructField("id", T.LongType()), T.StructField("status", T.StringType()),
-    T.StructField("attempts", T.LongType()), T.StructField("last_us", T.LongType()),
-])
-JOB_STATE = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("status", T.StringType()),
-    T.StructField("attempts", T.LongType()), T.StructField("last_us", T.LongType()),
-])
-
-
-def _job_state_fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.exists:
-        cur_id, cur_status, attempts, last_us = state.get
-    else:
-        cur_id, cur_status, attempts, last_us = None, None, 0, None
-    for pdf in pdfs:
-        attempts += len(pdf)
-        top = pdf.sort_values(["created_us", "id"]).iloc[-1]
-        cand = (int(top["created_us"]), int(top["id"]))
-        if last_us is None or cand > (last_us, cur_id):
-            last_us, cur_id, cur_status = cand[0], cand[1], str(top["status"])
-    state.update((cur_id, cur_status, attempts, last_us))
-    yield pd.DataFrame({"url": [key[0]], "id": [cur_id], "status": [cur_status], "attempts": [attempts], "last_us": [last_us]})
-
-
 def job_state_stream(attempts: DataFrame) -> DataFrame:
-    """Current state per job URL from an attempt log (K9): per-key state is
-    (latest attempt, count); only keys seen in a batch are emitted (update)."""
-    a = attempts.select("url", "id", "status", F.unix_micros("created_at").alias("created_us"))
-    return a.groupBy("url").applyInPandasWithState(
-        _job_state_fn, JOB_STATE_OUT, JOB_STATE, "update", GroupStateTimeout.NoTimeout)
+    """Current state per job URL from an attempt log (K9), as a native aggregate
+    in update mode: partial aggregation reduces a hot URL inside each map task,
+    and the state of a URL is its latest attempt and a count."""
+    order = F.struct(F.unix_micros("created_at").alias("us"), F.col("id").alias("i"))
+    return attempts.groupBy("url").agg(
+        F.max_by(F.struct("id", "status"), order).alias("_s"),
+        F.count(F.lit(1)).alias("attempts"),
+        F.max(F.unix_micros("created_at")).alias("last_us"),
+    ).select("url", "_s.id", "_s.status", "attempts", "last_us")
