@@ -191,14 +191,14 @@ def q_embed_hashed(spark, sf_dir):
     return top.select("query_id", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
-def _centroid_sql(filter_sql: str = "") -> str:
+def _centroid_sql(filter_sql: str = "", k: int = K_CHUNKS) -> str:
     return f"""WITH ev AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
 cent AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS m FROM ev GROUP BY 1, 2),
 cn AS (SELECT label, sqrt(sum(m * m)) AS n FROM cent GROUP BY 1),
 qv AS (SELECT CAST(c.label AS BIGINT) AS query_id, list(c.m / cn.n ORDER BY c.i) AS qvec FROM cent c JOIN cn USING (label) GROUP BY 1),
 s AS (SELECT qv.query_id, v.vec_id AS id, round(list_dot_product(qv.qvec, CAST(v.embedding AS DOUBLE[])), 6) AS score
       FROM qv, (SELECT *, vec_id % 100 AS score FROM embeddings) v {filter_sql})
-SELECT query_id, id AS vec_id, score, rank FROM {topk_sql('s', K_CHUNKS)}"""
+SELECT query_id, id AS vec_id, score, rank FROM {topk_sql('s', k)}"""
 
 
 def _centroid_queries(spark, sf_dir):
@@ -236,6 +236,26 @@ def q_vector_topk_ivf(spark, sf_dir):
     return top.select("query_id", "vec_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
+@query("vector_topk_ivf_all", _centroid_sql(k=10))
+def q_vector_topk_ivf_all(spark, sf_dir):
+    """The cell index with every cell probed gives the exact answer."""
+    vec = V.vectors_v(spark, sf_dir)
+    model = VE.ivf_train(vec, n_cells=8)
+    path = scratch_path(spark, "ivf_index_all")
+    VE.ivf_assign(vec, model).write.partitionBy("cell").parquet(path)
+    top = VE.topk_ivf(spark.read.parquet(path), model, _centroid_queries(spark, sf_dir), k=10, n_probe=8)
+    return top.select("query_id", "vec_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("embed_documents", _w(V.QUERIES_V_SQL, hashed_sim_sql("documents", "doc_id", "text", "d_"))
+       + "SELECT v.id AS doc_id, CAST(b AS BIGINT) AS bucket, round(c / n, 6) AS weight FROM d_dv v JOIN d_dn USING (id)")
+def q_embed_documents(spark, sf_dir):
+    """Every non-zero component of every document's hashed vector."""
+    d = VE.embed_hashed(V.read(spark, sf_dir, "documents").select("doc_id", "text"), "text", "vec")
+    d = d.select("doc_id", F.posexplode("vec").alias("bucket", "weight")).where(F.col("weight") > 0)
+    return d.select("doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("weight").cast("double"), 6).alias("weight"))
+
+
 @query("l2_normalize", """SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS norm_in,
   round(CAST(embedding[1] AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS first_out
 FROM embeddings""")
@@ -335,10 +355,14 @@ def q_upsert_chunks(spark, sf_dir):
     return io.upsert_by_id(v1, v2, "chunk_id").select("chunk_id", "doc_id", "version")
 
 
-@query("file_inventory")
+@query("file_inventory", _w(V.POSTS_V_SQL) + """SELECT DISTINCT strftime(make_timestamp(CAST(created_utc * 1000000 AS BIGINT)), '%Y-%m-%d') AS ingest_date,
+  TRUE AS has_files, TRUE AS named_and_dated FROM posts_v""")
 def q_file_inventory(spark, sf_dir):
-    """Output-file inventory of a written post table (A16, D13). Rows-only check."""
+    """Output-file inventory of a written post table, by date folder."""
     df = V.posts_v(spark, sf_dir).withColumn("ingest_date", F.date_format(tx.epoch_to_ts("created_utc"), "yyyy-MM-dd"))
     path = scratch_path(spark, "inventory")
     io.write_posts(df, path, fmt="parquet")
-    return io.file_inventory(spark, path)
+    files = io.file_inventory(spark, path)
+    return files.groupBy(F.regexp_extract("path", "ingest_date=([^/]+)", 1).alias("ingest_date")).agg(
+        (F.count(F.lit(1)) > 0).alias("has_files"),
+        F.bool_and(F.col("name").endswith(".parquet") & F.col("modified").isNotNull() & (F.col("size_mb") >= 0)).alias("named_and_dated"))
