@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import ChunkSpec
 from ..functions import text as tx
 from .layout import spread
+from .posts import drop_deleted
 
 
 def chunk_rows(
@@ -62,3 +63,19 @@ def post_chunks(posts: DataFrame, spec: ChunkSpec = ChunkSpec(), id_col: str = "
             "created_utc": tx.coerce_double(F.col("created_utc")),
         },
     )
+
+
+def comment_chunks(comments: DataFrame, spec: ChunkSpec = ChunkSpec(), id_col: str = "id", body_col: str = "body") -> DataFrame:
+    """Comments -> chunk rows, from an explicit body column (X5): cleaned bodies
+    that are neither empty nor deleted; payload = post_id, score, created_utc."""
+    return chunk_rows(
+        drop_deleted(comments, body_col),
+        tx.clean_text(F.col(body_col)),
+        F.col(id_col),
+        spec,
+        {
+            "post_id": F.col("post_id"),
+            "score": tx.coerce_long(F.col("score")),
+            "created_utc": tx.coerce_double(F.col("created_utc")),
+        },
+    )

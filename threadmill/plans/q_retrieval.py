@@ -174,6 +174,17 @@ def q_post_chunks(spark, sf_dir):
     return chunks(spark, sf_dir)
 
 
+@query("comment_chunks", _w(V.COMMENTS_V_SQL) + f"""SELECT sha256(concat_ws(chr(1), doc_id, CAST(chunk_ix AS VARCHAR), chunk_text)) AS chunk_id,
+  doc_id, chunk_ix, chunk_text, post_id, score FROM (
+  SELECT id AS doc_id, CAST(i / {SPEC.step} AS INTEGER) AS chunk_ix, substr(body, i + 1, {SPEC.size}) AS chunk_text, post_id, score
+  FROM (SELECT id, post_id, score, {S.clean('body')} AS body FROM comments_v
+        WHERE body IS NOT NULL AND body <> '' AND body NOT IN ('[deleted]', '[removed]')) c,
+       unnest(range(0, length(body), {SPEC.step})) AS u(i))""")
+def q_comment_chunks(spark, sf_dir):
+    """Comments -> overlapping chunks from their body column."""
+    return CH.comment_chunks(V.comments_v(spark, sf_dir)).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "post_id", "score")
+
+
 @query("chunk_id", _w(V.POSTS_V_SQL, CHUNKS_SQL) + "SELECT doc_id, chunk_ix, chunk_id FROM chunks")
 def q_chunk_id(spark, sf_dir):
     """Deterministic chunk ids: sha256(doc_id, chunk_ix, text)."""
@@ -310,6 +321,14 @@ def q_prompt_ideas(spark, sf_dir):
     return PR.prompt_ideas(snippet_blocks(spark, sf_dir), C.DEFAULT_IDEAS).select("query_id", "system_prompt", "user_prompt")
 
 
+@query("prompt_top_docs", _w(RETRIEVAL_BASE) + """SELECT top.query_id, rerank_rank, top.chunk_id, c.permalink
+FROM top JOIN chunks c ON c.chunk_id = top.chunk_id""")
+def q_prompt_top_docs(spark, sf_dir):
+    """The documents behind each prompt, in the order of its snippets."""
+    r = reranked(spark, sf_dir)
+    return r.select("query_id", F.col("rerank_rank").cast("bigint").alias("rerank_rank"), "chunk_id", "permalink")
+
+
 @query("prompt_pains", _w(RETRIEVAL_BASE) + f"""SELECT query_id, {S.lit(C.PAIN_MINING_SYSTEM)} AS system_prompt,
   format({S.fmt_template(C.PAIN_MINING_USER, ['topic', 'subs', 'period', 'snippets'])}, query_text,
          {S.lit(','.join(C.DEFAULT_SUBREDDITS))}, {S.lit(C.DEFAULT_PERIOD)}, snippets) AS user_prompt FROM blocks""")

@@ -61,16 +61,20 @@ def read_sink(spark: SparkSession, out_path: str, schema: T.StructType | None =
 # K1/K2: directory indexer
 # ---------------------------------------------------------------------------
 
-def index_posts(posts: DataFrame, spec: ChunkSpec = ChunkSpec(), embed: bool = True) -> DataFrame:
-    """One micro-batch of posts -> chunk rows (+ hashed embedding)."""
-    ch = CH.post_chunks(posts, spec)
+def index_posts(posts: DataFrame, spec: ChunkSpec = ChunkSpec(), embed: bool = True,
+                chunker: Callable[[DataFrame, ChunkSpec], DataFrame] = CH.post_chunks) -> DataFrame:
+    """One micro-batch of posts (or, with ``chunker=comment_chunks``, comments)
+    -> chunk rows (+ hashed embedding)."""
+    ch = chunker(posts, spec)
     return VE.embed_hashed(ch, "chunk_text") if embed else ch
 
 
 def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_path: str, checkpoint: str,
                  trigger: dict = ONE_SHOT, max_files_per_trigger: int | None = 1, spec: ChunkSpec = ChunkSpec(),
-                 fmt: str = "parquet", quarantine_path: str | None = None):
-    """Watch ``landing`` and index every new file once (K1; one-shot K2).
+                 fmt: str = "parquet", quarantine_path: str | None = None,
+                 chunker: Callable[[DataFrame, ChunkSpec], DataFrame] = CH.post_chunks):
+    """Watch ``landing`` and index every new file once (K1; one-shot K2): posts,
+    or comments with ``chunker=comment_chunks``.
 
     ``fmt`` is ``parquet`` or ``json`` (JSON lines). JSON is read PERMISSIVE:
     a malformed line does not fail the batch (K5) but is written, with its
@@ -91,7 +95,7 @@ def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_pa
                 bad = batch.where(F.col(bad_col).isNotNull()).select(bad_col)
                 bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
             good = batch.where(F.col(bad_col).isNull()).drop(bad_col)
-            index_posts(good, spec).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            index_posts(good, spec, chunker=chunker).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             batch.unpersist()
 
         q = s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
@@ -99,7 +103,7 @@ def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_pa
             q.awaitTermination()
         return q
     s = source(spark, landing, schema, max_files_per_trigger=max_files_per_trigger)
-    return run(s, out_path, checkpoint, trigger, transform=lambda b: index_posts(b, spec))
+    return run(s, out_path, checkpoint, trigger, transform=lambda b: index_posts(b, spec, chunker=chunker))
 
 
 # ---------------------------------------------------------------------------
