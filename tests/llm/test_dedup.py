@@ -175,12 +175,12 @@ def line_brute(rows, chars, docs):
     def key(x):
         return lower(x.strip(" \t\n\x0b\x0c\r"))
 
-    holders = defaultdict(list)
-    for i, (d, t) in enumerate(rows):
+    holders = defaultdict(set)
+    for d, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
-            if len(k) >= chars:
-                holders[k].append(d)
-    common = {k: max(x for x in v if x is not None) for k, v in holders.items() if len(v) >= docs and any(x is not None for x in v)}
+            if len(k) >= chars and d is not None:
+                holders[k].add(d)
+    common = {k: max(v) for k, v in holders.items() if len(v) >= docs}
     out = []
     for d, t in rows:
         lines = (t or "").split("\n")

@@ -5,14 +5,14 @@ A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends and with
 A-Z lower-cased. Keys of ``min_chars`` code points or more that stand in
 ``min_docs`` documents or more lose all their lines, except in the largest
 doc_id that holds them. Lines are hashed to 128 bits inside the scan (one row
-per distinct key and document); a hash is counted with map-side combine, so a
-key that stands in a third of all documents is one row per map task. The join
-back to the documents has plain shuffles on both sides, which lets Spark split
+per distinct key and document); documents are counted after a shuffle by key and
+document, so a key that stands in a third of all documents is dealt to all
+tasks and then arrives as one row from each of them. The join back to the documents has plain shuffles on both sides, which lets Spark split
 a hot key.
 
 Defined results: a null or empty text is one empty line and stays as it is;
-repeated rows count as a document each; rows with a null doc_id count as
-documents and lose nothing; an empty table gives an empty table; extra columns
+rows that repeat a doc_id count as one document and lose the same keys; rows
+with a null doc_id count as none and lose nothing; an empty table gives an empty table; extra columns
 pass through unchanged whatever their names.
 """
 
@@ -63,7 +63,7 @@ def dropped_keys(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     occ = documents(docs).mapInArrow(_explode(min_chars), OCC)
     common = stored(
         occ.groupBy("hi", "lo")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last_doc"))
+        .agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("last_doc"))
         .where(F.col("n") >= min_docs)
         .drop("n"),
         "common_lines",
