@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from threadmill.llm.common import POWERS, Prefix, free_name, mix, slices, starts_of
 
-VOCAB_WORDS = 400_000
+VOCAB_WORDS = 250_000
 NEVER = 1 << 30
 #: Added to the last character of a word, which carries the end-of-word suffix.
 END = 0xE000

@@ -25,8 +25,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     and the shuffle files of a stored step removed once it is written."""
     configure(spark)
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
