@@ -1,13 +1,16 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Texts are lower-cased; every run of other characters than letters is one blank.
-``ORDER``-grams of all learning texts are counted in Spark (in the scan by
-sorted hashes, then with map-side combine), so the counts grow with the corpus.
-Each language keeps its ``MAX_GRAMS`` most frequent grams, which bounds the
-model; the rest is left to the lower orders. A model is a few sorted arrays of
-gram hashes with one column of log-probabilities a language, and context hashes
-with back-off weights, built on the driver and broadcast. All languages of a
-position take one binary search; absent grams back off.
+``ORDER``-grams of all learning texts are counted in Spark (in the scan, then
+with map-side combine) as strings of whole code points. Lower orders, their
+continuation counts, the discounts and the back-off weights are made in Spark
+from all of these counts; no gram is left out, and the model is two tables, of
+grams and of contexts, that hold a value by language.
+
+Only ``CACHE_BYTES`` of it is broadcast: log-probabilities of the grams that stand
+most often. What a document holds besides goes out as (row, gram, count), and
+its distinct grams are evaluated by joins with the tables. Which grams are
+broadcast changes the work, not the result.
 
 The prediction is the language of the lowest cross-entropy by character. Its
 score comes from a logistic curve over the margin to the second best, and
@@ -24,13 +27,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadmill.llm.common import mix, slices, starts_of, stored
 
 ORDER = 4
-MAX_GRAMS = 100_000
+CACHE_BYTES = 32 << 20
 CALIBRATION = 4_000
 REJECT = 0.005
 UND = "und"
@@ -87,32 +90,36 @@ def _hash(codes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 def _count(batches):
     for b in batches:
         texts, langs = b.column("text").to_pylist(), b.column("lang").to_pylist()
-        by_lang: dict[str, list[np.ndarray]] = {}
+        by_lang: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for x, y in slices(texts):
             codes, owner, _ = _codes(texts[x:y])
             at, who = _grams(codes, owner)
             names = sorted(set(langs[x:y]))
             number = {n: i for i, n in enumerate(names)}
             lang = np.array([number[n] for n in langs[x:y]])[who]
-            packed = np.zeros(len(at), np.uint64)
-            wide = codes[at] >> np.uint64(16)
-            for k in range(1, ORDER):
-                wide |= codes[at - k] >> np.uint64(16)
-            for k in range(ORDER - 1, -1, -1):
-                packed = (packed << np.uint64(16)) | (codes[at - k] & np.uint64(0xFFFF))
-            packed = packed[wide == 0]  # characters past U+FFFF are left to the lower orders
-            lang = lang[wide == 0]
+            h = _hash(codes, at, ORDER)
             for i, n in enumerate(names):
-                by_lang.setdefault(n, []).append(packed[lang == i])
+                mine = lang == i
+                _, first, c = np.unique(h[mine], return_index=True, return_counts=True)
+                by_lang.setdefault(n, []).append((_written(codes, at[mine][first]), c))
         for n, parts in by_lang.items():
-            u, c = np.unique(np.concatenate(parts), return_counts=True)
+            grams, c = (np.concatenate(x) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([n] * len(u)), pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], ["lang", "gram", "n"]
+                [pa.array([n] * len(grams)), pa.array(grams.tolist(), pa.string()), pa.array(c.astype(np.int64))], ["lang", "gram", "n"]
             )
 
 
+def _written(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The ORDER characters that end at each place, as strings."""
+    if not len(at):
+        return np.zeros(0, f"<U{ORDER}")
+    m = np.stack([codes[at - k] for k in range(ORDER - 1, -1, -1)], 1).astype("<u4")
+    return np.ascontiguousarray(m).view(f"<U{ORDER}").ravel()
+
+
 class Models:
-    """Kneser-Ney models of all languages over shared sorted hash arrays."""
+    """Kneser-Ney models of all languages over shared sorted hash arrays, in one
+    process and for characters up to U+FFFF: what tests compare `Tables` with."""
 
     def __init__(self, langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]):
         self.langs = langs
@@ -204,14 +211,157 @@ class Models:
         return out, has
 
 
-def _margins(models: Models, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(best language, margin to the second best, has a letter)."""
-    e, has = models.entropies(texts)
-    order = np.argsort(e, axis=1, kind="stable")
-    rows = np.arange(len(texts))
-    if len(models.langs) < 2:
-        return order[:, 0], np.ones(len(texts)), has
-    return order[:, 0], e[rows, order[:, 1]] - e[rows, order[:, 0]], has
+class Tables:
+    """Kneser-Ney models of all languages as tables. ``grams`` has a row for each
+    gram of 1 to ORDER characters with max(n - discount, 0) / total by language,
+    ``contexts`` one for each context of 0 to ORDER - 1 characters with its back-off
+    weights. Languages are numbers in order of their names."""
+
+    def __init__(self, counts: DataFrame, langs: list[str]):
+        spark, self.langs = counts.sparkSession, langs
+        numbers = spark.createDataFrame([(x, i) for i, x in enumerate(langs)], "lang string, l int")
+        self.counts = counts.join(F.broadcast(numbers), "lang").select(F.lit(ORDER).alias("o"), "l", "gram", "n")
+        orders = upper = self.counts
+        for o in range(ORDER - 1, 0, -1):  # n is the number of left contexts
+            lower = upper.groupBy("l", F.substring("gram", 2, o).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+            upper = stored(lower.select(F.lit(o).alias("o"), "l", "gram", "n"), f"grams{o}")
+            orders = orders.unionByName(upper)
+        orders = orders.withColumn("ctx", F.expr("substring(gram, 1, o - 1)"))
+        once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        few = orders.groupBy("o", "l").agg(once.alias("once"), twice.alias("twice")).collect()  # a row an order and language
+        discount = [(r.o, r.l, r.once / (r.once + 2 * r.twice) if r.once else 0.5) for r in few]
+        discount = F.broadcast(spark.createDataFrame(discount, "o int, l int, discount double"))
+        orders = orders.join(discount, ["o", "l"])
+        sums = orders.groupBy("o", "l", "ctx").agg(
+            F.sum("n").alias("total"), (F.first("discount") * F.count(F.lit(1)) / F.sum("n")).alias("v")
+        )
+        sums = stored(sums, "sums")
+        by_lang = F.map_from_entries(F.collect_list(F.struct("l", "v"))).alias("by_lang")
+        self.contexts = stored(sums.groupBy("o", "ctx").agg(by_lang), "contexts")
+        kept = orders.join(sums.drop("v"), ["o", "l", "ctx"])
+        kept = kept.withColumn("v", F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total"))
+        self.grams = stored(kept.groupBy("o", "gram").agg(by_lang), "model")
+        #: distinct characters and one for all others
+        self.size = self.grams.where("o = 1").count() + 1
+
+    def evaluate(self, grams: DataFrame, o: int = ORDER) -> DataFrame:
+        """(gram, p array<double>) by language for distinct ``grams`` of ``o`` characters."""
+        here = grams.select("gram", F.substring("gram", 1, o - 1).alias("ctx"), F.substring("gram", 2, o - 1).alias("suffix"))
+        here = here.join(self.grams.where(F.col("o") == o).select("gram", F.col("by_lang").alias("own")), "gram", "left")
+        weights = self.contexts.where(F.col("o") == o).select("ctx", F.col("by_lang").alias("weight"))
+        if o == 1:
+            here = here.crossJoin(F.broadcast(weights.select("weight")))  # the empty context is one row
+            here = here.withColumn("low", F.array_repeat(F.lit(1.0 / self.size), len(self.langs)))
+        else:
+            lower = self.evaluate(here.select(F.col("suffix").alias("gram")).distinct(), o - 1)
+            here = here.join(weights, "ctx", "left")
+            here = here.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("low")), "suffix")
+
+        def value(low: Column, i: Column) -> Column:
+            own = F.coalesce(F.try_element_at("own", i), F.lit(0.0))
+            return own + F.coalesce(F.try_element_at("weight", i), F.lit(1.0)) * low
+
+        return here.select("gram", F.transform("low", value).alias("p"))
+
+    def frequent(self) -> "Cache":
+        """Grams of the highest counts that fit in CACHE_BYTES."""
+        most = CACHE_BYTES // (8 + 4 * len(self.langs))
+        sums = stored(self.counts.groupBy("gram").agg(F.sum("n").alias("n")), "sums")
+        level = F.floor(F.log2("n") * 4).cast("int").alias("level")
+        sizes = sums.groupBy(level).count().orderBy(F.desc("level")).collect()  # 252 rows at most
+        held, least = 0, 1 << 30
+        for r in sizes:
+            held += r["count"]
+            if held > most:
+                break
+            least = r.level
+        rows = self.evaluate(sums.where(level >= least).select("gram")).select("gram", F.col("p").cast("array<float>")).toArrow()
+        text = "".join(rows.column("gram").to_pylist())
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+        h = _hash(codes, np.arange(rows.num_rows) * ORDER + ORDER - 1, ORDER)
+        p = rows.column("p").combine_chunks().flatten().to_numpy().reshape(-1, len(self.langs))
+        order = np.argsort(h)
+        return Cache(h[order], np.log(np.maximum(p[order], 1e-12)))
+
+    def entropies(self, docs: DataFrame, cache, keep: list[str]) -> DataFrame:
+        """``keep``, has (a letter) and e, the cross-entropy by character for each
+        language, for every row of ``docs``. ``cache`` is the broadcast `Cache`."""
+        size = len(self.langs)
+        fields = "rid long, has boolean, chars long, known array<double>, rest array<struct<gram string, n bigint>>"
+        columns = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keep)
+        d = docs.select(F.monotonically_increasing_id().alias("rid"), "text", *keep)
+        parts = stored(d.mapInArrow(_look_up(cache, size, keep), f"{fields}, {columns}"), "parts")
+        rest = parts.select("rid", F.explode("rest").alias("r")).select("rid", "r.gram", "r.n")
+        found = self.evaluate(rest.select("gram").distinct())
+        logs = [F.sum(F.col("n") * F.log(F.greatest(F.get("p", F.lit(i)), F.lit(1e-12)))) for i in range(size)]
+        more = rest.join(found, "gram").groupBy("rid").agg(F.array(*logs).alias("more"))
+        e = F.zip_with("known", F.coalesce("more", F.array_repeat(F.lit(0.0), size)), lambda x, y: x + y)
+        return (
+            parts.drop("rest")
+            .join(more, "rid", "left")
+            .select(*keep, "has", "chars", e.alias("sums"))
+            .select(*keep, "has", F.transform("sums", lambda x: -x / F.greatest("chars", F.lit(1))).alias("e"))
+        )
+
+
+class Cache:
+    """Sorted gram hashes with their [gram, language] log-probabilities."""
+
+    def __init__(self, grams: np.ndarray, logp: np.ndarray):
+        self.grams, self.logp = grams, logp
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is there) of each hash."""
+        if not len(self.grams):
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        p = np.minimum(np.searchsorted(self.grams, h), len(self.grams) - 1)
+        return p, self.grams[p] == h
+
+
+def _look_up(ref, size: int, keep: list[str]):
+    """Sums of the log-probabilities in the cache, and the grams outside of it."""
+    rest_type = pa.struct([("gram", pa.string()), ("n", pa.int64())])
+
+    def run(batches):
+        cache = ref.value
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            for x, y in slices(texts):
+                codes, owner, has = _codes(texts[x:y])
+                at, who = _grams(codes, owner)
+                # equal grams are looked up once a slice
+                _, first, inv = np.unique(_hash(codes, at, ORDER), return_index=True, return_inverse=True)
+                place, there = cache.find(_hash(codes, at[first], ORDER))
+                known, hit = np.zeros((y - x, size)), there[inv]
+                for i in range(size if hit.any() else 0):
+                    known[:, i] = np.bincount(who[hit], cache.logp[:, i][place[inv[hit]]], y - x)
+                pairs, n = np.unique(who[~hit] * len(first) + inv[~hit], return_counts=True)
+                row, gram = np.divmod(pairs, max(len(first), 1))
+                grams = pa.array(_written(codes, at[first][gram]).tolist(), pa.string())
+                rest = pa.StructArray.from_arrays([grams, pa.array(n.astype(np.int64))], fields=list(rest_type))
+                ends = np.searchsorted(row, np.arange(y - x + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        b.column("rid").slice(x, y - x),
+                        pa.array(has),
+                        pa.array(np.bincount(who, minlength=y - x).astype(np.int64)),
+                        pa.ListArray.from_arrays(np.arange(y - x + 1, dtype=np.int32) * size, known.ravel()),
+                        pa.ListArray.from_arrays(ends, rest),
+                        *(b.column(k).slice(x, y - x) for k in keep),
+                    ],
+                    ["rid", "has", "chars", "known", "rest", *keep],
+                )
+
+    return run
+
+
+def _margins(scored: DataFrame, langs: int) -> DataFrame:
+    """Adds best (language number) and margin to the second best to rows with e."""
+    ranked = F.array_sort(F.transform("e", lambda x, i: F.struct(x.alias("e"), i.alias("i"))))
+    d = scored.withColumn("ranked", ranked)
+    second = F.get("ranked", F.lit(1))["e"] - F.get("ranked", F.lit(0))["e"]
+    margin = second if langs > 1 else F.lit(1.0)
+    return d.withColumn("best", F.get("ranked", F.lit(0))["i"]).withColumn("margin", margin).drop("ranked", "e")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
@@ -229,11 +379,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, flo
 class Identifier:
     """Models with a calibrated score."""
 
-    def __init__(self, models: Models | None):
-        self.models, self.slope, self.offset, self.reject = models, 20.0, 0.0, 0.0
+    def __init__(self, tables: Tables | None):
+        self.tables, self.slope, self.offset, self.reject = tables, 20.0, 0.0, 0.0
+        if tables is not None:
+            self.cache = tables.counts.sparkSession.sparkContext.broadcast(tables.frequent())
 
-    def calibrate(self, known: pa.Table) -> None:
-        """From (margin, good) rows, at least twenty of them."""
+    def calibrate(self, held: DataFrame) -> None:
+        """From held-out (text, lang) rows, at least twenty of them."""
+        rows = self.margins(held, ["lang"]).where("has")
+        good = F.get(F.array(*map(F.lit, self.tables.langs)), F.col("best")) == F.col("lang")
+        known = rows.select("margin", good.alias("good")).toArrow()
         if known.num_rows >= 20:
             margin, good = known.column("margin").to_numpy(), known.column("good").to_numpy().astype(float)
             order = np.lexsort((good, margin))
@@ -245,76 +400,46 @@ class Identifier:
     def score(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        if self.models is None:
-            return [UND] * len(texts), np.zeros(len(texts))
-        best, margin, has = _margins(self.models, texts)
-        return [self.models.langs[b] if h else UND for b, h in zip(best, has)], np.where(has, self.score(margin), 0.0)
+    def margins(self, docs: DataFrame, keep: list[str]) -> DataFrame:
+        return _margins(self.tables.entropies(docs, self.cache, keep), len(self.tables.langs))
+
+    def predict(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, lang_pred, score, rejected) of (doc_id, text)."""
+        if self.tables is None:
+            found = docs.select("doc_id", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
+        else:
+            rows = self.margins(docs, ["doc_id"])
+            at = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("margin") * self.slope + self.offset))
+            name = F.get(F.array(*map(F.lit, self.tables.langs)), F.col("best"))
+            found = rows.select(
+                "doc_id",
+                F.when(F.col("has"), name).otherwise(UND).alias("lang_pred"),
+                F.when(F.col("has"), 1 / (1 + F.exp(-at))).otherwise(0.0).alias("score"),
+            )
+        return found.withColumn("rejected", F.col("score") < self.reject)
 
 
 def learn(rows: DataFrame) -> Identifier:
     """Models from all of ``rows`` (doc_id, text, lang), calibrated on a part of them."""
     rows = rows.where("doc_id is not null and text is not null and lang is not null")
     part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(16))
-    counts = stored(
-        rows.where(part != 0)
-        .select("text", "lang")
-        .mapInArrow(_count, "lang string, gram long, n long")
-        .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n")),
-        "grams",
-    )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    best = counts.withColumn("rank", rank).where(F.col("rank") <= MAX_GRAMS).select("lang", "gram", "n").toArrow()
-    lang, gram, n = (best.column(c).to_numpy() for c in ("lang", "gram", "n"))
-    langs = sorted(set(lang))
-    models = Models(langs, [(gram[lang == x].view(np.uint64), n[lang == x]) for x in langs]) if langs else None
-    who = Identifier(models)
-    if models is not None:
+    who = Identifier(build(rows.where(part != 0)))
+    if who.tables is not None:
         sample = rows.where(part == 0).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
-        held = rows.select("doc_id", "text", "lang").join(F.broadcast(sample), "doc_id")
-        ref = rows.sparkSession.sparkContext.broadcast(who)
-        known = held.mapInArrow(_margin_rows(ref), "margin double, good boolean")
-        who.calibrate(known.limit(2 * CALIBRATION).toArrow())
+        who.calibrate(rows.join(F.broadcast(sample), "doc_id").select("text", "lang"))
     return who
 
 
-def _margin_rows(ref):
-    def run(batches):
-        m = ref.value.models
-        for b in batches:
-            texts, langs = b.column("text").to_pylist(), b.column("lang").to_pylist()
-            for x, y in slices(texts):
-                best, margin, has = _margins(m, texts[x:y])
-                good = np.array([m.langs[i] == lang for i, lang in zip(best, langs[x:y])])
-                yield pa.RecordBatch.from_arrays([pa.array(margin[has]), pa.array(good[has])], ["margin", "good"])
-
-    return run
-
-
-def _predict(ref):
-    def run(batches):
-        who = ref.value
-        for b in batches:
-            texts = b.column("text").to_pylist()
-            for x, y in slices(texts):
-                lang, score = who.predict(texts[x:y])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column("doc_id").slice(x, y - x),
-                        pa.array(lang),
-                        pa.array(score),
-                        pa.array(score < who.reject),
-                    ],
-                    ["doc_id", "lang_pred", "score", "rejected"],
-                )
-
-    return run
+def build(rows: DataFrame) -> Tables | None:
+    """Models of (text, lang) rows."""
+    grams = rows.select("text", "lang").mapInArrow(_count, "lang string, gram string, n long")
+    counts = stored(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    return Tables(counts, langs) if langs else None
 
 
 def identify(docs: DataFrame, learning: DataFrame) -> DataFrame:
     """(doc_id, lang_pred, score, rejected) for every row of ``docs``; models come
     from ``learning`` (doc_id, text, lang)."""
-    ref = docs.sparkSession.sparkContext.broadcast(learn(learning))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(_predict(ref), "doc_id long, lang_pred string, score double, rejected boolean")
+    return learn(learning).predict(d)
