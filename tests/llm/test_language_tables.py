@@ -55,3 +55,17 @@ def test_wide_characters_and_rare_grams_are_in_the_model(spark):
     whole = {"".join(chr(int(codes[j - k])) for k in range(L.ORDER - 1, -1, -1)) for j in at}
     assert {o: len({g[-o:] for g in whole}) for o in range(1, L.ORDER + 1)} == got
     assert tables.grams.where(F.col("gram").contains("\U00020001")).select("o").distinct().count() == L.ORDER
+
+
+def test_all_but_the_calibration_rows_are_counted(spark, monkeypatch):
+    """A larger table holds out no more, and a language never all of its rows."""
+    monkeypatch.setattr(L, "CALIBRATION", 50)
+    part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(16))
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.lit("x").alias("lang"))
+    first = rows.where(part == 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(3).select("doc_id")
+    rare = first.select("doc_id", F.lit("\u03b1\u03b2\u03b3 \u03b4\u03b5").alias("text"), F.lit("rare").alias("lang"))
+    rows = rows.join(first, "doc_id", "left_anti").unionByName(rare)
+    held = {(r.lang, r.held): r["count"] for r in L.split(rows).groupBy("lang", "held").count().collect()}
+    assert held == {("x", True): 47, ("x", False): 20_000 - 50, ("rare", False): 3}
+    docs = spark.createDataFrame([(1, "\u03b2\u03b3 \u03b4\u03b5"), (2, "some text")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in L.identify(docs, rows.limit(2_000).unionByName(rare)).collect()} == {1: "rare", 2: "x"}

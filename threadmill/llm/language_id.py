@@ -16,7 +16,8 @@ The prediction is the language of the lowest cross-entropy by character. Its
 score comes from a logistic curve over the margin to the second best, and
 ``rejected`` marks documents below the score that all but ``REJECT`` of right
 predictions exceed; both are calibrated on learning rows that stayed out of
-the counts (a sixteenth, at most ``CALIBRATION`` rows).
+the counts: those of at most ``CALIBRATION`` doc_ids (of a sixteenth, in a small
+table), never all rows of a language. All other learning rows are counted.
 
 Defined results: null texts and texts without a letter are `und` with score 0;
 without learning rows every text is `und`; rows with a null doc_id, lang or
@@ -35,6 +36,7 @@ from threadmill.llm.common import mix, slices, starts_of, stored
 ORDER = 4
 CACHE_BYTES = 32 << 20
 CALIBRATION = 4_000
+REPEATS = 16
 REJECT = 0.005
 UND = "und"
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -419,14 +421,25 @@ class Identifier:
         return found.withColumn("rejected", F.col("score") < self.reject)
 
 
+def split(rows: DataFrame) -> DataFrame:
+    """Adds held: rows that calibrate and stay out of the counts. They are those of at
+    most CALIBRATION doc_ids of a sixteenth, none of a doc_id of more than REPEATS
+    rows, and none of a language that would have no other row."""
+    ids = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(16)) == 0).groupBy("doc_id").count()
+    ids = ids.where(F.col("count") <= REPEATS).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
+    ids = F.broadcast(stored(ids.select("doc_id", F.lit(True).alias("picked")), "held"))
+    rows = rows.join(ids, "doc_id", "left").withColumn("picked", F.coalesce("picked", F.lit(False)))
+    langs = rows.groupBy("lang").agg(F.bool_and("picked").alias("only")).where("only").select("lang", "only")
+    rows = rows.join(F.broadcast(langs), "lang", "left")
+    return rows.withColumn("held", F.col("picked") & F.col("only").isNull()).drop("picked", "only")
+
+
 def learn(rows: DataFrame) -> Identifier:
-    """Models from all of ``rows`` (doc_id, text, lang), calibrated on a part of them."""
-    rows = rows.where("doc_id is not null and text is not null and lang is not null")
-    part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(16))
-    who = Identifier(build(rows.where(part != 0)))
+    """Models from all of ``rows`` (doc_id, text, lang) but the few they are calibrated on."""
+    rows = split(rows.where("doc_id is not null and text is not null and lang is not null"))
+    who = Identifier(build(rows.where(~F.col("held"))))
     if who.tables is not None:
-        sample = rows.where(part == 0).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
-        who.calibrate(rows.join(F.broadcast(sample), "doc_id").select("text", "lang"))
+        who.calibrate(rows.where("held").select("text", "lang"))
     return who
 
 
