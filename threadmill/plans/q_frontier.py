@@ -289,7 +289,8 @@ FROM (SELECT count(*) AS total, count(*) FILTER (WHERE status = 'completed') AS
              count(*) FILTER (WHERE status = 'failed') AS failed FROM jobs_v)""")
 def q_run_summary(spark, sf_dir):
     """One-row run summary: success rate and the output files.
-    The jobs report is written as one file, so its count is known to SQL."""
+    The jobs report is written as one file, so its count is known to SQL; the posts
+    are written whole, and there is output if all their rows are read back."""
     from ..session import scratch_path
     from ..sources import files as io
     j = V.jobs_v(spark, sf_dir)
@@ -297,5 +298,9 @@ def q_run_summary(spark, sf_dir):
     path = scratch_path(spark, "summary_out")
     io.write_posts(stats.coalesce(1), path, partition_by=None)
     out = FR.run_summary(stats, io.file_inventory(spark, path))
+    posts = V.posts_v(spark, sf_dir)
+    posts_path = scratch_path(spark, "summary_posts")
+    io.write_posts(posts, posts_path, fmt="parquet", partition_by=None)
+    n, back = posts.count(), spark.read.schema(posts.schema).parquet(posts_path).count() if not posts.isEmpty() else 0
     return out.select("total", "completed", "failed", "success_rate", "progress_pct",
-                      F.col("output_files").cast("int").alias("output_files"), (F.col("output_mb") >= 0).alias("has_output"))
+                      F.col("output_files").cast("int").alias("output_files"), ((F.col("output_mb") >= 0) & F.lit(back == n)).alias("has_output"))

@@ -377,11 +377,21 @@ def q_upsert_chunks(spark, sf_dir):
 @query("file_inventory", _w(V.POSTS_V_SQL) + """SELECT DISTINCT strftime(make_timestamp(CAST(created_utc * 1000000 AS BIGINT)), '%Y-%m-%d') AS ingest_date,
   TRUE AS has_files, TRUE AS named_and_dated FROM posts_v""")
 def q_file_inventory(spark, sf_dir):
-    """Output-file inventory of a written post table, by date folder."""
+    """Output-file inventory of a written post table, by date folder (A16, D13): a date
+    has its files if as many rows are read back as were written."""
     df = V.posts_v(spark, sf_dir).withColumn("ingest_date", F.date_format(tx.epoch_to_ts("created_utc"), "yyyy-MM-dd"))
     path = scratch_path(spark, "inventory")
     io.write_posts(df, path, fmt="parquet")
-    files = io.file_inventory(spark, path)
-    return files.groupBy(F.regexp_extract("path", "ingest_date=([^/]+)", 1).alias("ingest_date")).agg(
-        (F.count(F.lit(1)) > 0).alias("has_files"),
+    return inventory_by_date(df, io.file_inventory(spark, path), spark.read.parquet(path))
+
+
+def inventory_by_date(written, files, back):
+    """Dates of ``written``, checked against the files listed and the rows read ``back``."""
+    dates = written.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+    back = back.groupBy(F.col("ingest_date").cast("string").alias("ingest_date")).agg(F.count(F.lit(1)).alias("n_back"))
+    files = files.groupBy(F.regexp_extract("path", "ingest_date=([^/]+)", 1).alias("ingest_date")).agg(
+        F.count(F.lit(1)).alias("n_files"),
         F.bool_and(F.col("name").endswith(".parquet") & F.col("modified").isNotNull() & (F.col("size_mb") >= 0)).alias("named_and_dated"))
+    whole = (F.coalesce("n_files", F.lit(0)) > 0) & (F.coalesce("n_back", F.lit(0)) == F.col("n"))
+    return dates.join(files, "ingest_date", "left").join(back, "ingest_date", "left").select(
+        "ingest_date", whole.alias("has_files"), F.coalesce("named_and_dated", F.lit(False)).alias("named_and_dated"))
