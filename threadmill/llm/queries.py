@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from threadmill.llm.bpe import encode_documents
 from threadmill.llm.common import prepare
+from threadmill.llm.hard_negatives import labelled_vectors, mine_negatives
 from threadmill.llm.language_id import identify
+from threadmill.llm.lexical_search import search
 from threadmill.llm.line_dedup import dedup_lines
 from threadmill.llm.minhash_dedup import near_duplicates
 from threadmill.llm.mixing import allocate, sized
@@ -18,6 +20,7 @@ from threadmill.llm.secret_scan import KINDS, scan, written
 from threadmill.llm.substring_dedup import dedup_substrings
 from threadmill.llm.topk_search import integer_vectors, top_k
 from threadmill.llm.toxicity import score_toxicity
+from threadmill.llm.warc import archive_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -145,6 +148,31 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, from the merged index of the archives. The
+    table has no capture times; page_id seconds after 1970 stand in for them."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    captured = F.timestamp_seconds(F.pmod(F.col("page_id"), F.lit(2**31)))
+    d = archive_index(pages, captured, min_bytes=0)
+    return d.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of an anchor's five positives."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    v = labelled_vectors(v.withColumn("label", moved), scale=256)
+    return mine_negatives(v, v.where("vec_id % 50 = 0"), positives=5, negatives=3, low=50, high=95)
+
+
 #: Words of a text, as a DuckDB expression over the column ``text``.
 SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 SQL_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -240,3 +268,90 @@ ranked AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+SQL_TERMS = (
+    "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+ORACLE_SQL["op11_lexical_search"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {SQL_TERMS.format("coalesce(text, '')")} AS t
+  FROM documents WHERE doc_id IS NOT NULL
+),
+corpus AS (SELECT count(*) FILTER (WHERE len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({SQL_TERMS.format("coalesce(min(text), '')")}) AS term
+        FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id)
+  GROUP BY ALL
+),
+tf AS (
+  SELECT r, doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY r, doc_id, term
+),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+posting AS (
+  SELECT term, r, doc_id,
+         CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+         * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS points
+  FROM tf JOIN df USING (term), corpus
+),
+scored AS (
+  SELECT item_id, r, doc_id, CAST(sum(times * points) AS BIGINT) AS score
+  FROM q JOIN posting USING (term) GROUP BY item_id, r, doc_id
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+#: Four base32 digits for each five digits of the hexadecimal SHA-1.
+SQL_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, {5 * i + 1}, 5) AS BIGINT) >> {s}) & 31), 1)"
+    for i in range(8)
+    for s in (15, 10, 5, 0)
+)
+
+ORACLE_SQL["op12_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS x, sha1(coalesce(html, '')) AS h FROM pages),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS winner FROM p)
+SELECT page_id, octet_length(encode(x)) AS payload_bytes, {SQL_BASE32} AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM winner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM winner THEN winner END AS refers_to
+FROM w
+"""
+
+ORACLE_SQL["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+a AS (
+  SELECT vec_id, label, v FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY label, v) AS n FROM v WHERE vec_id % 50 = 0
+  ) WHERE n = 1
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id, x.label = a.label AS same,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * x.v[i])) AS BIGINT) AS score
+  FROM a JOIN v x ON x.vec_id <> a.vec_id
+),
+positive AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS turn FROM scored WHERE same
+  ) WHERE turn <= 5
+),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.turn ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positive p JOIN scored n
+    ON n.anchor_id = p.anchor_id AND NOT n.same AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
