@@ -1,10 +1,15 @@
 """Near-duplicate clusters vs brute force; streaming == batch."""
 
+import collections
 import itertools
+import random
+import re
 
 from pyspark.sql import functions as F
 
 from threadmill.operators import dedupe as DD
+from threadmill.operators import hot_keys
+from threadmill.operators.components import connected_components
 from threadmill.streaming import jobs as SJ
 from threadmill.session import scratch_path
 
@@ -20,20 +25,116 @@ def test_exact_and_near_duplicates(spark):
     assert cl.get(1) == cl.get(2) == cl.get(3) == cl.get(5) == 1 and 4 not in cl
 
 
-def test_components_brute_force(spark):
-    edges = [(1, "a"), (2, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "d"), (5, "c"), (6, "e")]
-    got = {r["id"]: r["label"] for r in DD.connected_components(spark.createDataFrame(edges, "id long, bucket string")).collect()}
-    # brute force union-find
-    parent = {i: i for i, _ in edges}
+def union_find(nodes, pairs):
+    parent = {i: i for i in nodes}
+
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
-    for (i, bi), (j, bj) in itertools.combinations(edges, 2):
-        if bi == bj:
-            ri, rj = find(i), find(j)
-            parent[max(ri, rj)] = min(ri, rj)
-    assert got == {i: find(i) for i in parent}
+
+    for i, j in pairs:
+        ri, rj = find(i), find(j)
+        parent[max(ri, rj)] = min(ri, rj)
+    return {i: find(i) for i in nodes}
+
+
+def test_components_brute_force(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(999, i) for i in range(1000, 1400)] + [(3, 3)]
+    got = {r["id"]: r["label"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    nodes = {i for e in edges if e[0] != e[1] for i in e}
+    assert got == union_find(nodes, [e for e in edges if e[0] != e[1]])
+
+
+def test_chain_of_a_thousand(spark):
+    """Logarithmic rounds, however the ids lie along the chain."""
+    ids = list(range(1000))
+    random.Random(2).shuffle(ids)
+    for chain in (range(1000), ids):
+        rounds = []
+        edges = spark.createDataFrame(list(zip(chain, chain[1:])), "a long, b long")
+        labels = connected_components(edges, rounds).select("label").distinct().collect()
+        assert [r.label for r in labels] == [0] and len(rounds) <= 20
+
+
+def brute_clusters(texts, shingle=5, percent=80):
+    sets = {}
+    for i, t in texts:
+        w = re.findall(r"[^\W_]+", (t or "").lower())
+        if w:
+            sets[i] = {tuple(w[j:j + shingle]) for j in range(max(len(w) - shingle + 1, 1))}
+    pairs = [(i, j) for i, j in itertools.combinations(sorted(sets), 2)
+             if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    label = union_find(sorted({x for p in pairs for x in p}), pairs)
+    size = collections.Counter(label.values())
+    return {i: (c, size[c]) for i, c in label.items()}
+
+
+def near_copies(rng):
+    """Random texts, chains of edits, exact copies of a third of all rows, and texts
+    that share a bucket with texts they are not similar to."""
+    word = lambda: f"w{rng.randrange(4000)}"
+    texts = []
+    for _ in range(25):
+        t = [word() for _ in range(rng.choice([3, 8, 40, 120]))]
+        for _ in range(rng.randrange(1, 7)):
+            texts.append(" ".join(t))
+            t = list(t)
+            for _ in range(rng.choice([0, 1, 2, 3])):
+                t[rng.randrange(len(t))] = word()
+    texts += ["one text that very many documents share , word for word"] * 60
+    texts += [None, "", " .,! ", "x", "X!"]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    for seed in (1, 2):
+        texts = near_copies(random.Random(seed))
+        df = spark.createDataFrame(texts + [(None, "x")], "id long, text string").repartition(4)
+        got = {r.id: (r.cluster_id, r.cluster_size) for r in DD.near_dup_clusters(df, "id", "text").collect()}
+        assert got == brute_clusters(texts)
+
+
+def test_members_outside_their_pivots_component(spark, monkeypatch):
+    """Few bands of one row: buckets hold texts that are not similar, so most links
+    are found among the texts outside the component of the bucket's smallest id."""
+    texts = near_copies(random.Random(3))
+    monkeypatch.setattr(DD, "BANDS", 64)
+    monkeypatch.setattr(DD, "ROWS", 1)
+    got = {r.id: (r.cluster_id, r.cluster_size) for r in
+           DD.near_dup_clusters(spark.createDataFrame(texts, "id long, text string"), "id", "text").collect()}
+    assert got == brute_clusters(texts)
+
+
+def test_empty_table_has_no_clusters(spark):
+    df = spark.createDataFrame([], "id long, text string")
+    clusters = DD.near_dup_clusters(df, "id", "text")
+    assert clusters.count() == 0 and DD.largest_clusters(clusters).count() == 0
+
+
+def test_hot_keys_stay_spread(spark, monkeypatch):
+    """A key of a third of all rows gives no partition above twice the mean."""
+    monkeypatch.setattr(hot_keys, "SHARE", 20)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(30_000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") + 1).alias("k")).repartition(8)
+        counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        hot = hot_keys.hot_keys(counts, "k", 30_000)
+        table = counts.select("k", F.col("n").alias("v"))
+        out = hot_keys.lookup(rows, table, "k", hot)
+        assert out.count() == 30_000 and out.where("k = 0 and v <> 10000").isEmpty()
+        splits = hot_keys.splits_of(counts, "k", 30_000)
+        left, right = hot_keys.salted(rows, "k", "id", splits), hot_keys.repeated(table, "k", splits)
+        both = left.join(right, ["k", "_salt"])
+        for joined in (out, both):
+            sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count"), F.avg("count")).first()
+            assert sizes[0] <= 2 * sizes[1] and joined.count() == 30_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_stream_dedupe_equals_batch(spark):

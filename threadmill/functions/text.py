@@ -39,14 +39,14 @@ def chunk_array(text, size: int, step: int) -> Column:
     """Overlapping fixed-size character windows.
 
     Every start offset ``0, step, 2*step, ... < length`` yields one chunk of up
-    to ``size`` code points; an empty text yields an empty array.
+    to ``size`` code points; a null or empty text yields an empty array.
+
+    One walk over the text: each match moves on by ``step`` code points and
+    looks ahead at ``size``, so the time is linear in the length (a substring by
+    code point would start from the front again for every window).
     """
-    t = _c(text)
-    n = F.length(t)
-    starts = F.sequence(F.lit(0), n - 1, F.lit(step))
-    return F.when(n > 0, F.transform(starts, lambda i: F.substring(t, i + 1, size))).otherwise(
-        F.array().cast("array<string>")
-    )
+    window = F.lit(f"(?s)(?=(.{{1,{size}}})).{{1,{step}}}")
+    return F.coalesce(F.regexp_extract_all(_c(text), window, F.lit(1)), F.array().cast("array<string>"))
 
 
 def newline_to_space(col) -> Column:

@@ -21,20 +21,18 @@ def chunk_rows(
     """One row per chunk: ``chunk_id, doc_id, chunk_ix, chunk_text`` + payload.
 
     Chunking is a per-row ``posexplode`` of character windows: no shuffle,
-    whole texts (every window of every text is emitted). ``chunk_id`` is a
+    whole texts (every window of every text is emitted), time linear in the
+    length of a text. ``chunk_id`` is a
     sha256 of (doc_id, chunk_ix, chunk_text), so re-indexing the same post
     yields the same ids and upserts stay idempotent.
     """
     payload = payload or {}
     df = spread(df)
-    # The text is materialised as a column before the windowing lambda (an
-    # expression inside a lambda would be re-evaluated for every window).
     base = df.select(
         doc_id.cast("string").alias("doc_id"),
-        text.alias("_text"),
+        tx.chunk_array(text, spec.size, spec.step).alias("_chunks"),
         *[c.alias(n) for n, c in payload.items()],
     )
-    base = base.select("doc_id", tx.chunk_array(F.col("_text"), spec.size, spec.step).alias("_chunks"), *payload.keys())
     # posexplode_outer + null filter: a plain posexplode lets Catalyst infer
     # size(_chunks) > 0 and push it below the repartition into the scan task.
     out = base.select("doc_id", F.posexplode_outer("_chunks").alias("chunk_ix", "chunk_text"), *payload.keys())

@@ -2,28 +2,41 @@
 
 Exact duplicates: group by sha256 of the normalised text.
 
-Near duplicates: MinHash signatures over word shingles, cut into bands; texts
-that share a band bucket are linked, and the links are resolved into
-connected components by iterative min-label propagation over the bipartite
-(text, bucket) graph. No candidate *pairs* are ever produced, so a bucket that
-holds a third of all texts costs one aggregation row per map task instead of
-a quadratic pair list.
+Near duplicates are linked where the sets of their word shingles have a Jaccard
+similarity of ``percent`` or more, and clusters are the connected components of
+these links:
+
+1. Texts of equal words become one representative (a partial aggregate).
+2. MinHash signatures are cut into bands; equal bands put texts into a bucket. A
+   linked pair of similarity 0.8 shares none of 25 bands of 4 with a chance of 2e-6.
+3. Every text of a bucket is compared with the bucket's smallest id, on the full
+   sets. Links found so far give components.
+4. A text outside the component of its bucket's smallest id is compared with
+   the bucket's texts of other components, again on the full sets. Texts already
+   in one component are never compared, so a bucket of near copies costs one
+   comparison a member, not one a pair.
+
+Rows of a bucket, copy group or centre that holds more than a thousandth of all rows
+are not gathered by that key: it is looked up from a broadcast of at most 1,000
+keys, or salted (``hot_keys``).
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..session import ensure_checkpoint_dir
+from .components import connected_components, written
+from .hot_keys import hot_keys, lookup, repeated, salted, splits_of
 from .layout import spread
 
-_PRIME = (1 << 61) - 1
+BANDS, ROWS = 25, 4
+#: Hashes whose permutations are computed at once.
+SLICE = 1 << 18
 
 
 def normalized_hash(col: str) -> "F.Column":
@@ -38,104 +51,138 @@ def exact_dup_groups(df: DataFrame, id_col: str, text_col: str, min_size: int =
             .where(F.col("n_docs") >= min_size))
 
 
-def _minhash_fn(num_perm: int, seed: int):
-    rng = np.random.default_rng(seed)
-    a = rng.integers(1, _PRIME, size=num_perm, dtype=np.int64).astype(np.uint64)
-    b = rng.integers(0, _PRIME, size=num_perm, dtype=np.int64).astype(np.uint64)
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def minhash(hashes: pd.Series) -> pd.Series:
-        out = []
-        for h in hashes:
-            if h is None or len(h) == 0:
-                out.append(np.full(num_perm, -1, dtype=np.int64))
-                continue
-            x = (np.asarray(h, dtype=np.int64).astype(np.uint64) & np.uint64(_PRIME))[:, None]
-            # (a*x + b) mod p, computed on 61-bit values; uint64 overflow is
-            # part of the hash family definition (consistent everywhere).
-            v = (x * a[None, :] + b[None, :]) & np.uint64(_PRIME)
-            out.append(v.min(axis=0).astype(np.int64))
-        return pd.Series(out)
-
-    return minhash
-
-
-def minhash_signatures(df: DataFrame, id_col: str, text_col: str, shingle: int = 3,
-                       num_perm: int = 64, seed: int = 11) -> DataFrame:
-    """``id, sig ARRAY<BIGINT>``. Shingles and their 64-bit hashes are built
-    in the JVM; the pandas UDF only applies the permutations (vectorised)."""
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, shingle: int = 5) -> DataFrame:
+    """``id, words, hashes``: a digest of the words in order, and the distinct 64-bit
+    hashes of the shingles (of the whole sequence, where it is shorter). Texts
+    without words have no row."""
     # Tokens are materialised as a column first: an expression used inside a
     # lambda would be re-evaluated for every element.
-    base = spread(df).select(F.col(id_col).alias("id"), tx.tokens(F.col(text_col)).alias("_toks"))
+    base = spread(df).select(F.col(id_col).alias("id"), tx.tokens(F.col(text_col)).alias("_toks")).where(F.size("_toks") > 0)
     toks = F.col("_toks")
-    n = F.size(toks)
-    shingles = F.when(n < shingle, F.array(F.array_join(toks, " "))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(n - shingle + 1, F.lit(1))),
-                    lambda i: F.array_join(F.slice(toks, i, shingle), " ")))
-    hashes = F.transform(F.array_distinct(shingles), lambda s: F.xxhash64(s))
-    return base.select("id", _minhash_fn(num_perm, seed)(hashes).alias("sig"))
-
-
-def band_buckets(sigs: DataFrame, bands: int = 16) -> DataFrame:
-    """(id, bucket) rows: one per band; bucket = hash(band index, band slice)."""
-    size = F.size("sig")
-    rows = F.floor(size / bands)
-    return sigs.select("id", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(bands - 1)),
-        lambda b: F.xxhash64(b, F.slice(F.col("sig"), b * rows + 1, rows)))).alias("band", "bucket")
-    ).select("id", F.concat_ws(":", F.col("band").cast("string"), F.col("bucket").cast("string")).alias("bucket"))
-
-
-def connected_components(edges: DataFrame, max_iter: int = 10_000, checkpoint_every: int = 4) -> DataFrame:
-    """Components of the bipartite graph ``edges(id, bucket)``: every id gets
-    the smallest id reachable through shared buckets.
-
-    Each round is two partial aggregations (bucket -> min label, id -> min
-    label). The edge table is kept twice, hash-partitioned by ``id`` and by
-    ``bucket``, so both joins of a round find their big side already
-    clustered and only the (pre-aggregated) label tables move. A self bucket
-    per id carries its current label, so labels never increase; a round that
-    leaves the exact sum of labels unchanged therefore changed nothing."""
-    spark = edges.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The distinct edges are computed once (they may come from an expensive
-    # signature pass) and then laid out twice.
-    base = edges.select("id", "bucket").distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    e = base.unionByName(base.select("id").distinct().select(
-        "id", F.concat(F.lit("self:"), F.col("id").cast("string")).alias("bucket")))
-    by_id = e.repartition(n_parts, "id").persist(StorageLevel.MEMORY_AND_DISK)
-    by_bucket = e.repartition(n_parts, "bucket").persist(StorageLevel.MEMORY_AND_DISK)
-    by_id.count()
-    by_bucket.count()
-    base.unpersist()
-    labels = by_id.groupBy("id").agg(F.min("id").alias("label"))
-    previous = None
-    for it in range(max_iter):
-        # Hash joins that build on the (aggregated, smaller) label side: it
-        # arrives clustered by the same key from its aggregation and the edge
-        # tables are pre-clustered, so neither side moves and nothing is sorted.
-        bucket_min = by_id.join(labels.hint("shuffle_hash"), "id").groupBy("bucket").agg(F.min("label").alias("label"))
-        new = by_bucket.join(bucket_min.hint("shuffle_hash"), "bucket").groupBy("id").agg(F.min("label").alias("label"))
-        if (it + 1) % checkpoint_every == 0:
-            ensure_checkpoint_dir(spark)
-            new = new.checkpoint(eager=True)
-        else:
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        total = new.agg(F.sum(F.col("label").cast("decimal(38,0)")).alias("s")).first()["s"]
-        labels = new
-        if total == previous:
-            return labels
-        previous = total
-    # Never hand back partial components.
-    raise RuntimeError(f"connected components did not converge in {max_iter} rounds")
-
-
-def near_dup_clusters(df: DataFrame, id_col: str, text_col: str, bands: int = 16, num_perm: int = 64,
-                      shingle: int = 3, min_size: int = 2) -> DataFrame:
-    """``id, cluster_id, cluster_size`` for texts in near-duplicate clusters of
-    at least ``min_size`` members (cluster id = smallest member id)."""
-    sigs = minhash_signatures(df, id_col, text_col, shingle, num_perm)
-    comps = connected_components(band_buckets(sigs, bands))
-    sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size"))
-    return (comps.join(sizes, "label").where(F.col("cluster_size") >= min_size)
-            .select(F.col("id").alias(id_col), F.col("label").alias("cluster_id"), "cluster_size"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(toks) - shingle + 1, F.lit(1)))
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(toks, i, shingle), " ")))
+    return base.select("id", F.sha2(F.array_join(toks, " "), 256).alias("words"), F.array_distinct(hashes).alias("hashes"))
+
+
+def _signatures(hashes: np.ndarray, starts: np.ndarray, count: int, seed: int) -> np.ndarray:
+    """Minima of ``count`` multiply-add permutations (odd factors, mod 2**64) by set."""
+    rng = np.random.default_rng(seed)
+    factor = rng.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shift = rng.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2)
+    out = np.empty((len(starts), count), np.uint64)
+    for i in range(count):
+        x = hashes * factor[i] + shift[i]
+        x ^= x >> np.uint64(32)
+        out[:, i] = np.minimum.reduceat(x * factor[i], starts)
+    return out
+
+
+def _banded(seed: int):
+    def run(batches):
+        rng = np.random.default_rng(seed + 1)
+        factor = rng.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for b in batches:
+            ends = b.column("hashes").offsets.to_numpy()
+            i = 0
+            while i < b.num_rows:  # sets are worked on in slices of bounded size, one set at least
+                j = max(int(np.searchsorted(ends, ends[i] + SLICE, "right")) - 1, i + 1)
+                part = b.column("hashes").slice(i, j - i)
+                sig = _signatures(part.flatten().to_numpy().view(np.uint64), ends[i:j] - ends[i], BANDS * ROWS, seed)
+                band = (sig.reshape(j - i, BANDS, ROWS) * factor).sum(2, dtype=np.uint64)
+                band = (band ^ (band >> np.uint64(29))) * factor[0] + np.arange(BANDS, dtype=np.uint64)
+                ids = b.column("id").slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), BANDS)))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(band.ravel().view(np.int64))], ["id", "bucket"])
+                i = j
+
+    return run
+
+
+def band_buckets(sets: DataFrame, seed: int = 11) -> DataFrame:
+    """(id, bucket) rows: one per band of a text's MinHash signature."""
+    schema = T.StructType([sets.schema["id"], T.StructField("bucket", T.LongType())])
+    return sets.select("id", "hashes").mapInArrow(_banded(seed), schema)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets have ``percent`` similarity or more. Pairs that
+    the set sizes rule out bring no sets together; an id in very many pairs is salted."""
+    size = F.size("hashes")
+    sizes = sets.select("id", size.alias("n"))
+    pairs = pairs.join(sizes.toDF("a", "_na"), "a").join(sizes.toDF("b", "_nb"), "b")
+    fits = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
+    pairs = written(pairs.where(fits).select("a", "b").distinct(), "pairs")
+    degree = written(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "degrees")
+    total = degree.agg(F.sum("n")).first()[0] or 0
+    splits = splits_of(degree, "b", total)
+    left = salted(pairs, "b", "a", splits).join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("_x")), "a")
+    right = repeated(sets.select(F.col("id").alias("b"), F.col("hashes").alias("_y")), "b", splits)
+    both = left.join(right, ["b", "_salt"]).withColumn("_i", F.size(F.array_intersect("_x", "_y")))
+    return both.where(100 * F.col("_i") >= percent * (F.size("_x") + F.size("_y") - F.col("_i"))).select("a", "b")
+
+
+def _copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of texts of equal words to the smallest id, and the sets of these."""
+    groups = written(sets.groupBy("words").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")), "copies")
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    many = groups.where("n > 1").select("words", "rep")
+    links = lookup(sets.select("id", "words"), many, "words", hot_keys(groups, "words", total))
+    links = links.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    # by (words, id), so a large copy group is spread over its ids
+    reps = sets.join(groups.select("words", F.col("rep").alias("id")), ["words", "id"], "left_semi")
+    return links, reps.select("id", "words", "hashes").dropDuplicates(["id", "words"]).drop("words")
+
+
+def near_dup_links(reps: DataFrame, percent: int = 80) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs of ``reps`` (id, hashes)
+    of ``percent`` similarity or more."""
+    rows = written(band_buckets(reps), "buckets")
+    buckets = written(rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1"), "pivots")
+    total = buckets.agg(F.sum("n")).first()[0] or 0
+    hot = hot_keys(buckets, "bucket", total)
+    members = written(lookup(rows, buckets.select("bucket", "pivot"), "bucket", hot), "members")
+    first = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    links = written(confirmed(first, reps, percent), "confirmed")
+    label = written(connected_components(links), "labels")
+
+    def labelled(df: DataFrame, col: str, name: str) -> DataFrame:
+        counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+        many = hot_keys(counts, col, total)
+        known = lookup(df, label.toDF(col, name), col, many)
+        return known.unionByName(df.join(label.toDF(col, name), col, "left_anti").withColumn(name, F.col(col)))
+
+    known = written(labelled(labelled(members, "id", "mine"), "pivot", "centre"), "labelled")
+    outside = known.where(F.col("mine") != F.col("centre")).select("bucket", F.col("id").alias("a"), F.col("mine").alias("la"))
+    inside = known.select("bucket", F.col("id").alias("b"), F.col("mine").alias("lb"))
+    splits = splits_of(buckets, "bucket", total)
+    inside = salted(inside.join(outside.select("bucket").distinct(), "bucket", "left_semi"), "bucket", "b", splits)
+    pairs = repeated(outside, "bucket", splits).join(inside, ["bucket", "_salt"]).where("la <> lb")
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    stars = label.select(F.col("id").alias("a"), F.col("label").alias("b"))
+    return stars.unionByName(confirmed(pairs, reps, percent))
+
+
+def near_dup_clusters(df: DataFrame, id_col: str, text_col: str, shingle: int = 5, percent: int = 80,
+                      min_size: int = 2) -> DataFrame:
+    """``id, cluster_id, cluster_size`` for texts in near-duplicate clusters of at least
+    ``min_size`` members (cluster id = smallest member id). Rows with a null id
+    take no part; texts of one id are in one cluster."""
+    if percent < 80:
+        raise ValueError("the bands are laid out for a similarity of 80 percent or more")
+    sets = written(shingle_sets(df.where(F.col(id_col).isNotNull()), id_col, text_col, shingle), "sets")
+    copies, reps = _copies(sets)
+    reps = written(reps, "reps")
+    comps = connected_components(copies.unionByName(near_dup_links(reps, percent)))
+    sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size")).where(F.col("cluster_size") >= min_size)
+    sizes = written(sizes, "cluster_sizes")
+    total = sizes.agg(F.sum("cluster_size")).first()[0] or 0
+    out = lookup(comps, sizes, "label", hot_keys(sizes, "label", total, "cluster_size"))
+    return out.select(F.col("id").alias(id_col), F.col("label").alias("cluster_id"), "cluster_size")
+
+
+def largest_clusters(clusters: DataFrame, n: int = 20) -> DataFrame:
+    """Report of the ``n`` largest clusters, ranked by size, then id."""
+    sizes = clusters.groupBy("cluster_id").agg(F.max("cluster_size").alias("cluster_size"))
+    top = sizes.orderBy(F.desc("cluster_size"), "cluster_id").limit(n)
+    ranked = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("cluster_size")).alias("s"), "cluster_id"))).alias("all"))
+    rows = ranked.select(F.posexplode("all").alias("at", "c"))
+    return rows.select((F.col("at") + 1).cast("int").alias("rank"), "c.cluster_id", (-F.col("c.s")).alias("cluster_size"))

@@ -9,6 +9,7 @@ from .. import config as C
 from ..functions import text as tx
 from ..operators import chunks as CH
 from ..operators import dedupe as DD
+from ..operators import index_table as IX
 from ..operators import prompts as PR
 from ..operators import rerank as RR
 from ..operators import vectors as VE
@@ -39,6 +40,11 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CH.post_chunks(posts_for_index(spark, sf_dir), SPEC)
 
 
+def earlier_draft(text: str):
+    """Stand-in input: a longer, older text of a post (its chunks must go when the post lands again)."""
+    return F.concat(F.repeat(F.lit("draft "), 400), F.coalesce(F.col(text), F.lit("")))
+
+
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VE.embed_hashed(V.queries_v(spark, sf_dir), "query_text", "qvec")
 
@@ -355,23 +361,58 @@ def q_exact_dup_groups(spark, sf_dir):
     return DD.exact_dup_groups(V.read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query("near_dup_clusters")
+#: Components of the links of similarity 0.8 or more over 5-word shingles.
+NEAR_DUP_SQL = f"""WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter({S.tokens_unnest('text')}, lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL
+),
+shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+    UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4
+  )
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+inter AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM inter JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * i >= 80 * (p.n + q.n - i)
+),
+reach AS (
+  SELECT DISTINCT a AS id, a AS r FROM link
+  UNION SELECT link.b, reach.r FROM reach JOIN link ON link.a = reach.id WHERE reach.r < link.b
+),
+label AS (SELECT id AS doc_id, min(r) AS cluster_id FROM reach GROUP BY id),
+clusters AS (SELECT doc_id, cluster_id, count(*) OVER (PARTITION BY cluster_id) AS cluster_size FROM label)
+"""
+
+
+@query("near_dup_clusters", NEAR_DUP_SQL + "SELECT doc_id, cluster_id, cluster_size FROM clusters")
 def q_near_dup_clusters(spark, sf_dir):
-    """MinHash-LSH near-duplicate clusters via connected components over band
-    buckets, no pair lists (I12). Rows-only check."""
+    """Near-duplicate clusters: 5-word shingles, similarity 0.8 or more, confirmed on
+    full sets (I12)."""
     return DD.near_dup_clusters(V.read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@query("near_dup_largest", NEAR_DUP_SQL + """SELECT CAST(row_number() OVER (ORDER BY cluster_size DESC, cluster_id) AS INTEGER) AS rank, cluster_id, cluster_size
+FROM (SELECT DISTINCT cluster_id, cluster_size FROM clusters) ORDER BY rank LIMIT 20""")
+def q_near_dup_largest(spark, sf_dir):
+    """The 20 largest near-duplicate clusters, ranked by size."""
+    return DD.largest_clusters(DD.near_dup_clusters(V.read(spark, sf_dir, "documents"), "doc_id", "text"), 20)
+
+
 @query("upsert_chunks", _w(V.POSTS_V_SQL, CHUNKS_SQL) + f"""SELECT c.chunk_id, c.doc_id,
   CASE WHEN p.created_utc >= {RECENT_FROM} THEN 2 ELSE 1 END AS version FROM chunks c JOIN posts_v p ON p.id = c.doc_id""")
 def q_upsert_chunks(spark, sf_dir):
-    """Re-index of recent posts upserted into the chunk table by id (A17):
-    re-chunked rows replace their earlier versions, nothing duplicates."""
-    ch = chunks(spark, sf_dir)
-    recent_ids = posts_for_index(spark, sf_dir).where(F.col("created_utc") >= RECENT_FROM).select(F.col("id").alias("doc_id"))
-    v1 = ch.withColumn("version", F.lit(1))
-    v2 = ch.join(recent_ids, "doc_id", "left_semi").withColumn("version", F.lit(2))
-    return io.upsert_by_id(v1, v2, "chunk_id").select("chunk_id", "doc_id", "version")
+    """Re-index of recent posts (A17): the index first holds longer drafts of them;
+    the chunks of each re-indexed post replace all it had."""
+    posts = posts_for_index(spark, sf_dir)
+    recent = F.col("created_utc") >= RECENT_FROM
+    drafts = posts.withColumn("selftext", F.when(recent, earlier_draft("selftext")).otherwise(F.col("selftext")))
+    path = scratch_path(spark, "chunk_index")
+    for version, batch in ((1, drafts), (2, posts.where(recent))):
+        docs = batch.select(F.col("id").alias("doc_id"), F.lit(version).alias("version"))
+        IX.replace_documents(spark, path, CH.post_chunks(batch, SPEC), docs, buckets=16)
+    return IX.read_documents(spark, path, meta=True).select("chunk_id", "doc_id", F.col("version").cast("int").alias("version"))
 
 
 @query("file_inventory", _w(V.POSTS_V_SQL) + """SELECT DISTINCT strftime(make_timestamp(CAST(created_utc * 1000000 AS BIGINT)), '%Y-%m-%d') AS ingest_date,

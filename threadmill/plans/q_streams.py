@@ -15,7 +15,7 @@ from ..streaming import jobs as SJ
 from . import sqlkit as S
 from . import views as V
 from .q_frontier import JV
-from .q_retrieval import CHUNKS_SQL, _w, posts_for_index
+from .q_retrieval import CHUNKS_SQL, _w, earlier_draft, posts_for_index
 from .registry import query
 
 FILES_PER_TRIGGER = 8
@@ -38,15 +38,19 @@ def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:
 
 @query("stream_index", _w(V.POSTS_V_SQL, CHUNKS_SQL) + "SELECT * FROM chunks")
 def q_stream_index(spark, sf_dir):
-    """Directory watch -> chunk + embed each new file once, upserted by chunk id:
-    a third of the posts land a second time, and the index equals the batch
-    chunk table (K1, K2, K8)."""
+    """Directory watch -> chunk + embed each new file once; a post that lands again
+    replaces its chunks (K1, K2, K8, A17). A third of the posts land first with a
+    longer draft, a third twice unchanged, some first as a post that is then
+    emptied; the index equals the batch chunk table."""
     posts = posts_for_index(spark, sf_dir).withColumn("created_ts", tx.epoch_to_ts("created_utc"))
-    landing, landed = _land(posts, "posts", "created_ts")
-    again = posts.where(F.col("doc_id") % 3 == 0).withColumn("land_day", F.lit("9999-12-31"))
-    again.write.mode("append").partitionBy("land_day").parquet(landing)
+    first = posts.withColumn("selftext", F.when(F.col("doc_id") % 3 == 0, earlier_draft("selftext")).otherwise(F.col("selftext")))
+    gone = posts.where(F.col("doc_id") % 10 == 0).withColumn("id", F.concat(F.lit("gone"), F.col("doc_id").cast("string")))
+    landing, landed = _land(first.unionByName(gone), "posts", "created_ts")
+    again = posts.where(F.col("doc_id") % 3 < 2)
+    emptied = gone.withColumns({"title": F.lit(None).cast("string"), "selftext": F.lit("")})
+    again.unionByName(emptied).withColumn("land_day", F.lit("9999-12-31")).write.mode("append").partitionBy("land_day").parquet(landing)
     out, ckpt = _dirs(spark, "index")
-    SJ.index_stream(spark, landing, landed.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER)
+    SJ.index_stream(spark, landing, landed.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER, buckets=16)
     return SJ.read_index(spark, out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
 
 
@@ -62,7 +66,7 @@ def q_stream_index_jsonl(spark, sf_dir):
     bad.write.mode("append").partitionBy("land_day").text(landing)
     out, ckpt = _dirs(spark, "index_jsonl")
     SJ.index_stream(spark, landing, posts.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER, fmt="json",
-                    quarantine_path=scratch_path(spark, "quarantine_jsonl"))
+                    quarantine_path=scratch_path(spark, "quarantine_jsonl"), buckets=16)
     return SJ.read_index(spark, out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
 
 

@@ -94,14 +94,15 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> D
 def upsert_by_id(existing: DataFrame, updates: DataFrame, key: str = "chunk_id", version: str | None = None) -> DataFrame:
     """Upsert (A17): the update row wins for a key already present; other
     existing rows are kept. Of several updates for a key the one with the
-    largest ``version`` wins (then, or without it, the largest values). With
-    deterministic ids a re-index replaces rows instead of duplicating them."""
+    largest ``version`` wins (then, or without it, the largest values). For
+    whole documents, whose rows may become fewer, see ``operators/index_table``."""
     others = [c for c in updates.columns if c != key]
     order = F.struct(*([version] if version else []), *(c for c in others if c != version))
     new = updates.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("_r")).select(key, "_r.*")
-    if version:  # an older update does not replace a newer row
-        both = existing.unionByName(new)
-        return both.groupBy(key).agg(F.max_by(F.struct(*others), F.col(version)).alias("_r")).select(key, "_r.*")
+    if version:  # an older update does not replace a newer row; of equal ones the update stays
+        both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+        rank = F.struct(version, "_new", *(c for c in others if c != version))
+        return both.groupBy(key).agg(F.max_by(F.struct(*others), rank).alias("_r")).select(key, "_r.*")
     return existing.join(new.select(key), key, "left_anti").unionByName(new)
 
 

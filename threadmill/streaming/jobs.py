@@ -12,12 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ChunkSpec
 from ..operators import chunks as CH
+from ..operators import index_table as IX
 from ..operators import vectors as VE
 from ..sources.files import latest_batch
 
@@ -69,41 +70,56 @@ def index_posts(posts: DataFrame, spec: ChunkSpec = ChunkSpec(), embed: bool = T
     return VE.embed_hashed(ch, "chunk_text") if embed else ch
 
 
+def index_batch(batch: DataFrame, out_path: str, version: Column, spec: ChunkSpec = ChunkSpec(), buckets: int = IX.BUCKETS,
+                chunker: Callable[[DataFrame, ChunkSpec], DataFrame] = CH.post_chunks, id_col: str = "id",
+                staging: str | None = None) -> None:
+    """Index ``batch``: the chunks of every document in it replace those it had
+    before, however many these were (A17). A document that stands in the batch
+    twice counts with its larger version."""
+    one = IX.newest(batch.withColumn("_version", version.cast("long")), id_col, F.col("_version"))
+    docs = one.select(F.col(id_col).cast("string").alias("doc_id"), F.col("_version").alias("version")).dropna(subset=["doc_id"])
+    IX.replace_documents(batch.sparkSession, out_path, index_posts(one.drop("_version"), spec, chunker=chunker), docs, buckets, staging)
+
+
 def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_path: str, checkpoint: str,
                  trigger: dict = ONE_SHOT, max_files_per_trigger: int | None = 1, spec: ChunkSpec = ChunkSpec(),
                  fmt: str = "parquet", quarantine_path: str | None = None,
-                 chunker: Callable[[DataFrame, ChunkSpec], DataFrame] = CH.post_chunks):
+                 chunker: Callable[[DataFrame, ChunkSpec], DataFrame] = CH.post_chunks,
+                 version: str | None = None, buckets: int = IX.BUCKETS):
     """Watch ``landing`` and index every new file once (K1; one-shot K2): posts,
     or comments with ``chunker=comment_chunks``.
 
+    A post that lands again replaces its chunks. Its version is the column
+    ``version``, or the time its file was written.
+
     ``fmt`` is ``parquet`` or ``json`` (JSON lines). JSON is read PERMISSIVE:
     a malformed line does not fail the batch (K5) but is written, with its
     batch id, under ``quarantine_path`` (B19) while the good rows are indexed.
     """
-    if fmt == "json":
-        bad_col = "_corrupt_record"
-        full = T.StructType(list(schema.fields) + [T.StructField(bad_col, T.StringType())])
-        r = (spark.readStream.schema(full).format("json").option("mode", "PERMISSIVE")
-             .option("columnNameOfCorruptRecord", bad_col))
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        s = r.load(landing)
-
-        def write(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.persist()
+    bad_col = "_corrupt_record"
+    json = fmt == "json"
+    full = T.StructType(list(schema.fields) + [T.StructField(bad_col, T.StringType())]) if json else schema
+    r = spark.readStream.schema(full).format(fmt)
+    if json:
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_col)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    s = r.load(landing).withColumn("_landed", F.unix_millis(F.col("_metadata.file_modification_time")))
+    by = F.col(version) if version else F.col("_landed")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if json:
             if quarantine_path:
-                bad = batch.where(F.col(bad_col).isNotNull()).select(bad_col)
+                # a data column beside the raw line: Spark reads no corrupt lines alone
+                bad = batch.where(F.col(bad_col).isNotNull()).select(bad_col, schema.names[0])
                 bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
-            good = batch.where(F.col(bad_col).isNull()).drop(bad_col)
-            index_posts(good, spec, chunker=chunker).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-            batch.unpersist()
+            batch = batch.where(F.col(bad_col).isNull()).drop(bad_col)
+        index_batch(batch, out_path, by, spec, buckets, chunker, staging=f"{out_path.rstrip('/')}_staged/{batch_id}")
 
-        q = s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
-        if "availableNow" in trigger or "once" in trigger:
-            q.awaitTermination()
-        return q
-    s = source(spark, landing, schema, max_files_per_trigger=max_files_per_trigger)
-    return run(s, out_path, checkpoint, trigger, transform=lambda b: index_posts(b, spec, chunker=chunker))
+    q = s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
+    if "availableNow" in trigger or "once" in trigger:
+        q.awaitTermination()
+    return q
 
 
 # ---------------------------------------------------------------------------
@@ -133,10 +149,9 @@ def latest_result(spark: SparkSession, out_path: str) -> DataFrame:
     return latest_batch(spark.read.parquet(out_path), "batch_id").drop("batch_id")
 
 
-def read_index(spark: SparkSession, out_path: str, key: str = "chunk_id") -> DataFrame:
-    """The index behind an ``index_stream`` sink: one row a chunk id, that of the
-    newest batch, so a post that lands again replaces its chunks."""
-    return latest_per_key(spark.read.parquet(out_path), [key])
+def read_index(spark: SparkSession, out_path: str) -> DataFrame:
+    """The chunks behind an ``index_stream`` sink, one set a document."""
+    return IX.read_documents(spark, out_path)
 
 
 # ---------------------------------------------------------------------------
@@ -152,9 +167,11 @@ def completion_rate(jobs: DataFrame, delay: str = "10 minutes", size: str = "1 m
 
 
 def latest_per_key(sink: DataFrame, keys: list[str]) -> DataFrame:
-    """Final value per key from an update-mode sink: the row of the last batch."""
+    """Final value per key from an update-mode sink: the row of the last batch; of
+    several rows in that batch the one with the largest values."""
     others = [c for c in sink.columns if c not in keys and c != "batch_id"]
-    return sink.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("batch_id")).alias("_r")).select(*keys, "_r.*")
+    order = F.struct("batch_id", *others)
+    return sink.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_r")).select(*keys, "_r.*")
 
 
 # ---------------------------------------------------------------------------
