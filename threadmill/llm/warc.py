@@ -5,14 +5,15 @@
 largest page_id is a response record, the others are revisit records that refer
 to it and hold headers only. Only payloads of possible responses are shuffled, by
 (payload, page_id), so a payload that a third of all rows share is spread over
-its page_ids; the payload's winner is a partial aggregate. Tasks pack records
-into archives of about ``ARCHIVE_BYTES``; Spark's text writer writes one file
-an archive (its line end is the end of a record), so a lost task leaves nothing
-half written.
-
-``read_archives`` parses the files by the lengths in their headers, recomputes
-the digest of every response, and raises where a record is cut or a digest is
-wrong. The captures of each archive come back as one run, sorted by URL key
+its page_ids; the payload's winner is a partial aggregate. Tasks pack records,
+one gzip member each as usual, into archives of about ``ARCHIVE_BYTES``; Spark's
+text writer writes one file an archive (its line end is an empty gzip member), so
+a lost task leaves nothing half written. Offset and length of a capture are those
+of its member in the file.
+
+``read_archives`` reads the files member by member and each record by the lengths
+in its headers, recomputes the digest of every response, and raises where a
+record is cut or a digest is wrong. The captures of each archive come back as one run, sorted by URL key
 (host reversed, as in SURT), capture time and page_id.
 
 ``merge_runs`` merges these runs externally: runs are stored, cut at global
@@ -32,8 +33,11 @@ response are responses too; an empty table gives no captures.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
+import zlib
+from collections.abc import Iterator
 from urllib.parse import quote, urlsplit
 
 import numpy as np
@@ -47,13 +51,17 @@ from threadmill.llm.common import stored
 from threadmill.session import scratch_path
 
 #: Bytes of an archive before the next one is begun (one record at least).
-ARCHIVE_BYTES = 32 << 20
+ARCHIVE_BYTES = 16 << 20
+#: Bytes decompressed at once when an archive is read.
+READ_BYTES = 1 << 16
 #: Captures a merge task is meant to hold.
 RANGE_ROWS = 1 << 17
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
+#: A gzip member without content.
+NOTHING = gzip.compress(b"", mtime=0)
 
 CAPTURES = (
     "run string, seq int, url_key string, captured string, url string, page_id long, record_type string, "
@@ -83,7 +91,7 @@ def url_key(url: str | None) -> str:
 
 
 def _record(page_id, url, date, digest: bytes, n: int, payload: bytes | None, refers_to) -> bytes:
-    """One record without its closing line ends; ``payload`` None is a revisit."""
+    """One record; ``payload`` None is a revisit."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % n
     head = [VERSION.decode(), f"WARC-Type: {'response' if payload is not None else 'revisit'}"]
     head.append(f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>")
@@ -95,27 +103,26 @@ def _record(page_id, url, date, digest: bytes, n: int, payload: bytes | None, re
         head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
     body = http + (payload or b"")
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
-    return ("\r\n".join(head) + END).encode("ascii") + body
+    return ("\r\n".join(head) + END).encode("ascii") + body + END.encode()
 
 
 def _pack(budget: int):
     def run(batches):
         held: list[bytes] = []
         size = 0
-        end = END.encode()
 
         def archive():
-            return pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.large_binary())], ["value"])
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.large_binary())], ["value"])
 
         for b in batches:
             cols = [b.column(c).to_pylist() for c in ("page_id", "url", "date", "sha1", "n", "payload", "refers_to")]
             for page_id, url, date, sha1, n, payload, refers_to in zip(*cols):
-                one = _record(page_id, url, date, bytes.fromhex(sha1), n, payload, refers_to)
+                one = gzip.compress(_record(page_id, url, date, bytes.fromhex(sha1), n, payload, refers_to), mtime=0)
                 if held and size + len(one) > budget:
                     yield archive()
                     held, size = [], 0
                 held.append(one)
-                size += len(one) + len(end)
+                size += len(one)
         if held:
             yield archive()
 
@@ -148,7 +155,8 @@ def write_archives(
         revisits.select(*fields, none.cast("binary").alias("payload"), F.col("winner").alias("refers_to"))
     )
     archives = records.mapInArrow(_pack(ARCHIVE_BYTES), "value binary").select(F.col("value").cast("string"))
-    archives.write.option("lineSep", END).option("maxRecordsPerFile", 1).text(path)
+    files = archives.write.option("encoding", "ISO-8859-1").option("lineSep", NOTHING.decode("latin-1"))
+    files.option("maxRecordsPerFile", 1).text(path)
 
 
 def _page_id(urn: str) -> int | None:
@@ -156,24 +164,42 @@ def _page_id(urn: str) -> int | None:
     return int(n) if n else None
 
 
+def members(data: bytes, name: str = "") -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, content) of the gzip members of a file."""
+    at, view = 0, memoryview(data)
+    while at < len(data):
+        unzip, out, end = zlib.decompressobj(31), [], at
+        while not unzip.eof:
+            if end >= len(data):
+                raise ValueError(f"{name}: the record at byte {at} is cut")
+            try:
+                out.append(unzip.decompress(view[end : end + READ_BYTES]))
+            except zlib.error as e:
+                raise ValueError(f"{name}: no record at byte {at}") from e
+            end = min(end + READ_BYTES, len(data)) - len(unzip.unused_data)
+        yield at, end - at, b"".join(out)
+        at = end
+
+
 def parse_archive(data: bytes, name: str = "") -> list[dict]:
     """The captures of one archive, in the order of its records."""
-    out, at = [], 0
-    while at < len(data):
-        end = data.find(END.encode(), at)
-        head = data[at:end].split(b"\r\n")
-        if end < 0 or head[0] != VERSION:
+    out = []
+    for at, length, record in members(data, name):
+        if not record:
+            continue
+        body = record.find(END.encode()) + len(END)
+        head = record[: max(body - len(END), 0)].split(b"\r\n")
+        if head[0] != VERSION:
             raise ValueError(f"{name}: no record at byte {at}")
         h = dict(line.decode("ascii").split(": ", 1) for line in head[1:])
-        body = end + len(END)
         stop = body + int(h["Content-Length"])
-        if data[stop : stop + len(END)] != END.encode():
+        if record[stop:] != END.encode():
             raise ValueError(f"{name}: the record at byte {at} is cut")
-        inner = data.index(END.encode(), body, stop) + len(END)
-        http = dict(line.decode("latin-1").split(": ", 1) for line in data[body:inner].strip().split(b"\r\n")[1:])
+        inner = record.index(END.encode(), body, stop) + len(END)
+        http = dict(line.decode("latin-1").split(": ", 1) for line in record[body:inner].strip().split(b"\r\n")[1:])
         n, digest = int(http["Content-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:")
         if h["WARC-Type"] == "response":
-            got = base64.b32encode(hashlib.sha1(memoryview(data)[inner:stop]).digest()).decode()
+            got = base64.b32encode(hashlib.sha1(memoryview(record)[inner:stop]).digest()).decode()
             if stop - inner != n or got != digest:
                 raise ValueError(f"{name}: the payload at byte {at} is not the one written")
         url = h.get("WARC-Target-URI")
@@ -188,10 +214,9 @@ def parse_archive(data: bytes, name: str = "") -> list[dict]:
                 "payload_bytes": n,
                 "payload_digest": digest,
                 "offset": at,
-                "length": stop - at,
+                "length": length,
             }
         )
-        at = stop + len(END)
     return out
 
 
