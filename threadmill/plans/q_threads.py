@@ -30,10 +30,10 @@ def _tree_sql(pruned: bool) -> str:
     return (
         "WITH RECURSIVE " + V.COMMENTS_V_SQL.strip() + ",\n"
         f"nodes AS (SELECT * FROM comments_v {cond}),\n"
-        """tree(post_id, id, parent_id, author, depth, path) AS (
-  SELECT post_id, id, parent_id, author, 0, lpad(CAST(turn AS VARCHAR), 6, '0') FROM nodes WHERE parent_id IS NULL
+        f"""tree(post_id, id, parent_id, author, depth, path) AS (
+  SELECT post_id, id, parent_id, author, 0, {S.path_part('turn')} FROM nodes WHERE parent_id IS NULL
   UNION ALL
-  SELECT c.post_id, c.id, c.parent_id, c.author, t.depth + 1, t.path || '.' || lpad(CAST(c.turn AS VARCHAR), 6, '0')
+  SELECT c.post_id, c.id, c.parent_id, c.author, t.depth + 1, t.path || '.' || {S.path_part('c.turn')}
   FROM nodes c JOIN tree t ON c.post_id = t.post_id AND c.parent_id = t.id
 )
 """)
@@ -65,7 +65,7 @@ def q_comments_capped(spark, sf_dir):
 
 
 @query("replies_per_parent", _tree_sql(False) + """SELECT post_id, parent_id,
-  CAST(right(path, 6) AS BIGINT) AS position, id AS reply_id FROM tree WHERE parent_id IS NOT NULL""")
+  CAST(replace(string_split(path, '.')[-1], '~', '') AS BIGINT) AS position, id AS reply_id FROM tree WHERE parent_id IS NOT NULL""")
 def q_replies_per_parent(spark, sf_dir):
     """Direct replies per parent with their position (H3)."""
     out = TH.replies_per_parent(_tree(spark, sf_dir, False))
@@ -181,7 +181,7 @@ node AS (
   SELECT 'p' || CAST(conv_id AS VARCHAR) AS post_id, CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS id,
          CASE WHEN turn % 3 > 0 THEN CAST(conv_id AS VARCHAR) || '_' || CAST(turn - 1 AS VARCHAR) END AS tree_parent,
          CAST(turn % 3 AS BIGINT) AS depth, conv_id, turn,
-         lpad(CAST(turn // 3 AS VARCHAR), 6, '0') || repeat('.000000', CAST(turn % 3 AS INTEGER)) AS path, role AS author,
+         {S.path_part('turn // 3')} || repeat('.000000', CAST(turn % 3 AS INTEGER)) AS path, role AS author,
          CASE WHEN turn % 5 = 3 THEN '[deleted]' ELSE text END AS raw, CAST(length(text) % 20 AS BIGINT) AS score,
          CAST({V.EPOCH0} + conv_id * 3600 + turn * 60 AS DOUBLE) AS created_utc
   FROM conversations

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .. import config as C
 
-# Same whitespace set as config.STRIP_CLASS, in RE2 syntax.
+# Same whitespace set as config.STRIP_CHARS, in RE2 syntax.
 WS = r"[\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 TOKEN_RE = r"[^\p{L}\p{N}]+"
 
@@ -25,6 +25,12 @@ def ts(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
+def path_part(x: str) -> str:
+    """One position of a printable path: six digits, or '~' for each digit beyond six and all digits."""
+    t = f"CAST({x} AS VARCHAR)"
+    return f"CASE WHEN length({t}) <= 6 THEN lpad({t}, 6, '0') ELSE repeat('~', length({t}) - 6) || {t} END"
+
+
 def tokens_unnest(text: str) -> str:
     """Use as: FROM t, unnest(<this>) AS u(tok) WHERE tok <> ''."""
     return f"regexp_split_to_array(lower({text}), '{TOKEN_RE}')"
