@@ -1,16 +1,21 @@
 """An index table in which a document's rows are replaced as a whole.
 
 The table is a Parquet folder partitioned by ``bucket`` = hash(doc_id) mod
-``buckets``. A batch names every document it holds with a version; the rows of
-those documents are replaced, whatever their number was before, and a document
-that now has no rows leaves a delete marker that remembers its version. Only
-the touched buckets are read and written again (dynamic partition overwrite);
-all other buckets keep their files.
-
-Of two versions of a document the larger one stays, also when it landed first;
-of equal versions the batch's rows replace the table's, so a replayed batch
-changes nothing. New buckets are written to a staging folder first and copied
-from there, so a driver lost in between repeats the copy from whole staged rows.
+``buckets``, then by ``batch``. A batch names every document it holds with a
+version and writes the rows these documents now have; a document without rows
+leaves a delete marker that remembers its version. So a batch costs what it
+holds, whatever the size of the table, and a replayed batch overwrites exactly
+its own partitions (dynamic partition overwrite).
+
+A reader takes, of each document, the rows of the largest version, of equal
+versions those of the latest batch; what an edit left behind is stale. It finds
+the stale (document, batch) pairs on three narrow columns and drops their rows, so
+the wide rows are not shuffled while edits are few.
+
+``compact`` rewrites the buckets that hold many batches as one each and then
+removes the old partitions; buckets it does not touch keep their files. Its
+output outranks what it was made from, so readers see the same rows before, after
+and in between, and a driver lost halfway leaves nothing wrong.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 64
 #: Columns the table adds to the caller's rows.
-META = ["version", "deleted", "bucket"]
+META = ["version", "deleted", "bucket", "batch"]
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -28,11 +33,6 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
-    return fs.exists(p)
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)
@@ -49,45 +49,57 @@ def newest(rows: DataFrame, key: str, version: Column) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("_r")).select("_r.*")
 
 
-def incoming_rows(rows: DataFrame, docs: DataFrame, buckets: int) -> DataFrame:
-    """Rows of a batch with their version and bucket; a document of ``docs``
-    (doc_id, version) without rows becomes one delete marker."""
+def replace_documents(path: str, rows: DataFrame, docs: DataFrame, batch: int, buckets: int = BUCKETS) -> None:
+    """Replace the rows of all documents in ``docs`` (doc_id, version; one row
+    each) by ``rows`` (doc_id and any other columns) in the table at ``path``.
+    ``batch`` grows from call to call; a repeated one overwrites itself."""
     cols = [c for c in rows.columns if c != "doc_id"]
     mark = rows.withColumn("_has", F.lit(True))
-    return docs.select("doc_id", F.col("version").cast("long").alias("version")).join(mark, "doc_id", "left").select(
-        "doc_id", *cols, "version", F.col("_has").isNull().alias("deleted"), bucket_of(F.col("doc_id"), buckets).alias("bucket"))
-
-
-def replace_documents(spark: SparkSession, path: str, rows: DataFrame, docs: DataFrame, buckets: int = BUCKETS,
-                      staging: str | None = None) -> None:
-    """Replace the rows of all documents in ``docs`` (doc_id, version; one row
-    each) by ``rows`` (doc_id and any other columns) in the table at ``path``."""
-    staged = staging or f"{path.rstrip('/')}_staged"
-    new = incoming_rows(rows, docs, buckets)
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
-        merged = new
-        if path_exists(spark, path):
-            touched = [r.bucket for r in docs.select(bucket_of(F.col("doc_id"), buckets).alias("bucket")).distinct().collect()]
-            old = spark.read.schema(new.schema).parquet(path).where(F.col("bucket").isin(touched))
-            _check_layout(old, buckets, path)
-            both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-            order = F.struct("version", "_new")
-            head = both.groupBy("doc_id").agg(F.max(order).alias("_head"))
-            merged = both.join(head, "doc_id").where(order == F.col("_head")).drop("_head", "_new")
-        # one file a bucket where it is small; AQE splits a large one
-        merged.hint("rebalance", "bucket").write.mode("overwrite").parquet(staged)
-    spark.read.schema(new.schema).parquet(staged).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-    _remove(spark, staged)
-
-
-def _check_layout(old: DataFrame, buckets: int, path: str) -> None:
-    odd = old.select("bucket", "doc_id").limit(100).where(F.col("bucket") != bucket_of(F.col("doc_id"), buckets))
+    new = docs.select("doc_id", F.col("version").cast("long").alias("version")).join(mark, "doc_id", "left").select(
+        "doc_id", *cols, "version", F.col("_has").isNull().alias("deleted"),
+        bucket_of(F.col("doc_id"), buckets).alias("bucket"), F.lit(2 * batch).cast("long").alias("batch"))
+    _write(new, path)
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    # one file a bucket where it is small; AQE splits a large one
+    rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "bucket", "batch").parquet(path)
+
+
+def _current(table: DataFrame) -> DataFrame:
+    """The rows of each document's largest version, then latest batch."""
+    heads = table.select("bucket", "doc_id", "version", "batch").distinct()
+    order = F.struct("version", "batch")
+    last = heads.groupBy("bucket", "doc_id").agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    stale = heads.join(last, ["bucket", "doc_id"]).where(order < F.col("_last")).select("bucket", "doc_id", "version", "batch")
+    return table.join(stale, ["bucket", "doc_id", "version", "batch"], "left_anti")
+
+
+def compact(spark: SparkSession, path: str, min_batches: int = 8, buckets: int = BUCKETS) -> int:
+    """Rewrite the buckets of ``min_batches`` batches or more as one batch each; delete
+    markers stay, so an older version that lands late is still refused. Returns
+    the number of buckets rewritten."""
+    table = spark.read.parquet(path)
+    held = table.select("bucket", "batch").distinct().groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.max("batch").alias("last"), F.collect_list("batch").alias("batches"))
+    due = held.where(F.col("n") >= min_batches).collect()  # one row a bucket
+    if not due:
+        return 0
+    rows = table.where(F.col("bucket").isin([r.bucket for r in due]))
+    odd = rows.select("bucket", "doc_id").limit(100).where(F.col("bucket") != bucket_of(F.col("doc_id"), buckets))
     if not odd.isEmpty():
         raise ValueError(f"{path} is not laid out in {buckets} buckets")
+    last = F.create_map(*[F.lit(x) for r in due for x in (r.bucket, r.last | 1)])
+    _write(_current(rows).withColumn("batch", F.element_at(last, F.col("bucket")).cast("long")), path)
+    for r in due:
+        for batch in r.batches:
+            if batch != r.last | 1:
+                _remove(spark, f"{path}/bucket={r.bucket}/batch={batch}")
+    return len(due)
 
 
 def read_documents(spark: SparkSession, path: str, meta: bool = False) -> DataFrame:
-    """The rows of all documents that are not deleted: a plain scan, no shuffle."""
-    live = spark.read.parquet(path).where(~F.col("deleted"))
+    """The rows of all documents that are not deleted."""
+    live = _current(spark.read.parquet(path)).where(~F.col("deleted"))
     return live if meta else live.drop(*META)

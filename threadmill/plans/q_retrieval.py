@@ -411,7 +411,7 @@ def q_upsert_chunks(spark, sf_dir):
     path = scratch_path(spark, "chunk_index")
     for version, batch in ((1, drafts), (2, posts.where(recent))):
         docs = batch.select(F.col("id").alias("doc_id"), F.lit(version).alias("version"))
-        IX.replace_documents(spark, path, CH.post_chunks(batch, SPEC), docs, buckets=16)
+        IX.replace_documents(path, CH.post_chunks(batch, SPEC), docs, batch=version, buckets=16)
     return IX.read_documents(spark, path, meta=True).select("chunk_id", "doc_id", F.col("version").cast("int").alias("version"))
 
 

@@ -25,10 +25,11 @@ DISORDER = "31 days"
 
 
 def _land(df: DataFrame, name: str, day_of: str) -> tuple[str, DataFrame]:
-    """Write ``df`` as day-partitioned files (one folder per day)."""
+    """Write ``df`` as day-partitioned files (one folder and file per day)."""
     spark = df.sparkSession
     path = scratch_path(spark, f"landing_{name}")
-    df.withColumn("land_day", F.date_format(F.col(day_of), "yyyy-MM-dd")).write.partitionBy("land_day").parquet(path)
+    days = df.withColumn("land_day", F.date_format(F.col(day_of), "yyyy-MM-dd")).repartition("land_day")
+    days.write.partitionBy("land_day").parquet(path)
     return path, spark.read.parquet(path)
 
 
@@ -50,7 +51,7 @@ def q_stream_index(spark, sf_dir):
     emptied = gone.withColumns({"title": F.lit(None).cast("string"), "selftext": F.lit("")})
     again.unionByName(emptied).withColumn("land_day", F.lit("9999-12-31")).write.mode("append").partitionBy("land_day").parquet(landing)
     out, ckpt = _dirs(spark, "index")
-    SJ.index_stream(spark, landing, landed.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER, buckets=16)
+    SJ.index_stream(spark, landing, landed.schema, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER, buckets=16, compact_every=3)
     return SJ.read_index(spark, out).select("chunk_id", "doc_id", "chunk_ix", "chunk_text", "permalink", "subreddit", "score", "created_utc")
 
 

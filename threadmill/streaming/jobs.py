@@ -70,27 +70,28 @@ def index_posts(posts: DataFrame, spec: ChunkSpec = ChunkSpec(), embed: bool = T
     return VE.embed_hashed(ch, "chunk_text") if embed else ch
 
 
-def index_batch(batch: DataFrame, out_path: str, version: Column, spec: ChunkSpec = ChunkSpec(), buckets: int = IX.BUCKETS,
-                chunker: Callable[[DataFrame, ChunkSpec], DataFrame] = CH.post_chunks, id_col: str = "id",
-                staging: str | None = None) -> None:
+def index_batch(batch: DataFrame, out_path: str, batch_id: int, version: Column, spec: ChunkSpec = ChunkSpec(),
+                buckets: int = IX.BUCKETS, chunker: Callable[[DataFrame, ChunkSpec], DataFrame] = CH.post_chunks,
+                id_col: str = "id") -> None:
     """Index ``batch``: the chunks of every document in it replace those it had
     before, however many these were (A17). A document that stands in the batch
     twice counts with its larger version."""
     one = IX.newest(batch.withColumn("_version", version.cast("long")), id_col, F.col("_version"))
     docs = one.select(F.col(id_col).cast("string").alias("doc_id"), F.col("_version").alias("version")).dropna(subset=["doc_id"])
-    IX.replace_documents(batch.sparkSession, out_path, index_posts(one.drop("_version"), spec, chunker=chunker), docs, buckets, staging)
+    IX.replace_documents(out_path, index_posts(one.drop("_version"), spec, chunker=chunker), docs, batch_id, buckets)
 
 
 def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_path: str, checkpoint: str,
                  trigger: dict = ONE_SHOT, max_files_per_trigger: int | None = 1, spec: ChunkSpec = ChunkSpec(),
                  fmt: str = "parquet", quarantine_path: str | None = None,
                  chunker: Callable[[DataFrame, ChunkSpec], DataFrame] = CH.post_chunks,
-                 version: str | None = None, buckets: int = IX.BUCKETS):
+                 version: str | None = None, buckets: int = IX.BUCKETS, compact_every: int = 16):
     """Watch ``landing`` and index every new file once (K1; one-shot K2): posts,
     or comments with ``chunker=comment_chunks``.
 
     A post that lands again replaces its chunks. Its version is the column
-    ``version``, or the time its file was written.
+    ``version``, or the time its file was written. Buckets of ``compact_every``
+    batches are rewritten as one.
 
     ``fmt`` is ``parquet`` or ``json`` (JSON lines). JSON is read PERMISSIVE:
     a malformed line does not fail the batch (K5) but is written, with its
@@ -114,7 +115,9 @@ def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_pa
                 bad = batch.where(F.col(bad_col).isNotNull()).select(bad_col, schema.names[0])
                 bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
             batch = batch.where(F.col(bad_col).isNull()).drop(bad_col)
-        index_batch(batch, out_path, by, spec, buckets, chunker, staging=f"{out_path.rstrip('/')}_staged/{batch_id}")
+        index_batch(batch, out_path, batch_id, by, spec, buckets, chunker)
+        if batch_id % compact_every == compact_every - 1:
+            IX.compact(batch.sparkSession, out_path, compact_every, buckets)
 
     q = s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
     if "availableNow" in trigger or "once" in trigger:
