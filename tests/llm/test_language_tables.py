@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from threadmill.llm import language_id as L
 
+from .language_reference import Models
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -20,13 +22,18 @@ def in_memory(rows):
         for k in range(L.ORDER - 1, -1, -1):
             packed = (packed << np.uint64(16)) | codes[at - k]
         counts.append(np.unique(packed, return_counts=True))
-    return L.Models(langs, counts)
+    return Models(langs, counts)
 
 
 @pytest.mark.parametrize("cache_bytes", [0, 8_000, 32 << 20])
-def test_every_gram_counts(spark, monkeypatch, cache_bytes):
-    """Equal cross-entropies with none, few and all grams broadcast, unseen ones included."""
+@pytest.mark.parametrize("pack_bytes", [2_000, 8 << 20])
+def test_every_gram_counts(spark, monkeypatch, cache_bytes, pack_bytes):
+    """Equal cross-entropies with none, few and all grams broadcast, in one bucket of
+    hash arrays and in many, unseen grams included."""
+    if cache_bytes and pack_bytes == 2_000:
+        pytest.skip("many buckets are met without a cache")
     monkeypatch.setattr(L, "CACHE_BYTES", cache_bytes)
+    monkeypatch.setattr(L, "PACK_BYTES", pack_bytes)
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("text is not null and lang is not null")
     learning = docs.where("doc_id % 2 = 0")
     tables = L.build(learning)

@@ -4,13 +4,15 @@ Texts are lower-cased; every run of other characters than letters is one blank.
 ``ORDER``-grams of all learning texts are counted in Spark (in the scan, then
 with map-side combine) as strings of whole code points. Lower orders, their
 continuation counts, the discounts and the back-off weights are made in Spark
-from all of these counts; no gram is left out, and the model is two tables, of
-grams and of contexts, that hold a value by language.
+from all of these counts, and probabilities order by order from the lowest; no
+gram is left out.
 
-Only ``CACHE_BYTES`` of it is broadcast: log-probabilities of the grams that stand
-most often. What a document holds besides goes out as (row, gram, count), and
-its distinct grams are evaluated by joins with the tables. Which grams are
-broadcast changes the work, not the result.
+The model is stored in sorted hash arrays with a log value by language, one row a
+bucket of about ``PACK_BYTES``. Only ``CACHE_BYTES`` of it is broadcast: the grams that
+stand most often, and single characters (a row a letter of Unicode at most). What
+a document holds besides goes out as (row, gram, count), and its distinct grams
+meet the arrays of their bucket. Which grams are broadcast changes the work, not
+the result.
 
 The prediction is the language of the lowest cross-entropy by character. Its
 score comes from a logistic curve over the margin to the second best, and
@@ -34,7 +36,8 @@ from pyspark.sql import functions as F
 from threadmill.llm.common import mix, slices, starts_of, stored
 
 ORDER = 4
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 16 << 20
+PACK_BYTES = 8 << 20
 CALIBRATION = 4_000
 REPEATS = 16
 REJECT = 0.005
@@ -119,111 +122,23 @@ def _written(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(m).view(f"<U{ORDER}").ravel()
 
 
-class Models:
-    """Kneser-Ney models of all languages over shared sorted hash arrays, in one
-    process and for characters up to U+FFFF: what tests compare `Tables` with."""
-
-    def __init__(self, langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]):
-        self.langs = langs
-        L = len(langs)
-        #: by order: sorted gram hashes and [gram, language] log-probabilities, sorted contexts and log back-offs
-        self.grams, self.logp, self.contexts, self.backoff = {}, {}, {}, {}
-        tables = []  # [language][order] -> (codes matrix, counts)
-        for packed, n in counts:
-            chars = np.stack([(packed >> np.uint64(16 * k)) & np.uint64(0xFFFF) for k in range(ORDER - 1, -1, -1)], 1)
-            by_order = {ORDER: (chars, n.astype(float))}
-            for o in range(ORDER - 1, 0, -1):
-                upper = by_order[o + 1][0]
-                u, inv = np.unique(upper[:, 1:], axis=0, return_inverse=True)
-                by_order[o] = (u, np.bincount(inv.ravel(), minlength=len(u)).astype(float))  # left contexts
-            tables.append(by_order)
-        size = len(np.unique(np.concatenate([t[1][0][:, 0] for t in tables]))) + 1
-        self.floor = -np.log(size)
-        for o in range(1, ORDER + 1):
-            hashed = []
-            for t in tables:
-                m, n = t[o]
-                flat = m.ravel()
-                ends = np.arange(len(m)) * o + o - 1
-                hashed.append((_hash(flat, ends, o), _hash(flat, ends - 1, o - 1) if o > 1 else np.zeros(len(m), np.uint64), n))
-            self.grams[o] = np.unique(np.concatenate([h for h, _, _ in hashed]))
-            self.contexts[o] = np.unique(np.concatenate([c for _, c, _ in hashed]))
-            p = np.zeros((len(self.grams[o]), L))
-            bow = np.zeros((len(self.contexts[o]), L))
-            for i, (h, c, n) in enumerate(hashed):
-                once, twice = (n == 1).sum(), (n == 2).sum()
-                discount = once / (once + 2 * twice) if once else 0.5
-                ci = np.searchsorted(self.contexts[o], c)
-                total = np.bincount(ci, n, len(self.contexts[o]))
-                kinds = np.bincount(ci, minlength=len(self.contexts[o]))
-                seen = total > 0
-                bow[seen, i] = discount * kinds[seen] / total[seen]
-                bow[~seen, i] = 1.0
-                p[np.searchsorted(self.grams[o], h), i] = np.maximum(n - discount, 0) / total[ci]
-            # interpolate with the next lower order, for every stored gram and language
-            rep_code, rep_ctx = self._representatives(tables, o)
-            lower = np.exp(self._log_prob(rep_code, o - 1)) if o > 1 else np.full((len(rep_code), L), 1.0 / size)
-            p += bow[np.searchsorted(self.contexts[o], rep_ctx)] * lower
-            self.logp[o] = np.log(np.maximum(p, 1e-12)).astype(np.float32)
-            self.backoff[o] = np.log(np.maximum(bow, 1e-12)).astype(np.float32)
-
-    def _representatives(self, tables, o: int) -> tuple[np.ndarray, np.ndarray]:
-        """Characters and context hash of each stored gram, in the order of its hash."""
-        m = np.concatenate([t[o][0] for t in tables])
-        flat, ends = m.ravel(), np.arange(len(m)) * o + o - 1
-        h = _hash(flat, ends, o)
-        _, first = np.unique(h, return_index=True)
-        ctx = _hash(flat, ends - 1, o - 1) if o > 1 else np.zeros(len(m), np.uint64)
-        return m[first], ctx[first]
-
-    def _log_prob(self, m: np.ndarray, o: int) -> np.ndarray:
-        """Log-probabilities of the last character of each row of ``m`` under order ``o``."""
-        flat = m.ravel()
-        return self.log_prob(flat, np.arange(len(m)) * m.shape[1] + m.shape[1] - 1, o)
-
-    def log_prob(self, codes: np.ndarray, at: np.ndarray, o: int = ORDER) -> np.ndarray:
-        if o == 0:
-            return np.full((len(at), len(self.langs)), self.floor, np.float32)
-        grams = self.grams[o]
-        h = _hash(codes, at, o)
-        p = np.minimum(np.searchsorted(grams, h), len(grams) - 1)
-        out = self.logp[o][p]
-        miss = np.flatnonzero(grams[p] != h)
-        if len(miss):
-            low = self.log_prob(codes, at[miss], o - 1)
-            c = _hash(codes, at[miss] - 1, o - 1) if o > 1 else np.zeros(len(miss), np.uint64)
-            ctx = self.contexts[o]
-            q = np.minimum(np.searchsorted(ctx, c), len(ctx) - 1)
-            low += np.where((ctx[q] == c)[:, None], self.backoff[o][q], 0.0)
-            out[miss] = low
-        return out
-
-    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(cross-entropy by character [text, language], has a letter)."""
-        codes, owner, has = _codes(texts)
-        at, who = _grams(codes, owner)
-        out = np.zeros((len(texts), len(self.langs)))
-        n = np.maximum(np.bincount(who, minlength=len(texts)), 1)
-        # equal grams are looked up once a slice
-        h = _hash(codes, at, ORDER)
-        _, first, inv = np.unique(h, return_index=True, return_inverse=True)
-        p = self.log_prob(codes, at[first])
-        for i in range(len(self.langs)):
-            out[:, i] = -np.bincount(who, p[:, i][inv], len(texts)) / n
-        return out, has
-
-
 class Tables:
-    """Kneser-Ney models of all languages as tables. ``grams`` has a row for each
-    gram of 1 to ORDER characters with max(n - discount, 0) / total by language,
-    ``contexts`` one for each context of 0 to ORDER - 1 characters with its back-off
-    weights. Languages are numbers in order of their names."""
+    """Kneser-Ney models of all languages. Languages are numbers in order of their names.
+
+    ``grams`` has a row for each gram of 1 to ORDER characters with max(n -
+    discount, 0) / total by language, ``contexts`` one for each context of 0 to
+    ORDER - 1 characters with its back-off weights. ``by_order`` holds the
+    interpolated probabilities p[language] of all grams of an order, made from those
+    of the order below. ``packs`` has one row a bucket: sorted hashes of the grams
+    of the two highest orders and of their contexts, with a log value by language;
+    the buckets go by the two characters before the last, which a gram shares with
+    its suffix and with both contexts, so a gram is looked up in one bucket."""
 
     def __init__(self, counts: DataFrame, langs: list[str]):
         spark, self.langs = counts.sparkSession, langs
         numbers = spark.createDataFrame([(x, i) for i, x in enumerate(langs)], "lang string, l int")
-        self.counts = counts.join(F.broadcast(numbers), "lang").select(F.lit(ORDER).alias("o"), "l", "gram", "n")
-        orders = upper = self.counts
+        upper = counts.join(F.broadcast(numbers), "lang").select(F.lit(ORDER).alias("o"), "l", "gram", "n")
+        orders = upper
         for o in range(ORDER - 1, 0, -1):  # n is the number of left contexts
             lower = upper.groupBy("l", F.substring("gram", 2, o).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
             upper = stored(lower.select(F.lit(o).alias("o"), "l", "gram", "n"), f"grams{o}")
@@ -240,50 +155,89 @@ class Tables:
         sums = stored(sums, "sums")
         by_lang = F.map_from_entries(F.collect_list(F.struct("l", "v"))).alias("by_lang")
         self.contexts = stored(sums.groupBy("o", "ctx").agg(by_lang), "contexts")
-        kept = orders.join(sums.drop("v"), ["o", "l", "ctx"])
+        kept = orders.join(sums.drop("v").hint("merge"), ["o", "l", "ctx"])
         kept = kept.withColumn("v", F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total"))
-        self.grams = stored(kept.groupBy("o", "gram").agg(by_lang), "model")
+        self.grams = stored(kept.groupBy("o", "gram").agg(by_lang, F.sum("n").alias("n")), "model")
         #: distinct characters and one for all others
         self.size = self.grams.where("o = 1").count() + 1
-
-    def evaluate(self, grams: DataFrame, o: int = ORDER) -> DataFrame:
-        """(gram, p array<double>) by language for distinct ``grams`` of ``o`` characters."""
-        here = grams.select("gram", F.substring("gram", 1, o - 1).alias("ctx"), F.substring("gram", 2, o - 1).alias("suffix"))
-        here = here.join(self.grams.where(F.col("o") == o).select("gram", F.col("by_lang").alias("own")), "gram", "left")
-        weights = self.contexts.where(F.col("o") == o).select("ctx", F.col("by_lang").alias("weight"))
+        whole = self.contexts.where("o = 1").first().by_lang  # the empty context
+        #: by language, the probability of a character that no text has
+        self.floor = [whole.get(i, 1.0) / self.size for i in range(len(langs))]
+        self.by_order: dict[int, DataFrame] = {}
+        for o in range(1, ORDER + 1):
+            self.by_order[o] = stored(self._interpolated(o), f"order{o}")
+        self.single = self._single()
+        self.packs, self.buckets = self._packed()
+
+    def _interpolated(self, o: int) -> DataFrame:
+        """(gram, n, p array<double>) of all grams of ``o`` characters."""
+        here = self.grams.where(F.col("o") == o).select(
+            "gram", "n", F.col("by_lang").alias("own"),
+            F.substring("gram", 1, o - 1).alias("ctx"), F.substring("gram", 2, o - 1).alias("suffix"),
+        )
         if o == 1:
-            here = here.crossJoin(F.broadcast(weights.select("weight")))  # the empty context is one row
-            here = here.withColumn("low", F.array_repeat(F.lit(1.0 / self.size), len(self.langs)))
-        else:
-            lower = self.evaluate(here.select(F.col("suffix").alias("gram")).distinct(), o - 1)
-            here = here.join(weights, "ctx", "left")
-            here = here.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("low")), "suffix")
+            low = F.array(*map(F.lit, self.floor))
+            p = F.transform(low, lambda x, i: x + F.coalesce(F.try_element_at("own", i), F.lit(0.0)))
+            return here.select("gram", "n", p.alias("p"))
+        weights = self.contexts.where(F.col("o") == o).select("ctx", F.col("by_lang").alias("weight"))
+        here = here.join(weights.hint("merge"), "ctx")
+        lower = self.by_order[o - 1].select(F.col("gram").alias("suffix"), F.col("p").alias("low"))
+        here = here.join(lower.hint("merge"), "suffix")
 
         def value(low: Column, i: Column) -> Column:
             own = F.coalesce(F.try_element_at("own", i), F.lit(0.0))
             return own + F.coalesce(F.try_element_at("weight", i), F.lit(1.0)) * low
 
-        return here.select("gram", F.transform("low", value).alias("p"))
+        return here.select("gram", "n", F.transform("low", value).alias("p"))
+
+    def _weights(self, o: int) -> DataFrame:
+        """(gram, p): the back-off weights of the contexts of order ``o`` by language."""
+        each = F.transform(F.array(*[F.lit(1.0)] * len(self.langs)), lambda x, i: F.coalesce(F.try_element_at("by_lang", i), x))
+        return self.contexts.where(F.col("o") == o).select(F.col("ctx").alias("gram"), each.alias("p"))
+
+    def _single(self) -> "Cache":
+        """Characters, alone and as contexts: a row a letter of Unicode at most."""
+        both = _stacked(self.by_order[1].select("gram", "p"), False).unionByName(_stacked(self._weights(2), True))
+        rows = both.select("context", "gram", F.col("p").cast("array<float>")).toArrow()
+        return Cache.of(_keys(rows), _matrix(rows.column("p"), len(self.langs)))
+
+    def _packed(self) -> tuple[DataFrame, int]:
+        parts = [_stacked(self.by_order[o].select("gram", "p"), False) for o in (ORDER, ORDER - 1)]
+        parts += [_stacked(self._weights(o), True) for o in (ORDER, ORDER - 1)]
+        rows = parts[0]
+        for x in parts[1:]:
+            rows = rows.unionByName(x)
+        size = rows.count() * (8 + 4 * len(self.langs))
+        buckets = max(1, -(-size // PACK_BYTES))
+        # the last two characters of a context, those before the last of a gram
+        pair = F.when(F.col("context"), F.expr("right(gram, 2)")).otherwise(F.expr("left(right(gram, 3), 2)"))
+        rows = rows.select(_bucket(pair, buckets), "context", "gram", F.col("p").cast("array<float>"))
+        packed = rows.groupBy("bucket").applyInArrow(_pack(len(self.langs)), "bucket int, hashes array<long>, logs array<float>")
+        return stored(packed, "packs"), buckets
+
+    def evaluate(self, grams: DataFrame) -> DataFrame:
+        """(gram, logs array<double>): log-probabilities by language of distinct ``grams``."""
+        low = self.by_order[2].select(F.col("gram").alias("pair"), F.col("p").alias("low"))
+        asked = grams.select("gram", F.expr("right(gram, 2)").alias("pair")).join(low, "pair", "left")
+        asked = asked.select(_bucket(F.expr("left(right(gram, 3), 2)"), self.buckets), "gram", "low")
+        single = grams.sparkSession.sparkContext.broadcast((self.single, np.log(self.floor)))
+        return asked.groupBy("bucket").cogroup(self.packs.groupBy("bucket")).applyInArrow(
+            _evaluate(single), "gram string, logs array<double>")
 
     def frequent(self) -> "Cache":
         """Grams of the highest counts that fit in CACHE_BYTES."""
         most = CACHE_BYTES // (8 + 4 * len(self.langs))
-        sums = stored(self.counts.groupBy("gram").agg(F.sum("n").alias("n")), "sums")
+        top = self.by_order[ORDER]
         level = F.floor(F.log2("n") * 4).cast("int").alias("level")
-        sizes = sums.groupBy(level).count().orderBy(F.desc("level")).collect()  # 252 rows at most
+        sizes = top.groupBy(level).count().orderBy(F.desc("level")).collect()  # 252 rows at most
         held, least = 0, 1 << 30
         for r in sizes:
             held += r["count"]
             if held > most:
                 break
             least = r.level
-        rows = self.evaluate(sums.where(level >= least).select("gram")).select("gram", F.col("p").cast("array<float>")).toArrow()
-        text = "".join(rows.column("gram").to_pylist())
-        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
-        h = _hash(codes, np.arange(rows.num_rows) * ORDER + ORDER - 1, ORDER)
-        p = rows.column("p").combine_chunks().flatten().to_numpy().reshape(-1, len(self.langs))
-        order = np.argsort(h)
-        return Cache(h[order], np.log(np.maximum(p[order], 1e-12)))
+        rows = top.where(level >= least).select(F.lit(False).alias("context"), "gram", F.col("p").cast("array<float>")).toArrow()
+        return Cache.of(_keys(rows), _matrix(rows.column("p"), len(self.langs)))
 
     def entropies(self, docs: DataFrame, cache, keep: list[str]) -> DataFrame:
         """``keep``, has (a letter) and e, the cross-entropy by character for each
@@ -294,9 +248,9 @@ class Tables:
         d = docs.select(F.monotonically_increasing_id().alias("rid"), "text", *keep)
         parts = stored(d.mapInArrow(_look_up(cache, size, keep), f"{fields}, {columns}"), "parts")
         rest = parts.select("rid", F.explode("rest").alias("r")).select("rid", "r.gram", "r.n")
-        found = self.evaluate(rest.select("gram").distinct())
-        logs = [F.sum(F.col("n") * F.log(F.greatest(F.get("p", F.lit(i)), F.lit(1e-12)))) for i in range(size)]
-        more = rest.join(found, "gram").groupBy("rid").agg(F.array(*logs).alias("more"))
+        found = stored(self.evaluate(rest.select("gram").distinct()), "rare")
+        logs = [F.sum(F.col("n") * F.get("logs", F.lit(i))) for i in range(size)]
+        more = rest.join(found.hint("merge"), "gram").groupBy("rid").agg(F.array(*logs).alias("more"))
         e = F.zip_with("known", F.coalesce("more", F.array_repeat(F.lit(0.0), size)), lambda x, y: x + y)
         return (
             parts.drop("rest")
@@ -306,12 +260,98 @@ class Tables:
         )
 
 
+def _stacked(rows: DataFrame, context: bool) -> DataFrame:
+    return rows.select(F.lit(context).alias("context"), "gram", "p")
+
+
+def _bucket(pair: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(pair), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _matrix(p: pa.ChunkedArray, size: int) -> np.ndarray:
+    """Logs of a column of probability lists, as rows."""
+    flat = p.combine_chunks().flatten().to_numpy().reshape(-1, size)
+    return np.log(np.maximum(flat, np.float32(1e-12)))
+
+
+def _keys(rows: pa.Table) -> np.ndarray:
+    """Hashes of the column gram; those of contexts differ from those of grams."""
+    texts = rows.column("gram").to_pylist()
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    lens = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(lens) - 1
+    out = np.zeros(len(texts), np.uint64)
+    for n in np.unique(lens):
+        mine = lens == n
+        out[mine] = _hash(codes, ends[mine], int(n))
+    context = rows.column("context").to_numpy().astype(bool)
+    return np.where(context, mix(out), out)
+
+
+def _pack(size: int):
+    def run(rows: pa.Table) -> pa.Table:
+        cache = Cache.of(_keys(rows), _matrix(rows.column("p"), size))
+        n = len(cache.grams)
+        return pa.Table.from_arrays(
+            [
+                rows.column("bucket").slice(0, 1),
+                pa.ListArray.from_arrays([0, n], cache.grams.view(np.int64)),
+                pa.ListArray.from_arrays([0, n * size], cache.logp.ravel()),
+            ],
+            ["bucket", "hashes", "logs"],
+        )
+
+    return run
+
+
+def _evaluate(ref):
+    """Log-probabilities of a bucket's grams, down to the order that knows them."""
+
+    def run(asked: pa.Table, packs: pa.Table) -> pa.Table:
+        single, floor = ref.value
+        size, n = len(floor), asked.num_rows
+        if n and packs.num_rows:
+            h = packs["hashes"].combine_chunks().flatten().to_numpy().view(np.uint64)
+            pack = Cache(h, packs["logs"].combine_chunks().flatten().to_numpy().reshape(-1, size))
+        else:
+            pack = Cache(np.zeros(0, np.uint64), np.zeros((0, size), np.float32))
+        codes = np.frombuffer("".join(asked["gram"].to_pylist()).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        at = np.arange(n) * ORDER + ORDER - 1
+
+        def logs(where: Cache, h: np.ndarray, missing) -> np.ndarray:
+            place, there = where.find(h)
+            out = np.array(np.broadcast_to(missing, (len(h), size)), float)
+            out[there] = where.logp[place[there]]
+            return out
+
+        p = logs(single, _hash(codes, at, 1), floor)
+        for o in range(2, ORDER + 1):
+            p += logs(single if o == 2 else pack, mix(_hash(codes, at - 1, o - 1)), 0.0)
+            if o == 2:
+                known = asked["low"].combine_chunks()
+                there = np.flatnonzero(known.is_valid().to_numpy(zero_copy_only=False)) if n else np.zeros(0, int)
+                own = known.drop_null().flatten().to_numpy().reshape(-1, size) if len(there) else np.zeros((0, size))
+                p[there] = np.log(np.maximum(own, 1e-12))
+            else:
+                place, there = pack.find(_hash(codes, at, o))
+                p[there] = pack.logp[place[there]]
+        lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * size, p.ravel())
+        return pa.Table.from_arrays([asked["gram"], lists], ["gram", "logs"])
+
+    return run
+
+
 class Cache:
     """Sorted gram hashes with their [gram, language] log-probabilities."""
 
     def __init__(self, grams: np.ndarray, logp: np.ndarray):
         self.grams, self.logp = grams, logp
 
+    @classmethod
+    def of(cls, hashes: np.ndarray, logp: np.ndarray) -> "Cache":
+        order = np.argsort(hashes)
+        return cls(hashes[order], logp[order])
+
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, whether it is there) of each hash."""
         if not len(self.grams):
@@ -379,19 +419,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, flo
 
 
 class Identifier:
-    """Models with a calibrated score."""
-
-    def __init__(self, tables: Tables | None):
-        self.tables, self.slope, self.offset, self.reject = tables, 20.0, 0.0, 0.0
-        if tables is not None:
-            self.cache = tables.counts.sparkSession.sparkContext.broadcast(tables.frequent())
-
-    def calibrate(self, held: DataFrame) -> None:
-        """From held-out (text, lang) rows, at least twenty of them."""
-        rows = self.margins(held, ["lang"]).where("has")
-        good = F.get(F.array(*map(F.lit, self.tables.langs)), F.col("best")) == F.col("lang")
-        known = rows.select("margin", good.alias("good")).toArrow()
-        if known.num_rows >= 20:
+    """Score and rejection, calibrated on held-out rows; without any it is certain of nothing."""
+
+    def __init__(self, known: pa.Table | None = None):
+        self.slope, self.offset, self.reject = 20.0, 0.0, 0.0
+        if known is not None and known.num_rows >= 20:
             margin, good = known.column("margin").to_numpy(), known.column("good").to_numpy().astype(float)
             order = np.lexsort((good, margin))
             margin, good = margin[order], good[order]
@@ -402,22 +434,14 @@ class Identifier:
     def score(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
-    def margins(self, docs: DataFrame, keep: list[str]) -> DataFrame:
-        return _margins(self.tables.entropies(docs, self.cache, keep), len(self.tables.langs))
-
-    def predict(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, lang_pred, score, rejected) of (doc_id, text)."""
-        if self.tables is None:
-            found = docs.select("doc_id", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
-        else:
-            rows = self.margins(docs, ["doc_id"])
-            at = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("margin") * self.slope + self.offset))
-            name = F.get(F.array(*map(F.lit, self.tables.langs)), F.col("best"))
-            found = rows.select(
-                "doc_id",
-                F.when(F.col("has"), name).otherwise(UND).alias("lang_pred"),
-                F.when(F.col("has"), 1 / (1 + F.exp(-at))).otherwise(0.0).alias("score"),
-            )
+    def scored(self, rows: DataFrame, name: Column) -> DataFrame:
+        """(doc_id, lang_pred, score, rejected) of rows with has and margin."""
+        at = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("margin") * self.slope + self.offset))
+        found = rows.select(
+            "doc_id",
+            F.when(F.col("has"), name).otherwise(UND).alias("lang_pred"),
+            F.when(F.col("has"), 1 / (1 + F.exp(-at))).otherwise(0.0).alias("score"),
+        )
         return found.withColumn("rejected", F.col("score") < self.reject)
 
 
@@ -434,15 +458,6 @@ def split(rows: DataFrame) -> DataFrame:
     return rows.withColumn("held", F.col("picked") & F.col("only").isNull()).drop("picked", "only")
 
 
-def learn(rows: DataFrame) -> Identifier:
-    """Models from all of ``rows`` (doc_id, text, lang) but the few they are calibrated on."""
-    rows = split(rows.where("doc_id is not null and text is not null and lang is not null"))
-    who = Identifier(build(rows.where(~F.col("held"))))
-    if who.tables is not None:
-        who.calibrate(rows.where("held").select("text", "lang"))
-    return who
-
-
 def build(rows: DataFrame) -> Tables | None:
     """Models of (text, lang) rows."""
     grams = rows.select("text", "lang").mapInArrow(_count, "lang string, gram string, n long")
@@ -453,6 +468,21 @@ def build(rows: DataFrame) -> Tables | None:
 
 def identify(docs: DataFrame, learning: DataFrame) -> DataFrame:
     """(doc_id, lang_pred, score, rejected) for every row of ``docs``; models come
-    from ``learning`` (doc_id, text, lang)."""
+    from all of ``learning`` (doc_id, text, lang) but the few rows they are calibrated on.
+    Both kinds of rows are looked up in one pass."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return learn(learning).predict(d)
+    rows = split(learning.where("doc_id is not null and text is not null and lang is not null"))
+    tables = build(rows.where(~F.col("held")))
+    if tables is None:
+        found = d.select("doc_id", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return found.withColumn("rejected", F.lit(False))
+    none = F.lit(None)
+    both = d.select("doc_id", "text", none.cast("string").alias("lang"), F.lit(False).alias("held")).unionByName(
+        rows.where("held").select(none.cast("long").alias("doc_id"), "text", "lang", "held"))
+    cache = d.sparkSession.sparkContext.broadcast(tables.frequent())
+    scored = _margins(tables.entropies(both, cache, ["doc_id", "lang", "held"]), len(tables.langs))
+    scored = stored(scored, "margins")
+    cache.destroy()
+    name = F.get(F.array(*map(F.lit, tables.langs)), F.col("best"))
+    known = scored.where(F.col("held") & F.col("has")).select("margin", (name == F.col("lang")).alias("good")).toArrow()
+    return Identifier(known).scored(scored.where(~F.col("held")), name)
