@@ -46,16 +46,43 @@ def test_upsert_by_id(spark):
 
 def test_model_hooks(spark):
     df = spark.createDataFrame([("aa",), ("b",)], "t string")
-    emb = VE.embed_with(df, "t", lambda texts: np.array([[len(x), 1.0] for x in texts]), dims=2).collect()
+    emb = VE.embed_with(df, "t", lambda: lambda texts: np.array([[len(x), 1.0] for x in texts]), dims=2).collect()
     assert np.allclose(emb[0]["embedding"], np.array([2, 1]) / np.sqrt(5))
     pairs = spark.createDataFrame([("q", "abc"), ("q", "a")], "q string, t string")
-    scorer = RR.pair_scorer_udf(lambda qs, ts: [float(len(t)) for t in ts])
+    scorer = RR.pair_scorer_udf(lambda: lambda qs, ts: [float(len(t)) for t in ts])
     assert [r[0] for r in pairs.select(scorer("q", "t")).collect()] == [3.0, 1.0]
     prompts = spark.createDataFrame([(1, "hi")], "query_id long, user_prompt string")
-    out = PR.complete_with(prompts, lambda pdf: pd.DataFrame({"query_id": pdf["query_id"], "completion": pdf["user_prompt"] + "!"}))
+    out = PR.complete_with(prompts, lambda: lambda pdf: pd.DataFrame({"query_id": pdf["query_id"], "completion": pdf["user_prompt"] + "!"}))
     assert out.first()["completion"] == "hi!"
 
 
+def test_models_are_built_once_a_worker(spark, tmp_path):
+    """Many batches and tasks; the factory leaves a file a call. A model that cannot be pickled is fine."""
+    import os
+    import threading
+    calls = str(tmp_path)
+
+    def factory():
+        lock = threading.Lock()  # cannot be pickled
+        open(f"{calls}/{os.getpid()}-{len(os.listdir(calls))}", "w").close()
+
+        def embed(texts):
+            with lock:
+                return np.array([[len(x), os.getpid()] for x in texts])
+
+        return embed
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        df = spark.range(2_000).select(F.col("id").cast("string").alias("t")).repartition(16)
+        rows = VE.embed_with(df, "t", factory, dims=2)
+        assert rows.count() == 2_000 and len(rows.collect()) == 2_000
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    made = [f.split("-")[0] for f in os.listdir(calls)]
+    assert 1 <= len(made) == len(set(made)) <= spark.sparkContext.defaultParallelism * 2
+
+
 def test_summary_json(spark):
     import json
     import glob

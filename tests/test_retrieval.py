@@ -106,12 +106,47 @@ def test_bm25_topk_matches_brute_force(spark):
                                         "dog dog dog", "nothing here", "mat mat cat dog the"])}
     corpus = spark.createDataFrame(list(docs.items()), "id long, text string").repartition(3)
     qs = spark.createDataFrame([(10, "cat mat"), (11, "dog"), (12, "zebra")], "query_id long, query_text string")
-    for block_bytes in (RR.MAX_SIDE_BYTES, 8):  # one block, and one block per query
-        got = RR.bm25_topk(corpus, qs, "id", "text", k=3, max_side_bytes=block_bytes).collect()
-        for qid, qt in [(10, "cat mat"), (11, "dog"), (12, "zebra")]:
-            want = sorted(py_bm25(docs, qt).items(), key=lambda kv: (-kv[1], kv[0]))[:3]
-            rows = sorted((r for r in got if r["query_id"] == qid), key=lambda r: r["rank"])
-            assert [(r["id"], r["score"]) for r in rows] == [(d, s) for d, s in want]
+    got = RR.bm25_topk(corpus, qs, "id", "text", k=3).collect()
+    for qid, qt in [(10, "cat mat"), (11, "dog"), (12, "zebra")]:
+        want = sorted(py_bm25(docs, qt).items(), key=lambda kv: (-kv[1], kv[0]))[:3]
+        rows = sorted((r for r in got if r["query_id"] == qid), key=lambda r: r["rank"])
+        assert [(r["id"], r["score"]) for r in rows] == [(d, s) for d, s in want]
+
+
+def test_bm25_index_skips_blocks_and_serves_many_batches(spark, monkeypatch):
+    """Small segments: most are skipped, the answers are those of a full scan, and
+    the corpus is tokenised once for all batches of queries."""
+    import random
+    from threadmill.operators import bm25_index as BX
+
+    monkeypatch.setattr(BX, "SEGMENT", 16)
+    monkeypatch.setattr(BX, "FIRST", 2)
+    rng = random.Random(6)
+    docs = {i: " ".join(rng.choice(["the", "of", "and", f"w{rng.randrange(400)}"]) for _ in range(rng.randrange(1, 40))) for i in range(1200)}
+    for i in range(0, 1200, 150):
+        docs[i] = "needle thread the of"
+    corpus = spark.createDataFrame(list(docs.items()) + [(5000, None), (5001, "")], "id long, text string").repartition(3)
+    index = BX.build_index(corpus, "id", "text")
+    assert index.n == 1202
+    for batch in ([(1, "needle the"), (2, "w7 w8 the of")], [(3, "the and"), (4, "absent"), (5, None)]):
+        qs = spark.createDataFrame(batch, "query_id long, query_text string")
+        skipped = []
+        got = {}
+        for r in BX.top_documents(index, qs, "id", 5, skipped=skipped).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.id, r.score))
+        for q, text in batch:
+            want = sorted(py_bm25({**docs, 5000: "", 5001: ""}, text or "").items(), key=lambda kv: (-kv[1], kv[0]))[:5]
+            assert [(d, s) for _, d, s in sorted(got.get(q, []))] == [(d, s) for d, s in want if s > 0]
+        if batch[0][0] == 1:
+            assert skipped[0][1] < skipped[0][0] / 2
+
+
+def test_bm25_of_an_empty_corpus(spark):
+    corpus = spark.createDataFrame([], "id long, text string")
+    qs = spark.createDataFrame([(1, "a")], "query_id long, query_text string")
+    assert RR.bm25_topk(corpus, qs, "id", "text").count() == 0
+    pairs = spark.createDataFrame([(1, 2)], "query_id long, id long")
+    assert [r.rerank_score for r in RR.bm25_pairs(pairs, corpus, qs, "id", "text").collect()] == [0.0]
 
 
 def test_bm25_pairs_cover_all_candidates(spark):

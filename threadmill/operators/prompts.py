@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text as tx
+from .hooks import once_a_worker
 
 
 def snippet_line(text_col: str = "chunk_text", link_col: str = "permalink") -> Column:
@@ -72,8 +74,15 @@ def prompt_scoring(ideas: DataFrame, ideas_col: str = "ideas") -> DataFrame:
     return ideas.withColumn("user_prompt", fill(C.SCORING_USER, ideas=F.col(ideas_col)))
 
 
-def complete_with(prompts: DataFrame, completion, schema: str = "query_id long, completion string") -> DataFrame:
-    """Completion hook contract (L3): ``completion(pandas.DataFrame) ->
-    pandas.DataFrame`` applied per Arrow batch with ``mapInPandas``. No model
-    ships with the library."""
-    return prompts.mapInPandas(lambda it: (completion(pdf) for pdf in it), schema)
+def complete_with(prompts: DataFrame, factory: Callable, schema: str = "query_id long, completion string") -> DataFrame:
+    """Completion hook contract (L3): ``factory()`` gives ``completion(pandas.DataFrame)
+    -> pandas.DataFrame``, built once a Python worker and applied per Arrow batch
+    with ``mapInPandas``. No model ships with the library."""
+    model = once_a_worker(factory)
+
+    def run(batches):
+        completion = model()
+        for pdf in batches:
+            yield completion(pdf)
+
+    return prompts.mapInPandas(run, schema)

@@ -1,101 +1,49 @@
 """Pair scoring and reranking.
 
-Default scorer: Okapi BM25 (Robertson & Zaragoza 2009) computed from native
-aggregates. Corpus statistics (N, average length, document frequency) come
-from one pass over the *whole* corpus; document frequencies are only counted
-for terms that occur in the queries, so the stored table stays proportional to
-the query vocabulary.
+Default scorer: Okapi BM25 (Robertson & Zaragoza 2009) over a stored index
+(``bm25_index``): statistics cover the whole corpus, which is tokenised once.
 """
 
 from __future__ import annotations
 
-import numpy as np
+from collections.abc import Callable, Iterator
+
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions import text as tx
-from ..session import scratch_path
-from .layout import spread
-from .topk import bounded_topk
-
-SCORE_DP = 6
-
-
-def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "query_text") -> DataFrame:
-    """Distinct tokens per query."""
-    return queries.select(F.col(qid).alias("query_id"), F.explode(F.array_distinct(tx.tokens(F.col(qtext)))).alias("term"))
-
+from . import bm25_index as BX
+from .hooks import once_a_worker
 
-def _counted(corpus: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, dl, _t): tokens of each document."""
-    tok = spread(corpus).select(F.col(id_col).alias("doc"), tx.tokens(F.col(text_col)).alias("_t"))
-    return tok.select("doc", F.size("_t").alias("dl"), "_t")
 
+def bm25_pairs(pairs: DataFrame, corpus: DataFrame, queries: DataFrame, id_col: str, text_col: str, qid: str = "query_id",
+               qtext: str = "query_text", k1: float = C.BM25_K1, b: float = C.BM25_B) -> DataFrame:
+    """BM25 score for given (query_id, id) candidate pairs (rerank, I7), with
+    statistics over the whole corpus. For several batches build the index once
+    and call ``bm25_index.pair_scores``. Output ``query_id, <id_col>, rerank_score``."""
+    return BX.pair_scores(BX.build_index(corpus, id_col, text_col, k1=k1, b=b), pairs, queries, id_col, qid, qtext)
 
-def corpus_statistics(corpus: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> tuple[DataFrame, int, float]:
-    """((term, idf) of ``terms``, N, average length) over the whole corpus, in one
-    pass whatever the number of query blocks: distinct tokens of each row, a join
-    with the query terms (strategy left to the planner) and a partially
-    aggregated count. Every document also adds one row under NULL, which carries
-    N and the total length. The result has one row a query term and is stored."""
-    tok = _counted(corpus, id_col, text_col)
-    rows = tok.select("dl", F.explode_outer(F.concat(F.array_distinct("_t"), F.array(F.lit(None).cast("string")))).alias("term"))
-    wanted = terms.select("term").distinct().withColumn("_wanted", F.lit(True))
-    rows = rows.join(wanted, "term", "left").where(F.col("_wanted") | F.col("term").isNull())
-    path = scratch_path(corpus.sparkSession, "term_counts")
-    rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum(F.col("dl").cast("long")).alias("dl")).write.parquet(path)
-    counts = corpus.sparkSession.read.parquet(path)
-    whole = counts.where(F.col("term").isNull()).first()
-    n, length = (int(whole["df"]), int(whole["dl"] or 0)) if whole else (0, 0)
-    idf = F.ln(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return counts.where(F.col("term").isNotNull()).select("term", idf.alias("idf")), n, (length / n if n else 0.0)
 
+def bm25_topk(corpus: DataFrame, queries: DataFrame, id_col: str, text_col: str, k: int = C.TOPN_RERANK, qid: str = "query_id",
+              qtext: str = "query_text", k1: float = C.BM25_K1, b: float = C.BM25_B) -> DataFrame:
+    """Top-``k`` documents per query by BM25 over the whole corpus, ranked by (score
+    rounded to 6 places desc, id asc). For several batches build the index once
+    and call ``bm25_index.top_documents``."""
+    return BX.top_documents(BX.build_index(corpus, id_col, text_col, k1=k1, b=b), queries, id_col, k, qid, qtext)
 
-def bm25_pairs(
-    pairs: DataFrame,
-    corpus: DataFrame,
-    queries: DataFrame,
-    id_col: str,
-    text_col: str,
-    qid: str = "query_id",
-    qtext: str = "query_text",
-    k1: float = C.BM25_K1,
-    b: float = C.BM25_B,
-) -> DataFrame:
-    """BM25 score for given (query_id, id) candidate pairs (rerank, I7), as one
-    join plan: statistics over the whole corpus; term counts, taken inside the
-    row, for the candidate documents only; a sum for each pair. Join strategies
-    are left to the planner. Pairs without a shared term score 0. Output
-    ``query_id, <id_col>, rerank_score``."""
-    qt = query_terms(queries, qid, qtext)
-    idf, _, avgdl = corpus_statistics(corpus, id_col, text_col, qt)
-    cand = pairs.select(F.col(qid).alias("query_id"), F.col(id_col).alias("doc"))
-    docs = corpus.select(F.col(id_col).alias("doc"), F.col(text_col)).join(cand.select("doc").distinct(), "doc", "left_semi")
-    tok = docs.select("doc", tx.tokens(F.col(text_col)).alias("_t")).select("doc", F.size("_t").alias("dl"), "_t")
-    # explode_outer and a null filter: no inferred filter on the array, which would count the terms twice
-    post = tx.with_term_counts(tok, "_t", "_tc").select("doc", "dl", F.explode_outer("_tc").alias("_p"))
-    post = post.where(F.col("_p").isNotNull()).select("doc", "dl", F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf")).join(idf, "term")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
-    part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scored = (post.select("doc", "term", part.alias("part")).join(cand, "doc").join(qt, ["query_id", "term"])
-              .groupBy("query_id", "doc").agg(F.round(F.sum("part"), SCORE_DP).alias("score")))
-    return (cand.join(scored, ["query_id", "doc"], "left")
-            .select(F.col("query_id").alias(qid), F.col("doc").alias(id_col),
-                    F.coalesce(F.col("score"), F.lit(0.0)).alias("rerank_score")))
 
-
-def pair_scorer_udf(scorer):
-    """Pluggable cross-encoder hook (L2): ``scorer(queries, texts) -> scores``,
-    called once per Arrow batch of pairs."""
+def pair_scorer_udf(factory: Callable):
+    """Pluggable cross-encoder hook (L2): ``factory()`` gives ``scorer(queries, texts)
+    -> scores``, built once a Python worker and called once per Arrow batch of pairs."""
+    model = once_a_worker(factory)
 
     @F.pandas_udf(T.DoubleType())
-    def run(q: pd.Series, t: pd.Series) -> pd.Series:
-        return pd.Series(scorer(q.fillna("").tolist(), t.fillna("").tolist()), dtype="float64")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        scorer = model()
+        for q, t in batches:
+            yield pd.Series(scorer(q.fillna("").tolist(), t.fillna("").tolist()), dtype="float64")
 
     return run
 
@@ -107,130 +55,3 @@ def rerank_topn(scored: DataFrame, n: int = C.TOPN_RERANK, qid: str = "query_id"
     n = n or C.TOPN_RERANK
     w = Window.partitionBy(qid).orderBy(F.col(score).desc(), F.col(prior_rank).asc())
     return scored.withColumn("rerank_rank", F.row_number().over(w)).where(F.col("rerank_rank") <= n)
-
-
-# ---------------------------------------------------------------------------
-# BM25 top-k search: global statistics by aggregation, per-partition scoring
-# with a local top-k, merge by window -- the shuffle carries at most
-# partitions x queries x k rows instead of every matched (query, doc) pair.
-# ---------------------------------------------------------------------------
-
-MAX_SIDE_BYTES = 64 * 1024 * 1024
-
-
-def _query_term_blocks(queries: DataFrame, qid: str, qtext: str, max_side_bytes: int):
-    """Yield (query ids, vocabulary, incidence matrix) blocks whose dense
-    incidence (terms x queries, float64) fits ``max_side_bytes``; a larger
-    query batch is split by hash of the query id."""
-    qt = query_terms(queries, qid, qtext)
-    st = qt.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("query_id").alias("q"),
-                F.countDistinct("term").alias("v")).first()
-    rows, n_q, n_v = int(st["rows"] or 0), int(st["q"] or 0), int(st["v"] or 0)
-    if rows == 0:
-        return
-    n_blocks = max(1, -(-(n_q * n_v * 8) // max_side_bytes))
-    for blk in range(n_blocks):
-        part = qt if n_blocks == 1 else qt.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == blk)
-        pdf = part.toPandas()
-        if pdf.empty:
-            continue
-        vocab = np.array(sorted(pdf["term"].unique()), dtype=object)
-        q_ids = np.array(sorted(pdf["query_id"].unique()), dtype=np.int64)
-        t_ix = np.searchsorted(vocab, pdf["term"].to_numpy())
-        q_ix = np.searchsorted(q_ids, pdf["query_id"].to_numpy(dtype=np.int64))
-        inc = np.zeros((len(vocab), len(q_ids)), dtype=np.float64)
-        inc[t_ix, q_ix] = 1.0
-        yield q_ids, vocab, inc
-
-
-def _bm25_scorer(q_ids, vocab, inc, idf, avgdl, k, k1, b, id_col):
-    vocab_pa = pa.array(vocab.astype(str))
-    n_v = len(vocab)
-    sub = max(1, (8 * 1024 * 1024) // max(n_v, 1))
-
-    def fn(batches):
-        best_ids = [None] * len(q_ids)
-        best_sc = [np.empty(0) for _ in q_ids]
-        id_type = None
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            id_arr = rb.column(id_col)
-            id_type = id_arr.type
-            ids = id_arr.to_numpy(zero_copy_only=False)
-            toks = rb.column("_t")
-            lens = pc.fill_null(pc.list_value_length(toks), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            ti = pc.fill_null(pc.index_in(pc.list_flatten(toks), value_set=vocab_pa), -1).to_numpy(zero_copy_only=False)
-            doc = np.repeat(np.arange(rb.num_rows, dtype=np.int64), lens)
-            keep = ti >= 0
-            key, tf = np.unique(doc[keep] * n_v + ti[keep], return_counts=True)
-            d, t = key // n_v, key % n_v
-            w = idf[t] * tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * lens[d] / (avgdl if avgdl > 0 else 1.0)))
-            for lo in range(0, rb.num_rows, sub):
-                hi = min(rb.num_rows, lo + sub)
-                sel = (d >= lo) & (d < hi)
-                wm = np.zeros((hi - lo, n_v))
-                wm[d[sel] - lo, t[sel]] = w[sel]
-                scores = wm @ inc                                   # (docs, queries)
-                for j in range(len(q_ids)):
-                    s = scores[:, j]
-                    pos = s > 0
-                    cs = np.concatenate([best_sc[j], s[pos]])
-                    ci = ids[lo:hi][pos] if best_ids[j] is None else np.concatenate([best_ids[j], ids[lo:hi][pos]])
-                    m = bounded_topk(cs, ci, k, SCORE_DP)
-                    best_sc[j], best_ids[j] = cs[m], ci[m]
-        out_q, out_i, out_s = [], [], []
-        for j, q in enumerate(q_ids):
-            if best_ids[j] is None or len(best_ids[j]) == 0:
-                continue
-            out_q.append(np.full(len(best_ids[j]), q, dtype=np.int64))
-            out_i.append(best_ids[j])
-            out_s.append(best_sc[j])
-        if out_q:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_i), type=id_type),
-                                              pa.array(np.concatenate(out_s))], names=["query_id", id_col, "raw_score"])
-
-    return fn
-
-
-def bm25_topk(
-    corpus: DataFrame,
-    queries: DataFrame,
-    id_col: str,
-    text_col: str,
-    k: int = C.TOPN_RERANK,
-    qid: str = "query_id",
-    qtext: str = "query_text",
-    k1: float = C.BM25_K1,
-    b: float = C.BM25_B,
-    max_side_bytes: int = MAX_SIDE_BYTES,
-) -> DataFrame:
-    """Top-``k`` documents per query by BM25 over the whole corpus.
-
-    Pass 1 aggregates N, the average length and the document frequency of
-    the query terms. Pass 2 scores every partition against the query batch
-    (a size-checked side input: vocabulary, idf and the term x query
-    incidence) with one sparse-to-dense matrix product per slice of rows,
-    keeps a bounded local top-k per query, and a ``row_number() <= k``
-    window merges them. Scores are rounded to 6 places in Spark and ranked by
-    (score desc, id asc)."""
-    tok = spread(corpus).select(F.col(id_col), tx.tokens(F.col(text_col)).alias("_t")).select(
-        F.col(id_col), "_t", F.size("_t").alias("dl"))
-    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, corpus.schema[id_col].dataType),
-                           T.StructField("raw_score", T.DoubleType())])
-    parts = []
-    idf_t, n, avgdl = corpus_statistics(corpus, id_col, text_col, query_terms(queries, qid, qtext))
-    unseen = float(np.log(1.0 + (n + 0.5) / 0.5))
-    for q_ids, vocab, inc in _query_term_blocks(queries, qid, qtext, max_side_bytes):
-        own = idf_t.join(query_terms(queries.where(F.col(qid).isin(q_ids.tolist())), qid, qtext).select("term").distinct(), "term")
-        known = {r["term"]: r["idf"] for r in own.collect()}  # a block's vocabulary: bounded with its incidence
-        idf = np.array([known.get(t, unseen) for t in vocab])
-        parts.append(tok.select(id_col, "_t").mapInArrow(_bm25_scorer(q_ids, vocab, inc, idf, avgdl, k, k1, b, id_col), schema))
-    if not parts:
-        return corpus.sparkSession.createDataFrame([], schema).withColumnRenamed("raw_score", "score").withColumn("rank", F.lit(0))
-    local = parts[0]
-    for p in parts[1:]:
-        local = local.unionByName(p)
-    scored = local.withColumn("score", F.round("raw_score", SCORE_DP)).drop("raw_score")
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

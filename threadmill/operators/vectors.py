@@ -17,6 +17,7 @@ Exact search plan (per batch of queries):
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import text as tx
+from .hooks import once_a_worker
 from .layout import spread
 from .topk import bounded_topk
 
@@ -41,7 +43,12 @@ SCORE_DP = 6
 
 def token_buckets(text: Column, dims: int = C.HASH_DIMS) -> Column:
     """Hash bucket of every token of ``text`` (JVM-side md5)."""
-    return F.transform(tx.tokens(text), lambda t: tx.hash_bucket(t, dims))
+    return buckets_of(tx.tokens(text), dims)
+
+
+def buckets_of(tokens: Column, dims: int = C.HASH_DIMS) -> Column:
+    """Hash bucket of every one of ``tokens`` (an array column)."""
+    return F.transform(tokens, lambda t: tx.hash_bucket(t, dims))
 
 
 def _dense_from_buckets(buckets: pa.Array, dims: int) -> np.ndarray:
@@ -84,16 +91,20 @@ def embed_hashed(df: DataFrame, text_col: str, out_col: str = "embedding", dims:
     return spread(df).withColumn(out_col, _densify_fn(dims)(token_buckets(F.col(text_col), dims)))
 
 
-def embed_with(df: DataFrame, text_col: str, embedder, dims: int, out_col: str = "embedding") -> DataFrame:
-    """Pluggable embedder hook (L1): ``embedder(list[str]) -> ndarray (n, dims)``,
-    called once per Arrow batch; output rows are L2-normalised."""
+def embed_with(df: DataFrame, text_col: str, factory: Callable, dims: int, out_col: str = "embedding") -> DataFrame:
+    """Pluggable embedder hook (L1): ``factory()`` gives ``embedder(list[str]) ->
+    ndarray (n, dims)``, built once a Python worker and called once per Arrow batch;
+    output rows are L2-normalised."""
+    model = once_a_worker(factory)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def run(texts: pd.Series) -> pd.Series:
-        m = np.asarray(embedder(texts.fillna("").tolist()), dtype=np.float64).reshape(len(texts), dims)
-        norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
-        np.divide(m, norm, out=m, where=norm > 0)
-        return pd.Series(list(m))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        embedder = model()
+        for texts in batches:
+            m = np.asarray(embedder(texts.fillna("").tolist()), dtype=np.float64).reshape(len(texts), dims)
+            norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+            np.divide(m, norm, out=m, where=norm > 0)
+            yield pd.Series(list(m))
 
     return df.withColumn(out_col, run(F.col(text_col)))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text as tx
+from ..operators import bm25_index as BX
 from ..operators import chunks as CH
 from ..operators import dedupe as DD
 from ..operators import index_table as IX
@@ -49,31 +50,29 @@ def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VE.embed_hashed(V.queries_v(spark, sf_dir), "query_text", "qvec")
 
 
-def chunk_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top-k chunks per benchmark query by hashed-vector cosine."""
-    ch = VE.hashed_buckets(chunks(spark, sf_dir), "chunk_text")
-    return VE.topk_exact(ch, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id", vec_col="buckets",
-                         bucket_dims=C.HASH_DIMS)
-
-
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tokenised_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk table with its tokens, written once: vectors and BM25 read them there."""
+    return _written(chunks(spark, sf_dir).withColumn("tokens", tx.tokens(F.col("chunk_text"))), "chunks")
+
+
+def candidates_of(ch: DataFrame, queries: DataFrame) -> DataFrame:
+    vec = ch.select("chunk_id", VE.buckets_of(F.col("tokens")).alias("buckets"))
+    return VE.topk_exact(vec, queries, K_CHUNKS, id_col="chunk_id", vec_col="buckets", bucket_dims=C.HASH_DIMS)
+
+
 def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates -> BM25 over the whole chunk corpus -> top-n.
-
-    The chunk table and the candidate set are each read by several jobs
-    (corpus statistics, scoring, payload join), so both are written once to the
-    shared scratch folder and read from there.
-    """
-    ch = _written(chunks(spark, sf_dir), "chunks")
-    vec = VE.hashed_buckets(ch, "chunk_text")
-    cand = _written(VE.topk_exact(vec, query_vectors(spark, sf_dir), K_CHUNKS, id_col="chunk_id", vec_col="buckets",
-                                  bucket_dims=C.HASH_DIMS), "candidates")
-    scored = RR.bm25_pairs(cand.select("query_id", "chunk_id"), ch, V.queries_v(spark, sf_dir), "chunk_id", "chunk_text")
+    """Candidates -> BM25 over the whole chunk corpus -> top-n (I7, F2). The chunks are
+    tokenised once; the candidate set is read by several jobs and written once."""
+    ch = tokenised_chunks(spark, sf_dir)
+    cand = _written(candidates_of(ch, query_vectors(spark, sf_dir)), "candidates")
+    index = BX.build_index(ch, "chunk_id", "chunk_text", tokens_col="tokens")
+    scored = BX.pair_scores(index, cand.select("query_id", "chunk_id"), V.queries_v(spark, sf_dir), "chunk_id")
     scored = scored.join(cand.select("query_id", "chunk_id", "rank", "score"), ["query_id", "chunk_id"])
     top = RR.rerank_topn(scored, N_RERANK)
     # Payload for the survivors only: a bounded (queries x n) side joined by id.
@@ -273,16 +272,60 @@ def q_embed_documents(spark, sf_dir):
     return d.select("doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("weight").cast("double"), 6).alias("weight"))
 
 
-@query("l2_normalize", """SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS norm_in,
-  round(CAST(embedding[1] AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS first_out
-FROM embeddings""")
+@query("l2_normalize", """SELECT vec_id, CAST(i AS INTEGER) AS i, round(CAST(embedding[i] AS DOUBLE) / norm, 6) AS x FROM (
+  SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))) AS norm,
+         unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""")
 def q_l2_normalize(spark, sf_dir):
-    """Native L2 normalisation in double (I4)."""
-    v = V.read(spark, sf_dir, "embeddings")
-    d = F.transform("embedding", lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda a, x: a + x * x))
-    return v.select("vec_id", F.round(norm, 6).alias("norm_in"),
-                    F.round(F.element_at(VE.l2_normalize(F.col("embedding")), 1), 6).alias("first_out"))
+    """Native L2 normalisation in double: every component of every vector (I4)."""
+    v = V.read(spark, sf_dir, "embeddings").select("vec_id", VE.l2_normalize(F.col("embedding")).alias("v"))
+    return v.select("vec_id", F.posexplode("v").alias("i", "x")).select("vec_id", (F.col("i") + 1).alias("i"), F.round("x", 6).alias("x"))
+
+
+class LetterModel:
+    """Stand-in for a caller's model: counts of five vowels, and one."""
+
+    def embed(self, texts):
+        return [[t.count(x) for x in "aeiou"] + [1] for t in texts]
+
+    def score(self, queries, texts):
+        return [float(len(t) - len(q)) for q, t in zip(queries, texts)]
+
+    def complete(self, rows):
+        rows = rows[["query_id", "user_prompt"]].copy()
+        rows["completion"] = rows.pop("user_prompt").str.upper().str.slice(0, 100)
+        return rows
+
+
+_VOWELS = [f"len({{0}}) - len(replace({{0}}, '{x}', ''))" for x in "aeiou"]
+
+
+@query("embed_with_model", f"""SELECT doc_id, round(a / n, 6) AS a, round(u / n, 6) AS u, round(1 / n, 6) AS one FROM (
+  SELECT doc_id, a, u, sqrt(a * a + e * e + i * i + o * o + u * u + 1) AS n FROM (
+    SELECT doc_id, {', '.join(v.format('t') + ' AS ' + x for v, x in zip(_VOWELS, 'aeiou'))} FROM (
+      SELECT doc_id, coalesce(text, '') AS t FROM documents)))""")
+def q_embed_with_model(spark, sf_dir):
+    """A caller's embedder, built once a Python worker, over every document (L1)."""
+    d = V.read(spark, sf_dir, "documents").select("doc_id", "text")
+    d = VE.embed_with(d, "text", lambda: LetterModel().embed, dims=6, out_col="v")
+    at = {"a": 0, "u": 4, "one": 5}
+    return d.select("doc_id", *[F.round(F.get("v", F.lit(i)), 6).alias(x) for x, i in at.items()])
+
+
+@query("score_with_model", _w(V.POSTS_V_SQL, CHUNKS_SQL) + """SELECT c.chunk_id, CAST(length(c.chunk_text) - length(coalesce(p.title, '')) AS DOUBLE) AS score
+FROM chunks c JOIN posts_v p ON p.id = c.doc_id""")
+def q_score_with_model(spark, sf_dir):
+    """A caller's pair scorer, built once a Python worker, over every (title, chunk) pair (L2)."""
+    titles = V.posts_v(spark, sf_dir).select(F.col("id").alias("doc_id"), "title")
+    pairs = chunks(spark, sf_dir).join(titles, "doc_id")
+    return pairs.select("chunk_id", RR.pair_scorer_udf(lambda: LetterModel().score)("title", "chunk_text").alias("score"))
+
+
+@query("complete_with_model", f"""SELECT conv_id * 1000 + turn AS query_id,
+  substr(upper(format({S.fmt_template(C.SCORING_USER, ['ideas'])}, text)), 1, 100) AS completion FROM conversations""")
+def q_complete_with_model(spark, sf_dir):
+    """A caller's completion function, built once a Python worker, over the scoring prompt of every turn (L3)."""
+    c = V.read(spark, sf_dir, "conversations").withColumn("query_id", F.col("conv_id") * 1000 + F.col("turn"))
+    return PR.complete_with(PR.prompt_scoring(c, "text").select("query_id", "user_prompt"), lambda: LetterModel().complete)
 
 
 @query("bm25_scores", _w(V.QUERIES_V_SQL, bm25_sql("b_", "documents", "doc_id", "text", None))
@@ -300,9 +343,9 @@ def q_bm25_scores(spark, sf_dir):
 FROM cand JOIN chunks c ON c.chunk_id = cand.id""")
 def q_rerank_pairs(spark, sf_dir):
     """(query, candidate) pairs joined back to the chunk payload."""
-    cand = chunk_candidates(spark, sf_dir)
-    ch = chunks(spark, sf_dir).select("chunk_id", "permalink")
-    return cand.join(ch, "chunk_id").select("query_id", "chunk_id", F.col("rank").cast("bigint").alias("rank"), "score", "permalink")
+    ch = tokenised_chunks(spark, sf_dir)
+    cand = candidates_of(ch, query_vectors(spark, sf_dir))
+    return cand.join(ch.select("chunk_id", "permalink"), "chunk_id").select("query_id", "chunk_id", F.col("rank").cast("bigint").alias("rank"), "score", "permalink")
 
 
 @query("rerank_topn", _w(RETRIEVAL_BASE) + "SELECT query_id, chunk_id, rank, rerank_score, rerank_rank FROM top")
@@ -347,10 +390,10 @@ def q_prompt_pains(spark, sf_dir):
 
 
 @query("prompt_scoring", f"""SELECT conv_id, turn, format({S.fmt_template(C.SCORING_USER, ['ideas'])}, text) AS user_prompt
-FROM conversations WHERE role = 'assistant'""")
+FROM conversations""")
 def q_prompt_scoring(spark, sf_dir):
-    """Scoring prompt per idea text (assistant turns stand in for ideas)."""
-    c = V.read(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+    """Scoring prompt per idea text (all turns stand in for ideas)."""
+    c = V.read(spark, sf_dir, "conversations")
     return PR.prompt_scoring(c, "text").select("conv_id", "turn", "user_prompt")
 
 
