@@ -167,3 +167,58 @@ def test_stream_index_jsonl_quarantines_bad_lines(spark):
     rows = spark.read.parquet(out).collect()
     assert sorted(r["doc_id"] for r in rows) == ["p1", "p2"] and len(rows[0]["embedding"]) == 256
     assert [r["_corrupt_record"] for r in spark.read.parquet(bad).collect()] == ["{not json"]
+
+
+def _ordered_landings(spark, name, landings, schema):
+    path = scratch_path(spark, name)
+    for rows in landings:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return path, spark.createDataFrame([], schema).schema
+
+
+def test_late_rows_are_kept_apart_and_state_expires(spark):
+    import datetime as dt
+
+    def at(day, hour=0):
+        return dt.datetime(2024, 1, day, hour)
+
+    landings = [[(1, at(1)), (2, at(2))], [(3, at(4)), (4, at(1, 5)), (5, None)], [(6, at(9)), (7, at(3)), (8, at(3, 1))]]
+    landing, schema = _ordered_landings(spark, "t_late", landings, "id long, t timestamp")
+    on, late, marks, ck = (scratch_path(spark, f"t_late_{x}") for x in ("on", "late", "marks", "ck"))
+    SJ.split_late(spark, landing, schema, "t", "1 day", on, late, marks, ck)
+    got = {p: sorted((r.batch_id, r.id) for r in spark.read.parquet(p).collect()) for p in (on, late)}
+    # marks of earlier batches: none, day 2, day 4
+    assert got[on] == [(0, 1), (0, 2), (1, 3), (1, 4), (2, 6), (2, 8)]
+    assert got[late] == [(1, 5), (2, 7)]
+    # a key a day, each twice: what is behind the watermark leaves the state
+    days = [[(d, at(d)), (d, at(d, 1))] for d in range(1, 11)]
+    landing, schema = _ordered_landings(spark, "t_days", days, "id long, t timestamp")
+    out, ck = scratch_path(spark, "t_days_out"), scratch_path(spark, "t_days_ck")
+    stream = SJ.dedupe_stream(SJ.source(spark, landing, schema, max_files_per_trigger=1), key="id", event_time="t", delay="1 day")
+    q = SJ.run(stream, out, ck)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(1, 11))
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
+    assert max(held) <= 5 and sum(p["stateOperators"][0]["numRowsRemoved"] for p in q.recentProgress) >= 6
+
+
+def test_stalled_jobs_by_timers(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+
+    def row(i, url, status, minutes):
+        return (i, url, status, t0 + dt.timedelta(minutes=minutes))
+
+    landings = [
+        [row(1, "a", "in_progress", 0), row(2, "b", "in_progress", 0), row(3, "c", "completed", 1), row(4, "d", "in_progress", 0)],
+        [row(5, "a", "completed", 5), row(6, "d", "pending", 40)],  # a is finished in time; d is taken up again too late
+        [row(7, "b", "in_progress", 60), row(8, "e", "in_progress", 300)],
+        [row(9, "clock", "pending", 100_000)],
+    ]
+    landing, schema = _ordered_landings(spark, "t_stall", landings, "id long, url string, status string, created_at timestamp")
+    out, ck = scratch_path(spark, "t_stall_out"), scratch_path(spark, "t_stall_ck")
+    stream = SJ.source(spark, landing, schema, max_files_per_trigger=1)
+    q = SJ.run_stateful(SJ.stalled_jobs(stream, stall="10 minutes", keep="1 hour", delay="1 minute"), out, ck)
+    got = sorted((r.url, r.id, int((r.stalled_at - t0).total_seconds() // 60)) for r in spark.read.parquet(out).collect())
+    assert got == [("b", 2, 10), ("b", 7, 70), ("d", 4, 10), ("e", 8, 310)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != SJ.ROCKSDB
+    assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 3  # the clock's own rows

@@ -63,8 +63,8 @@ def crawl_plan(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDIT, sort_t
 def post_detail_jobs(posts: DataFrame, cap: int | None = None) -> DataFrame:
     """Post-detail jobs from posts with a subreddit and id.
 
-    Duplicate URLs collapse to one (highest score, then smallest id wins). All
-    jobs are returned; an explicit ``cap`` applies ``frontier_cap`` (F4).
+    Duplicate URLs collapse to one (the highest score wins, then the smallest title,
+    a missing one first). All jobs are returned; an explicit ``cap`` applies ``frontier_cap`` (F4).
     """
     p = posts.where(tx.nonempty("subreddit") & tx.nonempty("id"))
     jobs = p.select(
@@ -73,8 +73,8 @@ def post_detail_jobs(posts: DataFrame, cap: int | None = None) -> DataFrame:
         F.substring(F.coalesce(F.col("title"), F.lit("")), 1, 100).alias("title"),
         F.coalesce(F.col("score"), F.lit(0)).alias("score"),
     )
-    win = jobs.groupBy("url").agg(F.max_by(F.struct("subreddit", "post_id", "title", "score"),
-                                           F.struct(F.col("score"), -F.length("post_id"))).alias("j"))
+    win = jobs.groupBy("url").agg(F.min_by(F.struct("subreddit", "post_id", "title", "score"),
+                                           F.struct(-F.col("score").cast("double"), F.col("title"))).alias("j"))
     out = win.select(
         F.lit("post_detail").alias("job_type"), "url", F.lit(C.POST_DETAIL_PRIORITY).alias("priority"),
         F.to_json(F.struct(F.col("j.subreddit").alias("subreddit"), F.col("j.post_id").alias("post_id"),
@@ -291,8 +291,10 @@ def crawl_size_estimate(subreddits: DataFrame, pages: int = C.PAGES_PER_SUBREDDI
         comments.cast("bigint").alias("estimated_comments"), total.cast("bigint").alias("total_urls"))
 
 
-def run_summary(stats: DataFrame, files: DataFrame) -> DataFrame:
-    """One-row run summary (J13): success rate, output files and MB."""
-    f = files.agg(F.count(F.lit(1)).alias("output_files"), F.round(F.sum("size_mb"), 2).alias("output_mb"))
+def run_summary(stats: DataFrame, files: DataFrame, rows: int | None = None) -> DataFrame:
+    """One-row run summary (J13): success rate, output files, MB, and the ``rows`` that the
+    write reported."""
+    f = files.agg(F.count(F.lit(1)).alias("output_files"), F.round(F.sum("size_mb"), 2).alias("output_mb"),
+                  F.lit(rows).cast("long").alias("output_rows"))
     one = F.lit(1).alias("_one")
     return job_progress(stats).select("*", one).join(f.select("*", one), "_one").drop("_one")

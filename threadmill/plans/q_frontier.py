@@ -282,25 +282,20 @@ def q_post_detail_jobs(spark, sf_dir):
                        F.try_variant_get(meta, "$.title", "string").alias("title"))
 
 
-@query("run_summary", W(JV) + """SELECT total, completed, failed,
+@query("run_summary", W(JV, V.POSTS_V_SQL) + """SELECT total, completed, failed,
   round(completed / greatest(total, 1) * 100, 2) AS success_rate,
-  round((completed + failed) / greatest(total, 1) * 100, 2) AS progress_pct, 1 AS output_files, TRUE AS has_output
+  round((completed + failed) / greatest(total, 1) * 100, 2) AS progress_pct, output_files, output_rows, TRUE AS has_mb
 FROM (SELECT count(*) AS total, count(*) FILTER (WHERE status = 'completed') AS completed,
-             count(*) FILTER (WHERE status = 'failed') AS failed FROM jobs_v)""")
+             count(*) FILTER (WHERE status = 'failed') AS failed FROM jobs_v),
+     (SELECT CAST(count(DISTINCT subreddit) AS INTEGER) AS output_files, count(*) AS output_rows FROM posts_v)""")
 def q_run_summary(spark, sf_dir):
-    """One-row run summary: success rate and the output files.
-    The jobs report is written as one file, so its count is known to SQL; the posts
-    are written whole, and there is output if all their rows are read back."""
+    """One-row run summary (J13, D13, A16, D3): success rate from the job table, and the
+    output of the run's posts: rows as observed in the write itself, files and MB
+    from the file listing. The posts are written as one file a subreddit."""
     from ..session import scratch_path
     from ..sources import files as io
-    j = V.jobs_v(spark, sf_dir)
-    stats = FR.job_stats(j)
-    path = scratch_path(spark, "summary_out")
-    io.write_posts(stats.coalesce(1), path, partition_by=None)
-    out = FR.run_summary(stats, io.file_inventory(spark, path))
-    posts = V.posts_v(spark, sf_dir)
-    posts_path = scratch_path(spark, "summary_posts")
-    io.write_posts(posts, posts_path, fmt="parquet", partition_by=None)
-    n, back = posts.count(), spark.read.schema(posts.schema).parquet(posts_path).count() if not posts.isEmpty() else 0
-    return out.select("total", "completed", "failed", "success_rate", "progress_pct",
-                      F.col("output_files").cast("int").alias("output_files"), ((F.col("output_mb") >= 0) & F.lit(back == n)).alias("has_output"))
+    path = scratch_path(spark, "summary_posts")
+    rows = io.write_posts(V.posts_v(spark, sf_dir).repartition("subreddit"), path, fmt="parquet", partition_by="subreddit")
+    out = FR.run_summary(FR.job_stats(V.jobs_v(spark, sf_dir)), io.file_inventory(spark, path), rows)
+    return out.select("total", "completed", "failed", "success_rate", "progress_pct", F.col("output_files").cast("int").alias("output_files"),
+                      "output_rows", (F.col("output_mb") > 0).alias("has_mb"))

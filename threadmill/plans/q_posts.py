@@ -98,7 +98,7 @@ EXTRACT_COLS_SQL = ",\n       ".join(c for f in schemas.POST_FIELDS for c in _po
 
 @query("scan_parquet", W(PV) + "SELECT * FROM posts_v")
 def q_scan_parquet(spark, sf_dir):
-    """Documents read with an explicit schema and projected as posts (A1)."""
+    """Documents read with the schema of their file and projected as posts (A1)."""
     return V.posts_v(spark, sf_dir)
 
 
@@ -425,16 +425,60 @@ def q_latest_per_post(spark, sf_dir):
     return latest.select("id", "event_id", "score", tx.ts_text("scraped_at").alias("scraped_at"))
 
 
-@query("sink_by_subreddit", W(PV) + "SELECT id, subreddit FROM posts_v WHERE subreddit IN ('src3', 'src7')")
+@query("sink_by_subreddit", W(PV) + """SELECT 'all' AS output, subreddit, id FROM posts_v
+UNION ALL SELECT 'own', subreddit, id FROM posts_v WHERE subreddit IS NOT NULL""")
 def q_sink_by_subreddit(spark, sf_dir):
-    """Per-subreddit output plus the combined view (A15): one write
-    partitioned by subreddit; a subreddit read prunes to its folder, the
-    unfiltered read is the combined output."""
+    """Per-subreddit output plus the combined view (A15): one write partitioned by
+    subreddit. ``all`` is the combined read; ``own`` reads the folder of each
+    subreddit by itself."""
     df = V.posts_v(spark, sf_dir)
     path = scratch_path(spark, "posts_by_subreddit")
     io.write_posts(df, path, fmt="parquet", partition_by="subreddit")
-    back = io.read_posts(spark, path, df.schema, fmt="parquet")
-    return back.where(F.col("subreddit").isin("src3", "src7")).select("id", "subreddit")
+    out = io.read_posts(spark, path, df.schema, fmt="parquet").select(F.lit("all").alias("output"), "subreddit", "id")
+    for r in df.select("subreddit").distinct().where("subreddit is not null").orderBy("subreddit").collect():  # the sources, few
+        own = io.read_posts(spark, path, df.schema, fmt="parquet").where(F.col("subreddit") == r.subreddit)
+        out = out.unionByName(own.select(F.lit("own").alias("output"), "subreddit", "id"))
+    return out
+
+
+@query("newest_file", W(PV) + "SELECT id, title FROM posts_v WHERE doc_id % 3 = 1")
+def q_newest_file(spark, sf_dir):
+    """Rows of the file written last, of three landings."""
+    df = V.posts_v(spark, sf_dir)
+    path = scratch_path(spark, "landings")
+    for part in (0, 2, 1):
+        io.write_posts(df.where(F.col("doc_id") % 3 == part).coalesce(1), path, partition_by=None)
+    return io.newest_file(io.read_posts(spark, path, df.schema)).select("id", "title")
+
+
+@query("sink_comments", W(V.COMMENTS_V_SQL) + "SELECT id, post_id, parent_id, author, body, score, created_utc FROM comments_v")
+def q_sink_comments(spark, sf_dir):
+    """Comments written and read back whole, as JSON lines (A5)."""
+    df = V.comments_v(spark, sf_dir)
+    path = scratch_path(spark, "comments")
+    io.write_posts(df, path, fmt="jsonl", partition_by=None)
+    return io.read_posts(spark, path, df.schema, fmt="jsonl").select("id", "post_id", "parent_id", "author", "body", "score", "created_utc")
+
+
+@query("sink_split_files", W(PV) + """SELECT CAST(ceil(count(*) / 100) AS BIGINT) AS n_files, count(*) AS n_rows,
+  CAST(least(count(*), 100) AS BIGINT) AS largest FROM posts_v""")
+def q_sink_split_files(spark, sf_dir):
+    """A batch cut into files of at most 100 rows (K8): files and rows from file metadata."""
+    path = scratch_path(spark, "split_files")
+    io.write_posts(V.posts_v(spark, sf_dir).coalesce(1), path, partition_by=None, max_records_per_file=100)
+    files = io.file_rows(spark.read.parquet(path))
+    return files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"), F.max("n_rows").alias("largest"))
+
+
+@query("summary_json", W(PV) + "SELECT count(*) AS posts, count(DISTINCT subreddit) AS subreddits, CAST(sum(score) AS BIGINT) AS score, CAST(NULL AS DOUBLE) AS speedup FROM posts_v")
+def q_summary_json(spark, sf_dir):
+    """A run summary written as one JSON document and read back (A18); missing values stay null."""
+    p = V.posts_v(spark, sf_dir)
+    path = scratch_path(spark, "summary_json")
+    one = p.agg(F.count(F.lit(1)).alias("posts"), F.count_distinct("subreddit").alias("subreddits"), F.sum("score").cast("bigint").alias("score"),
+                F.lit(None).cast("double").alias("speedup"))
+    io.write_summary_json(one, path)
+    return spark.read.schema(one.schema).json(path)
 
 
 def detail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

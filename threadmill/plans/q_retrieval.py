@@ -458,24 +458,24 @@ def q_upsert_chunks(spark, sf_dir):
     return IX.read_documents(spark, path, meta=True).select("chunk_id", "doc_id", F.col("version").cast("int").alias("version"))
 
 
-@query("file_inventory", _w(V.POSTS_V_SQL) + """SELECT DISTINCT strftime(make_timestamp(CAST(created_utc * 1000000 AS BIGINT)), '%Y-%m-%d') AS ingest_date,
-  TRUE AS has_files, TRUE AS named_and_dated FROM posts_v""")
+@query("file_inventory", _w(V.POSTS_V_SQL) + """SELECT strftime(make_timestamp(CAST(created_utc * 1000000 AS BIGINT)), '%Y-%m-%d') AS ingest_date,
+  1 AS n_files, count(*) AS n_rows, TRUE AS named, TRUE AS sized FROM posts_v GROUP BY 1""")
 def q_file_inventory(spark, sf_dir):
-    """Output-file inventory of a written post table, by date folder (A16, D13): a date
-    has its files if as many rows are read back as were written."""
+    """Output-file inventory of a written post table, one file a date (A16, D13): files and
+    rows by date, from file metadata alone; names and sizes agree with the listing."""
     df = V.posts_v(spark, sf_dir).withColumn("ingest_date", F.date_format(tx.epoch_to_ts("created_utc"), "yyyy-MM-dd"))
     path = scratch_path(spark, "inventory")
-    io.write_posts(df, path, fmt="parquet")
-    return inventory_by_date(df, io.file_inventory(spark, path), spark.read.parquet(path))
-
-
-def inventory_by_date(written, files, back):
-    """Dates of ``written``, checked against the files listed and the rows read ``back``."""
-    dates = written.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
-    back = back.groupBy(F.col("ingest_date").cast("string").alias("ingest_date")).agg(F.count(F.lit(1)).alias("n_back"))
-    files = files.groupBy(F.regexp_extract("path", "ingest_date=([^/]+)", 1).alias("ingest_date")).agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.bool_and(F.col("name").endswith(".parquet") & F.col("modified").isNotNull() & (F.col("size_mb") >= 0)).alias("named_and_dated"))
-    whole = (F.coalesce("n_files", F.lit(0)) > 0) & (F.coalesce("n_back", F.lit(0)) == F.col("n"))
-    return dates.join(files, "ingest_date", "left").join(back, "ingest_date", "left").select(
-        "ingest_date", whole.alias("has_files"), F.coalesce("named_and_dated", F.lit(False)).alias("named_and_dated"))
+    io.write_posts(df.repartition("ingest_date"), path, fmt="parquet")
+    return inventory_by_date(io.file_rows(spark.read.parquet(path)), io.file_inventory(spark, path))
+
+
+def inventory_by_date(files, listed):
+    """Files and rows of each date folder; ``named`` and ``sized`` say whether the listing
+    holds each of them under its name and with its size."""
+    listed = listed.select("path", F.col("name").alias("_name"), F.col("size_mb").alias("_mb"))
+    both = files.join(listed, "path", "left")
+    mb = F.round(F.col("bytes") / (1024 * 1024), 2)
+    return both.groupBy(F.regexp_extract("path", "ingest_date=([^/]+)", 1).alias("ingest_date")).agg(
+        F.count(F.lit(1)).cast("int").alias("n_files"), F.sum("n_rows").alias("n_rows"),
+        F.bool_and(F.col("name").endswith(".parquet") & F.coalesce(F.col("name") == F.col("_name"), F.lit(False))).alias("named"),
+        F.bool_and((F.col("bytes") > 0) & F.coalesce(mb == F.col("_mb"), F.lit(False))).alias("sized"))

@@ -128,3 +128,110 @@ def q_stream_job_state(spark, sf_dir):
     SJ.run(SJ.job_state_stream(_jobs_stream(spark, sf_dir)), out, ckpt, output_mode="update")
     final = SJ.latest_per_key(spark.read.parquet(out), ["url"])
     return final.select("url", "id", "status", "attempts")
+
+
+# ---------------------------------------------------------------------------
+# Late data and the clock: landings that follow one another, with a real watermark
+# ---------------------------------------------------------------------------
+
+LANDINGS = 4
+LATE_DELAY = "1 day"
+
+
+def _land_in_order(df: DataFrame, name: str, part) -> tuple[str, DataFrame]:
+    """Stand-in input: one file a landing, written one after another. ``part`` numbers the
+    landings from 0."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"landing_{name}")
+    df = df.withColumn("_part", part)
+    for i in range(LANDINGS):
+        df.where(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return path, df.drop("_part")
+
+
+def _landing_of(time: str, late):
+    """Landing of an event by its day of the month; those marked late come with the last."""
+    by_day = F.least(F.floor((F.dayofmonth(time) - 1) / 8), F.lit(LANDINGS - 1))
+    return F.when(late, LANDINGS - 1).otherwise(by_day)
+
+
+def _late_sql(source: str, time: str, late: str) -> str:
+    """CTE ``told``: rows of ``source`` with their landing and whether they come late."""
+    return f"""landed AS (
+  SELECT *, CASE WHEN {late} THEN {LANDINGS - 1} ELSE least((day({time}) - 1) // 8, {LANDINGS - 1}) END AS part FROM {source}),
+marks AS (SELECT part, max({time}) AS mark FROM landed GROUP BY part),
+told AS (SELECT l.*, coalesce({time} <= (SELECT max(mark) FROM marks m WHERE m.part < l.part) - INTERVAL {LATE_DELAY}, FALSE) AS late FROM landed l)"""
+
+
+def _split(spark, df: DataFrame, name: str, time: str, part) -> tuple[str, str]:
+    landing, _ = _land_in_order(df, name, part)
+    paths = [scratch_path(spark, f"{name}_{x}") for x in ("on_time", "late", "marks", "ckpt")]
+    SJ.split_late(spark, landing, df.schema, time, LATE_DELAY, *paths)
+    return paths[0], paths[1]
+
+
+POLLS_TOLD = V.with_views(V.POLLS_V_SQL, _late_sql("polls_v", "scraped_at", "event_id % 20 = 0"))
+
+
+def _polls_split(spark, sf_dir):
+    polls = V.polls_v(spark, sf_dir)
+    return _split(spark, polls, "polls_late", "scraped_at", _landing_of("scraped_at", F.col("event_id") % 20 == 0))
+
+
+@query("stream_late_rows", POLLS_TOLD + "SELECT event_id, part AS batch_id FROM told WHERE late")
+def q_stream_late_rows(spark, sf_dir):
+    """Polls that land a day or more behind the newest of earlier landings go to a side
+    output with their batch, instead of being dropped unseen (K4, K6)."""
+    _, late = _polls_split(spark, sf_dir)
+    return spark.read.parquet(late).select("event_id", F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+@query("stream_dedupe_in_time", POLLS_TOLD + """SELECT DISTINCT event_id FROM told WHERE NOT late""")
+def q_stream_dedupe_in_time(spark, sf_dir):
+    """De-duplication of rows that land twice, with a watermark of a day (K4): state
+    expires, and late rows are kept apart beforehand."""
+    on_time, _ = _polls_split(spark, sf_dir)
+    twice = spark.read.parquet(on_time).drop("batch_id")
+    landing, landed = _land_in_order(twice.unionByName(twice), "polls_twice", _landing_of("scraped_at", F.lit(False)))
+    out, ckpt = _dirs(spark, "dedupe_in_time")
+    stream = SJ.source(spark, landing, landed.schema, max_files_per_trigger=1)
+    SJ.run(SJ.dedupe_stream(stream, key="event_id", delay=LATE_DELAY), out, ckpt)
+    return spark.read.parquet(out).select("event_id")
+
+
+JOBS_TOLD = V.with_views(JV, _late_sql("(SELECT * FROM jobs_v WHERE status = 'completed')", "completed_at", "id % 20 = 0"))
+
+
+@query("stream_completion_rate_in_time", JOBS_TOLD + f"""SELECT {S.ts('make_timestamp(ws)')} AS window_start,
+  {S.ts('make_timestamp(ws + 60000000)')} AS window_end, count(*) AS n
+FROM (SELECT CAST(floor(epoch_us(completed_at) / 30000000) AS BIGINT) * 30000000 - k * 30000000 AS ws
+      FROM told, (SELECT unnest([0, 1]) AS k) WHERE NOT late)
+GROUP BY ws""")
+def q_stream_completion_rate_in_time(spark, sf_dir):
+    """Completions per window with a watermark of a day (K6): closed windows leave the state."""
+    done = V.jobs_v(spark, sf_dir).where(F.col("status") == "completed")
+    on_time, _ = _split(spark, done, "jobs_late", "completed_at", _landing_of("completed_at", F.col("id") % 20 == 0))
+    rows = spark.read.parquet(on_time)
+    landing, landed = _land_in_order(rows.drop("batch_id"), "jobs_in_time", _landing_of("completed_at", F.lit(False)))
+    out, ckpt = _dirs(spark, "rate_in_time")
+    SJ.run(SJ.completion_rate(SJ.source(spark, landing, landed.schema, max_files_per_trigger=1), delay=LATE_DELAY), out, ckpt, output_mode="update")
+    final = SJ.latest_per_key(spark.read.parquet(out), ["window_start", "window_end"])
+    return final.select(tx.ts_text("window_start").alias("window_start"), tx.ts_text("window_end").alias("window_end"), "n")
+
+
+@query("stream_stalled_jobs", V.with_views(JV) + f"""SELECT url, id, {S.ts("created_at + INTERVAL 6 HOUR")} AS stalled_at FROM (
+  SELECT url, id, status, to_ms, lead(to_ms) OVER (PARTITION BY url ORDER BY to_ms, id) AS next, make_timestamp(to_ms * 1000) AS created_at
+  FROM (SELECT *, CAST(floor(epoch_us(created_at) / 1000) AS BIGINT) AS to_ms FROM jobs_v))
+WHERE status = 'in_progress' AND (next IS NULL OR next > to_ms + 6 * 3600000)""")
+def q_stream_stalled_jobs(spark, sf_dir):
+    """Jobs in progress that nothing followed for six hours, found by event-time timers;
+    the state of a URL expires (K9). A last row far ahead moves the clock on."""
+    jobs = V.jobs_v(spark, sf_dir).select("id", "url", "status", "created_at")
+    clock = spark.range(1).select(F.lit(-1).cast("bigint").alias("id"), F.lit("clock").alias("url"), F.lit("pending").alias("status"),
+                                  F.lit("2100-01-01").cast("timestamp").alias("created_at"))
+    landing, landed = _land_in_order(jobs, "attempts", _landing_of("created_at", F.lit(False)))
+    clock.coalesce(1).write.mode("append").parquet(landing)
+    out, ckpt = _dirs(spark, "stalled")
+    stream = SJ.source(spark, landing, landed.schema, max_files_per_trigger=1)
+    SJ.run_stateful(SJ.stalled_jobs(stream, stall="6 hours", keep="3 days", delay="1 minute"), out, ckpt)
+    return spark.read.parquet(out).select("url", "id", tx.ts_text("stalled_at").alias("stalled_at"))

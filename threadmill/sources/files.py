@@ -7,7 +7,7 @@ fixed schema, so nothing is inferred and partition filters prune directories.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,9 @@ def _fmt(fmt: str | None) -> str:
 
 
 def write_posts(df: DataFrame, path: str, fmt: str | None = None, partition_by: str | None = "ingest_date",
-                mode: str = "append", max_records_per_file: int | None = None) -> None:
-    """One write per batch; an empty batch writes nothing.
+                mode: str = "append", max_records_per_file: int | None = None) -> int:
+    """One write per batch; an empty batch writes nothing (A3, A4, A5, A7, K8). Returns
+    the number of rows, observed while they are written (D3): nothing is read again.
 
     Batches add files by default. ``overwrite`` replaces the dates the batch
     holds (all files, without ``partition_by``) and leaves other dates alone.
@@ -31,8 +32,9 @@ def write_posts(df: DataFrame, path: str, fmt: str | None = None, partition_by:
     text unescaped.
     """
     if df.isEmpty():
-        return
-    w = df.write.mode(mode)
+        return 0
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
@@ -41,6 +43,7 @@ def write_posts(df: DataFrame, path: str, fmt: str | None = None, partition_by:
         w.option("ignoreNullFields", "false").json(path)
     else:
         w.parquet(path)
+    return seen.get["rows"]
 
 
 def read_posts(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None = None,
@@ -81,6 +84,23 @@ def latest_batch(df: DataFrame, col: str = "batch_id") -> DataFrame:
     return df.join(top, col, "left_semi")
 
 
+def newest_file(df: DataFrame) -> DataFrame:
+    """Rows of the file that was written last (A9); of files written at one moment the
+    last by path. ``df`` reads files directly; their times are a scalar subquery of the
+    plan, taken from file metadata alone."""
+    at = F.struct(F.col("_metadata.file_modification_time").alias("t"), F.col("_metadata.file_path").alias("p"))
+    rows = df.select("*", at.alias("_file"))
+    return rows.where(F.col("_file") == df.select(at.alias("_file")).agg(F.max("_file")).scalar()).drop("_file")
+
+
+def file_rows(df: DataFrame) -> DataFrame:
+    """(path, name, bytes, n_rows) of every file that ``df`` reads (A16): no column of the
+    rows is read, only file metadata and row counts."""
+    m = F.col("_metadata")
+    files = df.select(m["file_path"].alias("path"), m["file_name"].alias("name"), m["file_size"].alias("bytes"))
+    return files.groupBy("path", "name", "bytes").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def file_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """Output files: name, size in MB (2 dp), modification time; sorted by name.
     Only file metadata is read (``binaryFile`` without the content column)."""

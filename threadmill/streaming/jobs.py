@@ -157,6 +157,39 @@ def read_index(spark: SparkSession, out_path: str) -> DataFrame:
     return IX.read_documents(spark, out_path)
 
 
+# ---------------------------------------------------------------------------
+# Late rows
+# ---------------------------------------------------------------------------
+
+def split_late(spark: SparkSession, landing: str, schema: T.StructType, event_time: str, delay: str, on_time_path: str,
+               late_path: str, marks_path: str, checkpoint: str, trigger: dict = ONE_SHOT, max_files_per_trigger: int | None = 1,
+               fmt: str = "parquet"):
+    """Part a stream into rows in time and late rows, instead of losing these in a
+    stateful operator. A row is late if its event time is ``delay`` or more behind the
+    largest of all *earlier* batches. Both kinds are written by batch; the largest time of
+    a batch is kept under ``marks_path``, written last, so a replayed batch is judged by
+    the same mark. Rows without an event time are late. A stateful job that reads
+    ``on_time_path`` with a watermark of ``delay`` drops nothing."""
+    at = F.col(event_time)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        marks = "batch_id long, mark timestamp"
+        before = spark.read.schema(marks).parquet(marks_path) if batch_id else spark.createDataFrame([], marks)
+        mark = before.where(F.col("batch_id") < batch_id).agg(F.max("mark").alias("_mark"))
+        told = batch.crossJoin(F.broadcast(mark))  # one row
+        late = at.isNull() | F.coalesce(at <= F.col("_mark") - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        for path, rows in ((on_time_path, told.where(~late)), (late_path, told.where(late))):
+            rows.drop("_mark").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        own = batch.agg(F.lit(batch_id).cast("long").alias("batch_id"), F.max(at).alias("mark"))
+        own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(marks_path)
+
+    s = source(spark, landing, schema, fmt, max_files_per_trigger)
+    q = s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
+    if "availableNow" in trigger or "once" in trigger:
+        q.awaitTermination()
+    return q
+
+
 # ---------------------------------------------------------------------------
 # K6: trailing-minute completion rate
 # ---------------------------------------------------------------------------
@@ -191,3 +224,85 @@ def job_state_stream(attempts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("attempts"),
         F.max(F.unix_micros("created_at")).alias("last_us"),
     ).select("url", "_s.id", "_s.status", "attempts", "last_us")
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STALLED = "url string, id long, stalled_at timestamp"
+
+
+def _stall_processor(stall_ms: int, keep_ms: int):
+    """Keeps the latest attempt of a URL. An attempt in progress that is followed by none
+    for ``stall_ms`` is reported: by the next attempt, or by a timer once the watermark
+    has passed. The state of a URL goes ``keep_ms`` after its last attempt."""
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Stalls(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.last = handle.getValueState("last", "id long, status string, at long")
+
+        def _rows(self, url, found):
+            # plain object strings: Arrow-backed ones come as chunks, which the worker cannot nest
+            return pd.DataFrame({"url": pd.Series([url] * len(found), dtype=object), "id": pd.Series([i for i, _ in found], dtype="int64"),
+                                 "stalled_at": pd.to_datetime([t + stall_ms for _, t in found], unit="ms")})
+
+        def _timers(self, at, open_):
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t[0] if isinstance(t, (tuple, list)) else t)
+            self.handle.registerTimer(at + (stall_ms if open_ else keep_ms))
+
+        def handleInputRows(self, key, rows, timerValues):
+            new = [r for b in rows for r in zip(b["at"].tolist(), b["id"].tolist(), b["status"].tolist())]
+            if self.last.exists():
+                i, status, at = self.last.get()
+                new.append((at, i, status))
+            new.sort()
+            found = [(i, t) for (t, i, status), (after, _, _) in zip(new, new[1:]) if status == "in_progress" and after > t + stall_ms]
+            at, i, status = new[-1]
+            self.last.update((i, status, at))
+            self._timers(at, status == "in_progress")
+            yield self._rows(key[0], found)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            i, status, at = self.last.get()
+            if status == "in_progress":  # nothing came after it
+                self.last.update((i, "stalled", at))
+                self.handle.registerTimer(at + max(keep_ms, stall_ms + 1))
+                yield self._rows(key[0], [(i, at)])
+            else:
+                self.last.clear()
+                yield self._rows(key[0], [])
+
+        def close(self):
+            pass
+
+    return Stalls()
+
+
+def stalled_jobs(attempts: DataFrame, stall: str = "10 minutes", keep: str = "1 day", delay: str = "1 minute") -> DataFrame:
+    """Attempts in progress that nothing followed for ``stall`` (K9), in event time: one
+    row (url, id, stalled_at) each, as soon as the watermark shows it. An attempt log
+    (id, url, status, created_at) comes in; a URL's state goes ``keep`` after its last attempt."""
+    import pandas as pd
+
+    ms = [int(pd.Timedelta(x).total_seconds() * 1000) for x in (stall, keep)]
+    rows = attempts.select("url", "id", "status", "created_at", F.unix_millis("created_at").alias("at"))
+    return rows.withWatermark("created_at", delay).groupBy("url").transformWithStateInPandas(
+        _stall_processor(*ms), outputStructType=STALLED, outputMode="Append", timeMode="EventTime")
+
+
+def run_stateful(stream: DataFrame, out_path: str, checkpoint: str, trigger: dict = ONE_SHOT):
+    """Run a ``transformWithState`` stream: it needs the RocksDB state store, which is set
+    for this query only."""
+    spark = stream.sparkSession
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        q = run(stream, out_path, checkpoint, trigger, wait=False)
+    finally:
+        spark.conf.set(key, old) if old else spark.conf.unset(key)
+    if "availableNow" in trigger or "once" in trigger:
+        q.awaitTermination()
+    return q
