@@ -3,8 +3,11 @@
 Exact search plan (per batch of queries):
 
 1. the query matrix is a *side input*: its size (queries x dims x 8 bytes) is
-   checked against ``max_side_bytes``; a larger query set is cut into blocks
-   that each fit, and the blocks are answered one after another;
+   checked against ``max_side_bytes``, with what a task keeps for each query; a
+   larger query set is cut into blocks that each fit, and the blocks are answered
+   one after another, so the driver holds one block at a time. Each block is a scan:
+   a block of some 10,000 queries costs a vector some 10**6 multiplications, beside
+   which reading it again is little;
 2. every partition of the (possibly filtered, pushed-down) vector table is
    scored with one blocked matrix product inside ``mapInPandas`` and keeps only
    its local top-k per query (plus exact ties), so at most
@@ -29,6 +32,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import text as tx
+from .components import written
 from .hooks import once_a_worker
 from .layout import spread
 from .topk import bounded_topk
@@ -143,12 +147,12 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(n, len(flat) // n)
 
 
-def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, vec_col: str,
-                   probe: np.ndarray | None = None, cell_col: str | None = None, bucket_dims: int | None = None):
+def _local_topk_fn(ref, k: int, id_col: str, vec_col: str, bucket_dims: int | None = None):
     """Per-partition scorer (mapInArrow): running top-k per query; however many
     rows tie, it holds and emits a small multiple of k rows per query."""
 
     def fn(batches):
+        q_ids, q_mat = ref.value
         best_ids = [None for _ in q_ids]
         best_sc = [np.empty(0, dtype=np.float64) for _ in q_ids]
         id_type = None
@@ -161,15 +165,9 @@ def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, ve
             col = rb.column(vec_col)
             mat = _dense_from_buckets(col, bucket_dims) if bucket_dims else _matrix(col)
             scores = mat @ q_mat.T                                    # (rows, queries)
-            cells = rb.column(cell_col).to_numpy(zero_copy_only=False) if cell_col else None
             for j in range(len(q_ids)):
-                s = scores[:, j]
-                sel_ids = ids
-                if probe is not None:
-                    m = np.isin(cells, probe[j])
-                    s, sel_ids = s[m], ids[m]
-                cand_s = np.concatenate([best_sc[j], s])
-                cand_i = sel_ids if best_ids[j] is None else np.concatenate([best_ids[j], sel_ids])
+                cand_s = np.concatenate([best_sc[j], scores[:, j]])
+                cand_i = ids if best_ids[j] is None else np.concatenate([best_ids[j], ids])
                 keep = bounded_topk(cand_s, cand_i, k, SCORE_DP)
                 best_sc[j], best_ids[j] = cand_s[keep], cand_i[keep]
         rows_q, rows_i, rows_s = [], [], []
@@ -187,8 +185,9 @@ def _local_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, ve
     return fn
 
 
-def _side_blocks(queries: DataFrame, qid: str, qvec: str, max_side_bytes: int, dims: int | None = None):
-    """Yield query blocks as numpy arrays, each within ``max_side_bytes``.
+def _side_blocks(queries: DataFrame, qid: str, qvec: str, max_side_bytes: int, dims: int | None = None, extra_bytes: int = 0):
+    """Yield query blocks as numpy arrays, each within ``max_side_bytes``, where a query
+    takes its vector and ``extra_bytes`` (what a task holds for it).
 
     The count (and, unless ``dims`` is known, the dimension) is measured
     first; if the whole query set is too large it is split by hash of the
@@ -202,7 +201,7 @@ def _side_blocks(queries: DataFrame, qid: str, qvec: str, max_side_bytes: int, d
         n, d = int(stats["n"] or 0), int(stats["d"] or 0)
     if n == 0:
         return
-    n_blocks = max(1, math.ceil(n * max(d, 1) * 8 * 2 / max_side_bytes))
+    n_blocks = max(1, math.ceil(n * (max(d, 1) * 8 * 2 + extra_bytes) / max_side_bytes))
     for b in range(n_blocks):
         part = queries if n_blocks == 1 else queries.where(F.pmod(F.xxhash64(F.col(qid)), F.lit(n_blocks)) == b)
         rows = part.select(F.col(qid).cast("long").alias("q"), F.col(qvec).alias("v")).toPandas()
@@ -221,8 +220,6 @@ def topk_exact(
     qvec: str = "qvec",
     where: Column | None = None,
     max_side_bytes: int = MAX_SIDE_BYTES,
-    _probe_fn=None,
-    cell_col: str | None = None,
     bucket_dims: int | None = None,
 ) -> DataFrame:
     """Top-k vectors per query by dot product (= cosine on unit vectors).
@@ -236,74 +233,30 @@ def topk_exact(
     pushed into the Parquet scan.
     """
     k = k or C.TOPK_RETRIEVE
+    spark = vectors.sparkSession
     vec = vectors if where is None else vectors.where(where)
-    cols = [id_col, vec_col] + ([cell_col] if cell_col else [])
-    vec = spread(vec.select(*cols))
+    vec = spread(vec.select(id_col, vec_col))
     id_type = vectors.schema[id_col].dataType
     schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, id_type),
                            T.StructField("raw_score", T.DoubleType())])
-    parts = []
-    for q_ids, q_mat in _side_blocks(queries, qid, qvec, max_side_bytes, dims=bucket_dims):
-        probe = _probe_fn(q_mat) if _probe_fn else None
-        src = vec
-        if probe is not None:
-            # Only the probed cells are read: partition pruning when the index
-            # is laid out by cell.
-            src = vec.where(F.col(cell_col).isin([int(c) for c in np.unique(probe)]))
-        parts.append(src.mapInArrow(_local_topk_fn(q_ids, q_mat, k, id_col, vec_col, probe, cell_col, bucket_dims), schema))
-    if not parts:
-        spark = vectors.sparkSession
-        return spark.createDataFrame([], "query_id bigint, %s bigint, score double, rank int" % id_col)
-    local = parts[0]
-    for p in parts[1:]:
-        local = local.unionByName(p)
-    return rank_topk(local.withColumn("score", F.round("raw_score", SCORE_DP)).drop("raw_score"), k, "query_id", id_col)
+    parts: list[DataFrame] = []
+    held = None
+    for q_ids, q_mat in _side_blocks(queries, qid, qvec, max_side_bytes, dims=bucket_dims, extra_bytes=32 * k):
+        if held is not None:  # another block follows: the one before is answered now, and its queries let go
+            parts.append(written(held, "topk_block"))
+            ref.destroy()
+        ref = spark.sparkContext.broadcast((q_ids, q_mat))
+        local = vec.mapInArrow(_local_topk_fn(ref, k, id_col, vec_col, bucket_dims), schema)
+        held = rank_topk(local.withColumn("score", F.round("raw_score", SCORE_DP)).drop("raw_score"), k, "query_id", id_col)
+    if held is None:
+        return spark.createDataFrame([], T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, id_type),
+                                                       T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())]))
+    for p in parts:
+        held = held.unionByName(p)
+    return held
 
 
 def rank_topk(scored: DataFrame, k: int, qid: str, id_col: str, score: str = "score") -> DataFrame:
     """Global top-k per query: ``row_number() <= k`` (WindowGroupLimit)."""
     w = Window.partitionBy(qid).orderBy(F.col(score).desc(), F.col(id_col).asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-# ---------------------------------------------------------------------------
-# IVF (approximate) top-k
-# ---------------------------------------------------------------------------
-
-def ivf_train(vectors: DataFrame, n_cells: int = 16, vec_col: str = "embedding", seed: int = 7, max_iter: int = 20):
-    """k-means cells over the vectors (Spark ML); returns the fitted model."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    feats = vectors.select(array_to_vector(F.col(vec_col)).alias("features"))
-    return KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="features").fit(feats)
-
-
-def ivf_assign(vectors: DataFrame, model, vec_col: str = "embedding") -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-
-    with_f = vectors.withColumn("features", array_to_vector(F.col(vec_col)))
-    return model.transform(with_f).withColumnRenamed("prediction", "cell").drop("features")
-
-
-def topk_ivf(
-    index: DataFrame,
-    model,
-    queries: DataFrame,
-    k: int = C.TOPK_RETRIEVE,
-    n_probe: int = 4,
-    id_col: str = "vec_id",
-    vec_col: str = "embedding",
-    qid: str = "query_id",
-    qvec: str = "qvec",
-) -> DataFrame:
-    """Approximate top-k: each query scores only the ``n_probe`` cells whose
-    centres are closest. ``index`` carries a ``cell`` column (ideally the
-    table is partitioned by it, so probing prunes whole partitions)."""
-    centers = np.stack([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
-
-    def probe(q_mat: np.ndarray) -> np.ndarray:
-        d2 = ((q_mat[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
-        return np.argsort(d2, axis=1, kind="stable")[:, :n_probe]
-
-    return topk_exact(index, queries, k, id_col, vec_col, qid, qvec, _probe_fn=probe, cell_col="cell")
