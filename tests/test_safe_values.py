@@ -59,3 +59,15 @@ def test_a_set_number_of_partitions_is_left_alone(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_scratch_folders_can_be_cleared(spark, monkeypatch):
+    import os
+    from threadmill import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    paths = [session.scratch_path(spark, "t_clear") for _ in range(3)]
+    for p in paths[:2]:
+        spark.range(3).write.parquet(p)
+    assert session.clear_scratch(spark) == 2 and session.clear_scratch(spark) == 0
+    assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
