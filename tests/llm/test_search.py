@@ -33,7 +33,7 @@ def brute(data, k, every):
             continue
         f = [struct.unpack("f", struct.pack("f", x))[0] for x in v]
         vecs.add((i, tuple(math.floor(1024 * x) for x in f)))
-    queries = {}
+    queries = {}  # the smallest vector of an id
     for i, v in sorted(vecs):
         if i % every == 0:
             queries.setdefault(i, v)
@@ -75,3 +75,11 @@ def test_bounds_strike_out_annuli(spark):
     batch = pa.RecordBatch.from_pydict({"vec_id": [1], "v": [[100, 0]]})
     out = next(K._visits(Ref)([batch])).to_pydict()
     assert out["bound"][0] >= 100 * 100 and out["bound"][1] < -9000
+
+
+def test_many_vectors_under_a_querys_id(spark):
+    """More own rows than k that score best: none is a candidate, none crowds out the others."""
+    data = [(100, [10.0 + i, 1.0], 0) for i in range(20)] + [(200 + i, [1.0 + i, 0.0], 0) for i in range(4)]
+    v = K.integer_vectors(spark.createDataFrame(data, SCHEMA))
+    got = K.top_k(v, v.where("vec_id % 100 = 0"), k=3).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute(data, 3, 100)

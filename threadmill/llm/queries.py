@@ -261,7 +261,8 @@ WITH v AS (
 scored AS (
   SELECT q.vec_id AS query_id, x.vec_id,
          CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i])) AS BIGINT) AS score
-  FROM v q JOIN v x ON x.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+  FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY v) AS n FROM v) q
+  JOIN v x ON x.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0 AND q.n = 1
 ),
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored

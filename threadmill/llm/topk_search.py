@@ -20,7 +20,8 @@ broadcast.
 Defined results: vectors that are null or hold a null or non-finite component,
 and rows with a null id, take no part; shorter vectors count as padded with
 zeros; equal scores go to the smaller id; rows equal in id and vector are one
-row; a query's own id is no candidate; with fewer candidates all are returned.
+row; of several vectors under a query's id the smallest is the query, and none of
+them is a candidate; with fewer candidates all are returned.
 """
 
 from __future__ import annotations
@@ -128,9 +129,10 @@ def _best(k: int, dim: int):
         ids, qid = rows["r_vec_id"].to_numpy(), queries["q_query_id"].to_numpy()
         s = _scores(_matrix(queries["q_v"], dim), _matrix(rows["r_v"], dim))
         own = qid[:, None] == ids[None, :]
-        # stable order: equal scores keep the order of ids
-        worst_first = -s.astype(np.float64) if np.abs(s).max() < 2**53 else -s.astype(object)
-        order = np.argsort(worst_first, axis=1, kind="stable")[:, : k + 1]  # one more: the query's own row
+        # stable order: equal scores keep the order of ids; rows of the query's own id come last
+        best_first = -s.astype(np.float64) if np.abs(s).max() < 2**53 else -s.astype(object)
+        best_first[own] = 2**70
+        order = np.argsort(best_first, axis=1, kind="stable")[:, :k]
         i = np.repeat(np.arange(len(qid)), order.shape[1])
         j = order.ravel()
         keep = ~own[i, j]
