@@ -74,3 +74,47 @@ def test_mixed_rows(docs_of):
         n[r.source] += 3
     assert abs(n["a"] - 200) <= 3 and abs(n["b"] - 400) <= 3 or n["b"] == 450
     assert mix_documents(docs_of(rows=[])).count() == 0
+
+
+def test_clashing_columns(docs_of):
+    """Columns called as those the operator adds pass through."""
+    frame = docs_of(rows=[(i, "one two three", "en", "a" if i % 4 else "b") for i in range(40)])
+    for c in ("mix_copies", "mix_turn", "_mix_copies", "_mix_turn", "digest", "place", "copies"):
+        frame = frame.selectExpr("*", f"doc_id + 1 as {c}")
+    out = mix_documents(frame)
+    assert out.columns == frame.columns
+    got = out.collect()
+    assert got and all(r.mix_turn == r._mix_copies == r.digest == r.doc_id + 1 for r in got)
+
+
+def test_rows_without_ids_are_spread(docs_of, monkeypatch):
+    """A third of all rows without a doc_id, and one row many times over: no group is large,
+    and the mix still takes the target."""
+    from threadmill.llm import mixing
+
+    monkeypatch.setattr(mixing, "GROUP", 32)
+    data = [(None, f"w{i} a b", "en", "s") for i in range(600)] + [(7, "same text", "en", "s")] * 500
+    data += [(i, "x y z u", "en", "t") for i in range(1000, 1700)]
+    units = sized(docs_of(rows=data))
+    got = allocate(units).collect()
+    assert len(got) == len(data)
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.copies * r.size
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 4 for s in target)
+    out = mix_documents(docs_of(rows=data)).collect()
+    words = defaultdict(int)
+    for r in out:
+        words[r.source] += len(r.text.split())
+    assert abs(words["t"] - target["t"]) <= 8 and abs(words["s"] - target["s"]) <= 1000  # equal rows come and go as one
+
+
+def test_places_are_even(docs_of):
+    """The deal of rows without ids and of repeated rows over buckets."""
+    from pyspark.sql import functions as F
+
+    data = [(None, f"w{i}", "en", "s") for i in range(2000)]
+    units = sized(docs_of(rows=data)).withColumn("place", F.xxhash64("doc_id", "digest", "size", F.lit(1), F.lit(17)))
+    n = [r["count"] for r in units.groupBy(F.pmod("place", F.lit(10)).alias("b")).count().collect()]
+    assert len(n) == 10 and max(n) < 300

@@ -27,13 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import BLANK, stored, text_bytes
+from threadmill.llm.common import BLANK, free_name, stored, text_bytes
 
 GROUP = 4096
 FAN = 256
 MAX_COPIES = 3
-SIZED = "doc_id long, source string, size long"
-ROUNDED = "doc_id long, sid long, size long, whole long, p double, bucket long"
+SIZED = "doc_id long, source string, digest long, size long"
+ROUNDED = "doc_id long, sid long, digest long, size long, whole long, p double, place long, bucket long"
 
 
 def _word_counts(texts: list[bytes | None]) -> list[int]:
@@ -50,13 +50,13 @@ def _word_counts(texts: list[bytes | None]) -> list[int]:
 def _sized(batches):
     for b in batches:
         sizes = pa.array(_word_counts(text_bytes(b)), pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), sizes], ["doc_id", "source", "size"])
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "source", "digest")), sizes], ["doc_id", "source", "digest", "size"])
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size): the number of words of each row."""
+    """(doc_id, source, digest, size): the hash of the text and number of words of each row."""
     d = docs.select(*(F.col(c).cast(t).alias(c) for c, t in (("doc_id", "long"), ("source", "string"), ("text", "string"))))
-    return d.mapInArrow(_sized, SIZED)
+    return d.withColumn("digest", F.xxhash64("text")).mapInArrow(_sized, SIZED)
 
 
 def targets(units: DataFrame) -> DataFrame:
@@ -114,9 +114,7 @@ def _settle(sizes: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> int:
 def _pivotal(seed: int, level: int):
     def run(key, rows):
         # large rows first, among their like; ties in the order of a hash
-        rank = [xxhash.xxh3_64_intdigest(f"{seed}:{d}") for d in rows["doc_id"]]
-        rows = rows.assign(rank=rank, n=-rows["size"]).sort_values(["n", "rank", "p"], kind="stable")
-        rows = rows.drop(columns=["rank", "n"])
+        rows = rows.assign(n=-rows["size"]).sort_values(["n", "place", "p"], kind="stable").drop(columns="n")
         p = rows["p"].to_numpy().copy()
         state = xxhash.xxh3_64_intdigest(f"{seed}:{level}:{key[0]}:{key[1]}")
         _settle(rows["size"].to_numpy(), p, np.random.default_rng(state))
@@ -126,21 +124,28 @@ def _pivotal(seed: int, level: int):
 
 
 def allocate(units: DataFrame, seed: int = 17) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) for each row of
-    ``units`` (doc_id, source, size)."""
+    """(doc_id, source, digest, size, source_size, target, copies) for each row of
+    ``units`` (doc_id, source, digest, size)."""
+    # rows that repeat in all of these are numbered, so each has a place of its own
+    fields = ["doc_id", "source", "digest", "size"]
+    units = units.groupBy(*fields).agg(F.count(F.lit(1)).alias("times"))
+    units = units.select(*fields, F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth"))
+    units = stored(units.withColumn("place", F.xxhash64("doc_id", "digest", "size", "nth", F.lit(seed))), "mix_units")
     t = stored(targets(units), "mix_targets")
     buckets = F.ceil(F.col("rows") / GROUP)
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(MAX_COPIES))))
     due = units.join(t, units["source"].eqNullSafe(t["source"])).select(
         "doc_id",
         "sid",
+        "digest",
         "size",
         F.floor(F.coalesce(rate, F.lit(0.0)) + 1e-9).alias("whole"),
         F.coalesce(rate, F.lit(0.0)).alias("rate"),
-        F.pmod(F.xxhash64("doc_id", F.lit(seed)), buckets).alias("bucket"),
+        "place",
+        F.pmod("place", buckets).alias("bucket"),
     )
     p = F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0))
-    due = due.withColumn("p", F.when(p < 1e-9, F.lit(0.0)).otherwise(p)).select("doc_id", "sid", "size", "whole", "p", "bucket")
+    due = due.withColumn("p", F.when(p < 1e-9, F.lit(0.0)).otherwise(p)).select("doc_id", "sid", "digest", "size", "whole", "p", "place", "bucket")
 
     level = 0
     done = []
@@ -159,6 +164,7 @@ def allocate(units: DataFrame, seed: int = 17) -> DataFrame:
     return out.join(t, "sid").select(
         "doc_id",
         "source",
+        "digest",
         "size",
         "source_size",
         "target",
@@ -168,11 +174,11 @@ def allocate(units: DataFrame, seed: int = 17) -> DataFrame:
 
 def mix_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """``docs`` with each row as often as the mix takes it. Rows that share
-    doc_id and source are one unit here and come and go together."""
-    units = sized(docs).groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
-    n = allocate(units, seed).where("copies > 0").select("doc_id", "source", "copies")
-    mine = [f"_mix_{c}" for c in n.columns]
-    n = n.toDF(*mine)
-    same = docs["doc_id"].cast("long").eqNullSafe(n[mine[0]]) & docs["source"].cast("string").eqNullSafe(n[mine[1]])
-    turn = F.explode(F.sequence(F.lit(1).cast("long"), F.col(mine[2]))).alias("_mix_turn")
-    return docs.join(n, same).select(*(docs[c] for c in docs.columns), turn).drop("_mix_turn")
+    doc_id, source and text are one unit here and come and go together."""
+    names = [free_name(docs.columns, c) for c in ("mix_doc_id", "mix_source", "mix_digest", "mix_copies", "mix_turn")]
+    units = sized(docs).groupBy("doc_id", "source", "digest").agg(F.sum("size").alias("size"))
+    n = allocate(units, seed).where("copies > 0").select("doc_id", "source", "digest", "copies").toDF(*names[:4])
+    same = docs["doc_id"].cast("long").eqNullSafe(n[names[0]]) & docs["source"].cast("string").eqNullSafe(n[names[1]])
+    same = same & (F.xxhash64(docs["text"].cast("string")) == n[names[2]])
+    turn = F.explode(F.sequence(F.lit(1).cast("long"), F.col(names[3]))).alias(names[4])
+    return docs.join(n, same).select(*(docs[c] for c in docs.columns), turn).drop(names[4])
