@@ -14,6 +14,8 @@ from threadmill.llm import secret_scan as S
 from threadmill.llm import toxicity as X
 from threadmill.llm.queries import fold
 
+from .language_reference import Models
+
 SF = "/root/testdata/sf0.01"
 
 
@@ -44,7 +46,7 @@ def test_kneser_ney_sums_to_one():
     for k in range(L.ORDER - 1, -1, -1):
         packed = (packed << np.uint64(16)) | codes[at - k]
     u, n = np.unique(packed, return_counts=True)
-    m = L.Models(["x"], [(u, n)])
+    m = Models(["x"], [(u, n)])
     symbols = [ord("a"), ord("b"), L.EDGE]
     for ctx in ("aba", "bab", "zzz", "  a"):
         rows = np.array([[*map(ord, ctx), s] for s in symbols], np.uint64)
@@ -81,6 +83,77 @@ def test_machine_learns_an_interaction():
     assert abs(float(m.v[0] @ m.v[1])) > 1
 
 
+def brute_terms(t):
+    out = set()
+    for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
+        out.add(w)
+        out |= {f"{w[:n]}*{n}" for n in X.PREFIXES if len(w) >= n}
+    return out
+
+
+def test_terms_pairs_and_scores_equal_plain_loops():
+    texts = ["You absolute Fool, you!", None, "", "éclair ÉCLAIR 12 naïve-naïve", "a bb ccc dddd eeeee ffffff ggggggg hhhhhhhh iiiiiiiii"]
+    who, place = X.terms(texts)
+    assert np.bincount(who, minlength=len(texts)).tolist() == [len(brute_terms(t)) for t in texts]
+    words = [re.findall(r"[^\W\d_]+", (t or "").lower()) for t in texts]
+    who, key = X.pairs(texts, np.ones(X.BUCKETS, bool))
+    near = [{frozenset((a, b)) for i, a in enumerate(w) for b in w[i + 1 : i + 1 + X.NEAR] if a != b} for w in words]
+    assert np.bincount(who, minlength=len(texts)).tolist() == [len(p) for p in near] and (key // X.BUCKETS < key % X.BUCKETS).all()
+    m = X.Machine(np.arange(X.BUCKETS, dtype=np.int32) % 50, 50)
+    m.w, m.bias = np.random.default_rng(1).normal(size=50), 0.3
+    rows, place = X.terms(texts)
+    raw, _ = m.raw(rows, m.column[place], len(texts))
+    for i in range(len(texts)):  # all pairs one by one
+        f = m.column[place[rows == i]]
+        want = m.bias + m.w[f].sum() + sum(m.v[a] @ m.v[b] for x, a in enumerate(f) for b in f[x + 1 :])
+        assert abs(raw[i] - want) < 1e-9
+
+
+def toxic_pairs(n, seed):
+    """Toxic texts hold two words side by side or neither, clean ones just one: alone they tell nothing."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        toxic = i % 2
+        fill = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('klmnp')}{rng.choice('rstv')}" for _ in range(30)]
+        at = rng.randrange(25)
+        some = ["zorp", "blick"] if toxic and rng.random() < 0.7 else [] if toxic else rng.choice([["zorp"], ["blick"]])
+        rows.append((i, " ".join(fill[:at] + some + fill[at:]), toxic))
+    return rows
+
+
+def test_interaction_without_marginal_signal(spark):
+    data = toxic_pairs(2_000, 1)
+    frame = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    machine = X.fit_machine(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    both = [t for _, t, y in toxic_pairs(400, 2) if "zorp blick" in t]
+    one = [t for _, t, y in toxic_pairs(400, 2) if ("zorp" in t) != ("blick" in t)]
+    assert (machine.scores(both) > 0.7).mean() > 0.95 and (machine.scores(one) < 0.5).mean() > 0.95
+
+
+def test_odd_labels_and_repeated_ids(spark):
+    data = toxic_pairs(400, 1)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data] + [(3, "aaa first"), (3, "zzz last")], "doc_id long, text string")
+    labels = [(i, y) for i, _, y in data]
+    odd = [(1, None), (2, 7), (4, -1), (None, 1), (10**6, 1)]
+    fits = [X.fit_machine(docs.repartition(n), spark.createDataFrame(labels + more, "doc_id long, toxic int")) for n, more in ((2, []), (7, odd))]
+    assert fits[0].column.tolist() == fits[1].column.tolist() and np.allclose(fits[0].w, fits[1].w)
+    rng = random.Random(3)
+    quality = spark.createDataFrame([(i, int(i % 7 > 0)) for i in range(200)], "doc_id long, quality int")
+    long = [(i % 190, " ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60, 200)))) for i in range(220)]
+    long = spark.createDataFrame(long, "doc_id long, text string")
+    forests = [Q.fit_forest(long.repartition(n), quality) for n in (2, 7)]
+    assert forests[0].threshold == forests[1].threshold and np.array_equal(forests[0].split, forests[1].split)
+
+
+def test_forest_sees_repeated_lines_and_words():
+    """Two texts alike in all but their repeated short lines."""
+    fresh = "\n".join(f"line {i} has words {i * 7}" for i in range(40))
+    again = "\n".join(f"line {i % 4} has words {(i % 4) * 7}" for i in range(40))
+    f = Q.features(Q.statistics([fresh.encode(), again.encode()]))
+    assert f[1, 2] > f[0, 2] + 1 and f[1, 3] < f[0, 3] / 2
+
+
 def base_stats(t):
     t = t or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
