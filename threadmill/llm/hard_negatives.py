@@ -102,6 +102,7 @@ def cut_tiles(x: np.ndarray, coordinates, pages: int) -> list:
         slabs = math.ceil(pages ** (0.5 if left[0] == 0 else 1 / len(left)))
         column = np.sort(x[rows, left[0]])
         cuts = np.unique(column[[len(column) * i // slabs for i in range(1, slabs)]])
+        cuts = cuts[cuts > column[0]]
         which = np.searchsorted(cuts, x[rows, left[0]], "right")
         return [left[0], cuts, [cut(rows[which == i], left[1:], -(-pages // slabs)) for i in range(len(cuts) + 1)]]
 
