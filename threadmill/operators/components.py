@@ -9,7 +9,7 @@ written to the shared scratch folder, which cuts lineage; nothing stays cached.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -23,6 +23,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_sum(df: DataFrame, name: str, col: str) -> tuple[DataFrame, int]:
+    """``written``, and the sum of ``col``, observed while it is written."""
+    path, seen = scratch_path(df.sparkSession, name), Observation()
+    df.observe(seen, F.sum(col).alias("total")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["total"] or 0
+
+
 def _hooked(links: DataFrame, total: int, larger: bool) -> DataFrame:
     """Edges from the (larger, or all) neighbours of each node to the smallest of
     the node and its neighbours; a node of very many links is looked up."""

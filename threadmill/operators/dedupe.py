@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from .components import connected_components, written
+from .components import connected_components, written, written_sum
 from .hot_keys import hot_keys, lookup, repeated, salted, splits_of
 from .layout import spread
 
@@ -55,13 +55,13 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, shingle: int = 5) ->
     """``id, words, hashes``: a digest of the words in order, and the distinct 64-bit
     hashes of the shingles (of the whole sequence, where it is shorter). Texts
     without words have no row."""
-    # Tokens are materialised as a column first: an expression used inside a
-    # lambda would be re-evaluated for every element.
+    # Tokens and their hashes are materialised as columns first: an expression used
+    # inside a lambda would be re-evaluated for every element.
     base = spread(df).select(F.col(id_col).alias("id"), tx.tokens(F.col(text_col)).alias("_toks")).where(F.size("_toks") > 0)
-    toks = F.col("_toks")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(toks) - shingle + 1, F.lit(1)))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(toks, i, shingle), " ")))
-    return base.select("id", F.sha2(F.array_join(toks, " "), 256).alias("words"), F.array_distinct(hashes).alias("hashes"))
+    base = base.select("id", F.sha2(F.array_join("_toks", " "), 256).alias("words"), F.transform("_toks", lambda t: F.xxhash64(t)).alias("_h"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("_h") - shingle + 1, F.lit(1)))
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("_h", i, shingle)))
+    return base.select("id", "words", F.array_distinct(hashes).alias("hashes"))
 
 
 def _signatures(hashes: np.ndarray, starts: np.ndarray, count: int, seed: int) -> np.ndarray:
@@ -111,8 +111,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = pairs.join(sizes.toDF("a", "_na"), "a").join(sizes.toDF("b", "_nb"), "b")
     fits = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
     pairs = written(pairs.where(fits).select("a", "b").distinct(), "pairs")
-    degree = written(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "degrees")
-    total = degree.agg(F.sum("n")).first()[0] or 0
+    degree, total = written_sum(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "degrees", "n")
     splits = splits_of(degree, "b", total)
     left = salted(pairs, "b", "a", splits).join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("_x")), "a")
     right = repeated(sets.select(F.col("id").alias("b"), F.col("hashes").alias("_y")), "b", splits)
@@ -122,8 +121,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) of texts of equal words to the smallest id, and the sets of these."""
-    groups = written(sets.groupBy("words").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")), "copies")
-    total = groups.agg(F.sum("n")).first()[0] or 0
+    groups = sets.groupBy("words").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    groups, total = written_sum(groups, "copies", "n")
     many = groups.where("n > 1").select("words", "rep")
     links = lookup(sets.select("id", "words"), many, "words", hot_keys(groups, "words", total))
     links = links.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
@@ -136,21 +135,17 @@ def near_dup_links(reps: DataFrame, percent: int = 80) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of ``reps`` (id, hashes)
     of ``percent`` similarity or more."""
     rows = written(band_buckets(reps), "buckets")
-    buckets = written(rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1"), "pivots")
-    total = buckets.agg(F.sum("n")).first()[0] or 0
+    buckets = rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets, total = written_sum(buckets, "pivots", "n")
     hot = hot_keys(buckets, "bucket", total)
     members = written(lookup(rows, buckets.select("bucket", "pivot"), "bucket", hot), "members")
     first = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     links = written(confirmed(first, reps, percent), "confirmed")
     label = written(connected_components(links), "labels")
-
-    def labelled(df: DataFrame, col: str, name: str) -> DataFrame:
-        counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-        many = hot_keys(counts, col, total)
-        known = lookup(df, label.toDF(col, name), col, many)
-        return known.unionByName(df.join(label.toDF(col, name), col, "left_anti").withColumn(name, F.col(col)))
-
-    known = written(labelled(labelled(members, "id", "mine"), "pivot", "centre"), "labelled")
+    # an id stands in one bucket a band at most, so neither join has a hot key
+    homes = buckets.join(label.toDF("pivot", "_home"), "pivot", "left").select("bucket", F.coalesce("_home", "pivot").alias("centre"))
+    mine = members.join(label.toDF("id", "_mine"), "id", "left").select("id", "bucket", F.coalesce("_mine", "id").alias("mine"))
+    known = written(lookup(mine, written(homes, "homes"), "bucket", hot), "labelled")
     outside = known.where(F.col("mine") != F.col("centre")).select("bucket", F.col("id").alias("a"), F.col("mine").alias("la"))
     inside = known.select("bucket", F.col("id").alias("b"), F.col("mine").alias("lb"))
     splits = splits_of(buckets, "bucket", total)
@@ -173,8 +168,7 @@ def near_dup_clusters(df: DataFrame, id_col: str, text_col: str, shingle: int =
     reps = written(reps, "reps")
     comps = connected_components(copies.unionByName(near_dup_links(reps, percent)))
     sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size")).where(F.col("cluster_size") >= min_size)
-    sizes = written(sizes, "cluster_sizes")
-    total = sizes.agg(F.sum("cluster_size")).first()[0] or 0
+    sizes, total = written_sum(sizes, "cluster_sizes", "cluster_size")
     out = lookup(comps, sizes, "label", hot_keys(sizes, "label", total, "cluster_size"))
     return out.select(F.col("id").alias(id_col), F.col("label").alias("cluster_id"), "cluster_size")
 
