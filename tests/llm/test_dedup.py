@@ -88,14 +88,14 @@ def test_near_duplicates_defined_results(docs_of):
 
 
 def test_signatures_keep_the_threshold():
-    """Pairs of similarity 0.8 agree in MATCHES coordinates."""
+    """Pairs of similarity 0.8 agree in matches(80) coordinates."""
     rng = np.random.default_rng(1)
     least = M.COORDS
     for _ in range(200):
         x = rng.integers(0, 2**63, 450, dtype=np.uint64)
         sig = [np.array([(s * a).min() >> np.uint64(32) for a in M.A]) for s in (x[:405], x[45:])]
         least = min(least, int((sig[0] == sig[1]).sum()))
-    assert least >= M.MATCHES
+    assert least >= M.matches(80) == 34
 
 
 def test_long_chain_is_one_component(spark):

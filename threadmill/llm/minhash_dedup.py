@@ -3,13 +3,13 @@
 A document's set is its distinct shingles of ``words`` lower-cased words. Sets
 that are equal collapse into one class first. Each class is posted under its
 ``COORDS`` (coordinate, value) pairs. Two classes of similarity ``percent`` or
-more agree in at least ``MATCHES`` coordinates (the chance that a link of 0.80
-does not is below 1e-6), so
+more agree in at least ``matches`` coordinates (the chance that a link does not
+is below ``MISS``; 34 of 64 at 0.80), so
 
-* lists of one class are skipped, and classes left with fewer than ``MATCHES``
+* lists of one class are skipped, and classes left with fewer than ``matches``
   coordinates have no partner;
-* of its m coordinates left a class needs only the m - MATCHES + 1 in the
-  shortest lists (prefix): two classes with MATCHES in common meet in one.
+* of its m coordinates left a class needs only the m - matches + 1 in the
+  shortest lists (prefix): two classes with ``matches`` in common meet in one.
 
 A list is never expanded into its pairs. Its smallest member is its pivot, and
 classes that meet in a list meet in the group of its pivot. First each member
@@ -22,12 +22,15 @@ between different texts is lost, and no group is held by one task.
 
 Defined results: no words or a null text: an empty set, linked with nothing;
 fewer words than a shingle: the whole sequence is the one shingle; repeated
-rows count as copies; rows with a null doc_id are linked with nothing and kept
-(their component_id is null); other columns are not read.
+rows count as copies; of different texts under one doc_id the one of the
+smallest digest is compared with other texts; rows with a null doc_id are linked with
+nothing and kept (their component_id is null); other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -48,11 +51,26 @@ from threadmill.llm.common import (
 from threadmill.llm.components import components
 
 COORDS = 64
-MATCHES = 34
+MISS = 1e-6
 #: Shingles on each side of a block comparison, and columns multiplied at once.
 BLOCK = 60_000
 WIDE = 4096
 
+
+
+def matches(percent: int) -> int:
+    """Coordinates in which two sets of ``percent`` similarity agree, but for a
+    chance below ``MISS``."""
+    p, below = percent / 100, 0.0
+    for m in range(COORDS + 1):
+        below += math.comb(COORDS, m) * p**m * (1 - p) ** (COORDS - m)
+        if below >= MISS:
+            break
+    if m < 2:
+        raise ValueError(f"{COORDS} coordinates cannot tell sets of {percent} % similarity")
+    return m
+
+
 A = mix(np.arange(1, COORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -109,12 +127,15 @@ def _postings(batches):
         )
 
 
-def _collide(batches):
-    """Pairs whose signatures agree in MATCHES coordinates or more."""
-    for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, COORDS) for c in ("sa", "sb"))
-        ok = pa.array((x == y).sum(1) >= MATCHES)
-        yield b.select(["a", "b"]).filter(ok)
+def _collide(least: int):
+    """Pairs whose signatures agree in ``least`` coordinates or more."""
+
+    def run(batches):
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, COORDS) for c in ("sa", "sb"))
+            yield b.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= least))
+
+    return run
 
 
 def _sets(k: int):
@@ -127,9 +148,10 @@ def _sets(k: int):
                 own = [np.unique(h[first[i] : first[i + 1]]) for i in range(y - x)]
                 off = starts_of(np.array([len(o) for o in own]))
                 flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
+                d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(o.tobytes()) for o in own), "<i8").reshape(-1, 2)
+                lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(x, y - x), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))],
-                    ["doc_id", "s"],
+                    [ids.slice(x, y - x), pa.array(d[:, 0]), pa.array(d[:, 1]), lists], ["doc_id", "hi", "lo", "s"]
                 )
 
     return run
@@ -190,7 +212,7 @@ def _cross_links(percent: int):
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
-    d = documents(docs)
+    d, least = documents(docs), matches(percent)
     signed = stored(d.mapInArrow(_sign(words), "doc_id long, n long, hi long, lo long, sig binary"), "signatures")
     known = signed.where("doc_id is not null and n > 0")
     copies = stored(
@@ -198,9 +220,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "copies",
     )
     classes = known.select("doc_id", "n", "hi", "lo", "sig").join(copies, ["hi", "lo"], "left")
-    classes = stored(
-        classes.where("rep is null or rep = doc_id").select("doc_id", "n", "sig").dropDuplicates(["doc_id"]), "classes"
-    )
+    classes = classes.where("rep is null or rep = doc_id").select("doc_id", "hi", "lo", "n", "sig")
+    # one text a doc_id: rows equal in digest are equal in all else
+    first = classes.groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("d")).select("doc_id", "d.hi", "d.lo")
+    classes = stored(classes.join(first, ["doc_id", "hi", "lo"]).dropDuplicates(["doc_id"]), "classes")
 
     postings = classes.select("doc_id", "sig").mapInArrow(_postings, "key long, doc_id long")
     lists = stored(postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "lists")
@@ -208,8 +231,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         postings.join(lists, "key")
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("l"))
-        .where(F.size("l") >= MATCHES)
-        .select("doc_id", F.explode(F.slice("l", F.lit(1), F.size("l") - (MATCHES - 1))).alias("e"))
+        .where(F.size("l") >= least)
+        .select("doc_id", F.explode(F.slice("l", F.lit(1), F.size("l") - (least - 1))).alias("e"))
         .select(F.col("e.key").alias("key"), "doc_id"),
         "prefixes",
     )
@@ -238,12 +261,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 def _confirmed(d: DataFrame, classes: DataFrame, groups: DataFrame, words: int, percent: int) -> DataFrame:
     """Components (id, component) of the links inside the pivot groups."""
     members = stored(groups.select("doc_id").union(groups.select(F.col("pivot"))).distinct(), "members")
-    sets = stored(
-        d.join(members, "doc_id", "left_semi")
-        .mapInArrow(_sets(words), "doc_id long, s array<long>")
-        .dropDuplicates(["doc_id"]),
-        "sets",
-    )
+    sets = d.join(members, "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id long, hi long, lo long, s array<long>")
+    sets = sets.join(classes.select("doc_id", "hi", "lo"), ["doc_id", "hi", "lo"], "left_semi")
+    sets = stored(sets.select("doc_id", "s").dropDuplicates(["doc_id"]), "sets")
     sig = classes.select("doc_id", "n", "sig")
     pairs = (
         groups.join(sig, "doc_id")
@@ -251,7 +271,7 @@ def _confirmed(d: DataFrame, classes: DataFrame, groups: DataFrame, words: int,
         .join(sig.withColumnRenamed("doc_id", "pivot"), "pivot")
         .where((100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")))
         .select(F.col("pivot").alias("a"), "b", F.col("sig").alias("sa"), "sb")
-        .mapInArrow(_collide, "a long, b long")
+        .mapInArrow(_collide(matches(percent)), "a long, b long")
     )
     links = stored(
         stored(pairs, "pairs")
