@@ -71,3 +71,18 @@ def test_scratch_folders_can_be_cleared(spark, monkeypatch):
         spark.range(3).write.parquet(p)
     assert session.clear_scratch(spark) == 2 and session.clear_scratch(spark) == 0
     assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
+
+
+def test_lent_settings_come_back(spark):
+    from threadmill.session import configure, lend_setting
+
+    key, own = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(own, "64m")
+    before = spark.conf.get(key)
+    for _ in range(2):  # lent twice, the first value counts
+        lend_setting(spark, key, "7")
+        lend_setting(spark, own, "1m")
+    assert spark.conf.get(key) == "7"
+    configure(spark)
+    assert spark.conf.get(key) == before and spark.conf.get(own) == "64m"
+    spark.conf.unset(own)

@@ -31,7 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Session settings the operators rely on (safe to call repeatedly)."""
+    """Session settings the operators rely on (safe to call repeatedly). Settings that
+    were lent for other work are taken back."""
+    _take_back(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # JSON objects with repeated keys: keep the last value, like a dict load.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
@@ -41,6 +43,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LENT: dict[tuple[str, str], str | None] = {}
+
+
+def _app(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", "")
+
+
+def lend_setting(spark: SparkSession, key: str, value: str) -> None:
+    """Set ``key`` until the next ``configure``, which restores what was there before."""
+    _LENT.setdefault((_app(spark), key), spark.conf.get(key, None) if key in spark.conf.getAll else None)
+    spark.conf.set(key, value)
+
+
+def _take_back(spark: SparkSession) -> None:
+    for app, key in [k for k in _LENT if k[0] == _app(spark)]:
+        old = _LENT.pop((app, key))
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def _size_local_shuffles(spark: SparkSession) -> None:
     """A single-machine session in which nobody has set the number of shuffle
     partitions gets 2 x its cores (explicit repartitions and stream state
