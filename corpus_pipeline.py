@@ -6,7 +6,7 @@ the columns of ``docs``; extra columns pass through whatever their names.
 
 Defined results: null and empty texts fail the quality rules and go; rows with a
 null doc_id are in no group of near duplicates and stay; of rows that repeat a
-doc_id near-dedup keeps one; an empty table stays empty.
+doc_id near-dedup keeps the one of the smallest text hash; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -37,12 +37,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near duplicates."""
+    """One document, that of the smallest doc_id, of each group of near duplicates,
+    over the 4-word shingles of operator 1."""
     prepare(spark)
-    mine = free_name(docs.columns, "kept_doc_id")
-    kept = near_duplicates(docs).where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(mine))
-    found = docs.join(kept, docs["doc_id"].cast("long") == kept[mine], "left_semi").dropDuplicates(["doc_id"])
-    return found.union(docs.where(F.col("doc_id").isNull()))
+    mine, h, n = (free_name(docs.columns, c) for c in ("kept_doc_id", "text_hash", "rows"))
+    kept = near_duplicates(docs, words=4).where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(mine))
+    found = docs.join(kept, docs["doc_id"].cast("long") == kept[mine], "left_semi")
+    # few ids repeat: only their rows are brought together
+    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias(n), F.min(F.xxhash64("text")).alias(h)).where(F.col(n) > 1)
+    again = stored(again.select(F.col("doc_id").alias(mine), h), "repeated_ids")
+    single = found.join(again, found["doc_id"] == again[mine], "left_anti")
+    least = found.join(again, (found["doc_id"] == again[mine]) & (F.xxhash64(found["text"]) == again[h]), "left_semi")
+    return single.union(least.dropDuplicates(["doc_id"])).union(docs.where(F.col("doc_id").isNull()))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
