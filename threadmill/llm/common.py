@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.session import configure, scratch_path
+from threadmill.session import configure, lend_setting, scratch_path
 
 #: Text bytes worked on at once inside a task; a longer text is worked on alone.
 SLICE_BYTES = 1 << 20
@@ -22,11 +22,12 @@ S33 = np.uint64(33)
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the operators: Arrow batches bounded by rows and bytes,
-    and the shuffle files of a stored step removed once it is written."""
+    and the shuffle files of a stored step removed once it is written. They hold
+    until the next ``configure``, so other queries run with the session's own."""
     configure(spark)
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    lend_setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    lend_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    lend_setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
