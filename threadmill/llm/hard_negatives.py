@@ -208,18 +208,19 @@ class Tree:
         fits = (self.first <= label) & (label <= self.last) if same else (self.first != label) | (self.last != label)
         root = len(self.children) - 1
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
-        need = [max(low, floor) for low, _, floor in windows]
+        need = np.array([max(low, floor) for low, _, floor in windows], np.int64)
+        high = np.array([top for _, top, _ in windows], np.int64)
         queue = [(-most[root], root)]
         read = 0
         while queue:
             top, node = heapq.heappop(queue)
-            open_ = [i for i, n in enumerate(need) if -top >= n]
-            if not open_:
+            open_ = need <= -top
+            if not open_.any():
                 break  # every box left is strictly below what each window needs
-            if not any(least[node] <= windows[i][1] for i in open_):
+            if least[node] > high[open_].max():
                 continue
             if self.children[node] is not None:
-                low = min(need[i] for i in open_)
+                low = need[open_].min()
                 for child in self.children[node]:
                     if fits[child] and most[child] >= low:
                         heapq.heappush(queue, (-most[child], child))
@@ -229,15 +230,13 @@ class Tree:
             start, end = self.leaves[node]
             read += 1
             s, ids = self.scores(a, start, end), self.ids[start:end]
-            other = ids != own  # a leaf has one label, which fits
-            for i in open_:
-                take = other & (s >= need[i]) & (s <= windows[i][1])
-                if take.any():
-                    s2, i2 = np.append(found[i][0], s[take]), np.append(found[i][1], ids[take])
-                    best = np.lexsort((i2, -s2))[:k]
-                    found[i] = s2[best], i2[best]
-                    if len(best) == k:
-                        need[i] = max(need[i], int(s2[best[-1]]))
+            hits = (s >= need[:, None]) & (s <= high[:, None]) & (ids != own)  # a leaf has one label, which fits
+            for i in np.flatnonzero(hits.any(1)):
+                s2, i2 = np.append(found[i][0], s[hits[i]]), np.append(found[i][1], ids[hits[i]])
+                best = np.lexsort((i2, -s2))[:k]
+                found[i] = s2[best], i2[best]
+                if len(best) == k:
+                    need[i] = max(need[i], s2[best[-1]])
         return found, read
 
 
