@@ -4,10 +4,14 @@ The corpus is tokenised once. ``documents`` has a row a document: its number, id
 length and term counts. ``postings`` has a row for each (term, segment): the
 documents of a segment (``SEGMENT`` consecutive numbers) that hold the term, with
 counts and lengths, and the block's largest contribution to a score. A term that
-all documents hold is thus many bounded rows. ``terms`` holds the document
-frequencies, and N and the total length are known. Any number of query batches
+all documents hold is thus many bounded rows. N and the average length are known, and
+the document frequencies are the sums of the block sizes. Any number of query batches
 read these tables.
 
+Scores of given pairs need no postings: ``tokens_index`` takes a stored table of tokens
+as it is, counts the documents of the queries' terms there, and the terms of the
+candidate documents only.
+
 A search first reads block maxima only (the arrays are not read): their sum,
 weighted by idf, bounds every score a segment can hold for a query. The most
 promising ``FIRST`` segments of each query are scored, which gives a threshold, the
@@ -28,8 +32,8 @@ from ..session import scratch_path
 from .components import written
 from .layout import spread
 
-SEGMENT = 512
-FIRST = 8
+SEGMENT = 2048
+FIRST = 4
 SCORE_DP = 6
 #: More than rounding can add to a score.
 SLACK = 1e-5
@@ -37,15 +41,24 @@ SLACK = 1e-5
 
 @dataclass
 class Bm25Index:
-    documents: DataFrame  # no, id, dl, counts array<struct<term, tf>>
-    postings: DataFrame  # term, segment, most, n, hits array<struct<no, tf, dl>>
-    terms: DataFrame  # term, df
+    documents: DataFrame  # id, dl, and either counts array<struct<term, tf>> (with no) or tokens
+    postings: DataFrame | None  # term, segment, most, n, hits array<struct<no, tf, dl>>
     n: int
     average: float
     k1: float
     b: float
 
-    def idf(self) -> Column:
+    def weights(self, terms: DataFrame) -> DataFrame:
+        """(term, idf) of those of ``terms`` (term) that the corpus holds."""
+        wanted = terms.select("term").distinct()
+        if self.postings is not None:
+            df = self.postings.select("term", "n").join(wanted, "term").groupBy("term").agg(F.sum("n").alias("df"))
+        else:
+            held = self.documents.select(F.explode(F.array_distinct("tokens")).alias("term"))
+            df = held.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        return df.select("term", self._idf().alias("idf"))
+
+    def _idf(self) -> Column:
         return F.ln(F.lit(1.0) + (F.lit(float(self.n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
 
     def part(self, tf: Column, dl: Column) -> Column:
@@ -59,12 +72,17 @@ def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "query_t
     return queries.select(F.col(qid).alias("query_id"), F.explode(F.array_distinct(tx.tokens(F.col(qtext)))).alias("term"))
 
 
-def build_index(corpus: DataFrame, id_col: str, text_col: str, tokens_col: str | None = None,
-                k1: float = C.BM25_K1, b: float = C.BM25_B) -> Bm25Index:
-    """Index of ``corpus``; ``tokens_col``, where given, holds the tokens already."""
+def tokens_index(tokenised: DataFrame, id_col: str, tokens_col: str, k1: float = C.BM25_K1, b: float = C.BM25_B) -> Bm25Index:
+    """What ``pair_scores`` needs of a stored table of tokens: nothing is written."""
+    docs = tokenised.select(F.col(id_col).alias("id"), F.size(tokens_col).cast("long").alias("dl"), F.col(tokens_col).alias("tokens"))
+    n, length = docs.agg(F.count(F.lit(1)), F.sum("dl")).first()
+    return Bm25Index(docs, None, n, (length or 0) / n if n else 0.0, k1, b)
+
+
+def build_index(corpus: DataFrame, id_col: str, text_col: str, k1: float = C.BM25_K1, b: float = C.BM25_B) -> Bm25Index:
+    """Index of ``corpus``, for searches and pair scores."""
     spark = corpus.sparkSession
-    toks = F.col(tokens_col) if tokens_col else tx.tokens(F.col(text_col))
-    rows = spread(corpus).select(F.col(id_col).alias("id"), toks.alias("_t"))
+    rows = spread(corpus).select(F.col(id_col).alias("id"), tx.tokens(F.col(text_col)).alias("_t"))
     rows = tx.with_term_counts(rows, "_t", "counts").select(
         F.monotonically_increasing_id().alias("no"), "id", F.size("_t").cast("long").alias("dl"), "counts")
     path = scratch_path(spark, "bm25_documents")
@@ -72,7 +90,7 @@ def build_index(corpus: DataFrame, id_col: str, text_col: str, tokens_col: str |
     rows.observe(seen, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("length")).write.parquet(path)
     docs = spark.read.schema(rows.schema).parquet(path)
     n, length = seen.get["n"] or 0, seen.get["length"] or 0
-    index = Bm25Index(docs, docs, docs, n, length / n if n else 0.0, k1, b)
+    index = Bm25Index(docs, None, n, length / n if n else 0.0, k1, b)
     # explode_outer and a null filter: no inferred filter that would read the array twice
     hits = docs.select("no", "dl", F.explode_outer("counts").alias("c")).where(F.col("c").isNotNull())
     hits = hits.select(F.col("c.term").alias("term"), F.expr(f"no div {SEGMENT}").alias("segment"),
@@ -82,7 +100,6 @@ def build_index(corpus: DataFrame, id_col: str, text_col: str, tokens_col: str |
         F.sort_array(F.collect_list(F.struct("no", "tf", "dl"))).alias("hits"))
     # sorted by term, so that a lookup prunes row groups by their ranges of terms
     index.postings = written(blocks.sortWithinPartitions("term", "segment"), "bm25_postings")
-    index.terms = written(index.postings.groupBy("term").agg(F.sum("n").alias("df")), "bm25_terms")
     return index
 
 
@@ -92,9 +109,11 @@ def pair_scores(index: Bm25Index, pairs: DataFrame, queries: DataFrame, id_col:
     term counts of the candidate documents, never their texts. Pairs without a shared
     term score 0. Output ``query_id, <id_col>, rerank_score``."""
     qt = query_terms(queries, qid, qtext)
-    wanted = index.terms.join(qt.select("term").distinct(), "term", "left_semi").select("term", index.idf().alias("idf"))
+    wanted = index.weights(qt)
     cand = pairs.select(F.col(qid).alias("query_id"), F.col(id_col).alias("id"))
     docs = index.documents.join(cand.select("id").distinct(), "id", "left_semi")
+    if "counts" not in docs.columns:
+        docs = tx.with_term_counts(docs, "tokens", "counts")
     hits = docs.select("id", "dl", F.explode_outer("counts").alias("c")).where(F.col("c").isNotNull())
     hits = hits.select("id", F.col("c.term").alias("term"), index.part(F.col("c.tf"), F.col("dl")).alias("part")).join(wanted, "term")
     scored = hits.join(cand, "id").join(qt, ["query_id", "term"]).groupBy("query_id", "id").agg(
@@ -108,8 +127,8 @@ def top_documents(index: Bm25Index, queries: DataFrame, id_col: str, k: int = C.
     """The ``k`` best documents per query over the whole corpus: ``query_id, <id_col>,
     score, rank`` by (score rounded to 6 places descending, id ascending). ``skipped``,
     where given, collects (segments of all queries, segments scored)."""
-    qt = query_terms(queries, qid, qtext).join(index.terms, "term").select("query_id", "term", index.idf().alias("idf"))
-    qt = written(qt, "bm25_query_terms")
+    terms = query_terms(queries, qid, qtext)
+    qt = written(terms.join(index.weights(terms), "term").select("query_id", "term", "idf"), "bm25_query_terms")
     # only the block maxima are read here
     bounds = index.postings.select("term", "segment", "most").join(qt, "term").groupBy("query_id", "segment").agg(
         F.sum(F.col("idf") * F.col("most")).alias("bound"))

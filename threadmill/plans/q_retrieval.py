@@ -72,7 +72,7 @@ def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenised once; the candidate set is read by several jobs and written once."""
     ch = tokenised_chunks(spark, sf_dir)
     cand = _written(candidates_of(ch, query_vectors(spark, sf_dir)), "candidates")
-    index = BX.build_index(ch, "chunk_id", "chunk_text", tokens_col="tokens")
+    index = BX.tokens_index(ch, "chunk_id", "tokens")
     scored = BX.pair_scores(index, cand.select("query_id", "chunk_id"), V.queries_v(spark, sf_dir), "chunk_id")
     scored = scored.join(cand.select("query_id", "chunk_id", "rank", "score"), ["query_id", "chunk_id"])
     top = RR.rerank_topn(scored, N_RERANK)
