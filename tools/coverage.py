@@ -30,12 +30,23 @@ FIXTURE_TESTS = {
     "D11": "test_threads.py::test_more_placeholders_counted",
     "H1": "test_threads.py::test_full_flatten",
     "H2": "test_threads.py::test_slim_flatten_prunes_subtrees",
-    "I6": "test_retrieval.py::test_ivf_recall_on_driver_vectors",
-    "I12": "test_dedupe_streams.py::test_exact_and_near_duplicates",
-    "K4": "test_dedupe_streams.py::test_stream_dedupe_equals_batch",
+    "A9": "test_reports.py::test_newest_file",
+    "A16": "test_reports.py::test_inventory_counts_what_lies_there",
+    "A17": "test_index_table.py::test_edited_shortened_unchanged_emptied_and_late",
+    "D3": "test_reports.py::test_write_reports_rows_without_reading_again",
+    "G5": "test_index_table.py::test_chunking_is_linear_in_the_length",
+    "G-U2": "test_threads.py::test_deep_chain_takes_logarithmic_rounds",
+    "H4": "test_threads.py::test_path_text_keeps_long_positions_apart_and_in_order",
+    "I6": "test_retrieval.py::test_cells_reach_their_recall_on_driver_vectors",
+    "I7": "test_retrieval.py::test_bm25_index_skips_blocks_and_serves_many_batches",
+    "I12": "test_dedupe_streams.py::test_near_duplicates_equal_brute_force",
+    "J1": "test_reports.py::test_job_of_a_url_is_not_left_to_chance",
+    "K1": "test_index_table.py::test_untouched_buckets_keep_their_files",
+    "K4": "test_dedupe_streams.py::test_late_rows_are_kept_apart_and_state_expires",
     "K5": "test_dedupe_streams.py::test_stream_index_jsonl_quarantines_bad_lines",
     "K8": "test_io_hooks.py::test_writer_skips_empty_and_splits_files",
-    "L1": "test_io_hooks.py::test_model_hooks",
+    "K9": "test_dedupe_streams.py::test_stalled_jobs_by_timers",
+    "L1": "test_io_hooks.py::test_models_are_built_once_a_worker",
     "L2": "test_io_hooks.py::test_model_hooks",
     "L3": "test_io_hooks.py::test_model_hooks",
 }
