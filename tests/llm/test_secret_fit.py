@@ -32,3 +32,21 @@ def test_many_unmatched_secrets(spark, share, make):
     print("found", make.__name__, share, found / 300, threshold)
     assert found >= 0.9 * 300
     assert usual.where(S.ratio(F.col("s"), table) > threshold).count() == 0
+
+
+def test_every_document_and_value_teaches(spark):
+    """The model follows the counts of the whole table, whatever its size: 9,000 documents,
+    of which any 2,000 hold few of the identifiers that matter."""
+    rng = random.Random(1)
+    rows = [(i, f"value {'qzqzqzqz' if i % 3000 == 0 else 'ordinary'} {'ordinary_words_' * 20 if i == 1 else 'words'}") for i in range(9_000)]
+    rows += [(9_000 + i, f"password = {key(rng)}") for i in range(60)]
+    seen = []
+    real = S._ratios
+    S._ratios = lambda random, usual: seen.append((random, dict(usual))) or real(random, usual)
+    try:
+        S.fit_ratios(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    finally:
+        S._ratios = real
+    usual = seen[-1][1]
+    assert usual[ord("q"), ord("z")] == 3 * 4 and usual[ord("o"), ord("r")] == 8_997 + 2 * 20
+    assert usual[ord("_"), ord("w")] == 20

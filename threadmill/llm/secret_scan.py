@@ -6,19 +6,20 @@ first-order character Markov models, one of random strings and one of ordinary
 identifiers: the mean log-likelihood ratio of its transitions. Runs above a
 threshold that overlap no base span are added under the kind `markov`.
 
-The models are trained from labelled samples of the corpus: values the base
-patterns found (random; mixed with a uniform model, so that alphabets unseen
-there count as random too) and identifiers of documents without a base match.
-Those documents hold the secrets that the base patterns miss, so a first fit
-takes no identifier from runs of ``TOKEN_CHARS`` or more, which are all that can
+The models are trained on labelled strings of all documents: values the base
+patterns found (random, each value once; mixed with a uniform model, so that
+alphabets unseen there count as random too) and identifiers of documents without
+a base match, as often as they occur. Those documents hold the secrets that the
+base patterns miss, so a first fit takes no identifier from runs of
+``TOKEN_CHARS`` or more, which are all that can
 be a secret; runs whose ratio under it is nearer the bulk of identifiers than
 the base values (a quarter of them, held out; letters and digits only), and below ``MARGIN``, then join
 the final fit.
-The samples are bounded (``SAMPLE`` values, identifiers of ``SAMPLE_DOCS``
-documents, none longer than ``SAMPLE_CHARS``); the threshold lies ``MARGIN``
+Strings are counted first, so the driver holds counts of character pairs and of
+ratios in steps of 1 / ``STEPS`` only; the threshold lies ``MARGIN``
 above the ratio that all but one in ten thousand identifiers of the final fit
 stay below, or halfway to the ratio that all but one in a hundred held-out base
-values exceed, if that is less. All documents and whole texts are scanned.
+values exceed, if that is less. All documents and whole texts teach and are scanned.
 
 Only DataFrame functions are used. A pattern's pieces and matches alternate, so
 running sums of their lengths give the positions: one small row for each match,
@@ -46,7 +47,9 @@ TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % TOKEN_CHARS
 IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_-]{5,}"
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
-SAMPLE, SAMPLE_DOCS, SAMPLE_CHARS, MARGIN = 20_000, 2_000, 200, 0.1
+MARGIN = 0.1
+#: Ratios are counted in steps of 1 / STEPS.
+STEPS = 1000
 
 
 def _found(text: Column, kind: int, pattern: str, group: int, ok) -> Column:
@@ -73,18 +76,20 @@ def _found(text: Column, kind: int, pattern: str, group: int, ok) -> Column:
 
 
 def _transitions(strings: DataFrame) -> dict[tuple[int, int], int]:
-    """Counts of adjacent ASCII pairs over the column ``s``."""
-    chars = strings.select(F.split("s", "").alias("c"))
+    """Counts of adjacent ASCII pairs over the strings ``s``, each ``n`` times."""
+    chars = strings.select("n", F.split("s", "").alias("c"))
     pairs = chars.select(
+        "n",
         F.explode(
             F.zip_with(
                 F.slice("c", F.lit(1), F.greatest(F.size("c") - 1, F.lit(0))),
                 F.slice("c", F.lit(2), F.greatest(F.size("c") - 1, F.lit(0))),
                 lambda a, b: F.struct(F.ascii(a).alias("a"), F.ascii(b).alias("b")),
             )
-        ).alias("p")
+        ).alias("p"),
     ).where("p.a between 1 and 127 and p.b between 1 and 127")
-    return {(r.a, r.b): r["count"] for r in pairs.groupBy("p.a", "p.b").count().collect()}  # 127 x 127 at most
+    counts = pairs.groupBy("p.a", "p.b").agg(F.sum("n").alias("times"))
+    return {(r.a, r.b): r.times for r in counts.collect()}  # 127 x 127 at most
 
 
 def _ratios(random: dict, ordinary: dict) -> str:
@@ -137,8 +142,21 @@ def ratio(token: Column, table: str) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x) / F.greatest(F.length(token) - 1, F.lit(1))
 
 
+def _quantile(strings: DataFrame, q: float, table: str) -> float | None:
+    """The ratio that a share ``q`` of the strings ``s``, each ``n`` times, does not exceed."""
+    step = F.round(ratio(F.col("s"), table) * STEPS).cast("long")
+    # ratios lie within those of the table, some tens of thousands of steps
+    steps = sorted(strings.groupBy(step.alias("step")).agg(F.sum("n").alias("times")).collect())
+    left = q * sum(r.times for r in steps)
+    for r in steps:
+        left -= r.times
+        if left <= 0:
+            return r.step / STEPS
+    return steps[-1].step / STEPS if steps else None
+
+
 def fit_ratios(docs: DataFrame) -> tuple[str, float]:
-    """Ratio table and threshold from the bounded labelled samples."""
+    """Ratio table and threshold from the labelled strings of all documents."""
     d = documents(docs).where("text is not null")
     base = F.concat(
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
@@ -146,42 +164,38 @@ def fit_ratios(docs: DataFrame) -> tuple[str, float]:
         F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
     )
     plain = ~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX))
-    values = (
-        d.select(F.explode(base).alias("s"))
-        .where(F.length("s").between(16, SAMPLE_CHARS))
-        .distinct()
-        .orderBy(F.xxhash64("s"), "s")
-        .limit(SAMPLE)
-    )
-    some = d.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    # stored first, so that the patterns are matched in the sampled texts only
-    texts = stored(d.join(F.broadcast(some), "doc_id").select("text"), "sampled_texts").where(plain)
+    values = d.select(F.explode(base).alias("s")).where(F.length("s") >= 16).distinct()
+    values = values.select("s", F.lit(1).cast("long").alias("n"), (F.pmod(F.xxhash64("s", F.lit(7)), F.lit(4)) == 0).alias("held"))
+    values = stored(values, "values")
 
     def identifiers(text: Column) -> Column:
-        return F.filter(F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0)), lambda x: F.length(x) <= SAMPLE_CHARS)
+        return F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0))
 
-    short = stored(texts.select(F.explode(identifiers(F.regexp_replace("text", TOKEN, " "))).alias("s")), "identifiers")
-    runs = texts.select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("run"))
-    runs = stored(runs.where(F.length("run") <= SAMPLE_CHARS), "runs")
-    values = stored(values.withColumn("held", F.pmod(F.xxhash64("s", F.lit(7)), F.lit(4)) == 0), "values")
-    held, random = values.where("held"), _transitions(values.where("not held"))
+    def marked(found: Column, run: bool) -> Column:
+        return F.transform(found, lambda x: F.struct(x.alias("s"), F.lit(run).alias("run")))
 
-    def quantile(rows: DataFrame, q: float) -> float | None:
-        return rows.select(F.percentile_approx(ratio(F.col("s"), table), q, 100_000)).first()[0]
+    found = F.concat(
+        marked(identifiers(F.regexp_replace("text", TOKEN, " ")), False),
+        marked(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), True),
+    )
+    strings = d.where(plain).select(F.explode(found).alias("x")).groupBy("x.s", "x.run").agg(F.count(F.lit(1)).alias("n"))
+    strings = stored(strings, "strings")
+    short, runs = strings.where("not run").select("s", "n"), strings.where("run")
+    held, random = values.where("held"), _transitions(values.where("not held"))
 
     usual = _transitions(short)
     table = _alphanumeric(_ratios(random, usual))
-    bulk, base = quantile(short, 0.5), quantile(held, 0.5)
+    bulk, base = _quantile(short, 0.5, table), _quantile(held, 0.5, table)
     if base is None:
         base = _even(table)
     cut = min(((0.0 if bulk is None else bulk) + base) / 2, MARGIN)
-    near = runs.where(ratio(F.col("run"), table) < cut)
-    near = stored(near.select(F.explode(identifiers(F.col("run"))).alias("s")), "identifiers")
+    near = runs.where(ratio(F.col("s"), table) < cut)
+    near = stored(near.select(F.explode(identifiers(F.col("s"))).alias("s"), "n"), "identifiers")
     for pair, n in _transitions(near).items():
         usual[pair] = usual.get(pair, 0) + n
     table = _ratios(random, usual)
-    top = max(quantile(short.unionByName(near).where(F.length("s") >= 12), 0.9999) or 0.0, 0.0)
-    low = quantile(held.where(F.length("s") >= TOKEN_CHARS), 0.01)
+    top = max(_quantile(short.unionByName(near).where(F.length("s") >= 12), 0.9999, table) or 0.0, 0.0)
+    low = _quantile(held.where(F.length("s") >= TOKEN_CHARS), 0.01, table)
     return table, min(top + MARGIN, (top + low) / 2) if low is not None and low > top else top + MARGIN
 
 
