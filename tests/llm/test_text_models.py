@@ -146,6 +146,25 @@ def test_odd_labels_and_repeated_ids(spark):
     assert forests[0].threshold == forests[1].threshold and np.array_equal(forests[0].split, forests[1].split)
 
 
+def test_every_labelled_row_teaches_the_forest(spark):
+    """Of 12,000 clean rows each moves the ranges of a tree, so that no single one is out of reach."""
+    docs = spark.range(12_000).selectExpr("id doc_id", "array_join(transform(sequence(0, 59), i -> 'w' || (i * 7 + id % 50)), ' ') text")
+    odd = spark.createDataFrame([(i, " ".join(f"{'y' * (20 + i % 40)}{j}" for j in range(60))) for i in range(20_000, 20_040)], "doc_id long, text string")
+    quality = docs.unionByName(odd).selectExpr("doc_id", "1 quality")
+    seen = []
+    real = Q.Forest.grow
+    Q.Forest.grow = lambda self, level, tree, node, n, lo, hi: seen.append((level, n.sum(), hi[:, 0].max())) or real(self, level, tree, node, n, lo, hi)
+    try:
+        forest = Q.fit_forest(docs.unionByName(odd), quality)
+    finally:
+        Q.Forest.grow = real
+    level, n, top = seen[0]
+    assert level == 0 and n == 12_040 * 3 and top > 59
+    for (_, a, _), (_, b, _) in zip(seen, seen[1:]):
+        assert b <= a
+    assert np.isfinite(forest.threshold)
+
+
 def test_forest_sees_repeated_lines_and_words():
     """Two texts alike in all but their repeated short lines."""
     fresh = "\n".join(f"line {i} has words {i * 7}" for i in range(40))
