@@ -48,6 +48,33 @@ def test_newest_file(spark):
     assert sorted(r.id for r in io.newest_file(io.read_posts(spark, path, schema)).collect()) == [0, 1, 2, 3, 4]
 
 
+def test_newest_landing_of_many_files(spark):
+    path = scratch_path(spark, "t_landings")
+    for part in (1, 2, 0):
+        io.write_posts(spark.range(part * 10, part * 10 + 8, 1, 4), f"{path}/landing={part}", partition_by=None)
+    rows = io.read_posts(spark, path, spark.range(1).schema)
+    assert sorted(r.id for r in io.newest_file(rows, folders=True).collect()) == list(range(8))
+
+
+def test_full_files_from_many_tasks(spark):
+    for n, tasks in ((1234, 7), (300, 4), (5, 3)):
+        df = spark.range(0, n, 1, tasks).selectExpr("id", "repeat('x', cast(id % 5 as int)) as t")
+        path = scratch_path(spark, "t_full")
+        dealt = io.full_files(df, 100)
+        assert dealt.columns == df.columns
+        assert io.write_posts(dealt, path, partition_by=None, max_records_per_file=100) == n
+        rows = sorted(f.n_rows for f in io.file_rows(spark.read.parquet(path)).collect())
+        assert rows == sorted([100] * (n // 100) + [n % 100] * (n % 100 > 0))
+        assert spark.read.parquet(path).agg({"id": "sum"}).first()[0] == n * (n - 1) // 2
+    # no task holds all rows
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = io.full_files(spark.range(0, 5000, 1, 4), 100).selectExpr("spark_partition_id() p").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1
+
+
 def test_job_of_a_url_is_not_left_to_chance(spark):
     rows = [("s", "1", "b", 5), ("s", "1", "a", 5), ("s", "1", "z", 4), ("s", "2", None, None), ("s", "2", "t", 0)]
     df = spark.createDataFrame(rows, "subreddit string, id string, title string, score int")

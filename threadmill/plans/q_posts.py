@@ -443,12 +443,12 @@ def q_sink_by_subreddit(spark, sf_dir):
 
 @query("newest_file", W(PV) + "SELECT id, title FROM posts_v WHERE doc_id % 3 = 1")
 def q_newest_file(spark, sf_dir):
-    """Rows of the file written last, of three landings."""
+    """Rows of the landing written last, of three that many tasks write."""
     df = V.posts_v(spark, sf_dir)
     path = scratch_path(spark, "landings")
     for part in (0, 2, 1):
-        io.write_posts(df.where(F.col("doc_id") % 3 == part).coalesce(1), path, partition_by=None)
-    return io.newest_file(io.read_posts(spark, path, df.schema)).select("id", "title")
+        io.write_posts(df.where(F.col("doc_id") % 3 == part), f"{path}/landing={part}", partition_by=None)
+    return io.newest_file(io.read_posts(spark, path, df.schema), folders=True).select("id", "title")
 
 
 @query("sink_comments", W(V.COMMENTS_V_SQL) + "SELECT id, post_id, parent_id, author, body, score, created_utc FROM comments_v")
@@ -465,7 +465,7 @@ def q_sink_comments(spark, sf_dir):
 def q_sink_split_files(spark, sf_dir):
     """A batch cut into files of at most 100 rows (K8): files and rows from file metadata."""
     path = scratch_path(spark, "split_files")
-    io.write_posts(V.posts_v(spark, sf_dir).coalesce(1), path, partition_by=None, max_records_per_file=100)
+    io.write_posts(io.full_files(V.posts_v(spark, sf_dir), 100), path, partition_by=None, max_records_per_file=100)
     files = io.file_rows(spark.read.parquet(path))
     return files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"), F.max("n_rows").alias("largest"))
 

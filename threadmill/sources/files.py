@@ -7,11 +7,12 @@ fixed schema, so nothing is inferred and partition filters prune directories.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import scratch_path
 
 
 def _fmt(fmt: str | None) -> str:
@@ -84,13 +85,35 @@ def latest_batch(df: DataFrame, col: str = "batch_id") -> DataFrame:
     return df.join(top, col, "left_semi")
 
 
-def newest_file(df: DataFrame) -> DataFrame:
+def newest_file(df: DataFrame, folders: bool = False) -> DataFrame:
     """Rows of the file that was written last (A9); of files written at one moment the
-    last by path. ``df`` reads files directly; their times are a scalar subquery of the
-    plan, taken from file metadata alone."""
+    last by path. With ``folders``, rows of the whole folder that holds it: a landing
+    that many tasks wrote. ``df`` reads files directly; their times are a scalar subquery
+    of the plan, taken from file metadata alone."""
+    def name(path: Column) -> Column:
+        return F.regexp_replace(path, "/[^/]*$", "") if folders else path
+
     at = F.struct(F.col("_metadata.file_modification_time").alias("t"), F.col("_metadata.file_path").alias("p"))
-    rows = df.select("*", at.alias("_file"))
-    return rows.where(F.col("_file") == df.select(at.alias("_file")).agg(F.max("_file")).scalar()).drop("_file")
+    rows = df.select("*", name(F.col("_metadata.file_path")).alias("_file"))
+    last = df.select(at.alias("at")).agg(F.max("at").alias("at")).select(name(F.col("at.p")))
+    return rows.where(F.col("_file") == last.scalar()).drop("_file")
+
+
+def full_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` dealt out by runs of ``rows`` consecutive rows, so that its tasks write files of
+    ``rows`` rows each and only one that may hold fewer (with ``max_records_per_file``).
+    Rows are numbered by task and place in a stored copy, whatever later reads do."""
+    spark = df.sparkSession
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the upper bits are the task
+    marked = df.withColumns({"_task": F.spark_partition_id(), "_place": place})
+    path = scratch_path(spark, "numbered")
+    marked.write.parquet(path)
+    marked = spark.read.schema(marked.schema).parquet(path)
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = marked.groupBy("_task").agg(F.count(F.lit(1)).alias("n"))  # one row a task
+    starts = sizes.select("_task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    dealt = marked.join(F.broadcast(starts), "_task").withColumn("_run", F.expr(f"(_start + _place) div {rows}"))
+    return dealt.repartition("_run").select(*df.columns)
 
 
 def file_rows(df: DataFrame) -> DataFrame:
