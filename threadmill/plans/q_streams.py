@@ -138,15 +138,16 @@ LANDINGS = 4
 LATE_DELAY = "1 day"
 
 
-def _land_in_order(df: DataFrame, name: str, part) -> tuple[str, DataFrame]:
-    """Stand-in input: one file a landing, written one after another. ``part`` numbers the
-    landings from 0."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"landing_{name}")
+def _land_in_order(df: DataFrame, name: str, part, run) -> str:
+    """Stand-in input: landings written one after another, by as many tasks as ``df`` has.
+    ``part`` numbers them from 0. ``run(path)`` runs a stream after each, with one checkpoint, so
+    a landing is a batch whatever its number of files."""
+    path = scratch_path(df.sparkSession, f"landing_{name}")
     df = df.withColumn("_part", part)
     for i in range(LANDINGS):
-        df.where(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(path)
-    return path, df.drop("_part")
+        df.where(F.col("_part") == i).drop("_part").write.mode("append").parquet(path)
+        run(path)
+    return path
 
 
 def _landing_of(time: str, late):
@@ -164,9 +165,8 @@ told AS (SELECT l.*, coalesce({time} <= (SELECT max(mark) FROM marks m WHERE m.p
 
 
 def _split(spark, df: DataFrame, name: str, time: str, part) -> tuple[str, str]:
-    landing, _ = _land_in_order(df, name, part)
     paths = [scratch_path(spark, f"{name}_{x}") for x in ("on_time", "late", "marks", "ckpt")]
-    SJ.split_late(spark, landing, df.schema, time, LATE_DELAY, *paths)
+    _land_in_order(df, name, part, lambda landing: SJ.split_late(spark, landing, df.schema, time, LATE_DELAY, *paths, max_files_per_trigger=None))
     return paths[0], paths[1]
 
 
@@ -192,10 +192,12 @@ def q_stream_dedupe_in_time(spark, sf_dir):
     expires, and late rows are kept apart beforehand."""
     on_time, _ = _polls_split(spark, sf_dir)
     twice = spark.read.parquet(on_time).drop("batch_id")
-    landing, landed = _land_in_order(twice.unionByName(twice), "polls_twice", _landing_of("scraped_at", F.lit(False)))
     out, ckpt = _dirs(spark, "dedupe_in_time")
-    stream = SJ.source(spark, landing, landed.schema, max_files_per_trigger=1)
-    SJ.run(SJ.dedupe_stream(stream, key="event_id", delay=LATE_DELAY), out, ckpt)
+
+    def dedupe(landing):
+        SJ.run(SJ.dedupe_stream(SJ.source(spark, landing, twice.schema), key="event_id", delay=LATE_DELAY), out, ckpt)
+
+    _land_in_order(twice.unionByName(twice), "polls_twice", _landing_of("scraped_at", F.lit(False)), dedupe)
     return spark.read.parquet(out).select("event_id")
 
 
@@ -211,10 +213,13 @@ def q_stream_completion_rate_in_time(spark, sf_dir):
     """Completions per window with a watermark of a day (K6): closed windows leave the state."""
     done = V.jobs_v(spark, sf_dir).where(F.col("status") == "completed")
     on_time, _ = _split(spark, done, "jobs_late", "completed_at", _landing_of("completed_at", F.col("id") % 20 == 0))
-    rows = spark.read.parquet(on_time)
-    landing, landed = _land_in_order(rows.drop("batch_id"), "jobs_in_time", _landing_of("completed_at", F.lit(False)))
+    rows = spark.read.parquet(on_time).drop("batch_id")
     out, ckpt = _dirs(spark, "rate_in_time")
-    SJ.run(SJ.completion_rate(SJ.source(spark, landing, landed.schema, max_files_per_trigger=1), delay=LATE_DELAY), out, ckpt, output_mode="update")
+
+    def rate(landing):
+        SJ.run(SJ.completion_rate(SJ.source(spark, landing, rows.schema), delay=LATE_DELAY), out, ckpt, output_mode="update")
+
+    _land_in_order(rows, "jobs_in_time", _landing_of("completed_at", F.lit(False)), rate)
     final = SJ.latest_per_key(spark.read.parquet(out), ["window_start", "window_end"])
     return final.select(tx.ts_text("window_start").alias("window_start"), tx.ts_text("window_end").alias("window_end"), "n")
 
@@ -229,9 +234,13 @@ def q_stream_stalled_jobs(spark, sf_dir):
     jobs = V.jobs_v(spark, sf_dir).select("id", "url", "status", "created_at")
     clock = spark.range(1).select(F.lit(-1).cast("bigint").alias("id"), F.lit("clock").alias("url"), F.lit("pending").alias("status"),
                                   F.lit("2100-01-01").cast("timestamp").alias("created_at"))
-    landing, landed = _land_in_order(jobs, "attempts", _landing_of("created_at", F.lit(False)))
-    clock.coalesce(1).write.mode("append").parquet(landing)
     out, ckpt = _dirs(spark, "stalled")
-    stream = SJ.source(spark, landing, landed.schema, max_files_per_trigger=1)
-    SJ.run_stateful(SJ.stalled_jobs(stream, stall="6 hours", keep="3 days", delay="1 minute"), out, ckpt)
+
+    def stalled(landing):
+        stream = SJ.source(spark, landing, jobs.schema)
+        SJ.run_stateful(SJ.stalled_jobs(stream, stall="6 hours", keep="3 days", delay="1 minute"), out, ckpt)
+
+    landing = _land_in_order(jobs, "attempts", _landing_of("created_at", F.lit(False)), stalled)
+    clock.coalesce(1).write.mode("append").parquet(landing)
+    stalled(landing)
     return spark.read.parquet(out).select("url", "id", tx.ts_text("stalled_at").alias("stalled_at"))
