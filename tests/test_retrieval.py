@@ -210,3 +210,16 @@ def test_ties_stay_bounded(spark):
     s = rng.choice([0.5, 0.5000004, 0.5000006, 0.4999996, 0.7, 0.1], 4000) + rng.choice([0, 1e-12], 4000)
     want = np.lexsort((ids[:4000], -np.round(s, 6)))[:25]
     assert set(want) <= set(bounded_topk(s, ids[:4000], 25, 6))
+
+
+def test_topk_makes_few_rows_dense_at_once(spark, monkeypatch):
+    """Slices are bounded by rows and by list entries, and hold every row in order."""
+    import pyarrow as pa
+
+    lists = [list(range(n % 7)) for n in range(3000)] + [list(range(500_000))] + [None, []]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(lists))), pa.array(lists, pa.list_(pa.int32()))], ["id", "v"])
+    parts = list(VE._slices(batch, "v"))
+    assert [i for p in parts for i in p.column("id").to_pylist()] == list(range(len(lists)))
+    for p in parts:
+        entries = sum(len(x or []) for x in p.column("v").to_pylist())
+        assert p.num_rows <= VE.SLICE_ROWS and (entries <= VE.SLICE_ENTRIES or p.num_rows == 1)

@@ -39,6 +39,8 @@ from .topk import bounded_topk
 
 MAX_SIDE_BYTES = 64 * 1024 * 1024
 SCORE_DP = 6
+#: Rows and list entries of an Arrow batch that are made dense at once; a longer row is worked on alone.
+SLICE_ROWS, SLICE_ENTRIES = 1024, 1 << 18
 
 
 # ---------------------------------------------------------------------------
@@ -147,6 +149,17 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(n, len(flat) // n)
 
 
+def _slices(batch: pa.RecordBatch, list_col: str) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``SLICE_ROWS`` rows and ``SLICE_ENTRIES`` list entries, one row at least."""
+    entries = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(list_col)), 0).to_numpy(zero_copy_only=False))
+    i = 0
+    while i < batch.num_rows:
+        most = (entries[i - 1] if i else 0) + SLICE_ENTRIES
+        j = max(min(int(np.searchsorted(entries, most, "right")), i + SLICE_ROWS), i + 1)
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def _local_topk_fn(ref, k: int, id_col: str, vec_col: str, bucket_dims: int | None = None):
     """Per-partition scorer (mapInArrow): running top-k per query; however many
     rows tie, it holds and emits a small multiple of k rows per query."""
@@ -159,17 +172,17 @@ def _local_topk_fn(ref, k: int, id_col: str, vec_col: str, bucket_dims: int | No
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            id_arr = rb.column(id_col)
-            id_type = id_arr.type
-            ids = id_arr.to_numpy(zero_copy_only=False)
-            col = rb.column(vec_col)
-            mat = _dense_from_buckets(col, bucket_dims) if bucket_dims else _matrix(col)
-            scores = mat @ q_mat.T                                    # (rows, queries)
-            for j in range(len(q_ids)):
-                cand_s = np.concatenate([best_sc[j], scores[:, j]])
-                cand_i = ids if best_ids[j] is None else np.concatenate([best_ids[j], ids])
-                keep = bounded_topk(cand_s, cand_i, k, SCORE_DP)
-                best_sc[j], best_ids[j] = cand_s[keep], cand_i[keep]
+            id_type = rb.schema.field(id_col).type
+            for part in _slices(rb, vec_col):
+                ids = part.column(id_col).to_numpy(zero_copy_only=False)
+                col = part.column(vec_col)
+                mat = _dense_from_buckets(col, bucket_dims) if bucket_dims else _matrix(col)
+                scores = mat @ q_mat.T                                    # (rows, queries)
+                for j in range(len(q_ids)):
+                    cand_s = np.concatenate([best_sc[j], scores[:, j]])
+                    cand_i = ids if best_ids[j] is None else np.concatenate([best_ids[j], ids])
+                    keep = bounded_topk(cand_s, cand_i, k, SCORE_DP)
+                    best_sc[j], best_ids[j] = cand_s[keep], cand_i[keep]
         rows_q, rows_i, rows_s = [], [], []
         for j, qid in enumerate(q_ids):
             if best_ids[j] is None:
