@@ -222,3 +222,16 @@ def test_stalled_jobs_by_timers(spark):
     assert got == [("b", 2, 10), ("b", 7, 70), ("d", 4, 10), ("e", 8, 310)]
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != SJ.ROCKSDB
     assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 3  # the clock's own rows
+
+
+def test_only_texts_that_share_a_bucket_bring_their_sets(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for i in range(200)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(5)] + [(2000 + i, rows[i][1]) for i in range(5)]
+    met = []
+    real = DD.near_dup_links
+    monkeypatch.setattr(DD, "near_dup_links", lambda reps, sets_of, percent: real(
+        reps, lambda ids: met.append(sets_of(ids).count()) or sets_of(ids), percent))
+    got = {r.id: (r.cluster_id, r.cluster_size) for r in DD.near_dup_clusters(spark.createDataFrame(rows, "id long, text string"), "id", "text").collect()}
+    assert got == {k + i: (i, 3) for i in range(5) for k in (0, 1000, 2000)}
+    assert met == [10]

@@ -16,6 +16,9 @@ these links:
    in one component are never compared, so a bucket of near copies costs one
    comparison a member, not one a pair.
 
+Signatures are made in one pass over the texts and stored without the sets; sets are
+made again for the texts that share a bucket with another text, and only these are shuffled.
+
 Rows of a bucket, copy group or centre that holds more than a thousandth of all rows
 are not gathered by that key: it is looked up from a broadcast of at most 1,000
 keys, or salted (``hot_keys``).
@@ -23,6 +26,8 @@ keys, or salted (``hot_keys``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -90,17 +95,17 @@ def _banded(seed: int):
                 sig = _signatures(part.flatten().to_numpy().view(np.uint64), ends[i:j] - ends[i], BANDS * ROWS, seed)
                 band = (sig.reshape(j - i, BANDS, ROWS) * factor).sum(2, dtype=np.uint64)
                 band = (band ^ (band >> np.uint64(29))) * factor[0] + np.arange(BANDS, dtype=np.uint64)
-                ids = b.column("id").slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), BANDS)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(band.ravel().view(np.int64))], ["id", "bucket"])
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(band.ravel().view(np.int64)), BANDS).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("id", "words")), lists], ["id", "words", "bands"])
                 i = j
 
     return run
 
 
-def band_buckets(sets: DataFrame, seed: int = 11) -> DataFrame:
-    """(id, bucket) rows: one per band of a text's MinHash signature."""
-    schema = T.StructType([sets.schema["id"], T.StructField("bucket", T.LongType())])
-    return sets.select("id", "hashes").mapInArrow(_banded(seed), schema)
+def signatures(sets: DataFrame, seed: int = 11) -> DataFrame:
+    """``id, words, bands``: the bands of a set's MinHash signature; narrow rows without the set."""
+    schema = T.StructType([sets.schema["id"], sets.schema["words"], T.StructField("bands", T.ArrayType(T.LongType()))])
+    return sets.select("id", "words", "hashes").mapInArrow(_banded(seed), schema)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -120,7 +125,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) of texts of equal words to the smallest id, and the sets of these."""
+    """Links (a, b) of texts of equal words to the smallest id, and the signatures of these."""
     groups = sets.groupBy("words").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     groups, total = written_sum(groups, "copies", "n")
     many = groups.where("n > 1").select("words", "rep")
@@ -128,17 +133,20 @@ def _copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = links.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     # by (words, id), so a large copy group is spread over its ids
     reps = sets.join(groups.select("words", F.col("rep").alias("id")), ["words", "id"], "left_semi")
-    return links, reps.select("id", "words", "hashes").dropDuplicates(["id", "words"]).drop("words")
+    return links, reps.select("id", "words", "bands").dropDuplicates(["id", "words"])
 
 
-def near_dup_links(reps: DataFrame, percent: int = 80) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of ``reps`` (id, hashes)
-    of ``percent`` similarity or more."""
-    rows = written(band_buckets(reps), "buckets")
+def near_dup_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = 80) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs of ``reps`` (id, words, bands)
+    of ``percent`` similarity or more. ``sets_of(ids)`` gives the sets (id, words, hashes) of
+    some ids: only those that share a bucket are asked for."""
+    rows = written(reps.select("id", F.explode("bands").alias("bucket")), "buckets")
     buckets = rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets, total = written_sum(buckets, "pivots", "n")
     hot = hot_keys(buckets, "bucket", total)
     members = written(lookup(rows, buckets.select("bucket", "pivot"), "bucket", hot), "members")
+    sets = sets_of(written(members.select("id").distinct(), "met")).join(reps.select("id", "words"), ["id", "words"], "left_semi")
+    reps = written(sets.dropDuplicates(["id", "words"]).select("id", "hashes"), "sets")
     first = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     links = written(confirmed(first, reps, percent), "confirmed")
     label = written(connected_components(links), "labels")
@@ -163,10 +171,14 @@ def near_dup_clusters(df: DataFrame, id_col: str, text_col: str, shingle: int =
     take no part; texts of one id are in one cluster."""
     if percent < 80:
         raise ValueError("the bands are laid out for a similarity of 80 percent or more")
-    sets = written(shingle_sets(df.where(F.col(id_col).isNotNull()), id_col, text_col, shingle), "sets")
-    copies, reps = _copies(sets)
+    known = df.where(F.col(id_col).isNotNull())
+    copies, reps = _copies(written(signatures(shingle_sets(known, id_col, text_col, shingle)), "signatures"))
     reps = written(reps, "reps")
-    comps = connected_components(copies.unionByName(near_dup_links(reps, percent)))
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return shingle_sets(known.join(ids.select(F.col("id").alias(id_col)), id_col, "left_semi"), id_col, text_col, shingle)
+
+    comps = connected_components(copies.unionByName(near_dup_links(reps, sets_of, percent)))
     sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size")).where(F.col("cluster_size") >= min_size)
     sizes, total = written_sum(sizes, "cluster_sizes", "cluster_size")
     out = lookup(comps, sizes, "label", hot_keys(sizes, "label", total, "cluster_size"))
