@@ -14,16 +14,18 @@ candidate documents only.
 
 A search first reads block maxima only (the arrays are not read): their sum,
 weighted by idf, bounds every score a segment can hold for a query. The most
-promising ``FIRST`` segments of each query are scored, which gives a threshold, the
+promising ``FIRST`` segments of each query are scored (a task sums the scores of some
+segments, whose number does not grow with the corpus), which gives a threshold, the
 k-th score so far; then the segments whose bound reaches it. All others are
 skipped. The answer is exact.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -34,6 +36,10 @@ from .layout import spread
 
 SEGMENT = 2048
 FIRST = 4
+#: (query, document) scores that a task sums up at once.
+PAIRS = 1 << 19
+#: Postings that a task gathers into blocks.
+HITS = 1 << 21
 SCORE_DP = 6
 #: More than rounding can add to a score.
 SLACK = 1e-5
@@ -67,6 +73,11 @@ class Bm25Index:
         return tf * F.lit(self.k1 + 1.0) / (tf + F.lit(self.k1) * (F.lit(1.0 - self.b) + F.lit(self.b) * dl / F.lit(average)))
 
 
+def _parts(spark: SparkSession, least: float) -> int:
+    """Partitions of a shuffle: the session's number, more where the rows call for it."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(least))
+
+
 def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "query_text") -> DataFrame:
     """Distinct tokens per query."""
     return queries.select(F.col(qid).alias("query_id"), F.explode(F.array_distinct(tx.tokens(F.col(qtext)))).alias("term"))
@@ -87,7 +98,8 @@ def build_index(corpus: DataFrame, id_col: str, text_col: str, k1: float = C.BM2
         F.monotonically_increasing_id().alias("no"), "id", F.size("_t").cast("long").alias("dl"), "counts")
     path = scratch_path(spark, "bm25_documents")
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("length")).write.parquet(path)
+    counted = (F.count(F.lit(1)).alias("n"), F.sum("dl").alias("length"), F.sum(F.size("counts")).alias("hits"))
+    rows.observe(seen, *counted).write.parquet(path)
     docs = spark.read.schema(rows.schema).parquet(path)
     n, length = seen.get["n"] or 0, seen.get["length"] or 0
     index = Bm25Index(docs, None, n, length / n if n else 0.0, k1, b)
@@ -95,6 +107,7 @@ def build_index(corpus: DataFrame, id_col: str, text_col: str, k1: float = C.BM2
     hits = docs.select("no", "dl", F.explode_outer("counts").alias("c")).where(F.col("c").isNotNull())
     hits = hits.select(F.col("c.term").alias("term"), F.expr(f"no div {SEGMENT}").alias("segment"),
                        "no", F.col("c.tf").alias("tf"), "dl")
+    hits = hits.repartition(_parts(spark, (seen.get["hits"] or 0) / HITS), "term", "segment")
     blocks = hits.groupBy("term", "segment").agg(  # SEGMENT rows at most
         F.max(index.part(F.col("tf"), F.col("dl"))).alias("most"), F.count(F.lit(1)).alias("n"),
         F.sort_array(F.collect_list(F.struct("no", "tf", "dl"))).alias("hits"))
@@ -138,10 +151,14 @@ def top_documents(index: Bm25Index, queries: DataFrame, id_col: str, k: int = C.
 
     def scored(due: DataFrame) -> DataFrame:
         """What may be among the k best of the due segments, with ids: (query_id, id, score)."""
-        blocks = index.postings.select("term", "segment", "hits").join(qt, "term").join(due, ["query_id", "segment"], "left_semi")
-        hits = blocks.select("query_id", "idf", F.explode("hits").alias("h"))
+        parts = _parts(due.sparkSession, due.count() * SEGMENT / PAIRS)
+        asked = due.select("query_id", "segment").join(qt, "query_id").repartition(parts, "segment")
+        blocks = index.postings.select("term", "segment", "hits").join(qt.select("term").distinct(), "term", "left_semi")
+        blocks = blocks.repartition(parts, "segment").join(asked, ["segment", "term"])
+        hits = blocks.select("query_id", "segment", "idf", F.explode("hits").alias("h"))
         part = F.col("idf") * index.part(F.col("h.tf"), F.col("h.dl"))
-        sums = hits.groupBy("query_id", F.col("h.no").alias("no")).agg(F.round(F.sum(part), SCORE_DP).alias("score"))
+        # the segment's rows are in one task already: nothing is shuffled before the sums are cut
+        sums = hits.groupBy("query_id", "segment", F.col("h.no").alias("no")).agg(F.round(F.sum(part), SCORE_DP).alias("score")).drop("segment")
         place = F.rank().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
         few = sums.withColumn("place", place).where(F.col("place") <= k)
         return few.join(index.documents.select("no", "id"), "no").select("query_id", "id", "score")
