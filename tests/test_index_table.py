@@ -89,3 +89,26 @@ def test_chunking_is_linear_in_the_length(spark):
 
     seconds(4)
     assert seconds(32) <= 2.2 * seconds(16) + 0.2
+
+
+def test_tiered_compaction_rewrites_in_proportion(spark):
+    """512 even batches, compacted after every third: each row is rewritten a few times only."""
+    rewritten, held_now = 0, []
+    for batch in range(512):
+        held_now.append((2 * batch, 1))
+        if batch % 3 == 2 and len(held_now) >= 3:
+            run = IX._newest_run(held_now)
+            n = sum(n for b, n in held_now if b in run)
+            rewritten += n * (len(run) > 1)
+            held_now = [(b, m) for b, m in held_now if b not in run] + [(run[-1] | 1, n)]
+            sizes = [m for _, m in sorted(held_now)]
+            assert all(m > sum(sizes[i + 1:]) for i, m in enumerate(sizes))
+    assert rewritten <= 512 * 10 and len(held_now) <= 12
+
+    path, now = scratch_path(spark, "t_tiers"), {}
+    for batch in range(6):
+        docs = {f"d{i}": (batch % 3, [f"{batch}-{i}"]) for i in range(batch, batch + 6)} | {"gone": (1, [] if batch else ["g"])}
+        put(spark, path, batch, docs, buckets=2)
+        IX.compact(spark, path, 2, buckets=2, tiered=True)
+        now.update({d: x for d, x in docs.items() if d not in now or x[0] >= now[d][0]})
+        assert held(spark, path) == {d: ts for d, (_, ts) in now.items() if ts}

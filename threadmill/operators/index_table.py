@@ -12,7 +12,8 @@ versions those of the latest batch; what an edit left behind is stale. It finds
 the stale (document, batch) pairs on three narrow columns and drops their rows, so
 the wide rows are not shuffled while edits are few.
 
-``compact`` rewrites the buckets that hold many batches as one each and then
+``compact`` rewrites the buckets that hold many batches as one each (or their newest
+batches, see there) and then
 removes the old partitions; buckets it does not touch keep their files. Its
 output outranks what it was made from, so readers see the same rows before, after
 and in between, and a driver lost halfway leaves nothing wrong.
@@ -76,26 +77,46 @@ def _current(table: DataFrame) -> DataFrame:
     return table.join(stale, ["bucket", "doc_id", "version", "batch"], "left_anti")
 
 
-def compact(spark: SparkSession, path: str, min_batches: int = 8, buckets: int = BUCKETS) -> int:
-    """Rewrite the buckets of ``min_batches`` batches or more as one batch each; delete
+def _newest_run(batches: list) -> list[int]:
+    """The newest batches of a bucket (batch, n), oldest of them first, that are worth
+    rewriting as one: back to the last that holds no more rows than all newer ones together.
+    What stays before them is larger than all after, so a row is rewritten about log2 of
+    the number of batches times, however many there will be."""
+    batches, newer, take = sorted(batches, reverse=True), 0, 1
+    for i, (_, n) in enumerate(batches):
+        if n <= newer:
+            take = i + 1
+        newer += n
+    return sorted(batch for batch, _ in batches[:take])
+
+
+def compact(spark: SparkSession, path: str, min_batches: int = 8, buckets: int = BUCKETS, tiered: bool = False) -> int:
+    """Rewrite the buckets of ``min_batches`` batches or more as one batch each; with
+    ``tiered`` only their newest batches, as far back as these outweigh an older one, which
+    keeps the rewriting in proportion to what was written. Delete
     markers stay, so an older version that lands late is still refused. Returns
     the number of buckets rewritten."""
     table = spark.read.parquet(path)
-    held = table.select("bucket", "batch").distinct().groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.max("batch").alias("last"), F.collect_list("batch").alias("batches"))
-    due = held.where(F.col("n") >= min_batches).collect()  # one row a bucket
+    held = table.groupBy("bucket", "batch").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+        F.collect_list(F.struct("batch", "n")).alias("batches"))
+    due = {}
+    for r in held.where(F.size("batches") >= min_batches).collect():  # one row a bucket
+        run = _newest_run([(b.batch, b.n) for b in r.batches]) if tiered else sorted(b.batch for b in r.batches)
+        if len(run) > 1 or not tiered:
+            due[r.bucket] = run
     if not due:
         return 0
-    rows = table.where(F.col("bucket").isin([r.bucket for r in due]))
+    first = F.create_map(*[F.lit(x) for bucket, run in due.items() for x in (bucket, run[0])])
+    rows = table.where(F.col("bucket").isin(list(due)) & (F.col("batch") >= F.element_at(first, F.col("bucket"))))
     odd = rows.select("bucket", "doc_id").limit(100).where(F.col("bucket") != bucket_of(F.col("doc_id"), buckets))
     if not odd.isEmpty():
         raise ValueError(f"{path} is not laid out in {buckets} buckets")
-    last = F.create_map(*[F.lit(x) for r in due for x in (r.bucket, r.last | 1)])
+    last = F.create_map(*[F.lit(x) for bucket, run in due.items() for x in (bucket, run[-1] | 1)])
     _write(_current(rows).withColumn("batch", F.element_at(last, F.col("bucket")).cast("long")), path)
-    for r in due:
-        for batch in r.batches:
-            if batch != r.last | 1:
-                _remove(spark, f"{path}/bucket={r.bucket}/batch={batch}")
+    for bucket, run in due.items():
+        for batch in run:
+            if batch != run[-1] | 1:
+                _remove(spark, f"{path}/bucket={bucket}/batch={batch}")
     return len(due)
 
 

@@ -90,8 +90,8 @@ def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_pa
     or comments with ``chunker=comment_chunks``.
 
     A post that lands again replaces its chunks. Its version is the column
-    ``version``, or the time its file was written. Buckets of ``compact_every``
-    batches are rewritten as one.
+    ``version``, or the time its file was written. In buckets of ``compact_every``
+    batches the newest are rewritten as one, as far back as they outweigh an older one.
 
     ``fmt`` is ``parquet`` or ``json`` (JSON lines). JSON is read PERMISSIVE:
     a malformed line does not fail the batch (K5) but is written, with its
@@ -117,7 +117,7 @@ def index_stream(spark: SparkSession, landing: str, schema: T.StructType, out_pa
             batch = batch.where(F.col(bad_col).isNull()).drop(bad_col)
         index_batch(batch, out_path, batch_id, by, spec, buckets, chunker)
         if batch_id % compact_every == compact_every - 1:
-            IX.compact(batch.sparkSession, out_path, compact_every, buckets)
+            IX.compact(batch.sparkSession, out_path, compact_every, buckets, tiered=True)
 
     q = s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
     if "availableNow" in trigger or "once" in trigger:
