@@ -173,6 +173,59 @@ def test_bm25_index_skips_blocks_and_serves_many_batches(spark, monkeypatch):
             assert skipped[0][1] < skipped[0][0] / 2
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_bm25_index_is_built_without_a_shuffle(spark, tmp_path):
+    """What a task has tokenised it also inverts; neither hits nor documents are dealt anew."""
+    import random
+    from threadmill.operators import bm25_index as BX
+
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["the", "of", f"w{rng.randrange(900)}"]) for _ in range(60))) for i in range(600)]
+    spark.createDataFrame(rows, "id long, text string").repartition(4).write.parquet(str(tmp_path / "docs"))
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, "1k")  # splits enough for all cores
+    try:
+        before = _shuffle_files(spark)
+        index = BX.build_index(spark.read.parquet(str(tmp_path / "docs")), "id", "text")
+        assert not _shuffle_files(spark) - before
+    finally:
+        spark.conf.set(key, old)
+    qs = spark.createDataFrame([(1, "w1 w2 the")], "query_id long, query_text string")
+    got = [(r.id, r.score) for r in BX.top_documents(index, qs, "id", 5).orderBy("rank").collect()]
+    assert got == sorted(py_bm25(dict(rows), "w1 w2 the").items(), key=lambda kv: (-kv[1], kv[0]))[:5]
+
+
+def test_bm25_ties_and_odd_keys(spark, monkeypatch):
+    """Equal scores in many small segments: the smallest ids win, null before all; a
+    repeated id is a document each time, a repeated query counts its terms again."""
+    from threadmill.operators import bm25_index as BX
+
+    monkeypatch.setattr(BX, "SEGMENT", 8)
+    monkeypatch.setattr(BX, "HITS", 10)
+    ids = [f"d{i:03d}" for i in range(90)]
+    rows = [(i, "cat mat") for i in ids[::-1]] + [("d050", "cat mat"), (None, "cat mat"), ("z", "dog"), ("y", None), ("x", "")]
+    corpus = spark.createDataFrame(rows, "id string, text string").repartition(3)
+    qs = spark.createDataFrame([(1, "cat"), (2, "dog"), (2, "dog"), (None, "cat")], "query_id long, query_text string")
+    index = BX.build_index(corpus, "id", "text")
+    got = {}
+    for r in BX.top_documents(index, qs, "id", 4).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, r.score))
+    one = {i: t or "" for i, (_, t) in enumerate(rows)}
+    assert [i for i, _ in got[1]] == [None, "d000", "d001", "d002"] and {s for _, s in got[1]} == {py_bm25(one, "cat")[0]}
+    assert [i for i, _ in got[2]] == ["z"] and abs(got[2][0][1] - 2 * py_bm25(one, "dog")[92]) < 2e-6
+    assert set(got) == {1, 2}
+    pairs = spark.createDataFrame([(1, "d050"), (1, "z")], "query_id long, id string")
+    scores = {r.id: r.rerank_score for r in BX.pair_scores(index, pairs, qs, "id").collect()}
+    assert scores["z"] == 0.0 and abs(scores["d050"] - 2 * py_bm25(one, "cat")[0]) < 2e-6
+    nested = BX.build_index(corpus.selectExpr("struct(id) AS id", "text"), "id", "text")
+    best = BX.top_documents(nested, qs.where("query_id = 1"), "id", 3).orderBy("rank").collect()
+    assert [r.id.id for r in best] == [None, "d000", "d001"]
+
+
 def test_bm25_of_an_empty_corpus(spark):
     corpus = spark.createDataFrame([], "id long, text string")
     qs = spark.createDataFrame([(1, "a")], "query_id long, query_text string")
