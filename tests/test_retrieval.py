@@ -206,6 +206,8 @@ def test_bm25_ties_and_odd_keys(spark, monkeypatch):
 
     monkeypatch.setattr(BX, "SEGMENT", 8)
     monkeypatch.setattr(BX, "HITS", 10)
+    monkeypatch.setattr(BX, "ASKED", 2, raising=False)
+    monkeypatch.setattr(BX, "BROADCAST", 0, raising=False)
     ids = [f"d{i:03d}" for i in range(90)]
     rows = [(i, "cat mat") for i in ids[::-1]] + [("d050", "cat mat"), (None, "cat mat"), ("z", "dog"), ("y", None), ("x", "")]
     corpus = spark.createDataFrame(rows, "id string, text string").repartition(3)
